@@ -22,7 +22,7 @@ REPEATED_MARKS = (
     r"([!#$%&'()*+,./:;<=>?@\[\]^_`{|}~-])"
     r"""[!"#$%&'()*+,./:;<=>?@\[\]^_`{|}~-]+"""
 )
-APOSTROPHE_WORD = r"[A-Za-z]*(?:'[A-Za-z]+)+"
+APOSTROPHE_WORD = r"[A-Za-z]+(?:'[A-Za-z]+)+"
 
 
 def text_or_empty(column: str) -> Column:

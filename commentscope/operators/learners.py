@@ -61,7 +61,7 @@ class AdaBoost(Estimator, _BoostParams):
     """Two-class SAMME.R over decision stumps.
 
     A round fits one weighted stump on the whole table and multiplies each row's weight by
-    exp(-rate * y * h / 2), where h is half the log-odds of the stump's class shares and y is
+    exp(-rate * y * h), where h is half the log-odds of the stump's class shares and y is
     +1 or -1. The weights are written to the checkpoint folder every few rounds, which bounds
     the plan and survives lost executors.
     """
