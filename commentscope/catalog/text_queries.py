@@ -243,8 +243,20 @@ joined("lemmatize_content_words", "lemmas", lambda: F.col("lemmatization"))
 joined("remove_stop_words", f"[w FOR w IN nopunct IF w NOT IN ({', '.join(q(w) for w in S.STOP_WORDS)})]",
        lambda: K.remove_stop_words(F.col("text_tokenized_nopunc")))
 joined("word_tokens_2plus", S.vector_words("x"), lambda: K.vector_words(F.col("comment_text")))
-joined("ngrams_2", S.ngrams(S.vector_words("x"), 2), lambda: K.ngrams(K.vector_words(F.col("comment_text")), 2), "|")
-joined("ngrams_3", S.ngrams(S.vector_words("x"), 3), lambda: K.ngrams(K.vector_words(F.col("comment_text")), 3), "|")
+
+def ngram_query(n):
+    sql = chain(DOCS_AND_GOLDEN, f"t AS MATERIALIZED (SELECT doc_id, {S.vector_words('x')} AS a FROM d)",
+                f"g AS MATERIALIZED (SELECT doc_id, {S.ngrams('a', n)} AS g FROM t)")
+
+    @query(f"ngrams_{n}", sql + "SELECT doc_id, len(g) AS n, array_to_string(g, '|') AS items FROM g")
+    def _(t):
+        rows = t.comments_and_golden.select(
+            "doc_id", K.ngrams(K.vector_words(F.col("comment_text")), n).alias("a"))
+        return rows.select("doc_id", F.size("a").alias("n"), F.array_join("a", "|").alias("items"))
+
+
+ngram_query(2)
+ngram_query(3)
 
 
 @query("join_tokens", PREP_SQL + "SELECT doc_id, array_to_string(nopunct, ' ') AS text FROM p")

@@ -7,6 +7,8 @@ keeps a few features pays only for those.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,37 +200,39 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
     tag_in = lambda tags: size_where(flat, lambda t: t["tag"].isin(tags))
     word_in = lambda array, listed: size_where(array, lambda w: w.isin(listed))
 
-    counts: dict[str, Column] = {
-        "text_length": F.char_length(raw).cast("long"),
-        "num_sentences": F.size("POS_tagging").cast("long"),
-        "average_length": stats["average_length"],
-        "max_length": stats["max_length"],
-        "min_length": stats["min_length"],
-        "std_length": stats["std_length"],
-        "num_words": F.size(words).cast("long"),
-        "num_stop_words": word_in(words, stop),
-        "num_exclamation_marks": count_char(noise, "!"),
-        "num_question_marks": count_char(noise, "?"),
-        "num_punctuations": count_char(noise, T.PUNCTUATION),
-        "num_unique_words": pair["once"],
-        "num_repeated_words": pair["repeated"],
-        "num_nouns": tag_in(NOUN_TAGS),
-        "num_adjectives": tag_in(ADJECTIVE_TAGS),
-        "num_verbs": tag_in(VERB_TAGS),
-        "num_uppercase": count_matches(noise, "[A-Z]"),
-        "num_uppercase_words": size_where(
+    needed = set(keep) | {"text_length", "num_words"} | {
+        f"num_{stem}" for n in keep for stem in (n.removesuffix("_vs_length"), n.removesuffix("_vs_words"))}
+    counts = {
+        "text_length": lambda: F.char_length(raw).cast("long"),
+        "num_sentences": lambda: F.size("POS_tagging").cast("long"),
+        "average_length": lambda: stats["average_length"],
+        "max_length": lambda: stats["max_length"],
+        "min_length": lambda: stats["min_length"],
+        "std_length": lambda: stats["std_length"],
+        "num_words": lambda: F.size(words).cast("long"),
+        "num_stop_words": lambda: word_in(words, stop),
+        "num_exclamation_marks": lambda: count_char(noise, "!"),
+        "num_question_marks": lambda: count_char(noise, "?"),
+        "num_punctuations": lambda: count_char(noise, T.PUNCTUATION),
+        "num_unique_words": lambda: pair["once"],
+        "num_repeated_words": lambda: pair["repeated"],
+        "num_nouns": lambda: tag_in(NOUN_TAGS),
+        "num_adjectives": lambda: tag_in(ADJECTIVE_TAGS),
+        "num_verbs": lambda: tag_in(VERB_TAGS),
+        "num_uppercase": lambda: count_matches(noise, "[A-Z]"),
+        "num_uppercase_words": lambda: size_where(
             K.words(noise), lambda w: w.rlike("[A-Z]") & ~w.rlike("[a-z]")),
-        "num_timestamp": count_matches(raw, TIMESTAMP, ":"),
-        "num_date_long": count_matches(raw, DATE_LONG, ":"),
-        "num_date_short": count_matches(raw, DATE_SHORT),
-        "num_ip": count_matches(raw, IP_ADDRESS),
-        "num_http": count_matches(raw, HTTP_LINK, "://"),
-        "num_mail": count_matches(raw, MAIL_ADDRESS, "@"),
-        "readability": flesch_score(noise),
-        "sentiment": sentiment(noise, valence),
+        "num_timestamp": lambda: count_matches(raw, TIMESTAMP, ":"),
+        "num_date_long": lambda: count_matches(raw, DATE_LONG, ":"),
+        "num_date_short": lambda: count_matches(raw, DATE_SHORT),
+        "num_ip": lambda: count_matches(raw, IP_ADDRESS),
+        "num_http": lambda: count_matches(raw, HTTP_LINK, "://"),
+        "num_mail": lambda: count_matches(raw, MAIL_ADDRESS, "@"),
+        "readability": lambda: flesch_score(noise),
+        "sentiment": lambda: sentiment(noise, valence),
     }
     for cat, cat_words in categories.items():
-        counts[f"num_bad_{cat}"] = word_in(lemmas, K.inline_set(cat_words))
+        counts[f"num_bad_{cat}"] = partial(word_in, lemmas, K.inline_set(cat_words))
 
     length, n_words = F.col("text_length"), F.col("num_words")
     ratios: dict[str, Column] = {
@@ -239,11 +243,12 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
         ratios[f"{stem}_vs_length"] = guarded_ratio(F.col(f"num_{stem}"), length)
         ratios[f"{stem}_vs_words"] = guarded_ratio(F.col(f"num_{stem}"), n_words)
 
-    # an unnamed count is pruned by the optimizer, so all of them may be listed here
     others = [c for c in prepared.columns if c not in PREPARED_COLUMNS]
-    counted = (prepared.withColumn("__stats", sentence_stats(F.col("POS_tagging")))
-                       .withColumn("__words", once_and_repeated(raw))
-                       .select(*others, *[c.alias(n) for n, c in counts.items()]))
+    if needed & {"average_length", "max_length", "min_length", "std_length"}:
+        prepared = prepared.withColumn("__stats", sentence_stats(F.col("POS_tagging")))
+    if needed & {"num_unique_words", "num_repeated_words"}:
+        prepared = prepared.withColumn("__words", once_and_repeated(raw))
+    counted = prepared.select(*others, *[c().alias(n) for n, c in counts.items() if n in needed])
     return counted.select(*others, *[ratios[n].alias(n) if n in ratios else F.col(n) for n in keep])
 
 
