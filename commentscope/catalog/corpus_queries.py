@@ -214,7 +214,10 @@ def term_steps(n, docs=DOCS):
             f"c AS MATERIALIZED (SELECT *, {S.clean('noise')} AS clean FROM n)",
             f"j AS MATERIALIZED (SELECT *, array_to_string({S.words('clean')}, ' ') AS j FROM c)",
             f"v AS MATERIALIZED (SELECT *, {S.vector_words('j')} AS a FROM j)",
-            f"g AS MATERIALIZED (SELECT doc_id, unnest({S.ngrams('a', n)}) AS term FROM v)"]
+            "u AS (SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS w FROM v)",
+            "s AS (SELECT doc_id, " + " || ' ' || ".join(
+                f"lead(w, {k}) OVER (PARTITION BY doc_id ORDER BY i)" for k in range(n)) + " AS term FROM u)",
+            "g AS MATERIALIZED (SELECT doc_id, term FROM s WHERE term IS NOT NULL)"]
 
 
 def terms(n):

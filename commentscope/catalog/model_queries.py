@@ -1,0 +1,692 @@
+"""Queries over vectors, selection, sampling, training and evaluation."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from commentscope.catalog import text_sql as S
+from commentscope.catalog.base import (DOCS, EMBEDDED_SQL, LABELS_SQL, TEXT_LABELS, VECTOR_LABELS, chain, q, query,
+                                       sql_values)
+from commentscope.catalog.corpus_queries import LABELLED_DOCS, density_sql
+from commentscope.catalog.text_queries import scratch
+from commentscope.functions import features as X
+from commentscope.functions import tokens as K
+from commentscope.operators import corpus as C
+from commentscope.operators import labels as L
+from commentscope.operators import learners as B
+from commentscope.operators import lookups as J
+from commentscope.operators import metrics as M
+from commentscope.operators import multilabel as ML
+from commentscope.operators import reports as R
+from commentscope.operators import sampling as A
+from commentscope.operators import selection as Z
+from commentscope.operators import sequences as Q
+from commentscope.operators import vectors as V
+from commentscope.plans.long_form import exploded, label_rows, unpivot_columns, unpivot_vector
+from commentscope.plans.ordering import pinned
+from commentscope.sources import tables as IO
+from commentscope.streaming import scoring as G
+
+# ---- word and document vectors -----------------------------------------------------------------
+
+DIMS = 8
+
+
+def words_of(t):
+    return t.comments.select("doc_id", K.vector_words(F.col("comment_text")).alias("a"))
+
+
+def word_vectors(t):
+    """Vectors for the words that occur at least twice, drawn from a hash of the word."""
+    vocab = J.corpus_vocabulary(words_of(t), "a", 2)
+    part = lambda i: F.conv(F.substring(F.md5(F.concat(F.col("word"), F.lit(f":{i}"))), 1, 8), 16, 10).cast("double")
+    return vocab.select("word", F.array(*[part(i) / F.lit(4294967296.0) for i in range(DIMS)]).alias("vec"))
+
+
+VECTORS_SQL = [
+    DOCS, f"tk AS MATERIALIZED (SELECT doc_id, unnest({S.vector_words('x')}) AS word FROM d)",
+    "vc AS (SELECT word, count(*) AS n FROM tk GROUP BY word HAVING count(*) >= 2)",
+    "wv AS MATERIALIZED (SELECT word, i AS dim, ('0x' || md5(word || ':' || i)[1:8])::BIGINT / 4294967296.0::DOUBLE AS x "
+    f"FROM vc, range({DIMS}) r(i))",
+]
+
+
+@query("lookup_left_join", chain(*VECTORS_SQL, "u AS (SELECT word, count(*) AS n FROM tk GROUP BY word)") +
+       "SELECT u.word, n, round(coalesce(sum(x), 0.0), 6) AS total FROM u LEFT JOIN wv USING (word) GROUP BY u.word, n")
+def _(t):
+    rows = J.corpus_vocabulary(words_of(t), "a")
+    seen = V.lookup_vectors(rows, word_vectors(t), DIMS, ["n"])
+    return seen.select("word", "n", F.aggregate("vec", F.lit(0.0), lambda s, x: s + x).alias("total"))
+
+
+@query("doc_embedding_mean", chain(*VECTORS_SQL, "c AS (SELECT doc_id, word, count(*) AS n FROM tk GROUP BY ALL)",
+       "s AS (SELECT doc_id, sum(n) AS n FROM c GROUP BY doc_id)",
+       "z AS (SELECT doc_id, dim, sum(x * n) AS x FROM c JOIN wv USING (word) GROUP BY ALL)") +
+       f"SELECT d.doc_id, 'd' || r.i AS dim, round(coalesce(z.x, 0.0) / coalesce(s.n, 1), 6) AS x FROM d CROSS JOIN range({DIMS}) r(i) "
+       "LEFT JOIN s USING (doc_id) LEFT JOIN z ON z.doc_id = d.doc_id AND z.dim = r.i")
+def _(t):
+    vecs = V.document_vectors(words_of(t), "doc_id", "a", word_vectors(t), DIMS)
+    return unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x")
+
+
+@query("doc_embedding_mean_filled")
+def _(t):
+    vecs = V.document_vectors(words_of(t), "doc_id", "a", word_vectors(t), DIMS, fill_missing=True, seed=7)
+    return unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x")
+
+
+@query("scan_word_vectors", chain(*VECTORS_SQL) + "SELECT word, count(*) AS dims, round(sum(round(x, 3)), 3) AS total FROM wv GROUP BY word")
+def _(t):
+    path = scratch(t, "vectors-text")
+    short = word_vectors(t).select("word", F.transform("vec", lambda x: F.round(x, 3)).alias("vec"))
+    IO.write_word_vectors(short, path)
+    back = IO.read_word_vectors(t.spark, path, DIMS)
+    total = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return back.select("word", F.size("vec").alias("dims"), F.round(total, 3).alias("total"))
+
+
+VOCAB_N = 500
+VOCAB_SQL = [*VECTORS_SQL[:2], f"k AS (SELECT word, count(*) AS n FROM tk GROUP BY word ORDER BY n DESC, word LIMIT {VOCAB_N - 1})",
+             "vi AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS idx FROM k)",
+             f"ps AS (SELECT doc_id, {S.vector_words('x')} AS a FROM d)",
+             "pw AS (SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS word FROM ps)",
+             "sq AS (SELECT d.doc_id, coalesce(list(idx ORDER BY i) FILTER (idx IS NOT NULL), []) AS seq FROM d LEFT JOIN pw USING (doc_id) "
+             "LEFT JOIN vi USING (word) GROUP BY d.doc_id)"]
+
+
+@query("vocab_index", chain(*VOCAB_SQL[:3]) + "SELECT word, n, idx FROM vi")
+def _(t):
+    return Q.vocab_index(words_of(t), "a", VOCAB_N)
+
+
+def sequences(t):
+    return Q.texts_to_sequences(words_of(t), "doc_id", "a", Q.vocab_index(words_of(t), "a", VOCAB_N))
+
+
+def numbers_text(c):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
+
+
+@query("texts_to_sequences", chain(*VOCAB_SQL) + "SELECT doc_id, len(seq) AS n, array_to_string(seq, ' ') AS seq FROM sq")
+def _(t):
+    return sequences(t).select("doc_id", F.size("seq").alias("n"), numbers_text("seq").alias("seq"))
+
+
+@query("pad_sequences", chain(*VOCAB_SQL) + "SELECT doc_id, array_to_string(list_resize([]::BIGINT[], greatest(100 - len(seq), 0), 0) || "
+       "seq[greatest(len(seq) - 99, 1):], ' ') AS seq FROM sq")
+def _(t):
+    return sequences(t).select("doc_id", numbers_text(Q.pad_front(F.col("seq"), 100)).alias("seq"))
+
+
+@query("embedding_matrix")
+def _(t):
+    matrix = V.embedding_matrix(Q.vocab_index(words_of(t), "a", 2000), word_vectors(t).where("word > 'c'"), DIMS)
+    return unpivot_vector(matrix, ["word", "idx"], "vec", "dim", "x")
+
+
+@query("block_inference")
+def _(t):
+    return unpivot_vector(V.encode_blocks(t.comments, "doc_id", "comment_text", V.hashed_bag_of_words(16), 16),
+                          ["doc_id"], "vec", "dim", "x")
+
+
+# ---- selection -----------------------------------------------------------------------------------
+
+LONG_SQL = [EMBEDDED_SQL, "lg AS MATERIALIZED (SELECT vec_id, 'd' || (i - 1) AS feature, embedding[i]::DOUBLE AS value, low, even, third "
+            "FROM e, range(1, 65) r(i))"]
+CORR_SQL = [*LONG_SQL, "cr AS (" + " UNION ALL ".join(
+    f"SELECT feature, {q(l)} AS label, CASE WHEN min(value) < max(value) THEN corr(value, {l}) END AS r FROM lg GROUP BY feature"
+    for l in VECTOR_LABELS) + ")"]
+CUT = 0.08
+
+
+def vector_long(t):
+    return unpivot_vector(t.embedded, VECTOR_LABELS, "embedding")
+
+
+def correlations(t):
+    return Z.label_correlation(vector_long(t), VECTOR_LABELS)
+
+
+@query("feature_label_correlation", chain(*CORR_SQL) + "SELECT feature, label, round(r, 6) AS r FROM cr")
+def _(t):
+    return correlations(t)
+
+
+@query("feature_label_correlation_text", S.feature_sql(LABELLED_DOCS, X.SERVING_FEATURES).replace(
+    "\nSELECT doc_id,", ",\nf0 AS (SELECT doc_id,", 1) + "),\nlt AS (" + " UNION ALL ".join(
+        f"SELECT {q(c)} AS feature, {c}::DOUBLE AS value, toxic, 1 - quality AS low_quality FROM f0 JOIN labels USING (doc_id)"
+        for c in X.SERVING_FEATURES) + ")\n" + " UNION ALL ".join(
+    f"SELECT feature, {q(l)} AS label, round(CASE WHEN min(value) < max(value) THEN corr(value, {e}) END, 5) AS r FROM lt GROUP BY feature"
+    for l, e in (("toxic", "toxic"), ("low_quality", "low_quality"), ("none", "1 - greatest(toxic, low_quality)"))))
+def _(t):
+    feats = X.add_features(L.with_none_label(t.labelled, TEXT_LABELS), X.SERVING_FEATURES)
+    long = unpivot_columns(feats, [*TEXT_LABELS, "none"], X.SERVING_FEATURES)
+    rounded = long.withColumn("value", F.round("value", 6))
+    out = Z.label_correlation(rounded, [*TEXT_LABELS, "none"])
+    return out.withColumn("r", F.round("r", 5))
+
+
+@query("correlation_filter", chain(*CORR_SQL) + f"SELECT feature, round(max(abs(r)), 6) AS max_abs_r FROM cr GROUP BY feature HAVING max(abs(r)) > {CUT}")
+def _(t):
+    return Z.correlation_filter(correlations(t), CUT)
+
+
+@query("embedding_useful_ratio", chain(*CORR_SQL, "b AS (SELECT max(abs(r)) AS m FROM cr GROUP BY feature)") +
+       f"SELECT count(*) FILTER (m > {CUT}) AS kept, count(*) AS total, round(count(*) FILTER (m > {CUT})::DOUBLE / count(*), 6) AS ratio FROM b")
+def _(t):
+    return Z.useful_ratio(correlations(t), CUT)
+
+
+WIDE = [f"d{i}" for i in range(12)]
+
+
+def vector_wide(t, names=WIDE):
+    return t.embedded.select("vec_id", *VECTOR_LABELS, *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)])
+
+
+WIDE_SQL = [EMBEDDED_SQL, "w AS (SELECT vec_id, low, even, third, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS {c}" for i, c in enumerate(WIDE)) + " FROM e)"]
+
+
+@query("correlation_matrix", chain(*WIDE_SQL) + " UNION ALL ".join(
+    f"SELECT {q(a)} AS a, {q(b)} AS b, round(corr({a}, {b}), 6) AS r FROM w" for a in WIDE for b in WIDE))
+def _(t):
+    return Z.correlation_matrix(vector_wide(t), WIDE)
+
+
+@query("drop_collinear")
+def _(t):
+    strength = correlations(t).groupBy("feature").agg(F.max(F.abs("r")).alias("max_abs_r"))
+    return Z.drop_collinear(Z.correlation_matrix(vector_wide(t), WIDE), strength.where(F.col("feature").isin(WIDE)), 0.1)
+
+
+SCALED_SQL = ", ".join(f"round((w.{c} - lo.{c}) / CASE WHEN hi.{c} > lo.{c} THEN hi.{c} - lo.{c} ELSE 1 END, 6) + 0.0 AS {c}_scaled" for c in WIDE)
+
+
+def limits_sql(where):
+    return [f"lo AS (SELECT " + ", ".join(f"min({c}) AS {c}" for c in WIDE) + f" FROM w WHERE {where})",
+            f"hi AS (SELECT " + ", ".join(f"max({c}) AS {c}" for c in WIDE) + f" FROM w WHERE {where})"]
+
+
+@query("minmax_scale_fit_transform", chain(*WIDE_SQL, *limits_sql("true")) + f"SELECT w.vec_id, {SCALED_SQL} FROM w, lo, hi")
+def _(t):
+    wide = vector_wide(t).select("vec_id", *WIDE)
+    return Z.apply_minmax(wide, Z.fit_minmax(wide, WIDE), WIDE).drop(*WIDE)
+
+
+@query("minmax_scale_apply", chain(*WIDE_SQL, *limits_sql("low = 1")) + f"SELECT w.vec_id, {SCALED_SQL} FROM w, lo, hi WHERE low = 0")
+def _(t):
+    wide = vector_wide(t)
+    limits = Z.fit_minmax(wide.where("low = 1"), WIDE)
+    return Z.apply_minmax(wide.where("low = 0").select("vec_id", *WIDE), limits, WIDE).drop(*WIDE)
+
+
+MI_SQL = [*LONG_SQL, "ed AS (SELECT feature, [" + ", ".join(f"quantile_cont(value, {i / 10})" for i in range(1, 10)) + "] AS edges FROM lg GROUP BY feature)",
+          "bn AS (SELECT feature, len([x FOR x IN edges IF x < value]) AS bin, low, even, third FROM lg JOIN ed USING (feature))",
+          "jt AS (" + " UNION ALL ".join(f"SELECT feature, {q(l)} AS label, bin, {l} AS y FROM bn" for l in VECTOR_LABELS) + ")",
+          "jc AS (SELECT feature, label, bin, y, count(*) AS c FROM jt GROUP BY ALL)",
+          "jx AS (SELECT *, sum(c) OVER (PARTITION BY feature, label) AS n, sum(c) OVER (PARTITION BY feature, label, bin) AS cx, "
+          "sum(c) OVER (PARTITION BY feature, label, y) AS cy FROM jc)",
+          "mi AS (SELECT feature, label, sum(c::DOUBLE / n * ln(c::DOUBLE * n / (cx::DOUBLE * cy))) AS mi FROM jx GROUP BY ALL)",
+          "mr AS (SELECT feature, label, round(mi, 6) AS mi, row_number() OVER (PARTITION BY label ORDER BY round(mi, 6) DESC, feature) AS rank FROM mi)",
+          "tp AS (SELECT * FROM mr WHERE rank <= 20)"]
+
+
+def information(t):
+    return Z.mutual_information(vector_long(t), VECTOR_LABELS).withColumn("mi", F.round("mi", 6))
+
+
+def best_features(t, k=20):
+    return Z.top_per_label(information(t), "mi", k)
+
+
+@query("mutual_information", chain(*MI_SQL) + "SELECT feature, label, round(mi, 6) AS mi FROM mi")
+def _(t):
+    return information(t)
+
+
+@query("top_features_per_label", chain(*MI_SQL) + "SELECT feature, label, mi, rank FROM tp")
+def _(t):
+    return best_features(t)
+
+
+@query("feature_vote_count", chain(*MI_SQL) + "SELECT feature, count(*) AS votes FROM tp GROUP BY feature")
+def _(t):
+    return Z.vote_counts(best_features(t))
+
+
+SEL_SQL = CORR_SQL[-1]
+SELECTED_SQL = f"sl AS (SELECT feature FROM cr GROUP BY feature HAVING max(abs(r)) > {CUT})"
+
+
+@query("intersect_features", chain(*MI_SQL, SEL_SQL, SELECTED_SQL) + "SELECT label, count(*) AS shared FROM tp WHERE feature IN (SELECT feature FROM sl) GROUP BY label")
+def _(t):
+    return Z.intersect_features(best_features(t), Z.correlation_filter(correlations(t), CUT))
+
+
+@query("feature_status", chain(*MI_SQL, SEL_SQL, SELECTED_SQL) + "SELECT DISTINCT feature, CASE WHEN feature IN (SELECT feature FROM sl) THEN 'selected' "
+       "WHEN feature IN (SELECT feature FROM tp WHERE label = 'third') THEN 'minority' ELSE 'other' END AS status FROM lg")
+def _(t):
+    return Z.feature_status(vector_long(t), Z.correlation_filter(correlations(t), CUT), best_features(t), ["third"])
+
+
+MODEL_COLS = X.MODEL_FEATURES
+MODEL_SQL = (S.feature_sql(LABELLED_DOCS, MODEL_COLS).replace("\nSELECT doc_id,", ",\nf0 AS (SELECT doc_id,", 1) + "),\n"
+             "mm AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in X.SCALED_FEATURES) + " FROM f0),\n"
+             "md AS (SELECT doc_id, toxic, 1 - quality AS low_quality, " + ", ".join(
+                 f"round(({c} - lo_{c})::DOUBLE / greatest(hi_{c} - lo_{c}, 1), 6) AS {c}_scaled" if c in X.SCALED_FEATURES else c for c in MODEL_COLS)
+             + " FROM f0 JOIN labels USING (doc_id), mm)\n")
+MODEL_NAMES = [f"{c}_scaled" if c in X.SCALED_FEATURES else c for c in MODEL_COLS]
+
+
+def model_table(t):
+    """Labels, none, and the model features in one named order, three of them scaled."""
+    feats = X.add_features(L.with_none_label(t.labelled, TEXT_LABELS), MODEL_COLS)
+    scaled = Z.apply_minmax(feats, Z.fit_minmax(feats, X.SCALED_FEATURES), X.SCALED_FEATURES)
+    return scaled.select("doc_id", *TEXT_LABELS, "none", *MODEL_NAMES)
+
+
+@query("select_model_columns", MODEL_SQL + "SELECT doc_id, toxic::BIGINT AS toxic, low_quality::BIGINT AS low_quality, "
+       "(1 - greatest(toxic, low_quality))::BIGINT AS none, " + ", ".join(MODEL_NAMES) + " FROM md")
+def _(t):
+    return model_table(t)
+
+
+@query("density_by_dimension", density_sql([*LONG_SQL, "lv AS (SELECT feature || ':' || low AS feature, value FROM lg WHERE feature IN ('d0', 'd1', 'd2'))"], "lv", 30))
+def _(t):
+    long = vector_long(t).where(F.col("feature").isin("d0", "d1", "d2"))
+    out = C.density(long.select(F.concat_ws(":", "feature", "low").alias("feature"), "value"), "feature", "value", 30)
+    return out.select("feature", "point", F.round("x", 4).alias("x"), "density")
+
+
+# ---- sampling ------------------------------------------------------------------------------------
+
+@query("kfold_contiguous", "SELECT doc_id, (ntile(5) OVER (ORDER BY doc_id) - 1)::BIGINT AS fold FROM documents")
+def _(t):
+    return A.kfold_contiguous(t.read("documents"), "doc_id", 5)
+
+
+@query("kfold_shuffled")
+def _(t):
+    return A.kfold_shuffled(t.read("documents").select("doc_id"), "doc_id", 5, 11)
+
+
+@query("tail_validation_split", "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) > floor(count(*) OVER () * (1.0 - 0.2)::DOUBLE))::BIGINT AS is_validation FROM documents")
+def _(t):
+    return A.tail_split(t.read("documents"), "doc_id", 0.2)
+
+
+OVERSAMPLE_SQL = chain(
+    LABELS_SQL, "ct AS (SELECT sum(toxic)::BIGINT AS m, (count(*) - sum(toxic))::BIGINT AS big FROM l)",
+    "nd AS (SELECT *, floor(0.5 * big)::BIGINT - m AS need FROM ct)",
+    "mn AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM l WHERE toxic = 1)",
+    "cp AS (SELECT doc_id, need // m + CASE WHEN rn <= need % m THEN 1 ELSE 0 END AS extra FROM mn, nd)",
+    "ov AS (SELECT l.doc_id, toxic, low_quality, coalesce(extra, 0) AS extra FROM l LEFT JOIN cp USING (doc_id))",
+    "ox AS (SELECT doc_id, toxic, low_quality, unnest(range(0, extra + 1)) AS copy FROM ov)")
+
+
+@query("random_oversample", OVERSAMPLE_SQL + "SELECT doc_id, toxic::BIGINT AS toxic, low_quality::BIGINT AS low_quality, copy FROM ox")
+def _(t):
+    return A.random_oversample(t.labels, "doc_id", "toxic", 0.5)
+
+
+@query("class_balance_report", OVERSAMPLE_SQL + "SELECT toxic::BIGINT AS y, count(*) AS n FROM ox GROUP BY toxic")
+def _(t):
+    return A.class_counts(A.random_oversample(t.labels, "doc_id", "toxic", 0.5), "toxic")
+
+
+@query("random_oversample_in_turn")
+def _(t):
+    out = t.labels
+    for label in TEXT_LABELS:
+        out = A.random_oversample(out, "doc_id", label, 0.5)
+    return out
+
+
+@query("class_weights", chain(LABELS_SQL, "u AS (SELECT 'toxic' AS label, toxic AS y FROM l UNION ALL SELECT 'low_quality', low_quality FROM l)",
+       "c AS (SELECT label, sum(y)::DOUBLE AS p, (count(*) - sum(y))::DOUBLE AS n FROM u GROUP BY label)") +
+       "SELECT label, round((p + n) / (2 * n), 6) AS weight_0, round((p + n) / (2 * p), 6) AS weight_1, round(n / p, 6) AS scale_pos_weight, "
+       "round(sqrt(n / p), 6) AS sqrt_scale_pos_weight FROM c")
+def _(t):
+    return A.class_weights(label_rows(t.labels, [], TEXT_LABELS))
+
+
+@query("leak_free_oversample_folds")
+def _(t):
+    folds = A.kfold_contiguous(t.labels, "doc_id", 5)
+    parts = []
+    for k in range(5):
+        train, test = A.leak_free_fold(t.labels, "doc_id", "toxic", folds, k)
+        parts += [p.select("doc_id", "toxic", F.lit(k).alias("held_out"), F.lit(name).alias("part"))
+                  for p, name in ((train, "train"), (test, "test"))]
+    return R.union_tables(parts).groupBy("held_out", "part", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- evaluation on text-derived scores --------------------------------------------------------------
+
+# Three scorers, each a share of characters; the second label gets the complement.
+SCORERS = {"upper": "20 * (length(x) - length(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')))",
+           "space": "3 * (length(x) - length(translate(x, ' ', '')))",
+           "vowel": "1.5 * (length(x) - length(translate(x, 'aeiou', '')))"}
+SCORES_SQL = [
+    "d AS (SELECT doc_id, source, text AS x, toxic, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id))",
+    "sh AS (SELECT doc_id, source, toxic, low_quality, " + ", ".join(
+        f"round(least(1.0::DOUBLE, ({e})::DOUBLE / length(x)), 3) AS {n}" for n, e in SCORERS.items()) + " FROM d)",
+    "s0 AS (" + " UNION ALL ".join(
+        f"SELECT doc_id, source, {q(n)} AS model, 'toxic' AS label, toxic AS y, {n} AS prob FROM sh UNION ALL "
+        f"SELECT doc_id, source, {q(n)}, 'low_quality', low_quality, round(1 - {n}, 3) FROM sh" for n in SCORERS) + ")",
+    "s AS MATERIALIZED (SELECT *, (prob >= 0.5)::INT AS pred FROM s0)",
+]
+
+
+def scores(t):
+    """(doc_id, source, model, label, y, pred, prob) of all labelled comments and scorers."""
+    c = t.read("documents").select("doc_id", "source", F.col("text").alias("x")).join(t.labels, "doc_id")
+    wide = c.select("doc_id", "source", *TEXT_LABELS, *[
+        F.round(F.least(F.lit(1.0), F.expr(e).cast("double") / F.length("x")), 3).alias(n) for n, e in SCORERS.items()])
+    items = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(l).alias("label"), F.col(l).alias("y"),
+                               (F.col(n) if l == "toxic" else F.round(1.0 - F.col(n), 3)).alias("prob"))
+                      for n in SCORERS for l in TEXT_LABELS])
+    rows = exploded(wide, ["doc_id", "source"], items, "i").select("doc_id", "source", "i.*")
+    return rows.withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
+
+
+def metrics_sql(by):
+    """CTEs: cf, pr, sa, ll, lb, au, ev per group."""
+    g = ", ".join(by)
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in by)
+    return [
+        *SCORES_SQL,
+        f"cf AS (SELECT {g}, label, count(*) FILTER (y = 0 AND pred = 0) AS tn, count(*) FILTER (y = 0 AND pred = 1) AS fp, "
+        f"count(*) FILTER (y = 1 AND pred = 0) AS fn, count(*) FILTER (y = 1 AND pred = 1) AS tp FROM s GROUP BY {g}, label)",
+        "pr AS (SELECT *, tp + fn AS support, (tp + tn)::DOUBLE / (tp + tn + fp + fn) AS accuracy, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END AS precision, "
+        "CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END AS recall, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM cf)",
+        f"pw AS (SELECT {g}, coalesce(sum(precision * support) / nullif(sum(support), 0), 0) AS precision_weighted, coalesce(sum(recall * support) / nullif(sum(support), 0), 0) AS recall_weighted, "
+        f"coalesce(sum(f1 * support) / nullif(sum(support), 0), 0) AS f1_weighted FROM pr GROUP BY {g})",
+        f"sa AS (SELECT {g}, avg(ok) AS accuracy FROM (SELECT {g}, doc_id, min((y = pred)::INT) AS ok FROM s GROUP BY {g}, doc_id) GROUP BY {g})",
+        "cl AS (SELECT *, least(greatest(prob, 1e-15::DOUBLE), 1 - 1e-15::DOUBLE) AS p FROM s)",
+        f"rw AS (SELECT *, p / sum(p) OVER (PARTITION BY {g}, doc_id) AS np FROM cl)",
+        f"ll AS (SELECT {g}, avg(r) AS log_loss FROM (SELECT {g}, doc_id, -sum(y * ln(np)) AS r FROM rw GROUP BY {g}, doc_id) GROUP BY {g})",
+        f"lb AS (SELECT {g}, label, avg(CASE WHEN y = 1 THEN -ln(p) ELSE -ln(1 - p) END) AS log_loss FROM cl GROUP BY {g}, label)",
+        f"au AS (SELECT c.*, a.auc, c.tp + c.fn AS pos, c.tn + c.fp AS neg FROM cf c LEFT JOIN (SELECT {', '.join('a.' + c for c in by)}, a.label, avg(CASE WHEN a.prob > b.prob THEN 1.0::DOUBLE WHEN a.prob = b.prob THEN 0.5::DOUBLE ELSE 0 END) AS auc "
+        f"FROM s a JOIN s b ON {on('a', 'b')} AND a.label = b.label WHERE a.y = 1 AND b.y = 0 GROUP BY ALL) a ON {on('a', 'c')} AND a.label = c.label)",
+        f"aw AS (SELECT {g}, sum(pos * auc) / nullif(sum(pos) FILTER (auc IS NOT NULL), 0) AS roc_auc_weighted, avg(auc) AS roc_auc_macro, count(*) FILTER (auc IS NULL) AS labels_without_auc FROM au GROUP BY {g})",
+        f"ev AS (SELECT * FROM sa JOIN pw USING ({g}) JOIN ll USING ({g}) JOIN aw USING ({g}))",
+    ]
+
+
+SIX = "round(accuracy, 6) AS accuracy, round(precision_weighted, 6) AS precision_weighted, round(recall_weighted, 6) AS recall_weighted, round(f1_weighted, 6) AS f1_weighted, round(log_loss, 6) AS log_loss, round(roc_auc_weighted, 6) AS roc_auc_weighted"
+BY_MODEL = metrics_sql(["model"])
+BY_SOURCE = metrics_sql(["source", "model"])
+SCORE_TABLE_SQL = "st AS (SELECT model || '/' || source AS model, " + SIX + " FROM ev)"
+
+
+@query("subset_accuracy", chain(*BY_MODEL) + "SELECT model, round(accuracy, 6) AS accuracy FROM sa")
+def _(t):
+    return M.subset_accuracy(scores(t), "doc_id", ["model"])
+
+
+@query("confusion_matrix", chain(*BY_MODEL) + "SELECT model, label, tn, fp, fn, tp FROM cf")
+def _(t):
+    return M.confusion(scores(t), ["model"])
+
+
+@query("precision_recall_f1_binary", chain(*BY_MODEL) + "SELECT model, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM pr")
+def _(t):
+    return M.precision_recall_f1(M.confusion(scores(t), ["model"])).select("model", "label", "precision", "recall", "f1")
+
+
+@query("precision_recall_f1_weighted", chain(*BY_MODEL) + "SELECT model, round(precision_weighted, 6) AS precision_weighted, round(recall_weighted, 6) AS recall_weighted, round(f1_weighted, 6) AS f1_weighted FROM pw")
+def _(t):
+    return M.weighted_scores(M.precision_recall_f1(M.confusion(scores(t), ["model"])), ["model"])
+
+
+@query("log_loss_multilabel", chain(*BY_MODEL) + "SELECT model, round(log_loss, 6) AS log_loss FROM ll")
+def _(t):
+    return M.log_loss_multilabel(scores(t), "doc_id", ["model"])
+
+
+@query("log_loss_binary", chain(*BY_MODEL) + "SELECT model, label, round(log_loss, 6) AS log_loss FROM lb")
+def _(t):
+    return M.log_loss_binary(scores(t), ["model"])
+
+
+@query("roc_auc", chain(*BY_MODEL) + "SELECT model, label, pos, neg, round(auc, 6) AS auc FROM au")
+def _(t):
+    return M.roc_auc(scores(t), ["model"])
+
+
+@query("roc_auc_weighted", chain(*BY_MODEL) + "SELECT model, round(roc_auc_weighted, 6) AS roc_auc_weighted, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM aw")
+def _(t):
+    return M.roc_auc_weighted(M.roc_auc(scores(t), ["model"]), ["model"])
+
+
+@query("per_label_reports", chain(*BY_MODEL) + "SELECT model, label, tn, fp, fn, tp, support, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+       "round(f1, 6) AS f1, round(log_loss, 6) AS log_loss, round(auc, 6) AS auc FROM pr JOIN lb USING (model, label) JOIN (SELECT model, label, auc FROM au) USING (model, label)")
+def _(t):
+    return M.label_report(scores(t), ["model"])
+
+
+@query("baseline_comparison", chain(*BY_MODEL) + f"SELECT model, {SIX}, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM ev WHERE model IN ('upper', 'vowel')")
+def _(t):
+    return M.evaluate(scores(t).where(F.col("model").isin("upper", "vowel")), "doc_id", ["model"])
+
+
+def score_table(t):
+    """(model, six scores) with one model per scorer and source."""
+    ev = M.evaluate(scores(t), "doc_id", ["source", "model"])
+    return pinned(ev.select(F.concat_ws("/", "model", "source").alias("model"),
+                            *[F.round(m, 6).alias(m) for m in R.METRICS]))
+
+
+@query("model_scores", chain(*BY_SOURCE, SCORE_TABLE_SQL) + "SELECT * FROM st")
+def _(t):
+    return score_table(t)
+
+
+@query("mean_fold_scores", chain(*BY_SOURCE, SCORE_TABLE_SQL) + "SELECT split_part(model, '/', 1) AS model, " + ", ".join(f"round(avg({m}), 5) AS {m}" for m in R.METRICS) + " FROM st GROUP BY 1")
+def _(t):
+    folds = score_table(t).withColumn("model", F.split_part("model", F.lit("/"), F.lit(1)))
+    return R.mean_fold_scores(folds).select("model", *[F.round(m, 5).alias(m) for m in R.METRICS])
+
+
+@query("best_and_second_best", chain(*BY_SOURCE, SCORE_TABLE_SQL, "u AS (" + " UNION ALL ".join(
+    f"SELECT {q(m)} AS metric, model, {m} AS value, {'-' if m == 'log_loss' else ''}{m} AS better FROM st" for m in R.METRICS) + ")",
+    "rk AS (SELECT metric, model, value, dense_rank() OVER (PARTITION BY metric ORDER BY better DESC) AS place FROM u WHERE value IS NOT NULL)") +
+    "SELECT metric, place, model, value FROM rk WHERE place <= 2")
+def _(t):
+    return R.best_and_second(score_table(t))
+
+
+@query("intersect_ranked_sets", chain(*BY_SOURCE, SCORE_TABLE_SQL, "a AS (SELECT model FROM st ORDER BY f1_weighted DESC, model LIMIT 13)",
+       "b AS (SELECT model FROM st ORDER BY log_loss, model LIMIT 13)") + "SELECT * FROM st WHERE model IN (SELECT model FROM a INTERSECT SELECT model FROM b)")
+def _(t):
+    return R.common_top(score_table(t), 13)
+
+
+@query("union_tables", chain(*BY_SOURCE, SCORE_TABLE_SQL) + "SELECT model, accuracy FROM st WHERE model LIKE 'upper/%' UNION ALL SELECT model, accuracy FROM st WHERE model LIKE '%src1' "
+       "UNION ALL SELECT 'by hand', 0.5::DOUBLE")
+def _(t):
+    st = score_table(t).select("model", "accuracy")
+    hand = t.spark.createDataFrame([("by hand", 0.5)], "model string, accuracy double")
+    return R.union_tables([st.where("model like 'upper/%'"), st.where("model like '%src1'"), hand])
+
+
+@query("side_by_side", chain(*BY_SOURCE, SCORE_TABLE_SQL) + "SELECT a.model AS model_a, b.model AS model_b, a.accuracy AS accuracy_a, b.accuracy AS accuracy_b, a.f1_weighted AS f1_weighted_a, "
+       "b.f1_weighted AS f1_weighted_b FROM st a JOIN st b ON split_part(a.model, '/', 2) = split_part(b.model, '/', 2) WHERE a.model LIKE 'upper/%' AND b.model LIKE 'vowel/%'")
+def _(t):
+    st = score_table(t).select("model", "accuracy", "f1_weighted")
+    a = st.where("model like 'upper/%'")
+    mapping = a.select("model", F.concat(F.lit("vowel/"), F.split_part("model", F.lit("/"), F.lit(2))))
+    return R.side_by_side(a, st, mapping)
+
+
+ENSEMBLE = {"upper": 3 / 8, "space": 3 / 8, "vowel": 1 / 4}
+
+
+@query("weighted_ensemble", chain(*SCORES_SQL, "p AS (SELECT doc_id, label, max(y) AS y, " + " + ".join(
+    f"max(CASE WHEN model = {q(m)} THEN prob END) * {w}::DOUBLE" for m, w in ENSEMBLE.items()) + " AS prob FROM s GROUP BY doc_id, label)") +
+    "SELECT doc_id, label, y::BIGINT AS y, round(prob, 6) AS prob, (prob >= 0.5)::BIGINT AS pred FROM p")
+def _(t):
+    return R.weighted_ensemble(scores(t), "doc_id", ENSEMBLE)
+
+
+# ---- scoring with an error table --------------------------------------------------------------------
+
+def rate_scorer(c):
+    """Marks per character; a text without an ASCII letter cannot be scored."""
+    rate = (F.length(c) - F.length(F.translate(c, "!?", ""))) / F.length(c)
+    bad = ~c.rlike("[A-Za-z]")
+    error = F.when(bad, F.lit("no text to score"))
+    return F.struct(F.array(F.when(bad, 0.0).otherwise(rate), F.when(bad, 0.0).otherwise(1.0 - rate)).alias("scores"),
+                    error.alias("error"))
+
+
+RATE_SQL = "(length(x) - length(translate(x, '!?', '')))::DOUBLE / length(x)"
+RATED_SQL = "SELECT conv_id, turn, text AS x, regexp_matches(text, '[A-Za-z]') AS ok FROM conversations"
+
+
+@query("score_with_error_table", f"SELECT doc_id, CASE WHEN ok THEN round({RATE_SQL}, 6) ELSE 0 END AS s0, CASE WHEN ok THEN round(1.0 - {RATE_SQL}, 6) ELSE 0 END AS s1, "
+       "CASE WHEN NOT ok THEN 'no text to score' END AS error FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, text AS x FROM documents))")
+def _(t):
+    out = G.score_comments(t.comments, "doc_id", "comment_text", rate_scorer, 2)
+    return out.select("doc_id", F.col("scores")[0].alias("s0"), F.col("scores")[1].alias("s1"), "error")
+
+
+@query("score_stream", f"SELECT doc_id, CASE WHEN ok THEN round({RATE_SQL}, 6) ELSE 0 END AS s0 "
+       "FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, text AS x FROM documents))")
+def _(t):
+    source, out, err, ckpt = (scratch(t, n) for n in ("stream-in", "stream-out", "stream-err", "stream-ckpt"))
+    t.comments.repartition(4).write.parquet(source)
+    run = G.score_stream(t.spark, source, "doc_id long, comment_text string", "doc_id", "comment_text", rate_scorer, 2, out, err, ckpt)
+    run.awaitTermination()
+    return t.spark.read.parquet(out).select("doc_id", F.col("scores")[0].alias("s0"))
+
+
+# ---- training -----------------------------------------------------------------------------------------
+
+NB_SQL = [*LONG_SQL, "nb AS (" + " UNION ALL ".join(
+    f"SELECT feature, {q(l)} AS label, {l} AS y, count(*) AS n, avg(value) AS mean, var_pop(value) AS variance FROM lg GROUP BY feature, {l}" for l in VECTOR_LABELS) + ")"]
+
+
+@query("gaussian_nb_moments", chain(*NB_SQL) + "SELECT feature, label, y::BIGINT AS y, n, round(n::DOUBLE / sum(n) OVER (PARTITION BY feature, label), 6) AS prior, round(mean, 6) + 0.0 AS mean, round(variance, 6) AS variance FROM nb")
+def _(t):
+    return B.class_moments(vector_long(t), VECTOR_LABELS)
+
+
+def training(t):
+    """Vectors with labels and shuffled folds, written once for the many fits."""
+    rows = ML.vector_from_array(t.embedded, "embedding").select("vec_id", *VECTOR_LABELS, "features")
+    return pinned(A.kfold_shuffled(rows, "vec_id", 5, 3))
+
+
+def predictions(predict, rows):
+    return predict(rows).select("vec_id", *VECTOR_LABELS, *[f"p_{l}" for l in VECTOR_LABELS])
+
+
+def held_out(t, fit):
+    rows = training(t)
+    return predictions(fit(rows.where("fold <> 0")), rows.where("fold = 0"))
+
+
+def n_train(t):
+    return int(t.read("embeddings").count() * 0.8)
+
+
+@query("binary_relevance")
+def _(t):
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+
+
+@query("classifier_chain")
+def _(t):
+    return held_out(t, lambda df: ML.fit_classifier_chain(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+
+
+@query("label_powerset")
+def _(t):
+    return held_out(t, lambda df: ML.fit_label_powerset(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+
+
+@query("one_vs_rest_loop")
+def _(t):
+    own = {"low": B.logistic_regression(n_train(t)), "even": B.random_forest(20, 5), "third": B.gaussian_naive_bayes()}
+    rows = training(t)
+    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), VECTOR_LABELS, own)
+    parts = [M.score_rows(predict(part), ["vec_id"], VECTOR_LABELS).withColumn("part", F.lit(name))
+             for name, part in (("train", rows.where("fold <> 0")), ("test", rows.where("fold = 0")))]
+    return M.label_report(R.union_tables(parts), ["part"])
+
+
+def text_training(t):
+    rows = ML.assemble(model_table(t), MODEL_NAMES)
+    return pinned(A.kfold_shuffled(rows.select("doc_id", *TEXT_LABELS, "features"), "doc_id", 5, 3))
+
+
+@query("logistic_regression")
+def _(t):
+    rows = A.with_balanced_weight(text_training(t), "toxic")
+    est = B.logistic_regression(400, "weight")
+    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["toxic"], est)
+    return predict(rows.where("fold = 0")).select("doc_id", "toxic", "p_toxic")
+
+
+@query("logistic_regression_cv")
+def _(t):
+    grid = [{"regParam": v} for v in (0.001, 0.01, 0.1)]
+    return ML.grid_search(training(t), "low", B.logistic_regression(1), grid, "fold", "accuracy")[1]
+
+
+@query("random_forest")
+def _(t):
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.random_forest(20, 6)))
+
+
+@query("gaussian_naive_bayes")
+def _(t):
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
+
+
+@query("adaboost")
+def _(t):
+    rows = training(t)
+    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["low"], B.AdaBoost(rounds=10, pinEvery=5))
+    return predict(rows.where("fold = 0")).select("vec_id", "low", "p_low")
+
+
+@query("gradient_boosting")
+def _(t):
+    rows = training(t)
+    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["low"], B.gradient_boosting(10, 3))
+    return predict(rows.where("fold = 0")).select("vec_id", "low", "p_low")
+
+
+@query("grid_search")
+def _(t):
+    grid = [{"maxDepth": d, "numTrees": n} for d in (3, 5) for n in (5, 10)]
+    return ML.grid_search(training(t), "even", B.random_forest(), grid, "fold", "f1", folds=5)[1]
+
+
+@query("kfold_evaluate")
+def _(t):
+    fit = lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes())
+    return ML.kfold_evaluate(training(t), "vec_id", VECTOR_LABELS, fit)
+
+
+@query("model_save_load")
+def _(t):
+    rows = training(t)
+    model = ML.fit_one(B.logistic_regression(n_train(t)), rows, "low")
+    path = scratch(t, "model")
+    ML.save_model([model], path)
+    return ML.add_probability(ML.load_model(path), rows, "low").select("vec_id", "low", "p_low")
+
+
+@query("sink_predictions")
+def _(t):
+    out = held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
+    path = scratch(t, "predictions")
+    IO.write_predictions(out, "vec_id", VECTOR_LABELS, path)
+    return t.spark.read.parquet(path)

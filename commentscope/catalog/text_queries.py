@@ -329,7 +329,7 @@ def _(t):
 COMPONENTS_SQL = [
     f"n AS (SELECT doc_id, {S.noise('x')} AS noise FROM d)",
     f"c AS (SELECT doc_id, {S.clean('noise')} AS clean FROM n)",
-    f"v AS (SELECT doc_id, [{S.valence('w')} FOR w IN {S.words('lower(clean)')}] AS v FROM c)",
+    f"v AS (SELECT doc_id, [{S.valence('lower(w)')} FOR w IN {S.words('clean')}] AS v FROM c)",
     "z AS (SELECT doc_id, coalesce(list_sum([y + 1 FOR y IN v IF y > 0]), 0) AS pos, "
     "coalesce(list_sum([1 - y FOR y IN v IF y < 0]), 0) AS neg, len([y FOR y IN v IF y = 0])::DOUBLE AS neu, "
     "coalesce(list_sum(v), 0) AS s FROM v)",
@@ -341,7 +341,7 @@ COMPONENTS_SQL = [
 
 
 def components(df):
-    cleaned = T.clean_comments(df).select("doc_id", X.word_valences(F.col("clean_text")).alias("v"))
+    cleaned = T.clean_comments(df).select("doc_id", X.word_valences(K.words(F.col("clean_text"))).alias("v"))
     return cleaned.select("doc_id", X.sentiment_components(F.col("v")).alias("s")).select("doc_id", "s.*")
 
 

@@ -130,7 +130,7 @@ _syllables = f"coalesce(list_sum([greatest({count('w', X.VOWEL_GROUP)}, 1) FOR w
 FLESCH = (f"CASE WHEN len({_reading}) > 0 THEN 206.835::DOUBLE - 1.015::DOUBLE * len({_reading}) / "
           f"greatest({count(_plain, X.SENTENCE_END)}, 1) - 84.6::DOUBLE * {_syllables} / len({_reading}) "
           "ELSE 0.0 END")
-_senti = f"coalesce(list_sum([{valence('w')} FOR w IN {words('lower(noise)')}]), 0.0)"
+_senti = f"coalesce(list_sum([{valence('lower(w)')} FOR w IN {words('noise')}]), 0.0)"
 
 COUNT_SQL: dict[str, str] = {
     "text_length": "length(x)",

@@ -120,35 +120,38 @@ def once_and_repeated(comment: Column) -> Column:
 
     A text without any word is tried again with its spaces removed.
     """
-    def counted(direct: Column) -> Column:
-        found = F.when(F.size(direct) > 0, direct).otherwise(
+    def counted(found: Column) -> Column:
+        again = K.bind(F.sort_array(found), lambda s: F.array_distinct(
+            F.filter(s, lambda w, i: w == F.get(s, i - 1))))
+        distinct = F.size(F.array_distinct(found)).cast("long")
+        return K.bind(F.size(again).cast("long"), lambda r: F.struct(
+            (distinct - r).alias("once"), r.alias("repeated")))
+
+    def or_joined(direct: Column) -> Column:
+        return F.when(F.size(direct) > 0, direct).otherwise(
             K.vector_words(F.replace(comment, F.lit(" "), F.lit(""))))
-        return K.bind(K.term_counts(found), lambda counts: F.struct(
-            size_where(counts, lambda t: t["tf"] == 1).alias("once"),
-            size_where(counts, lambda t: t["tf"] > 1).alias("repeated")))
 
-    return K.bind(K.vector_words(comment), counted)
+    return K.bind(K.bind(K.vector_words(comment), or_joined), counted)
 
 
 def flesch_score(c: Column) -> Column:
     """206.835 - 1.015 words/sentence - 84.6 syllables/word; a word has one syllable or more."""
     plain = F.translate(c, "_", " ")
     ends = F.greatest(count_matches(plain, SENTENCE_END), F.lit(1).cast("long"))
-    syllables = F.transform(
-        F.regexp_extract_all(plain, F.lit(READING_WORD), F.lit(0)),
-        lambda w: F.greatest(F.regexp_count(w, F.lit(VOWEL_GROUP)), F.lit(1)))
+    vowels = count_matches(plain, VOWEL_GROUP)
 
-    def score(per_word: Column) -> Column:
-        n = F.size(per_word).cast("double")
-        total = F.aggregate(per_word, F.lit(0), lambda a, x: a + x)
+    def score(found: Column) -> Column:
+        n = F.size(found).cast("double")
+        # every vowel group is in some word; words without one still count as one
+        syllables = vowels + size_where(found, lambda w: ~w.rlike(VOWEL_GROUP))
         return F.when(n > 0, F.lit(206.835) - F.lit(1.015) * n / ends
-                      - F.lit(84.6) * total / n).otherwise(0.0)
+                      - F.lit(84.6) * syllables / n).otherwise(0.0)
 
-    return K.bind(syllables, score)
+    return K.bind(F.regexp_extract_all(plain, F.lit(READING_WORD), F.lit(0)), score)
 
 
-def word_valences(c: Column, table: dict[str, float] | None = None) -> Column:
-    """Valence of every token of a text, 0 for words outside the table."""
+def word_valences(tokens: Column, table: dict[str, float] | None = None) -> Column:
+    """Valence of every token, ignoring case, 0 for words outside the table."""
     table = VALENCE if table is None else table
     by_value: dict[float, list[str]] = {}
     for word, value in table.items():
@@ -160,16 +163,16 @@ def word_valences(c: Column, table: dict[str, float] | None = None) -> Column:
             out = out.when(w.isin(K.inline_set(ws)), F.lit(value))
         return out
 
-    return F.transform(K.words(F.lower(c)), one)
+    return F.transform(tokens, lambda w: one(F.lower(w)))
 
 
 def compound_of(total: Column) -> Column:
     return total / F.sqrt(total * total + F.lit(15.0))
 
 
-def sentiment(c: Column, table=None) -> Column:
+def sentiment(tokens: Column, table=None) -> Column:
     """Sum of valences squashed into (-1, 1)."""
-    return F.aggregate(word_valences(c, table), F.lit(0.0), lambda a, v: a + v, compound_of)
+    return F.aggregate(word_valences(tokens, table), F.lit(0.0), lambda a, v: a + v, compound_of)
 
 
 def sentiment_components(valences: Column) -> Column:
@@ -196,7 +199,7 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
     raw = T.text_or_empty(column)
     noise, words = F.col("noise_removed_text"), F.col("text_tokenized_nopunc")
     flat, lemmas = F.col("POS_tagging_flat"), F.col("lemmatization")
-    stats, pair = F.col("__stats"), F.col("__words")
+    stats, pair, cased = F.col("__stats"), F.col("__words"), F.col("__cased")
     tag_in = lambda tags: size_where(flat, lambda t: t["tag"].isin(tags))
     word_in = lambda array, listed: size_where(array, lambda w: w.isin(listed))
 
@@ -221,7 +224,7 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
         "num_verbs": lambda: tag_in(VERB_TAGS),
         "num_uppercase": lambda: count_matches(noise, "[A-Z]"),
         "num_uppercase_words": lambda: size_where(
-            K.words(noise), lambda w: w.rlike("[A-Z]") & ~w.rlike("[a-z]")),
+            cased, lambda w: w.rlike("[A-Z]") & ~w.rlike("[a-z]")),
         "num_timestamp": lambda: count_matches(raw, TIMESTAMP, ":"),
         "num_date_long": lambda: count_matches(raw, DATE_LONG, ":"),
         "num_date_short": lambda: count_matches(raw, DATE_SHORT),
@@ -229,7 +232,7 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
         "num_http": lambda: count_matches(raw, HTTP_LINK, "://"),
         "num_mail": lambda: count_matches(raw, MAIL_ADDRESS, "@"),
         "readability": lambda: flesch_score(noise),
-        "sentiment": lambda: sentiment(noise, valence),
+        "sentiment": lambda: sentiment(cased, valence),
     }
     for cat, cat_words in categories.items():
         counts[f"num_bad_{cat}"] = partial(word_in, lemmas, K.inline_set(cat_words))
@@ -248,6 +251,8 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
         prepared = prepared.withColumn("__stats", sentence_stats(F.col("POS_tagging")))
     if needed & {"num_unique_words", "num_repeated_words"}:
         prepared = prepared.withColumn("__words", once_and_repeated(raw))
+    if needed & {"num_uppercase_words", "sentiment"}:
+        prepared = prepared.withColumn("__cased", K.words(noise))
     counted = prepared.select(*others, *[c().alias(n) for n, c in counts.items() if n in needed])
     return counted.select(*others, *[ratios[n].alias(n) if n in ratios else F.col(n) for n in keep])
 

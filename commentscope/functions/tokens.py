@@ -17,9 +17,10 @@ from commentscope.functions.text import NON_SPACE, URL, strip_punctuation
 MAX_INLINE_WORDS = 20_000
 
 # The alternatives of a token, tried in this order. No look-around.
-TOKEN = "|".join([
+MAIL_TOKEN = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+ALTERNATIVES = [
     URL,
-    r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    MAIL_TOKEN,
     r"[@#][A-Za-z0-9_]+",
     r"[<>]?[:;=][-o*']?[)\](\[dDpP/:}{@|\\]",
     r"<3",
@@ -28,7 +29,9 @@ TOKEN = "|".join([
     r"[\p{L}\p{N}_]+",
     r"\.{2,}",
     NON_SPACE,
-])
+]
+TOKEN = "|".join(ALTERNATIVES)
+TOKEN_WITHOUT_MAIL = "|".join(a for a in ALTERNATIVES if a != MAIL_TOKEN)
 VECTOR_WORD = r"[\p{L}\p{N}_]{2,}"
 CONTENT_TAG = "^(JJ|NN|RB|VB)"
 SUFFIX_TAGS = {"ly": "RB", "ing": "VBG", "ed": "VBD", "s": "NNS"}
@@ -45,7 +48,10 @@ def inline_set(words) -> list[str]:
 
 
 def words(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0))
+    """Tokens of a text; the mail pattern scans every word twice, so it is tried only where
+    the text holds its mark."""
+    plain = F.regexp_extract_all(c, F.lit(TOKEN_WITHOUT_MAIL), F.lit(0))
+    return F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0))).otherwise(plain)
 
 
 def words_no_punctuation(c: Column) -> Column:
@@ -154,5 +160,5 @@ def term_counts(tokens: Column) -> Column:
             lambda lo, hi: F.struct(F.get(s, lo - 1).alias("term"),
                                     (hi - lo).cast("long").alias("tf"))))
 
-    some = bind(F.array_sort(tokens), lambda s: F.when(F.size(s) > 0, runs(s)))
+    some = bind(F.sort_array(tokens), lambda s: F.when(F.size(s) > 0, runs(s)))
     return F.coalesce(some, F.array().cast("array<struct<term:string,tf:bigint>>"))

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentscope.functions import tokens as K
-from commentscope.operators.lookups import lookup_join
-from commentscope.plans.long_form import label_rows
+from commentscope.plans.long_form import exploded, label_rows
 from commentscope.plans.ordering import exact_quantiles
 
 
@@ -18,7 +17,7 @@ def top_k(df: DataFrame, measure: str, term: list[str], k: int) -> DataFrame:
 
 def frequencies(df: DataFrame, items: Column, names: list[str], count: str = "n") -> DataFrame:
     """Count the elements of an array column; structs are spread into their fields."""
-    rows = df.select(F.explode(items).alias("__i"))
+    rows = exploded(df, [], items, "__i")
     fields = [F.col("__i").alias(names[0])] if len(names) == 1 else [F.col(f"__i.{n}") for n in names]
     return rows.select(*fields).groupBy(*names).agg(F.count(F.lit(1)).alias(count))
 
@@ -31,7 +30,7 @@ def content_frequencies(freq: DataFrame, stop_words: DataFrame, marks: DataFrame
 def top_words_per_label(df: DataFrame, tokens: Column, labels: list[str], k: int) -> DataFrame:
     """One pass for all labels; the rank limit is applied before the shuffle as well."""
     rows = label_rows(df.withColumn("__t", tokens), ["__t"], labels).where("y = 1")
-    counts = (rows.select("label", F.explode("__t").alias("word"))
+    counts = (exploded(rows, ["label"], F.col("__t"), "word")
                   .groupBy("label", "word").agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy("label").orderBy(F.desc("n"), "word")
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -42,6 +41,9 @@ def category_lexicon(top: DataFrame, bad_words: DataFrame) -> DataFrame:
     return top.join(bad_words, "word", "left_semi").select("word", F.col("label").alias("category"))
 
 
+HOT_SHARE = 1000
+
+
 def term_tfidf(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """(term, df, idf, score): sum over documents of the length-normalised tf-idf.
 
@@ -50,18 +52,39 @@ def term_tfidf(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """
     docs = df.select(key, K.term_counts(terms).alias("__tf"))
     n = docs.agg(F.count(F.lit(1)).alias("__n"))
-    rows = docs.select(key, F.inline("__tf"))
+    rows = (exploded(docs, [key], F.col("__tf"), "__t").select(key, "__t.term", "__t.tf"))
+    counted = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # exactly one row on the right
-    idf = (rows.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n))
-               .select("term", "df", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf")))
-    weighted = lookup_join(rows, idf.select("term", "idf"), "term", [key], how="inner")
+    rated = counted.join(F.broadcast(n)).select(
+        "term", "df", "__n", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighted = join_by_frequency(rows, rated, "term", F.col("df") * HOT_SHARE > F.col("__n"), [key]).drop("__n")
     grouped = weighted.groupBy(key).agg(F.collect_list(
-        F.struct("term", (F.col("tf") * F.col("idf")).alias("w"))).alias("__ws"))
+        F.struct("term", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))).alias("__ws"))
     norm = F.sqrt(F.aggregate("__ws", F.lit(0.0), lambda a, t: a + t["w"] * t["w"]))
-    scaled = (grouped.select(norm.alias("__norm"), "__ws")
-                     .select("__norm", F.inline("__ws")))
-    scores = scaled.groupBy("term").agg(F.sum(F.col("w") / F.col("__norm")).alias("score"))
-    return scores.join(idf, "term").select("term", "df", "idf", "score")
+    scaled = (exploded(grouped.select(norm.alias("__norm"), "__ws"), ["__norm"], F.col("__ws"), "__t")
+              .select("__norm", "__t.*"))
+    return scaled.groupBy("term").agg(F.max("df").alias("df"), F.max("idf").alias("idf"),
+                                      F.sum(F.col("w") / F.col("__norm")).alias("score"))
+
+
+def join_by_frequency(rows: DataFrame, table: DataFrame, key: str, is_hot: Column,
+                      spread_by: list[str]) -> DataFrame:
+    """Join rows with a table that has every key once; hot keys take another way.
+
+    A term is hot when it is in more than one of HOT_SHARE documents, so there are at most
+    HOT_SHARE times the mean number of distinct terms of a document of them, whatever the
+    number of documents. That part is broadcast. Its rows go through the shuffle of the
+    others under scattered keys, so no task receives more than a small share of the rows.
+    """
+    others = [c for c in table.columns if c != key]
+    hot = table.where(is_hot).select(key, *[F.col(c).alias(f"__hot_{c}") for c in others])
+    cold = table.where(~is_hot).select(F.col(key).alias("__key"), *others)
+    seen = rows.join(F.broadcast(hot), key, "left")
+    scattered = F.concat(F.lit("\u0000"), F.xxhash64(*spread_by, key).cast("string"))
+    missed = F.col(f"__hot_{others[0]}").isNull()
+    seen = seen.withColumn("__key", F.when(missed, F.col(key)).otherwise(scattered))
+    return seen.join(cold, "__key", "left").select(
+        *rows.columns, *[F.coalesce(f"__hot_{c}", c).alias(c) for c in others])
 
 
 def summary(long: DataFrame, key: str = "feature", value: str = "value") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentscope.functions import tokens as K
+from commentscope.plans.long_form import exploded
 
 SPREAD = 16
 
@@ -13,7 +14,8 @@ SPREAD = 16
 def token_rows(df: DataFrame, ids: list[str], tokens: str | Column, name: str = "word") -> DataFrame:
     """(ids, pos, word), exploded after everything else is projected away."""
     c = F.col(tokens) if isinstance(tokens, str) else tokens
-    return df.select(*ids, F.posexplode(c).alias("pos", name))
+    # the outer form, for the reason given at ``exploded``
+    return df.select(*ids, F.posexplode_outer(c).alias("pos", name)).where(F.col("pos").isNotNull())
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: list[str],
@@ -33,14 +35,14 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: list[str
 def regroup(rows: DataFrame, ids: list[str], item: Column, name: str) -> DataFrame:
     """Rows with ``pos`` back to one array per id, in position order."""
     kept = rows.groupBy(*ids).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("pos"), item.alias("__item")))).alias("__a"))
+        F.sort_array(F.collect_list(F.struct(F.col("pos"), item.alias("__item")))).alias("__a"))
     return kept.select(*ids, F.transform("__a", lambda t: t["__item"]).alias(name))
 
 
 def corpus_vocabulary(df: DataFrame, tokens: str | Column, min_count: int = 1) -> DataFrame:
     """Distinct words with their counts; partial counts keep the shuffle at vocabulary size."""
     c = F.col(tokens) if isinstance(tokens, str) else tokens
-    counts = df.select(F.explode(c).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = exploded(df, [], c, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.where(F.col("n") >= min_count)
 
 

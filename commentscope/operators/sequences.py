@@ -22,7 +22,7 @@ def texts_to_sequences(df: DataFrame, key: str, tokens: str | Column, vocab: Dat
     rows = df.select(key, F.posexplode_outer(c).alias("pos", "word"))
     found = lookup_join(rows, vocab.select("word", "idx"), "word", [key, "pos"])
     pairs = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx")))
-    grouped = found.groupBy(key).agg(F.array_sort(pairs).alias("__a"))
+    grouped = found.groupBy(key).agg(F.sort_array(pairs).alias("__a"))
     return grouped.select(key, F.transform("__a", lambda t: t["idx"]).alias("seq"))
 
 

@@ -40,7 +40,7 @@ def document_vectors(df: DataFrame, key: str, tokens: str | Column, vectors: Dat
     """
     c = F.col(tokens) if isinstance(tokens, str) else tokens
     counts = df.select(key, K.term_counts(c).alias("__t"))
-    rows = (counts.select(key, F.inline_outer("__t"))
+    rows = (counts.select(key, F.inline_outer("__t"))  # a text without words stays as one row
                   .select(key, F.col("term").alias("word"), F.coalesce("tf", F.lit(1)).alias("tf")))
 
     def fill(word: Column) -> Column:

@@ -29,3 +29,12 @@ def label_rows(df: DataFrame, ids: list[str], labels: list[str]) -> DataFrame:
 
 def rounded(c: Column, places: int = 6) -> Column:
     return F.round(c, places) + F.lit(0.0)
+
+
+def exploded(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
+    """One row per element, rows without elements left out.
+
+    A plain explode makes the optimizer add a filter on the size of the array, which is
+    pushed below the projection and computes the array twice; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
