@@ -96,7 +96,7 @@ VOCAB_SQL = [*VECTORS_SQL[:2], f"k AS (SELECT word, count(*) AS n FROM tk GROUP
              "LEFT JOIN vi USING (word) GROUP BY d.doc_id)"]
 
 
-@query("vocab_index", chain(*VOCAB_SQL[:3]) + "SELECT word, n, idx FROM vi")
+@query("vocab_index", chain(*VOCAB_SQL[:4]) + "SELECT word, n, idx FROM vi")
 def _(t):
     return Q.vocab_index(words_of(t), "a", VOCAB_N)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.plans.ordering import running_totals
+from commentscope.plans.ordering import pinned, running_totals
 
 EPS = 1e-15
 
@@ -26,18 +26,49 @@ def score_rows(df: DataFrame, ids: list[str], labels: list[str], prob: str = "p_
     return df.select(*ids, F.inline(items))
 
 
+def row_scores(scored: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    """Accuracy over whole rows and the multi-label log loss, from one grouping by row.
+
+    Log loss is the multiclass formula on multi-label rows: clip, scale each row to sum one,
+    then the mean over rows of the negative log over its true labels.
+    """
+    by = by or []
+    p, y = clipped(F.col("prob")), F.col("y")
+    rows = scored.groupBy(*by, key).agg(
+        F.min((y == F.col("pred")).cast("int")).alias("ok"), F.sum(p).alias("s"),
+        F.sum(y * F.log(p)).alias("a"), F.sum(y).alias("m"))
+    return rows.groupBy(*by).agg(F.avg("ok").alias("accuracy"),
+                                 F.avg(F.col("m") * F.log("s") - F.col("a")).alias("log_loss"))
+
+
 def subset_accuracy(scored: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
     """Share of rows with every label right."""
-    by = by or []
-    rows = scored.groupBy(*by, key).agg(F.min((F.col("y") == F.col("pred")).cast("int")).alias("ok"))
-    return rows.groupBy(*by).agg(F.avg("ok").alias("accuracy"))
+    return row_scores(scored, key, by).drop("log_loss")
+
+
+def log_loss_multilabel(scored: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    return row_scores(scored, key, by).drop("accuracy")
+
+
+def score_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(label, prob, pred, pos, neg): rows counted per distinct score.
+
+    Every per-label measure follows from these counts, so the score table is read once.
+    """
+    return scored.groupBy(*(by or []), "label", "prob", "pred").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
 
 
 def confusion(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(label, tn, fp, fn, tp)."""
-    cell = lambda y, p: F.count_if((F.col("y") == y) & (F.col("pred") == p))
-    return scored.groupBy(*(by or []), "label").agg(
-        cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(1, 1).alias("tp"))
+    return _confusion(score_counts(scored, by), by)
+
+
+def _confusion(counts: DataFrame, by: list[str] | None) -> DataFrame:
+    cell = lambda side, pred: F.sum(F.when(F.col("pred") == pred, F.col(side)).otherwise(0)).cast("long")
+    return counts.groupBy(*(by or []), "label").agg(
+        cell("neg", 0).alias("tn"), cell("neg", 1).alias("fp"),
+        cell("pos", 0).alias("fn"), cell("pos", 1).alias("tp"))
 
 
 def precision_recall_f1(counts: DataFrame) -> DataFrame:
@@ -60,33 +91,31 @@ def weighted_scores(per_label: DataFrame, by: list[str] | None = None) -> DataFr
                                                 for c in ("precision", "recall", "f1")])
 
 
-def log_loss_multilabel(scored: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
-    """The multiclass formula on multi-label rows: clip, scale each row to sum one, then the
-    mean over rows of the negative log over its true labels."""
-    by = by or []
-    p, y = clipped(F.col("prob")), F.col("y")
-    rows = scored.groupBy(*by, key).agg(F.sum(p).alias("s"), F.sum(y * F.log(p)).alias("a"),
-                                        F.sum(y).alias("m"))
-    return rows.groupBy(*by).agg(F.avg(F.col("m") * F.log("s") - F.col("a")).alias("log_loss"))
-
-
 def log_loss_binary(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(label, log_loss) of each label on its own."""
+    return _log_loss_binary(score_counts(scored, by), by)
+
+
+def _log_loss_binary(counts: DataFrame, by: list[str] | None) -> DataFrame:
     p = clipped(F.col("prob"))
-    part = F.when(F.col("y") == 1, -F.log(p)).otherwise(-F.log(1.0 - p))
-    return scored.groupBy(*(by or []), "label").agg(F.avg(part).alias("log_loss"))
+    loss = F.sum(-F.col("pos") * F.log(p) - F.col("neg") * F.log(1.0 - p))
+    return counts.groupBy(*(by or []), "label").agg(
+        (loss / F.sum(F.col("pos") + F.col("neg"))).alias("log_loss"))
 
 
 def roc_auc(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(label, pos, neg, auc): exact area, ties count one half, null with one class only.
 
-    Rows are first counted per distinct score; the counts below a score come from
-    running totals over blocks, so no task sees all scores of a label.
+    The counts below a score come from running totals over blocks of distinct scores, so no
+    task sees all scores of a label.
     """
+    return _roc_auc(score_counts(scored, by), by)
+
+
+def _roc_auc(counts: DataFrame, by: list[str] | None) -> DataFrame:
     group = [*(by or []), "label"]
-    counts = scored.groupBy(*group, "prob").agg(F.sum("y").alias("__p"),
-                                                F.sum(1 - F.col("y")).alias("__q"))
-    seen = running_totals(counts, ["prob"], {"__below": F.col("__q")}, within=group)
+    per_score = counts.groupBy(*group, "prob").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__q"))
+    seen = running_totals(per_score, ["prob"], {"__below": F.col("__q")}, within=group)
     wins = F.col("__p") * (F.col("__below") - F.col("__q") / 2.0)
     totals = seen.groupBy(*group).agg(F.sum("__p").alias("pos"), F.sum("__q").alias("neg"),
                                       F.sum(wins).alias("__w"))
@@ -104,17 +133,22 @@ def roc_auc_weighted(auc: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
-    """One row per group with the six scores of a multi-label classifier."""
+    """One row per group with the six scores of a multi-label classifier.
+
+    Two readings of the score table: one grouped by row, one by distinct score.
+    """
     by = by or []
-    per_label = precision_recall_f1(confusion(scored, by))
-    parts = [subset_accuracy(scored, key, by), weighted_scores(per_label, by),
-             log_loss_multilabel(scored, key, by), roc_auc_weighted(roc_auc(scored, by), by)]
+    counts = pinned(score_counts(scored, by))
+    per_label = precision_recall_f1(_confusion(counts, by))
+    parts = [row_scores(scored, key, by), weighted_scores(per_label, by),
+             roc_auc_weighted(_roc_auc(counts, by), by)]
     # one row per group on each side
     return reduce(lambda a, b: a.join(b, by) if by else a.join(F.broadcast(b)), parts)
 
 
 def label_report(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """One row per label with counts, scores, log loss and area."""
+    """One row per label with counts, scores, log loss and area, from one reading."""
     group = [*(by or []), "label"]
-    return (precision_recall_f1(confusion(scored, by)).join(log_loss_binary(scored, by), group)
-            .join(roc_auc(scored, by).select(*group, "auc"), group))
+    counts = pinned(score_counts(scored, by))
+    return (precision_recall_f1(_confusion(counts, by)).join(_log_loss_binary(counts, by), group)
+            .join(_roc_auc(counts, by).select(*group, "auc"), group))
