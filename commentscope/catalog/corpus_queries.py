@@ -14,7 +14,7 @@ from commentscope.functions import tokens as K
 from commentscope.functions.lexicons import BAD_WORDS, STOP_WORDS
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
-from commentscope.plans.long_form import label_rows, unpivot_columns
+from commentscope.plans.long_form import exploded, label_rows, unpivot_columns
 
 LABELLED_DOCS = "d AS (SELECT doc_id, coalesce(text, '') AS x, toxic, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id))"
 DOC_LABELS = chain(DOCS, LABELS_SQL, LABELLED_SQL)
@@ -152,8 +152,12 @@ def prepared(t):
 
 
 def tag_counts(t):
-    rows = with_subsets(prepared(t)).select("subset", F.explode("POS_tagging_flat").alias("i"))
-    return rows.select("subset", "i.word", "i.tag").groupBy("subset", "word", "tag").agg(F.count(F.lit(1)).alias("n"))
+    """(subset, word, tag, n): one pass counts every subset side by side."""
+    rows = exploded(prepared(t), TEXT_LABELS, F.col("POS_tagging_flat"), "i")
+    labelled = P.any_label(TEXT_LABELS)
+    wide = rows.groupBy("i.word", "i.tag").agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(labelled).alias("any_label"), F.count_if(~labelled).alias("no_label"))
+    return wide.unpivot(["word", "tag"], ["all", "any_label", "no_label"], "subset", "n").where("n > 0")
 
 
 TAG_COUNTS_SQL = (LABELLED_PREP + "sb AS (" + SUBSET_ROWS.format(src="pl") + "),\n"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from commentscope.functions import text as T
 from commentscope.functions import tokens as K
+from commentscope.functions.binding import bind
 from commentscope.functions.lexicons import CATEGORY_WORDS, STOP_WORDS, VALENCE
 from commentscope.functions.predicates import guarded_ratio, is_punctuation
 
@@ -29,9 +30,11 @@ MAIL_ADDRESS = r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
 NOUN_TAGS = ["NN", "NNP", "NNPS", "NNS"]
 ADJECTIVE_TAGS = ["JJ", "JJR", "JJS"]
 VERB_TAGS = ["VB", "VBD", "VBG", "VBN", "VBP", "VBZ"]
-READING_WORD = r"[A-Za-z]+(?:'[A-Za-z]+)*"
+READING_WORD = "[A-Za-z][A-Za-z']*"
 SENTENCE_END = r"[.!?]+(?:\s|\z)"
 VOWEL_GROUP = "[aeiouyAEIOUY]+"
+VOWEL_WORD = (r"(?:[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz][B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz']*+)?+"
+              r"[aeiouyAEIOUY][A-Za-z']*+")
 
 CATEGORIES = list(CATEGORY_WORDS)
 # counts that also appear divided by length and by words: column stem -> ratio stem
@@ -73,7 +76,7 @@ def prepare(df: DataFrame, column: str = "comment_text", lexicon=None, exception
     """Add the cleaned text, the token lists, the tagged sentences and the lemmas."""
     return (
         T.clean_comments(df, column)
-        .withColumn("text_tokenized", K.words(F.col("clean_text")))
+        .withColumn("text_tokenized", K.words(F.col("clean_text"), ascii_only=True))
         .withColumn("text_tokenized_nopunc", K.words_no_punctuation(F.col("clean_text")))
         .withColumn("POS_tagging", K.tag_sentences(K.sentence_words(F.col("clean_text")), lexicon))
         .withColumn("POS_tagging_flat", F.flatten("POS_tagging"))
@@ -83,7 +86,9 @@ def prepare(df: DataFrame, column: str = "comment_text", lexicon=None, exception
 
 
 def count_char(c: Column, mark: str) -> Column:
-    return (F.length(c) - F.length(F.translate(c, mark, ""))).cast("long")
+    """How many characters of a text are among the given marks."""
+    left = F.replace(c, F.lit(mark), F.lit("")) if len(mark) == 1 else F.translate(c, mark, "")
+    return (F.length(c) - F.length(left)).cast("long")
 
 
 def count_matches(c: Column, pattern: str, needs: str = "") -> Column:
@@ -101,7 +106,7 @@ def sentence_stats(tagged_sentences: Column) -> Column:
     def stats(lens: Column) -> Column:
         n = F.size(lens).cast("double")
         mean = F.aggregate(lens, F.lit(0.0), lambda a, x: a + x) / n
-        squares = K.bind(mean, lambda m: F.aggregate(
+        squares = bind(mean, lambda m: F.aggregate(
             lens, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)))
         return F.struct(
             mean.alias("average_length"), F.array_max(lens).alias("max_length"),
@@ -112,7 +117,7 @@ def sentence_stats(tagged_sentences: Column) -> Column:
     zero = F.lit(0).cast("long")
     none = F.struct(F.lit(0.0).alias("average_length"), zero.alias("max_length"),
                     zero.alias("min_length"), F.lit(0.0).alias("std_length"))
-    return F.coalesce(K.bind(lens, lambda x: F.when(F.size(x) > 0, stats(x))), none)
+    return F.coalesce(bind(lens, lambda x: F.when(F.size(x) > 0, stats(x))), none)
 
 
 def once_and_repeated(comment: Column) -> Column:
@@ -121,33 +126,35 @@ def once_and_repeated(comment: Column) -> Column:
     A text without any word is tried again with its spaces removed.
     """
     def counted(found: Column) -> Column:
-        again = K.bind(F.sort_array(found), lambda s: F.array_distinct(
+        again = bind(F.sort_array(found), lambda s: F.array_distinct(
             F.filter(s, lambda w, i: w == F.get(s, i - 1))))
         distinct = F.size(F.array_distinct(found)).cast("long")
-        return K.bind(F.size(again).cast("long"), lambda r: F.struct(
+        return bind(F.size(again).cast("long"), lambda r: F.struct(
             (distinct - r).alias("once"), r.alias("repeated")))
 
     def or_joined(direct: Column) -> Column:
         return F.when(F.size(direct) > 0, direct).otherwise(
             K.vector_words(F.replace(comment, F.lit(" "), F.lit(""))))
 
-    return K.bind(K.bind(K.vector_words(comment), or_joined), counted)
+    return bind(bind(K.vector_words(comment), or_joined), counted)
 
 
 def flesch_score(c: Column) -> Column:
     """206.835 - 1.015 words/sentence - 84.6 syllables/word; a word has one syllable or more."""
-    plain = F.translate(c, "_", " ")
-    ends = F.greatest(count_matches(plain, SENTENCE_END), F.lit(1).cast("long"))
-    vowels = count_matches(plain, VOWEL_GROUP)
+    def counts(plain: Column) -> Column:
+        n = count_matches(plain, READING_WORD)
+        return F.struct(
+            n.alias("words"), F.greatest(count_matches(plain, SENTENCE_END), F.lit(1).cast("long")).alias("ends"),
+            count_matches(plain, VOWEL_GROUP).alias("vowels"), count_matches(plain, VOWEL_WORD).alias("voiced"))
 
-    def score(found: Column) -> Column:
-        n = F.size(found).cast("double")
+    def score(s: Column) -> Column:
+        n = s["words"].cast("double")
         # every vowel group is in some word; words without one still count as one
-        syllables = vowels + size_where(found, lambda w: ~w.rlike(VOWEL_GROUP))
-        return F.when(n > 0, F.lit(206.835) - F.lit(1.015) * n / ends
+        syllables = s["vowels"] + s["words"] - s["voiced"]
+        return F.when(n > 0, F.lit(206.835) - F.lit(1.015) * n / s["ends"]
                       - F.lit(84.6) * syllables / n).otherwise(0.0)
 
-    return K.bind(F.regexp_extract_all(plain, F.lit(READING_WORD), F.lit(0)), score)
+    return bind(bind(F.replace(c, F.lit("_"), F.lit(" ")), counts), score)
 
 
 def word_valences(tokens: Column, table: dict[str, float] | None = None) -> Column:
@@ -252,7 +259,7 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
     if needed & {"num_unique_words", "num_repeated_words"}:
         prepared = prepared.withColumn("__words", once_and_repeated(raw))
     if needed & {"num_uppercase_words", "sentiment"}:
-        prepared = prepared.withColumn("__cased", K.words(noise))
+        prepared = prepared.withColumn("__cased", K.words(noise, ascii_only=True))
     counted = prepared.select(*others, *[c().alias(n) for n, c in counts.items() if n in needed])
     return counted.select(*others, *[ratios[n].alias(n) if n in ratios else F.col(n) for n in keep])
 

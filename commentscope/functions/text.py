@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commentscope.functions.binding import bind
 from commentscope.functions.lexicons import CONTRACTIONS
 
 # Character classes and patterns that decide the results.
@@ -42,12 +43,15 @@ def expand_contractions(c: Column, table: dict[str, str] | None = None) -> Colum
     """
     table = CONTRACTIONS if table is None else table
     lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    pieces = F.split(c, APOSTROPHE_WORD)
-    words = F.regexp_extract_all(c, F.lit(APOSTROPHE_WORD), F.lit(0))
-    expanded = F.transform(words, lambda w: F.coalesce(F.element_at(lookup, F.lower(w)), w))
-    glued = F.array_join(
-        F.zip_with(pieces, expanded, lambda p, w: F.concat(p, F.coalesce(w, F.lit("")))), "")
-    return F.when(F.instr(c, "'") > 0, glued).otherwise(c)
+
+    def expanded(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(APOSTROPHE_WORD), F.lit(0))
+        full = F.transform(found, lambda w: F.coalesce(F.element_at(lookup, F.lower(w)), w))
+        pieces = F.zip_with(F.split(text, APOSTROPHE_WORD), full,
+                            lambda p, w: F.concat(p, F.coalesce(w, F.lit(""))))
+        return F.when(F.contains(text, F.lit("'")), F.array_join(pieces, "")).otherwise(text)
+
+    return bind(c, expanded)
 
 
 def blank_urls(c: Column) -> Column:
@@ -61,9 +65,8 @@ def blank_symbols(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Line ends to spaces, then runs of spaces to one; tabs stay, nothing is trimmed."""
-    for pattern in ("\r\n", "\n", " +"):
-        c = F.regexp_replace(c, pattern, " ")
-    return c
+    one_line = F.translate(F.replace(c, F.lit("\r\n"), F.lit(" ")), "\n", " ")
+    return F.regexp_replace(one_line, " {2,}", " ")
 
 
 def dedupe_punctuation(c: Column) -> Column:
@@ -75,8 +78,12 @@ def strip_punctuation(c: Column) -> Column:
 
 
 def remove_noise(c: Column) -> Column:
-    """All cleaning that keeps the case of the text; symbols are gone after the first step."""
-    for step in (blank_non_ascii, expand_contractions, blank_urls, blank_symbols, collapse_spaces):
+    """All cleaning that keeps the case of the text.
+
+    ``blank_symbols`` would stand before the last step, but the first step leaves it
+    nothing to replace.
+    """
+    for step in (blank_non_ascii, expand_contractions, blank_urls, collapse_spaces):
         c = step(c)
     return c
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from commentscope.functions.binding import bind
 from commentscope.functions.lexicons import LEMMA_EXCEPTIONS, NOUNS, STOP_WORDS, TAG_LEXICON
 from commentscope.functions.predicates import is_punctuation
 from commentscope.functions.text import NON_SPACE, URL, strip_punctuation
@@ -31,7 +32,16 @@ ALTERNATIVES = [
     NON_SPACE,
 ]
 TOKEN = "|".join(ALTERNATIVES)
-TOKEN_WITHOUT_MAIL = "|".join(a for a in ALTERNATIVES if a != MAIL_TOKEN)
+
+
+def ascii_form(pattern: str) -> str:
+    """The same pattern for text known to be ASCII, where plain ranges are faster to test."""
+    pattern = pattern.replace(NON_SPACE, r"[^\s\x0B\x1C-\x1F]")
+    return pattern.replace(r"\p{L}\p{N}", "A-Za-z0-9").replace(r"[\p{L}'_-]", "[A-Za-z'_-]").replace(r"\p{L}", "[A-Za-z]")
+
+
+# what is left of the alternatives once the punctuation is gone
+PLAIN_TOKEN = r"[A-Za-z]{3,}|[A-Za-z0-9]+|[^\s\x0B\x1C-\x1F]"
 VECTOR_WORD = r"[\p{L}\p{N}_]{2,}"
 CONTENT_TAG = "^(JJ|NN|RB|VB)"
 SUFFIX_TAGS = {"ly": "RB", "ing": "VBG", "ed": "VBD", "s": "NNS"}
@@ -47,15 +57,18 @@ def inline_set(words) -> list[str]:
     return words
 
 
-def words(c: Column) -> Column:
+def words(c: Column, ascii_only: bool = False) -> Column:
     """Tokens of a text; the mail pattern scans every word twice, so it is tried only where
     the text holds its mark."""
-    plain = F.regexp_extract_all(c, F.lit(TOKEN_WITHOUT_MAIL), F.lit(0))
-    return F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0))).otherwise(plain)
+    form = ascii_form if ascii_only else (lambda p: p)
+    short = form("|".join(a for a in ALTERNATIVES if a != MAIL_TOKEN))
+    return F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(form(TOKEN)), F.lit(0))).otherwise(
+        F.regexp_extract_all(c, F.lit(short), F.lit(0)))
 
 
-def words_no_punctuation(c: Column) -> Column:
-    return words(strip_punctuation(c))
+def words_no_punctuation(cleaned: Column) -> Column:
+    """Tokens of a cleaned (ASCII) text after its punctuation is deleted."""
+    return F.regexp_extract_all(strip_punctuation(cleaned), F.lit(PLAIN_TOKEN), F.lit(0))
 
 
 def sentences(c: Column) -> Column:
@@ -63,8 +76,8 @@ def sentences(c: Column) -> Column:
     return F.filter(cut, lambda s: s != "")
 
 
-def sentence_words(c: Column) -> Column:
-    return F.transform(sentences(c), words)
+def sentence_words(cleaned: Column) -> Column:
+    return F.transform(sentences(cleaned), lambda s: words(s, ascii_only=True))
 
 
 def tag_word(w: Column, lexicon: dict[str, list[str]] | None = None) -> Column:
@@ -132,15 +145,6 @@ def vector_words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(VECTOR_WORD), F.lit(0))
 
 
-def bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``.
-
-    An expression named inside a lambda is evaluated again for every element; a lambda
-    variable is not. Without this an index loop over an array is quadratic.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def ngrams(tokens: Column, n: int) -> Column:
     def grams(t: Column) -> Column:
         return F.when(F.size(t) >= n, F.transform(

@@ -1,0 +1,16 @@
+"""Input parallelism."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan that has fewer than half as many splits as there are cores.
+
+    Text work is bound by the processor, and a file of few row groups would leave most
+    cores idle. A table of ordinary size has splits enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores, key) if 2 * splits <= cores else df
