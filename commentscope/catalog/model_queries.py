@@ -469,9 +469,27 @@ def _(t):
     return M.label_report(scores(t), ["model"])
 
 
-@query("baseline_comparison", chain(*BY_MODEL) + f"SELECT model, {SIX}, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM ev WHERE model IN ('upper', 'vowel')")
-def _(t):
-    return M.evaluate(scores(t).where(F.col("model").isin("upper", "vowel")), "doc_id", ["model"])
+# "marks" stands for the outside scorer: it gives zeros for a text without ! and ?
+MARKS = {"toxic": "least(1.0, 200 * (length(x) - length(replace(x, '!', ''))) / length(x))",
+         "low_quality": "least(1.0, 200 * (length(x) - length(replace(x, '?', ''))) / length(x))"}
+COMPARED_SQL = metrics_sql(["model", "rows"])
+COMPARED_SQL = [SCORES_SQL[0], SCORES_SQL[1],
+    "s1 AS (" + " UNION ALL ".join(
+        f"SELECT doc_id, 'marks' AS model, {q(l)} AS label, {l} AS y, round({e.replace('200 *', '200.0::DOUBLE *').replace('1.0,', '1.0::DOUBLE,')}, 3) AS prob FROM d" for l, e in MARKS.items())
+    + " UNION ALL SELECT doc_id, 'vowel', 'toxic', toxic, vowel FROM sh UNION ALL SELECT doc_id, 'vowel', 'low_quality', low_quality, round(1 - vowel, 3) FROM sh)",
+    "bad AS (SELECT DISTINCT doc_id FROM s1 GROUP BY doc_id, model HAVING max(prob) = 0)",
+    "s AS MATERIALIZED (SELECT *, (prob >= 0.5)::INT AS pred FROM (SELECT *, 'all' AS rows FROM s1 UNION ALL SELECT *, 'scored' FROM s1 WHERE doc_id NOT IN (SELECT doc_id FROM bad)))",
+    *COMPARED_SQL[len(SCORES_SQL):]]
+
+
+@query("baseline_comparison", chain(*COMPARED_SQL) + f"SELECT model, rows, {SIX}, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM ev")
+def _(t):
+    c = t.read("documents").select("doc_id", F.col("text").alias("x")).join(t.labels, "doc_id")
+    items = F.array(*[F.struct(F.lit("marks").alias("model"), F.lit(l).alias("label"), F.col(l).alias("y"),
+                               F.round(F.expr(e).cast("double"), 3).alias("prob")) for l, e in MARKS.items()])
+    marks = exploded(c, ["doc_id"], items, "i").select("doc_id", "i.*").withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
+    vowel = scores(t).where("model = 'vowel'").select(*marks.columns)
+    return R.compare_scorers(marks.unionByName(vowel), "doc_id")
 
 
 def score_table(t):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commentscope.functions import tokens as K
 from commentscope.plans.long_form import exploded, label_rows
-from commentscope.plans.ordering import exact_quantiles
+from commentscope.plans.ordering import quantiles
 
 
 def top_k(df: DataFrame, measure: str, term: list[str], k: int) -> DataFrame:
@@ -87,12 +87,12 @@ def join_by_frequency(rows: DataFrame, table: DataFrame, key: str, is_hot: Colum
         *rows.columns, *[F.coalesce(f"__hot_{c}", c).alias(c) for c in others])
 
 
-def summary(long: DataFrame, key: str = "feature", value: str = "value") -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles, max per feature."""
+def summary(long: DataFrame, key: str = "feature", value: str = "value", exact: bool = True) -> DataFrame:
+    """count, mean, sample deviation, min, quartiles (exact or sketched), max per feature."""
     base = long.groupBy(key).agg(
         F.count(value).alias("count"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
-    quartiles = exact_quantiles(long, [0.25, 0.5, 0.75], key, value)
+    quartiles = quantiles(long, [0.25, 0.5, 0.75], key, value, exact)
     return base.join(quartiles, key).select(
         key, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max")

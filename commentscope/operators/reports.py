@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from commentscope.operators.metrics import evaluate
+
 METRICS = ["accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "log_loss",
            "roc_auc_weighted"]
 SMALLER_IS_BETTER = {"log_loss"}
@@ -46,6 +48,17 @@ def side_by_side(a: DataFrame, b: DataFrame, mapping: DataFrame, suffixes=("_a",
     return names.join(tag(a, suffixes[0]), left).join(tag(b, suffixes[1]), right)
 
 
+def compare_scorers(scored: DataFrame, key: str, by: str = "model") -> DataFrame:
+    """The scores of several scorers side by side, over all rows and over the rows that no
+    scorer failed on (column ``rows``: all, scored). A failed row has only zero scores."""
+    failed = (scored.groupBy(by, key).agg(F.max("prob").alias("__m")).where("__m = 0")
+                    .select(key).distinct().withColumn("__failed", F.lit(True)))
+    marked = scored.join(failed, key, "left")
+    kinds = F.when(F.col("__failed"), F.array(F.lit("all"))).otherwise(F.array(F.lit("all"), F.lit("scored")))
+    both = marked.withColumn("rows", F.explode(kinds)).drop("__failed")
+    return evaluate(both, key, [by, "rows"])
+
+
 def weighted_ensemble(scores: DataFrame, key: str, weights: dict[str, float], cut: float = 0.5) -> DataFrame:
     """(key, label, y, prob, pred): weighted sum of the models' probabilities.
 

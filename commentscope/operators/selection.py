@@ -7,7 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.plans.ordering import exact_quantiles
+from commentscope.plans.ordering import quantiles
 
 
 def label_correlation(long: DataFrame, labels: list[str]) -> DataFrame:
@@ -85,13 +85,13 @@ def apply_minmax(df: DataFrame, limits: DataFrame, columns: list[str], suffix: s
     return wide.select(*df.columns, *[scaled(c).alias(f"{c}{suffix}") for c in columns])
 
 
-def mutual_information(long: DataFrame, labels: list[str], bins: int = 10) -> DataFrame:
+def mutual_information(long: DataFrame, labels: list[str], bins: int = 10, exact: bool = True) -> DataFrame:
     """(feature, label, mi): mutual information in nats with quantile bins of the feature.
 
-    The inner bin edges are exact quantiles; a value belongs to the bin numbered by the
+    The inner bin edges are quantiles, exact or sketched; a value belongs to the bin numbered by the
     edges below it, so equal values share a bin.
     """
-    edges = exact_quantiles(long.select("feature", "value"), [i / bins for i in range(1, bins)])
+    edges = quantiles(long.select("feature", "value"), [i / bins for i in range(1, bins)], exact=exact)
     arr = edges.select("feature", F.array(*[f"q{i}" for i in range(bins - 1)]).alias("__edges"))
     # one row per model column on the right
     binned = long.join(F.broadcast(arr), "feature").withColumn(

@@ -18,7 +18,7 @@ from commentscope.operators import sampling as A
 from commentscope.operators import selection as Z
 from commentscope.operators import sequences as Q
 from commentscope.operators import vectors as V
-from commentscope.plans.ordering import exact_quantiles, row_numbers, running_totals
+from commentscope.plans.ordering import exact_quantiles, quantiles, row_numbers, running_totals
 from commentscope.sources import tables as IO
 
 
@@ -53,6 +53,20 @@ def test_exact_quantiles_with_a_hot_value(spark):
     assert got["one"]["q2"] == 5.0
 
 
+def test_approximate_quantiles_are_close(spark):
+    df = spark.range(10001).select(F.lit("f").alias("feature"), F.col("id").cast("double").alias("value"))
+    r = quantiles(df, [0.25, 0.5], exact=False).first()
+    assert r["n"] == 10001 and abs(r["q0"] - 2500) < 20 and abs(r["q1"] - 5000) < 20
+
+
+def test_failed_scorer_rows_are_left_out_for_both(spark):
+    rows = [(m, i, l, 1, 0.0 if (m == "a" and i < 2) else 0.7) for m in "ab" for i in range(5) for l in "xy"]
+    df = spark.createDataFrame(rows, "model string, id long, label string, y int, prob double").withColumn(
+        "pred", (F.col("prob") >= 0.5).cast("int"))
+    got = {(r["model"], r["rows"]): r["accuracy"] for r in R.compare_scorers(df, "id").collect()}
+    assert got == {("a", "all"): 0.6, ("a", "scored"): 1.0, ("b", "all"): 1.0, ("b", "scored"): 1.0}
+
+
 def test_contiguous_folds(spark):
     df = spark.range(12).withColumnRenamed("id", "k").repartition(3)
     folds = {r["k"]: r["fold"] for r in A.kfold_contiguous(df, "k", 5).collect()}
@@ -72,7 +86,7 @@ def test_shuffled_folds_and_tail(spark):
 def test_oversampling(spark):
     df = spark.createDataFrame([(i, 0) for i in range(10)] + [(10, 1), (11, 1)], "id long, y int")
     out = A.random_oversample(df, "id", "y", 0.5).toPandas()
-    assert len(out) == 15 and (out.copy == 0).sum() == 12 if not callable(out.copy) else True
+    assert len(out) == 15 and (out["copy"] == 0).sum() == 12
     counts = out.groupby("id").size()
     assert counts[10] == 3 and counts[11] == 2 and (counts[:10] == 1).all()
     assert A.random_oversample(df, "id", "y", 0.1).count() == 12

@@ -39,12 +39,11 @@ def test_filter_reaches_the_scan(spark):
     assert "EqualTo(toxic,1)" in plan(df)
 
 
-@pytest.mark.parametrize("name", ["kfold_contiguous", "tail_validation_split"])
-def test_numbering_has_no_window_over_all_rows(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
-    # the window over all rows would sort by key without a partition; here every one has its block
-    for line in text.splitlines():
-        if "Window [" in line and "doc_id" in line.split("windowspec")[0]:
+@pytest.mark.parametrize("name", ["kfold_contiguous", "tail_validation_split", "roc_auc", "mutual_information"])
+def test_row_windows_run_per_block(spark, name):
+    """The only window without the block in its partition sums the totals of the blocks."""
+    for line in plan(entry.queries()[name](spark, SF)).splitlines():
+        if " Window [" in line and "__inside_" in line:
             assert "__block" in line
 
 
