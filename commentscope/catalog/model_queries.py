@@ -283,7 +283,8 @@ MODEL_NAMES = [f"{c}_scaled" if c in X.SCALED_FEATURES else c for c in MODEL_COL
 
 def model_table(t):
     """Labels, none, and the model features in one named order, three of them scaled."""
-    feats = X.add_features(L.with_none_label(t.labelled, TEXT_LABELS), MODEL_COLS)
+    # numbers only: written once, read by the fit and by the scaling
+    feats = pinned(X.add_features(L.with_none_label(t.labelled, TEXT_LABELS), MODEL_COLS))
     scaled = Z.apply_minmax(feats, Z.fit_minmax(feats, X.SCALED_FEATURES), X.SCALED_FEATURES)
     return scaled.select("doc_id", *TEXT_LABELS, "none", *MODEL_NAMES)
 
