@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "commentscope",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # joins whose measured partitions are small are hashed instead of sorted
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
+        # recording the Python line of every column call costs seconds on wide feature plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
