@@ -72,17 +72,19 @@ SCALED_FEATURES = ["min_length", "num_unique_words", "num_uppercase"]
 
 
 def prepare(df: DataFrame, column: str = "comment_text", lexicon=None, exceptions=None,
-            vocabulary=None) -> DataFrame:
-    """Add the cleaned text, the token lists, the tagged sentences and the lemmas."""
-    return (
-        T.clean_comments(df, column)
-        .withColumn("text_tokenized", K.words(F.col("clean_text"), ascii_only=True))
-        .withColumn("text_tokenized_nopunc", K.words_no_punctuation(F.col("clean_text")))
-        .withColumn("POS_tagging", K.tag_sentences(K.sentence_words(F.col("clean_text")), lexicon))
-        .withColumn("POS_tagging_flat", F.flatten("POS_tagging"))
-        .withColumn("lemmatization",
-                    K.content_lemmas(F.col("POS_tagging_flat"), exceptions, vocabulary))
-    )
+            vocabulary=None, tags: bool = True, lemmas: bool = True) -> DataFrame:
+    """Add the cleaned text, the token lists and, unless declined, tagged sentences and lemmas."""
+    clean = F.col("clean_text")
+    out = (T.clean_comments(df, column)
+            .withColumns({"text_tokenized": K.words(clean, ascii_only=True),
+                          "text_tokenized_nopunc": K.words_no_punctuation(clean)}))
+    if tags or lemmas:
+        out = (out.withColumn("POS_tagging", K.tag_sentences(K.sentence_words(clean), lexicon))
+                  .withColumn("POS_tagging_flat", F.flatten("POS_tagging")))
+    if lemmas:
+        out = out.withColumn("lemmatization",
+                             K.content_lemmas(F.col("POS_tagging_flat"), exceptions, vocabulary))
+    return out
 
 
 def count_char(c: Column, mark: str) -> Column:
@@ -250,6 +252,8 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
         "length_vs_num_words": guarded_ratio(length, n_words),
     }
     for stem in COUNTED + [f"bad_{cat}" for cat in categories]:
+        if f"num_{stem}" not in needed:
+            continue
         ratios[f"{stem}_vs_length"] = guarded_ratio(F.col(f"num_{stem}"), length)
         ratios[f"{stem}_vs_words"] = guarded_ratio(F.col(f"num_{stem}"), n_words)
 
@@ -264,6 +268,7 @@ def with_features(prepared: DataFrame, keep: list[str], categories=None, stop_wo
     return counted.select(*others, *[ratios[n].alias(n) if n in ratios else F.col(n) for n in keep])
 
 
+TAGGED = ["num_sentences", "average_length", "max_length", "min_length", "std_length"]
 PREPARED_COLUMNS = ["comment_text", "noise_removed_text", "clean_text", "text_tokenized",
                     "text_tokenized_nopunc", "POS_tagging", "POS_tagging_flat", "lemmatization"]
 
@@ -272,4 +277,7 @@ def add_features(df: DataFrame, keep: list[str] | None = None, categories=None,
                  valence=None, column: str = "comment_text") -> DataFrame:
     """Raw comments to the feature table (all features unless some are named)."""
     names = feature_names(categories) if keep is None else keep
-    return with_features(prepare(df, column), names, categories, stop_words, valence, column)
+    lemmas = any("bad_" in n for n in names)
+    tags = any(n in TAGGED or any(w in n for w in ("nouns", "adjectives", "verbs")) for n in names)
+    prepared = prepare(df, column, tags=tags, lemmas=lemmas)
+    return with_features(prepared, names, categories, stop_words, valence, column)
