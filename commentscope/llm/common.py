@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -57,6 +58,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``most`` bytes of text each; a longer text is a part of its own."""
+    _, bounds = text_bytes(batch.column(column))
+    at = 0
+    while at < len(batch):
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """The words of all texts one after another, and the bounds of each text's words."""
     split = [t.split() for t in texts]
@@ -122,3 +133,43 @@ def covered(starts: np.ndarray, width: int, total: int) -> np.ndarray:
 def tokenizer(path: str):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(path)
+
+
+# ---- arrays as bytes -----------------------------------------------------------------------
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays one after another, compressed; bytes of equal weight lie together. A sorted array of 64-bit
+    unsigned values is best passed as its differences."""
+    import zstandard
+    out = []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        planes = a.view(np.uint8).reshape(len(a), a.itemsize).T if len(a) else np.zeros((a.itemsize, 0), np.uint8)
+        out += [a.dtype.str.ljust(4).encode(), len(a).to_bytes(8, "little"), planes.tobytes()]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    import zstandard
+    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    while at < len(raw):
+        kind, n = np.dtype(raw[at:at + 4].decode().strip()), int.from_bytes(raw[at + 4:at + 12], "little")
+        at += 12
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
+    return out
+
+
+def narrow(a: np.ndarray) -> np.ndarray:
+    """The smallest unsigned type that holds all values."""
+    top = int(a.max()) if len(a) else 0
+    return a.astype(np.min_scalar_type(top))
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, oid, tag, text): oid orders the documents, null ids last; oid and tag name a row. Rows equal
+    in id and text are one document that stands in the table more than once."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("oid"),
+                       F.hash("text").alias("tag"), "text")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import text_or_empty, written
+from commentscope.llm.common import slices, text_or_empty, written
 from commentscope.llm.tokens import encode_all
 
 #: Tokens of rests that a task balances at a time; bounds its memory, whatever the input.
@@ -92,7 +92,7 @@ def _pack(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capac
         columns = list(zip(*rows))
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if f == "part" else pa.int64()) for f, c in zip(_FIELDS, columns)], list(_FIELDS))
 
-    for batch in batches:
+    for batch in (s for whole in batches for s in slices(whole, 1, 8 << 20)):
         for doc, ids in zip(batch.column("doc_id").to_pylist(), encode_all(batch.column("text").to_pylist(), vocabulary)):
             ids = np.append(ids, np.array(end_id, "<u2"))
             whole = len(ids) // capacity * capacity

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import SPACES, covered, mixed, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
+from commentscope.llm.common import SPACES, covered, mixed, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 4_000
@@ -179,9 +179,9 @@ SCORED = "text string, " + ", ".join(f"{s} long" for s in STATS) + ", score doub
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        _, x = statistics(batch.column("text"))
-        yield pa.RecordBatch.from_pydict({"x": pa.array(list(x), pa.list_(pa.float64())), "good": batch.column("good")})
+    for part in (s for batch in batches for s in slices(batch, 0)):
+        _, x = statistics(part.column("text"))
+        yield pa.RecordBatch.from_pydict({"x": pa.array(list(x), pa.list_(pa.float64())), "good": part.column("good")})
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Trees:
@@ -198,12 +198,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: st
 
 
 def _scored(batches: Iterator[pa.RecordBatch], trees: Trees, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        column = batch.column(batch.num_columns - 1)
-        counts, x = statistics(column)
-        score = np.concatenate([trees.score(x[i:i + 2048]) for i in range(0, len(x), 2048)] or [np.zeros(0)])
+    for part in (s for batch in batches for s in slices(batch, batch.num_columns - 1)):
+        counts, x = statistics(part.column(part.num_columns - 1))
+        score = trees.score(x)
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *(pa.array(counts[s], pa.int64()) for s in STATS), pa.array(score, pa.float64())], names)
+            [*part.columns[:-1], *(pa.array(counts[s], pa.int64()) for s in STATS), pa.array(score, pa.float64())], names)
 
 
 #: A document is rejected when the trees give it less than this chance of being good.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentscope.llm import mixing, packing, quality, secrets, simhash, token_files
+from commentscope.llm import mixing, packing, parse_dedup, pii, quality, secrets, simhash, substring_trees, token_files
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -69,3 +69,20 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     trees = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, trees, ["doc_id"]).select("doc_id", *quality.STATS, "base_failed", "kept", "score")
+
+
+@query("op1_bilstm_crf_pii")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.train(docs), ["doc_id"])
+    return found.select("doc_id", *["n_" + k for k in pii.KINDS], "base_sha256", "spans")
+
+
+@query("op3_suffix_trees")
+def _(spark, sf_dir):
+    return substring_trees.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op5_prefix_free_parsing")
+def _(spark, sf_dir):
+    return parse_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import mixed, text_or_empty, written
+from commentscope.llm.common import mixed, slices, text_or_empty, written
 from commentscope.llm.components import components
 
 _TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -165,10 +165,10 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 
 def _prints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+    for part in (s for batch in batches for s in slices(batch, 1)):
+        texts = part.column(1).cast(pa.large_binary()).to_pylist()
         fp = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

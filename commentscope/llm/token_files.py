@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import shared_folder, text_or_empty, written
+from commentscope.llm.common import shared_folder, slices, text_or_empty, written
 from commentscope.llm.tokens import encode_all
 
 PARTS = "part int, path string, n_docs long, n_ids long"
@@ -46,9 +46,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str,
     name, own = f"{root}/part-{task.partitionId():05d}", f"{root}/.attempt-{task.taskAttemptId()}"
     end = np.array([end_id], "<u2").tobytes()
     lengths, ids, nulls, out = [], [], [], None
-    for batch in batches:
-        if not len(batch):
-            continue
+    for batch in (s for whole in batches for s in slices(whole, 1, 8 << 20)):
         if out is None:
             fs.create_dir(root, recursive=True)
             out = fs.open_output_stream(own + ".ids")
