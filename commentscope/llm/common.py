@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from commentscope.session import ensure_checkpoint_dir
@@ -41,8 +41,28 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_or_empty(text: str) -> Column:
-    return F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
+
+
+def row_name(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """(oid, tag): the id, null ids last, and a hash of the text. Together they name a row of a table;
+    rows equal in id and text are one document that stands in it more than once."""
+    return F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(2**63 - 1)), F.hash(text_or_empty(text_col))
+
+
+def one_per_name(docs: DataFrame, names: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``names`` (oid, tag, ...) lists, each once, with the other columns of ``names``."""
+    oid, tag = row_name(id_col, text_col)
+    keyed = docs.withColumns({"__oid": oid, "__tag": tag})
+    listed = names.select(F.col("oid").alias("__n_oid"), F.col("tag").alias("__n_tag"), *[F.col(c).alias("__n_" + c) for c in names.columns if c not in ("oid", "tag")])
+    joined = keyed.join(listed, (F.col("__oid") == F.col("__n_oid")) & (F.col("__tag") == F.col("__n_tag")))
+    one = Window.partitionBy("__oid", "__tag").orderBy("__oid")
+    return joined.withColumn("__row", F.row_number().over(one)).where("__row = 1")
 
 
 # ---- text columns of Arrow batches ---------------------------------------------------------
@@ -168,8 +188,6 @@ def narrow(a: np.ndarray) -> np.ndarray:
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, oid, tag, text): oid orders the documents, null ids last; oid and tag name a row. Rows equal
-    in id and text are one document that stands in the table more than once."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("oid"),
-                       F.hash("text").alias("tag"), "text")
+    """(doc_id, oid, tag, text): oid orders the documents, null ids last; oid and tag name a row."""
+    oid, tag = row_name(id_col, text_col)
+    return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), oid.alias("oid"), tag.alias("tag"), text_or_empty(text_col).alias("text"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import broadcast_if_small, written
+from commentscope.llm.common import broadcast_if_small, quoted, row_name, written
 from commentscope.plans.ordering import pinned
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,7 +29,7 @@ MENDS = 3
 
 
 def word_count(text: str) -> Column:
-    return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(F.col(quoted(text)).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
@@ -87,17 +87,18 @@ def multipliers(moments: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", base_col: str | None = None) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, rate, copies, taken.
+    """One row per document: doc_id, tag (a hash of the text), size, source, source_size,
+    target, rate, copies, taken.
 
     Size counts words; a null text has none. Null sources are one source, the last. Null ids and
     repeated rows are documents of their own. A source without words has target 0 and takes nothing.
     Other columns are ignored; an empty table gives no rows. Reruns agree: order is by source, size,
     md5 of the id, and id; rows equal in all of these are equal in the result up to their order.
     """
-    base = F.coalesce(F.col(base_col).cast("double"), F.lit(1.0)) if base_col else F.lit(1.0)
+    base = F.coalesce(F.col(quoted(base_col)).cast("double"), F.lit(1.0)) if base_col else F.lit(1.0)
     sizes = written(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"),
-        base.alias("base"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("draw")), "sizes")
+        F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(source_col)).cast("string").alias("source"), word_count(text_col).alias("size"),
+        row_name(id_col, text_col)[1].alias("tag"), base.alias("base"), F.md5(F.coalesce(F.col(quoted(id_col)).cast("string"), F.lit(""))).alias("draw")), "sizes")
     moments = pinned(sizes.groupBy("source", "base").agg(F.sum("size").cast("double").alias("tokens")))
     goals = pinned(targets(sizes, weights, cap))
     tilts = multipliers(moments, goals, cap)
@@ -111,7 +112,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_
     out = written(_rounded(rated, cap), "copies")
     for _ in range(MENDS):
         out = _mended(out, cap)
-    return out.select("doc_id", "size", "source", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return out.select("doc_id", "tag", "size", "source", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def _rounded(rated: DataFrame, cap: int) -> DataFrame:
@@ -138,7 +139,7 @@ def _rounded(rated: DataFrame, cap: int) -> DataFrame:
         rows = rows.join(table, on).drop(*["k_" + k for k in keys])
     upto = F.col("inside") + F.col("cell_before") + F.col("size_before") + UNIT // 2
     extra = F.floor(upto / UNIT) - F.floor((upto - F.col("part")) / UNIT)
-    return rows.select("doc_id", "source", "size", "draw", "source_size", "target", "rate",
+    return rows.select("doc_id", "tag", "source", "size", "draw", "source_size", "target", "rate",
                        F.least(F.col("whole") + extra, F.lit(cap)).cast("long").alias("copies"))
 
 

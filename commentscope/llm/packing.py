@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import slices, text_or_empty, written
+from commentscope.llm.common import quoted, slices, text_or_empty, written
 from commentscope.llm.tokens import encode_all
 
 #: Tokens of rests that a task balances at a time; bounds its memory, whatever the input.
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 1024
     are; every row is a document of its own. Other columns are ignored. An empty table gives no rows.
     Sequences are numbered from 0; each part's first number is the prefix sum over one row per part.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     # the pieces are written once: a sequence is numbered where it was made, and never made again
     pieces = written(rows.mapInArrow(partial(_pack, vocabulary=vocabulary, end_id=end_id, capacity=capacity), PIECES), "pieces")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import slices, text_or_empty
+from commentscope.llm.common import quoted, slices, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -446,7 +446,7 @@ def find_pii(docs: DataFrame, model: Tagger | None, carry: list[str], text_col:
     Names of the added columns start with ``prefix``. Without a model only base spans are found.
     """
     from pyspark.sql.types import LongType, StringType, StructField, StructType
-    rows = docs.select(*carry, text_or_empty(text_col).alias("__searched_text"))
+    rows = docs.select(*map(quoted, carry), text_or_empty(text_col).alias("__searched_text"))
     added = [*((f"{prefix}n_{k}", LongType()) for k in KINDS), *((prefix + c, StringType()) for c in ("base_sha256", "spans", "masked"))]
     schema = StructType([*rows.schema.fields[:-1], *[StructField(n, t) for n, t in added]])
     return rows.mapInArrow(partial(_found, model=model, names=schema.names), schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import SPACES, covered, mixed, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
+from commentscope.llm.common import SPACES, covered, mixed, quoted, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 4_000
@@ -218,7 +218,7 @@ def judge(docs: DataFrame, trees: Trees, carry: list[str], text_col: str = "text
     columns start with ``prefix``, so that carried columns of the same name stay whole.
     """
     from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    rows = docs.select(*carry, text_or_empty(text_col).alias("__judged_text"))
+    rows = docs.select(*map(quoted, carry), text_or_empty(text_col).alias("__judged_text"))
     names = [*carry, *[prefix + s for s in STATS], prefix + "score"]
     schema = StructType([*rows.schema.fields[:-1], *[StructField(prefix + s, LongType()) for s in STATS], StructField(prefix + "score", DoubleType())])
     out = rows.mapInArrow(partial(_scored, trees=trees, names=names), schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentscope.llm import mixing, packing, parse_dedup, pii, quality, secrets, simhash, substring_trees, token_files
+from commentscope.llm import mixing, neighbours, packing, parse_dedup, pii, quality, secrets, simhash, substring_trees, token_files
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -86,3 +86,8 @@ def _(spark, sf_dir):
 @query("op5_prefix_free_parsing")
 def _(spark, sf_dir):
     return parse_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op7_multiprobe_lsh")
+def _(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import text_or_empty, written
+from commentscope.llm.common import quoted, text_or_empty, written
 
 #: Fixed patterns of the three base kinds, with the shortest length of the whole match (of group 2 for assign).
 BASE = {
@@ -119,7 +119,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base span of its text is dropped: the base span stands for it. Null ids and rows with the same id
     are documents of their own; equal rows get equal results. Other columns are ignored.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    texts = docs.select(F.col(quoted(id_col)).alias("doc_id"), text_or_empty(text_col).alias("text"))
     found = written(spans_in(texts.withColumn("text_key", F.xxhash64("text"))).drop("text", "wide"), "secret-spans")
     keys = ["doc_id", "text_key"]
     some = sum((F.size(k) for k in KINDS), F.lit(0)) > 1

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import mixed, slices, text_or_empty, written
+from commentscope.llm.common import mixed, numbered, slices, written
 from commentscope.llm.components import components
 
 _TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -168,19 +168,20 @@ def _prints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Itera
     for part in (s for batch in batches for s in slices(batch, 1)):
         texts = part.column(1).cast(pa.large_binary()).to_pylist()
         fp = np.array([fingerprint(t, shingle, seed) for t in texts], np.uint64)
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64)), part.column(2)], ["doc_id", "fp", "tag"])
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint, fp (the same as a signed number), component_id.
+    """One row per document: doc_id, fingerprint, fp (the same as a signed number), tag (a hash of the text),
+    class (the component's smallest fp), component_id.
 
     A null or empty text has fingerprint zero and is linked like any other. The component id is the
     smallest doc_id that is reached over links; null ids never are, and a component of null ids alone
     has a null id. Repeated rows have equal rows in the result. Other columns are ignored.
     Work on links starts from distinct fingerprints, so copies cost one row, however many they are.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    prints = written(rows.mapInArrow(partial(_prints, shingle=shingle, seed=seed), "doc_id long, fp long"), "fingerprints")
+    rows = numbered(docs, id_col, text_col).select("doc_id", "text", "tag")
+    prints = written(rows.mapInArrow(partial(_prints, shingle=shingle, seed=seed), "doc_id long, fp long, tag int"), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     cells = plan_cells(distinct.count(), radius)
     groups = radius + len(cells[0])
@@ -190,8 +191,15 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     links = celled.mapInArrow(partial(_links, cells=cells, groups=groups, radius=radius), "u long, v long")
     roots = components(links)
     ids = (distinct.join(roots, distinct["fp"] == roots["node"]).groupBy("root").agg(F.min("first_id").alias("component_id")))
-    linked = roots.join(ids, "root").select("node", "component_id")
+    linked = roots.join(ids, "root").select("node", "root", "component_id")
     known = distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
-        F.col("fp").alias("k_fp"), F.coalesce("component_id", "first_id").alias("component_id"))
+        F.col("fp").alias("k_fp"), F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("class"))
     out = prints.join(known, prints["fp"] == known["k_fp"])
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "fp", "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "fp", "tag", "class", "component_id")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """(oid, tag) of the one row that stays of each class of ``near_duplicates``: that of the smallest
+    doc_id (null ids last), of these the smallest fingerprint and hash of the text."""
+    oid = F.coalesce("doc_id", F.lit(2**63 - 1))
+    return found.groupBy("class").agg(F.min(F.struct(oid.alias("oid"), "fp", "tag")).alias("first")).select("first.oid", "first.tag")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import shared_folder, slices, text_or_empty, written
+from commentscope.llm.common import quoted, shared_folder, slices, text_or_empty, written
 from commentscope.llm.tokens import encode_all
 
 PARTS = "part int, path string, n_docs long, n_ids long"
@@ -75,7 +75,7 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_
     """
     folder = shared_folder(docs.sparkSession, "token-ids")
     scheme_kept = folder.split("://")[0] if "://" in folder and not folder.startswith("file:") else None
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     tie = F.xxhash64("text")
     ordered = (rows.repartitionByRange(F.col("doc_id").asc_nulls_last(), tie)
                .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), tie))
