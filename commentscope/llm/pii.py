@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from commentscope.llm.common import quoted, slices, text_or_empty
 
@@ -445,8 +446,7 @@ def find_pii(docs: DataFrame, model: Tagger | None, carry: list[str], text_col:
     A null text is empty: it has no spans and its masked text is empty. Equal rows get equal results.
     Names of the added columns start with ``prefix``. Without a model only base spans are found.
     """
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-    rows = docs.select(*map(quoted, carry), text_or_empty(text_col).alias("__searched_text"))
-    added = [*((f"{prefix}n_{k}", LongType()) for k in KINDS), *((prefix + c, StringType()) for c in ("base_sha256", "spans", "masked"))]
-    schema = StructType([*rows.schema.fields[:-1], *[StructField(n, t) for n, t in added]])
-    return rows.mapInArrow(partial(_found, model=model, names=schema.names), schema)
+    rows = docs.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(carry)], text_or_empty(text_col).alias("searched_text"))
+    added = {**{f"n_{k}": LongType() for k in KINDS}, "base_sha256": StringType(), "spans": StringType(), "masked": StringType()}
+    schema = StructType([*rows.schema.fields[:-1], *[StructField("a_" + n, t) for n, t in added.items()]])
+    return rows.mapInArrow(partial(_found, model=model, names=schema.names), schema).toDF(*carry, *[prefix + n for n in added])

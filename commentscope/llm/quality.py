@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from commentscope.llm.common import SPACES, covered, mixed, quoted, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
 
@@ -217,11 +218,10 @@ def judge(docs: DataFrame, trees: Trees, carry: list[str], text_col: str = "text
     rule, as every text under ten words does. Repeated rows are judged alike. Names of the added
     columns start with ``prefix``, so that carried columns of the same name stay whole.
     """
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    rows = docs.select(*map(quoted, carry), text_or_empty(text_col).alias("__judged_text"))
-    names = [*carry, *[prefix + s for s in STATS], prefix + "score"]
-    schema = StructType([*rows.schema.fields[:-1], *[StructField(prefix + s, LongType()) for s in STATS], StructField(prefix + "score", DoubleType())])
-    out = rows.mapInArrow(partial(_scored, trees=trees, names=names), schema)
+    rows = docs.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(carry)], text_or_empty(text_col).alias("judged_text"))
+    added = [*STATS, "score"]
+    schema = StructType([*rows.schema.fields[:-1], *[StructField("a_" + s, DoubleType() if s == "score" else LongType()) for s in added]])
+    out = rows.mapInArrow(partial(_scored, trees=trees, names=schema.names), schema).toDF(*carry, *[prefix + s for s in added])
     n, repeated = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
     failed = (n < 10) | (100 * repeated > 20 * n)
     return out.withColumn(prefix + "base_failed", failed).withColumn(
