@@ -18,6 +18,53 @@ CACHE_CHUNKS = 1_000_000
 _caches: dict[str, dict[str, bytes]] = {}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, "<u2").tobytes()
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones as they are, the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+#: Signs that may follow a word: the tokenizer always cuts between a letter and these, and keeps a run of them whole.
+_SIGNS = ".,;:!?\"()[]{}*#%&$|<>"
+
+
+class _Words:
+    """Ids of chunks of Latin words, signs after them, and single line ends between: what the tokenizer's
+    cutting rules make of these is known, so the library's model is asked for each word at once."""
+
+    def __init__(self, path: str):
+        self.whole, self.signs = tokenizer(path), {}
+        self.model = self.whole.model
+
+    def _line(self, part: str) -> bytes | None:
+        word = part.rstrip(_SIGNS)
+        letters = word[1:] if word[:1] == " " else word
+        if not letters.isalpha() or max(letters) > "\u024f":
+            return None
+        ids = _bytes([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
+        return ids + self.sign(part[len(word):]) if len(word) < len(part) else ids
+
+    def sign(self, s: str) -> bytes:
+        if s not in self.signs:
+            self.signs[s] = _bytes(self.whole.encode(s, add_special_tokens=False).ids)
+        return self.signs[s]
+
+    def of(self, chunk: str) -> bytes | None:
+        if "\n" not in chunk:
+            return self._line(chunk)
+        lines = [self._line(x) for x in chunk.split("\n")]
+        # only the first line may begin with the blank before the chunk
+        if None in lines or "\n " in chunk:
+            return None
+        return self.sign("\n").join(lines)
+
+
 def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of each whole text, without special tokens added, as unsigned 16-bit values.
 
@@ -31,22 +78,28 @@ def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
     cache = _caches.setdefault(path, {})
     if len(cache) > CACHE_CHUNKS:
         cache.clear()
-    chunks: list[list[str] | None] = []
-    for text in texts:
-        if "<|" in text or any(b in text for b in _BLANKS) and _RUNS.search(text):
-            chunks.append(None)
+    words = _Words(path)
+
+    def first_ids(chunk: str) -> bytes:
+        ids = words.of(chunk) if chunk else b""
+        return _bytes(model.encode(chunk, add_special_tokens=False).ids) if ids is None else ids
+
+    # the cache names a chunk without the space before it; the first of a text has none
+    chunks = [None if "<|" in t or any(b in t for b in _BLANKS) and _RUNS.search(t) else t.split(" ") for t in texts]
+    new = set().union(*(c[1:] for c in chunks if c)) - cache.keys()
+    hard = []
+    for chunk in new:
+        ids = words.of(" " + chunk)
+        if ids is None:
+            hard.append(chunk)
         else:
-            first, *rest = text.split(" ")
-            chunks.append([first, *(" " + x for x in rest)])
-    new = list(set().union(*(c for c in chunks if c)) - cache.keys())
-    for i in range(0, len(new), 20_000):
-        part = new[i:i + 20_000]
-        for chunk, ids in zip(part, model.encode_batch_fast(part, add_special_tokens=False)):
-            cache[chunk] = np.array(ids.ids, "<u2").tobytes()
+            cache[chunk] = ids
+    for chunk, e in zip(hard, model.encode_batch_fast([" " + c for c in hard], add_special_tokens=False)):
+        cache[chunk] = _bytes(e.ids)
     out = []
     for text, own in zip(texts, chunks):
         if own is None:
             out.append(np.array(model.encode(text, add_special_tokens=False).ids, "<u2"))
         else:
-            out.append(np.frombuffer(b"".join(map(cache.__getitem__, own)), "<u2"))
+            out.append(np.frombuffer(first_ids(own[0]) + b"".join(map(cache.__getitem__, own[1:])), "<u2"))
     return out
