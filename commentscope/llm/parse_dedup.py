@@ -34,8 +34,8 @@ from commentscope.llm.substring_trees import _subtree
 
 TRIGGER = 32
 #: Bytes of a block that a task works on at a time, and phrases or suffixes of a group, about.
-BLOCK = 4 << 20
-GROUP = 2_000_000
+BLOCK = 1 << 20
+GROUP = 1_000_000
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from commentscope.llm.common import covered, mixed, narrow, numbered, packed, slices, unpacked, whole_windows, window_hashes, word_hashes, words_of
 
 #: Suffixes of a subtree, about; and words of a block that a task works on at a time. Both bound memory.
-GROUP = 4_000_000
-BLOCK = 4_000_000
+GROUP = 2_000_000
+BLOCK = 1_000_000
 PREFIXES = (1, 2, 4, 8)
 
 
@@ -187,7 +187,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, group: int = GROUP, id_col:
     """
     rows = numbered(docs, id_col, text_col)
     letters = rows.agg(F.sum(F.length("text"))).head()[0] or 0
-    bits = max(4, (letters // 6 * 2 // group).bit_length())
+    bits = max(4, (letters // 6 // group).bit_length())
     counts = rows.select("text").mapInArrow(partial(_counts, width=width, bits=bits), "level int, slot long, n long")
     # at most (prefix lengths * suffixes / group) slots are over the size of a group
     over = counts.groupBy("level", "slot").agg(F.sum("n").alias("n")).where(F.col("n") > group).collect()
