@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from commentscope.catalog.golden import GOLDEN
 from commentscope.operators import labels as L
-from commentscope.plans.partitions import spread
 
 TEXT_LABELS = ["toxic", "low_quality"]
 VECTOR_LABELS = ["low", "even", "third"]
@@ -32,8 +31,7 @@ class Tables:
     @property
     def comments(self) -> DataFrame:
         """(doc_id, comment_text) of the whole document table."""
-        rows = self.read("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("comment_text"))
-        return spread(rows, "doc_id")
+        return self.read("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("comment_text"))
 
     @property
     def comments_and_golden(self) -> DataFrame:
@@ -97,7 +95,7 @@ def sql_list(words) -> str:
 
 
 def sql_values(rows) -> str:
-    one = lambda v: q(v) if isinstance(v, str) else repr(v)
+    one = lambda v: "NULL" if v is None else q(v) if isinstance(v, str) else repr(v)
     return "(VALUES " + ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows) + ")"
 
 

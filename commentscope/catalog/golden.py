@@ -16,3 +16,21 @@ GOLDEN: list[tuple[int, str]] = [
     (-13, "Don't SHOUT at ME you're loud"),
     (-14, "x"),
 ]
+
+# Texts that a file format may change (ids are negative).
+EDGES: list[tuple[int, str | None]] = GOLDEN + [
+    (-51, "  lead and trail  "),
+    (-52, "tab\tend\t"),
+    (-53, None),
+    (-54, "a,b;\"c\",'d'"),
+    (-55, "\n starts with a line end"),
+]
+
+# (doc_id, source, text, toxic, quality) of labelled texts without characters or words (ids are negative).
+LABELLED_EDGES: list[tuple[int, str, str | None, int, int]] = [
+    (-61, "edge", "", 1, 0),
+    (-62, "edge", None, 0, 1),
+    (-63, "edge", "Why NOT?!", 1, 1),
+    (-64, "edge", " ", 0, 0),
+    (-65, "edge", "", 0, 1),
+]

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from commentscope.catalog import text_sql as S
 from commentscope.catalog.base import (DOCS, EMBEDDED_SQL, LABELS_SQL, TEXT_LABELS, VECTOR_LABELS, chain, q, query,
                                        sql_values)
+from commentscope.catalog.golden import LABELLED_EDGES
 from commentscope.catalog.corpus_queries import LABELLED_DOCS, density_sql
 from commentscope.catalog.text_queries import scratch
 from commentscope.functions import features as X
+from commentscope.functions import predicates as P
 from commentscope.functions import tokens as K
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
@@ -57,7 +59,7 @@ VECTORS_SQL = [
        "SELECT u.word, n, round(coalesce(sum(x), 0.0), 6) AS total FROM u LEFT JOIN wv USING (word) GROUP BY u.word, n")
 def _(t):
     rows = J.corpus_vocabulary(words_of(t), "a")
-    seen = V.lookup_vectors(rows, word_vectors(t), DIMS, ["n"])
+    seen = V.lookup_vectors(rows, word_vectors(t), DIMS)
     return seen.select("word", "n", F.aggregate("vec", F.lit(0.0), lambda s, x: s + x).alias("total"))
 
 
@@ -122,7 +124,7 @@ def _(t):
 
 @query("embedding_matrix")
 def _(t):
-    matrix = V.embedding_matrix(Q.vocab_index(words_of(t), "a", 2000), word_vectors(t).where("word > 'c'"), DIMS)
+    matrix = V.embedding_matrix(Q.vocab_index(words_of(t), "a", 2000), word_vectors(t), DIMS)
     return unpivot_vector(matrix, ["word", "idx"], "vec", "dim", "x")
 
 
@@ -150,9 +152,16 @@ def correlations(t):
     return Z.label_correlation(vector_long(t), VECTOR_LABELS)
 
 
-@query("feature_label_correlation", chain(*CORR_SQL) + "SELECT feature, label, round(r, 6) AS r FROM cr")
+GAPS = "CASE WHEN vec_id % 7 = 0 THEN NULL ELSE value END"
+
+
+@query("feature_label_correlation", chain(*CORR_SQL, f"gp AS (SELECT feature || '_gaps' AS feature, {GAPS} AS value, low, even, third FROM lg)") +
+       "SELECT feature, label, round(r, 6) AS r FROM cr UNION ALL " + " UNION ALL ".join(
+    f"SELECT feature, {q(l)}, round(CASE WHEN min(value) < max(value) THEN corr(value, {l}) END, 6) FROM gp GROUP BY feature" for l in VECTOR_LABELS))
 def _(t):
-    return correlations(t)
+    long = unpivot_vector(t.embedded, ["vec_id", *VECTOR_LABELS], "embedding")
+    gaps = long.withColumn("feature", F.concat("feature", F.lit("_gaps"))).withColumn("value", F.expr(GAPS))
+    return Z.label_correlation(long.unionByName(gaps), VECTOR_LABELS)
 
 
 @query("feature_label_correlation_text", S.feature_sql(LABELLED_DOCS, X.SERVING_FEATURES).replace(
@@ -180,7 +189,7 @@ def _(t):
     return Z.useful_ratio(correlations(t), CUT)
 
 
-WIDE = [f"d{i}" for i in range(12)]
+WIDE = [f"d{i}" for i in range(64)]
 
 
 def vector_wide(t, names=WIDE):
@@ -190,8 +199,8 @@ def vector_wide(t, names=WIDE):
 WIDE_SQL = [EMBEDDED_SQL, "w AS (SELECT vec_id, low, even, third, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS {c}" for i, c in enumerate(WIDE)) + " FROM e)"]
 
 
-@query("correlation_matrix", chain(*WIDE_SQL) + " UNION ALL ".join(
-    f"SELECT {q(a)} AS a, {q(b)} AS b, round(corr({a}, {b}), 6) AS r FROM w" for a in WIDE for b in WIDE))
+@query("correlation_matrix", chain(*LONG_SQL) + "SELECT a.feature AS a, b.feature AS b, round(corr(a.value, b.value), 6) AS r "
+       "FROM lg a JOIN lg b USING (vec_id) GROUP BY a.feature, b.feature")
 def _(t):
     return Z.correlation_matrix(vector_wide(t), WIDE)
 
@@ -295,9 +304,9 @@ def _(t):
     return model_table(t)
 
 
-@query("density_by_dimension", density_sql([*LONG_SQL, "lv AS (SELECT feature || ':' || low AS feature, value FROM lg WHERE feature IN ('d0', 'd1', 'd2'))"], "lv", 30))
+@query("density_by_dimension", density_sql([*LONG_SQL, "lv AS (SELECT feature || ':' || low AS feature, value FROM lg)"], "lv", 30))
 def _(t):
-    long = vector_long(t).where(F.col("feature").isin("d0", "d1", "d2"))
+    long = vector_long(t)
     out = C.density(long.select(F.concat_ws(":", "feature", "low").alias("feature"), "value"), "feature", "value", 30)
     return out.select("feature", "point", F.round("x", 4).alias("x"), "density")
 
@@ -372,9 +381,10 @@ SCORERS = {"upper": "20 * (length(x) - length(translate(x, 'ABCDEFGHIJKLMNOPQRST
            "space": "3 * (length(x) - length(translate(x, ' ', '')))",
            "vowel": "1.5 * (length(x) - length(translate(x, 'aeiou', '')))"}
 SCORES_SQL = [
-    "d AS (SELECT doc_id, source, text AS x, toxic, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id))",
+    "d AS (SELECT doc_id, source, coalesce(text, '') AS x, toxic, 1 - quality AS low_quality FROM (SELECT doc_id, source, text, toxic, quality "
+    f"FROM documents JOIN labels USING (doc_id) UNION ALL SELECT * FROM {sql_values(LABELLED_EDGES)}))",
     "sh AS (SELECT doc_id, source, toxic, low_quality, " + ", ".join(
-        f"round(least(1.0::DOUBLE, ({e})::DOUBLE / length(x)), 3) AS {n}" for n, e in SCORERS.items()) + " FROM d)",
+        f"round(least(1.0::DOUBLE, coalesce(({e})::DOUBLE / nullif(length(x), 0), 0)), 3) AS {n}" for n, e in SCORERS.items()) + " FROM d)",
     "s0 AS (" + " UNION ALL ".join(
         f"SELECT doc_id, source, {q(n)} AS model, 'toxic' AS label, toxic AS y, {n} AS prob FROM sh UNION ALL "
         f"SELECT doc_id, source, {q(n)}, 'low_quality', low_quality, round(1 - {n}, 3) FROM sh" for n in SCORERS) + ")",
@@ -382,11 +392,21 @@ SCORES_SQL = [
 ]
 
 
+def scored_texts(t):
+    """(doc_id, source, x, labels) of all labelled comments, and of some without characters or words."""
+    texts = t.read("documents").select("doc_id", "source", "text").join(t.labels, "doc_id")
+    extra = t.spark.createDataFrame(LABELLED_EDGES, "doc_id long, source string, text string, toxic int, quality int")
+    extra = extra.select("doc_id", "source", "text", "toxic", (1 - F.col("quality")).alias("low_quality"))
+    return texts.unionByName(extra).withColumn("x", F.coalesce("text", F.lit(""))).drop("text")
+
+
+def share_of(top):
+    return F.round(F.least(F.lit(1.0), P.guarded_ratio(F.expr(top).cast("double"), F.length("x"))), 3)
+
+
 def scores(t):
     """(doc_id, source, model, label, y, pred, prob) of all labelled comments and scorers."""
-    c = t.read("documents").select("doc_id", "source", F.col("text").alias("x")).join(t.labels, "doc_id")
-    wide = c.select("doc_id", "source", *TEXT_LABELS, *[
-        F.round(F.least(F.lit(1.0), F.expr(e).cast("double") / F.length("x")), 3).alias(n) for n, e in SCORERS.items()])
+    wide = scored_texts(t).select("doc_id", "source", *TEXT_LABELS, *[share_of(e).alias(n) for n, e in SCORERS.items()])
     items = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(l).alias("label"), F.col(l).alias("y"),
                                (F.col(n) if l == "toxic" else F.round(1.0 - F.col(n), 3)).alias("prob"))
                       for n in SCORERS for l in TEXT_LABELS])
@@ -471,12 +491,12 @@ def _(t):
 
 
 # "marks" stands for the outside scorer: it gives zeros for a text without ! and ?
-MARKS = {"toxic": "least(1.0, 200 * (length(x) - length(replace(x, '!', ''))) / length(x))",
-         "low_quality": "least(1.0, 200 * (length(x) - length(replace(x, '?', ''))) / length(x))"}
+MARKS = {"toxic": "200 * (length(x) - length(replace(x, '!', '')))",
+         "low_quality": "200 * (length(x) - length(replace(x, '?', '')))"}
 COMPARED_SQL = metrics_sql(["model", "rows"])
 COMPARED_SQL = [SCORES_SQL[0], SCORES_SQL[1],
     "s1 AS (" + " UNION ALL ".join(
-        f"SELECT doc_id, 'marks' AS model, {q(l)} AS label, {l} AS y, round({e.replace('200 *', '200.0::DOUBLE *').replace('1.0,', '1.0::DOUBLE,')}, 3) AS prob FROM d" for l, e in MARKS.items())
+        f"SELECT doc_id, 'marks' AS model, {q(l)} AS label, {l} AS y, round(least(1.0::DOUBLE, coalesce(({e})::DOUBLE / nullif(length(x), 0), 0)), 3) AS prob FROM d" for l, e in MARKS.items())
     + " UNION ALL SELECT doc_id, 'vowel', 'toxic', toxic, vowel FROM sh UNION ALL SELECT doc_id, 'vowel', 'low_quality', low_quality, round(1 - vowel, 3) FROM sh)",
     "bad AS (SELECT DISTINCT doc_id FROM s1 GROUP BY doc_id, model HAVING max(prob) = 0)",
     "s AS MATERIALIZED (SELECT *, (prob >= 0.5)::INT AS pred FROM (SELECT *, 'all' AS rows FROM s1 UNION ALL SELECT *, 'scored' FROM s1 WHERE doc_id NOT IN (SELECT doc_id FROM bad)))",
@@ -485,10 +505,9 @@ COMPARED_SQL = [SCORES_SQL[0], SCORES_SQL[1],
 
 @query("baseline_comparison", chain(*COMPARED_SQL) + f"SELECT model, rows, {SIX}, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM ev")
 def _(t):
-    c = t.read("documents").select("doc_id", F.col("text").alias("x")).join(t.labels, "doc_id")
     items = F.array(*[F.struct(F.lit("marks").alias("model"), F.lit(l).alias("label"), F.col(l).alias("y"),
-                               F.round(F.expr(e).cast("double"), 3).alias("prob")) for l, e in MARKS.items()])
-    marks = exploded(c, ["doc_id"], items, "i").select("doc_id", "i.*").withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
+                               share_of(e).alias("prob")) for l, e in MARKS.items()])
+    marks = exploded(scored_texts(t), ["doc_id"], items, "i").select("doc_id", "i.*").withColumn("pred", (F.col("prob") >= 0.5).cast("int"))
     vowel = scores(t).where("model = 'vowel'").select(*marks.columns)
     return R.compare_scorers(marks.unionByName(vowel), "doc_id")
 
@@ -556,32 +575,32 @@ def _(t):
 
 def rate_scorer(c):
     """Marks per character; a text without an ASCII letter cannot be scored."""
-    rate = (F.length(c) - F.length(F.translate(c, "!?", ""))) / F.length(c)
+    rate = P.guarded_ratio(F.length(c) - F.length(F.translate(c, "!?", "")), F.length(c))
     bad = ~c.rlike("[A-Za-z]")
     error = F.when(bad, F.lit("no text to score"))
     return F.struct(F.array(F.when(bad, 0.0).otherwise(rate), F.when(bad, 0.0).otherwise(1.0 - rate)).alias("scores"),
                     error.alias("error"))
 
 
-RATE_SQL = "(length(x) - length(translate(x, '!?', '')))::DOUBLE / length(x)"
+RATE_SQL = "coalesce((length(x) - length(translate(x, '!?', '')))::DOUBLE / nullif(length(x), 0), 0)"
 RATED_SQL = "SELECT conv_id, turn, text AS x, regexp_matches(text, '[A-Za-z]') AS ok FROM conversations"
 
 
 @query("score_with_error_table", f"SELECT doc_id, CASE WHEN ok THEN round({RATE_SQL}, 6) ELSE 0 END AS s0, CASE WHEN ok THEN round(1.0 - {RATE_SQL}, 6) ELSE 0 END AS s1, "
-       "CASE WHEN NOT ok THEN 'no text to score' END AS error FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, text AS x FROM documents))")
+       "CASE WHEN NOT ok THEN 'no text to score' END AS error FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents))")
 def _(t):
     out = G.score_comments(t.comments, "doc_id", "comment_text", rate_scorer, 2)
     return out.select("doc_id", F.col("scores")[0].alias("s0"), F.col("scores")[1].alias("s1"), "error")
 
 
-@query("score_stream", f"SELECT doc_id, CASE WHEN ok THEN round({RATE_SQL}, 6) ELSE 0 END AS s0 "
-       "FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, text AS x FROM documents))")
+@query("score_stream", f"SELECT doc_id, CASE WHEN ok THEN round({RATE_SQL}, 6) ELSE 0 END AS s0, CASE WHEN NOT ok THEN 'no text to score' END AS error "
+       "FROM (SELECT doc_id, x, regexp_matches(x, '[A-Za-z]') AS ok FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents))")
 def _(t):
-    source, out, err, ckpt = (scratch(t, n) for n in ("stream-in", "stream-out", "stream-err", "stream-ckpt"))
-    t.comments.repartition(4).write.parquet(source)
-    run = G.score_stream(t.spark, source, "doc_id long, comment_text string", "doc_id", "comment_text", rate_scorer, 2, out, err, ckpt)
+    out, err, ckpt = (scratch(t, n) for n in ("stream-out", "stream-err", "stream-ckpt"))
+    run = G.score_stream(t.spark, f"{t.dir}/documents.parquet*", "doc_id long, text string", "doc_id", "text", rate_scorer, 2, out, err, ckpt)
     run.awaitTermination()
-    return t.spark.read.parquet(out).select("doc_id", F.col("scores")[0].alias("s0"))
+    scored = t.spark.read.parquet(out).select("doc_id", F.col("scores")[0].alias("s0"))
+    return scored.join(t.spark.read.parquet(err).select("doc_id", "error"), "doc_id", "left")
 
 
 # ---- training -----------------------------------------------------------------------------------------
@@ -610,29 +629,25 @@ def held_out(t, fit):
     return predictions(fit(rows.where("fold <> 0")), rows.where("fold = 0"))
 
 
-def n_train(t):
-    return int(t.read("embeddings").count() * 0.8)
-
-
 @query("binary_relevance")
 def _(t):
-    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.logistic_regression(df.count())))
 
 
 @query("classifier_chain")
 def _(t):
-    return held_out(t, lambda df: ML.fit_classifier_chain(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+    return held_out(t, lambda df: ML.fit_classifier_chain(df, VECTOR_LABELS, B.logistic_regression(df.count())))
 
 
 @query("label_powerset")
 def _(t):
-    return held_out(t, lambda df: ML.fit_label_powerset(df, VECTOR_LABELS, B.logistic_regression(n_train(t))))
+    return held_out(t, lambda df: ML.fit_label_powerset(df, VECTOR_LABELS, B.logistic_regression(df.count())))
 
 
 @query("one_vs_rest_loop")
 def _(t):
-    own = {"low": B.logistic_regression(n_train(t)), "even": B.random_forest(20, 5), "third": B.gaussian_naive_bayes()}
     rows = training(t)
+    own = {"low": B.logistic_regression(rows.where("fold <> 0").count()), "even": B.random_forest(20, 5), "third": B.gaussian_naive_bayes()}
     predict = ML.fit_binary_relevance(rows.where("fold <> 0"), VECTOR_LABELS, own)
     parts = [M.score_rows(predict(part), ["vec_id"], VECTOR_LABELS).withColumn("part", F.lit(name))
              for name, part in (("train", rows.where("fold <> 0")), ("test", rows.where("fold = 0")))]
@@ -646,10 +661,14 @@ def text_training(t):
 
 @query("logistic_regression")
 def _(t):
-    rows = A.with_balanced_weight(text_training(t), "toxic")
-    est = B.logistic_regression(400, "weight")
-    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["toxic"], est)
-    return predict(rows.where("fold = 0")).select("doc_id", "toxic", "p_toxic")
+    rows = text_training(t)
+    train, test = rows.where("fold <> 0"), rows.where("fold = 0")
+    n = train.count()
+    for label in TEXT_LABELS:
+        # weights and penalty come from the rows trained on
+        weighted = A.with_balanced_weight(train, label)
+        test = ML.fit_binary_relevance(weighted, [label], B.logistic_regression(n, "weight"))(test)
+    return test.select("doc_id", *TEXT_LABELS, *[f"p_{l}" for l in TEXT_LABELS])
 
 
 @query("logistic_regression_cv")
@@ -670,16 +689,12 @@ def _(t):
 
 @query("adaboost")
 def _(t):
-    rows = training(t)
-    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["low"], B.AdaBoost(rounds=10, pinEvery=5))
-    return predict(rows.where("fold = 0")).select("vec_id", "low", "p_low")
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.AdaBoost(rounds=10)))
 
 
 @query("gradient_boosting")
 def _(t):
-    rows = training(t)
-    predict = ML.fit_binary_relevance(rows.where("fold <> 0"), ["low"], B.gradient_boosting(10, 3))
-    return predict(rows.where("fold = 0")).select("vec_id", "low", "p_low")
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gradient_boosting(10, 3)))
 
 
 @query("grid_search")
@@ -697,7 +712,7 @@ def _(t):
 @query("model_save_load")
 def _(t):
     rows = training(t)
-    model = ML.fit_one(B.logistic_regression(n_train(t)), rows, "low")
+    model = ML.fit_one(B.logistic_regression(rows.count()), rows, "low")
     path = scratch(t, "model")
     ML.save_model([model], path)
     return ML.add_probability(ML.load_model(path), rows, "low").select("vec_id", "low", "p_low")

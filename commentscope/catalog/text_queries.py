@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from commentscope.catalog import text_sql as S
 from commentscope.catalog.base import (DOCS, DOCS_AND_GOLDEN, LABELS_SQL, TEXT_LABELS, Tables, chain, q, query,
-                                       sql_list)
+                                       sql_list, sql_values)
+from commentscope.catalog.golden import EDGES
 from commentscope.functions import features as X
 from commentscope.functions import predicates as P
 from commentscope.functions import text as T
@@ -33,11 +34,19 @@ def scratch(t: Tables, name: str) -> str:
 
 # ---- sources and sinks ----------------------------------------------------------------------
 
-@query("scan_table", "SELECT doc_id::VARCHAR AS id, text AS comment_text, lang FROM documents")
+def edges(t: Tables):
+    """(doc_id, text, lang) of all documents and of texts that a file format may change."""
+    extra = t.spark.createDataFrame([(i, x, None) for i, x in EDGES], "doc_id long, text string, lang string")
+    return t.read("documents").select("doc_id", "text", "lang").unionByName(extra)
+
+
+EDGES_SQL = f"(SELECT doc_id, text, lang FROM documents UNION ALL SELECT *, NULL FROM {sql_values(EDGES)})"
+
+
+@query("scan_table", f"SELECT doc_id::VARCHAR AS id, column1 AS comment_text, lang FROM {EDGES_SQL} t(doc_id, column1, lang)")
 def _(t):
     path = scratch(t, "comments-csv")
-    IO.write_table(t.read("documents").select(F.col("doc_id").cast("string").alias("id"),
-                                              F.col("text").alias("comment_text"), "lang"), path, "csv")
+    IO.write_table(edges(t).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"), "lang"), path, "csv")
     return IO.read_table(t.spark, path, IO.TEXT_SCHEMA + ", lang string")
 
 
@@ -61,31 +70,33 @@ def _(t):
 
 @query("scan_headerless_words",
        chain(DOCS) + f"SELECT DISTINCT w AS word FROM (SELECT unnest({S.vector_words('x')}) AS w FROM d) "
-       "WHERE length(w) >= 12")
+       """UNION SELECT * FROM (VALUES ('x,y'), ('say "so"'), (' led'))""")
 def _(t):
-    path = scratch(t, "words-csv")
+    path = scratch(t, "words")
     words = t.comments.select(F.explode(K.vector_words(F.col("comment_text"))).alias("word"))
-    words.where(F.length("word") >= 12).write.csv(path)
+    odd = t.spark.createDataFrame([("x,y",), ('"say ""so"""',), (" led",), ("",)], "word string")
+    words.unionByName(odd).write.text(path)
     return IO.read_words(t.spark, path)
 
 
 @query("scan_directory_union",
-       "SELECT source AS model, avg(n_chars)::DOUBLE AS f FROM documents WHERE lang IN ('en', 'fr') "
-       "GROUP BY source, lang".replace("avg(n_chars)::DOUBLE AS f", "lang AS part, count(*) AS n"))
+       "SELECT source AS model, lang AS part, count(*) AS n FROM documents GROUP BY source, lang")
 def _(t):
     path = scratch(t, "folder")
     d = t.read("documents").select(F.col("source").alias("model"), F.col("lang").alias("part"))
-    for lang in ("en", "fr"):
-        counts = d.where(F.col("part") == lang).groupBy("model", "part").agg(F.count(F.lit(1)).alias("n"))
-        counts.write.mode("append").option("header", True).csv(path)
+    counts = d.groupBy("model", "part").agg(F.count(F.lit(1)).alias("n"))
+    # one file or more per part
+    counts.repartition("part").write.option("header", True).csv(path)
     return t.spark.read.schema("model string, part string, n long").option("header", True).csv(path)
 
 
-@query("sink_table", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+@query("sink_table", f"SELECT 'parquet' AS format, * FROM {EDGES_SQL} UNION ALL SELECT 'csv', * FROM {EDGES_SQL}")
 def _(t):
-    path = scratch(t, "sink")
-    IO.write_table(t.read("documents"), path)
-    return t.spark.read.parquet(path)
+    parquet, csv = scratch(t, "sink"), scratch(t, "sink-csv")
+    IO.write_table(edges(t), parquet)
+    IO.write_table(edges(t), csv, "csv")
+    back = t.spark.read.parquet(parquet).select(F.lit("parquet").alias("format"), "*")
+    return back.unionByName(IO.read_table(t.spark, csv, "doc_id long, text string, lang string").select(F.lit("csv").alias("format"), "*"))
 
 
 @query("scan_index_column", "SELECT doc_id, n_chars FROM documents")

@@ -6,7 +6,7 @@ from commentscope.catalog.base import nest, q, sql_list
 from commentscope.functions import features as X
 from commentscope.functions import text as T
 from commentscope.functions import tokens as K
-from commentscope.functions.lexicons import (CATEGORY_WORDS, CONTRACTIONS, LEMMA_EXCEPTIONS, NOUNS, STOP_WORDS,
+from commentscope.functions.lexicons import (CATEGORY_WORDS, CONTRACTIONS, LEMMA_EXCEPTIONS, LEMMA_VOCABULARY, STOP_WORDS,
                                              TAG_LEXICON, VALENCE)
 
 
@@ -82,7 +82,7 @@ def tag(w: str, lexicon=None) -> str:
 
 def lemma(w: str) -> str:
     arms = [f"WHEN {w} = {q(a)} THEN {q(b)}" for a, b in LEMMA_EXCEPTIONS.items()]
-    listed = ", ".join(q(n) for n in sorted(set(NOUNS)))
+    listed = ", ".join(q(n) for n in LEMMA_VOCABULARY)
     for end, new in K.NOUN_ENDINGS.items():
         cand = f"(left({w}, length({w}) - {len(end)}) || {q(new)})"
         arms.append(f"WHEN suffix({w}, {q(end)}) AND {cand} IN ({listed}) THEN {cand}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from commentscope.functions import text as T
 from commentscope.functions import tokens as K
 from commentscope.functions.binding import bind
-from commentscope.functions.lexicons import CATEGORY_WORDS, STOP_WORDS, VALENCE
+from commentscope.functions.lexicons import CATEGORY_WORDS, LEMMA_VOCABULARY, STOP_WORDS, VALENCE
 from commentscope.functions.predicates import guarded_ratio, is_punctuation
 
 # Patterns and tag sets that decide the results. The word class is spelled
@@ -274,10 +274,17 @@ PREPARED_COLUMNS = ["comment_text", "noise_removed_text", "clean_text", "text_to
 
 
 def add_features(df: DataFrame, keep: list[str] | None = None, categories=None, stop_words=None,
-                 valence=None, column: str = "comment_text") -> DataFrame:
-    """Raw comments to the feature table (all features unless some are named)."""
+                 valence=None, column: str = "comment_text", lexicon=None, exceptions=None,
+                 vocabulary=None) -> DataFrame:
+    """Raw comments to the feature table (all features unless some are named).
+
+    The caller's word lists replace the starters; words of the caller's categories are always
+    singular forms that a plural is reduced to.
+    """
+    if categories is not None:
+        vocabulary = {*(LEMMA_VOCABULARY if vocabulary is None else vocabulary), *(w for ws in categories.values() for w in ws)}
     names = feature_names(categories) if keep is None else keep
     lemmas = any("bad_" in n for n in names)
     tags = any(n in TAGGED or any(w in n for w in ("nouns", "adjectives", "verbs")) for n in names)
-    prepared = prepare(df, column, tags=tags, lemmas=lemmas)
+    prepared = prepare(df, column, lexicon, exceptions, vocabulary, tags, lemmas)
     return with_features(prepared, names, categories, stop_words, valence, column)

@@ -97,3 +97,6 @@ NOUNS: list[str] = (
     "section source state story student system table tax team term thing time topic user "
     "version vote watch week wolf woman word year"
 ).split()
+
+# a plural is reduced to a listed noun or to a word of a category
+LEMMA_VOCABULARY: list[str] = sorted({*NOUNS, *BAD_WORDS})

@@ -1,8 +1,8 @@
 """Tokens, sentences, word classes, lemmas and n-grams as array expressions.
 
 Everything stays inside the row: no explode and no shuffle, so a comment table of any
-size is tokenised in the scan stage. Word tables enter as literal hash sets and are
-therefore limited in size; ``operators.lookups`` has the join forms for larger tables.
+size is tokenised in the scan stage. Word lists enter as literal hash sets;
+``operators.lookups`` has the join forms, for word tables of any size.
 """
 
 from __future__ import annotations
@@ -11,12 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commentscope.functions.binding import bind
-from commentscope.functions.lexicons import LEMMA_EXCEPTIONS, NOUNS, STOP_WORDS, TAG_LEXICON
+from commentscope.functions.lexicons import LEMMA_EXCEPTIONS, LEMMA_VOCABULARY, STOP_WORDS, TAG_LEXICON
 from commentscope.functions.predicates import is_punctuation
 from commentscope.functions.text import NON_SPACE, URL, strip_punctuation
 
-MAX_INLINE_WORDS = 20_000
-
 # The alternatives of a token, tried in this order. No look-around.
 MAIL_TOKEN = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 ALTERNATIVES = [
@@ -50,11 +48,9 @@ NOUN_ENDINGS = {"ies": "y", "ches": "ch", "shes": "sh", "ses": "s", "xes": "x",
 
 
 def inline_set(words) -> list[str]:
-    """Words as a literal set; refuses tables too large for a plan."""
-    words = sorted(set(words))
-    if len(words) > MAX_INLINE_WORDS:
-        raise ValueError(f"{len(words)} words: use the join form in operators.lookups")
-    return words
+    """Words as a literal set. A list is for small tables; one that is too large for a plan is a
+    DataFrame, and goes to the join forms in ``operators.lookups``."""
+    return sorted(set(words))
 
 
 def words(c: Column, ascii_only: bool = False) -> Column:
@@ -114,7 +110,7 @@ def lemma_candidates(w: Column) -> list[Column]:
 def lemma(w: Column, exceptions: dict[str, str] | None = None, vocabulary=None) -> Column:
     """Noun lemma: exception table, else the first singular form found in the vocabulary."""
     exceptions = LEMMA_EXCEPTIONS if exceptions is None else exceptions
-    vocabulary = inline_set(NOUNS if vocabulary is None else vocabulary)
+    vocabulary = inline_set(LEMMA_VOCABULARY if vocabulary is None else vocabulary)
     irregular = F.create_map(*[F.lit(x) for pair in exceptions.items() for x in pair])
     known = [F.when(c.isin(vocabulary), c) for c in lemma_candidates(w)]
     return (F.when(w.isin(inline_set(exceptions)), F.element_at(irregular, w))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from commentscope.functions import tokens as K
 from commentscope.plans.long_form import exploded, label_rows
-from commentscope.plans.ordering import quantiles
+from commentscope.plans.ordering import pinned, quantiles
 
 
 def top_k(df: DataFrame, measure: str, term: list[str], k: int) -> DataFrame:
@@ -41,23 +41,21 @@ def category_lexicon(top: DataFrame, bad_words: DataFrame) -> DataFrame:
     return top.join(bad_words, "word", "left_semi").select("word", F.col("label").alias("category"))
 
 
-HOT_SHARE = 1000
-
-
 def term_tfidf(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """(term, df, idf, score): sum over documents of the length-normalised tf-idf.
 
-    tf is counted inside the row. idf = ln((1+n)/(1+df)) + 1. The weights of one document
-    meet again as one row, are scaled there and summed per term with partial sums.
+    tf is counted inside the row and written once. idf = ln((1+n)/(1+df)) + 1. Rows meet their
+    term's idf in a join that adaptive execution splits where a term is frequent. The weights of
+    one document meet again as one row, are scaled there and summed per term with partial sums.
     """
-    docs = df.select(key, K.term_counts(terms).alias("__tf"))
+    docs = pinned(df.select(key, K.term_counts(terms).alias("__tf")))
     n = docs.agg(F.count(F.lit(1)).alias("__n"))
     rows = (exploded(docs, [key], F.col("__tf"), "__t").select(key, "__t.term", "__t.tf"))
     counted = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     # exactly one row on the right
     rated = counted.join(F.broadcast(n)).select(
         "term", "df", "__n", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = join_by_frequency(rows, rated, "term", F.col("df") * HOT_SHARE > F.col("__n"), [key]).drop("__n")
+    weighted = rows.join(rated.drop("__n"), "term")
     grouped = weighted.groupBy(key).agg(F.collect_list(
         F.struct("term", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))).alias("__ws"))
     norm = F.sqrt(F.aggregate("__ws", F.lit(0.0), lambda a, t: a + t["w"] * t["w"]))
@@ -67,26 +65,6 @@ def term_tfidf(df: DataFrame, key: str, terms: Column) -> DataFrame:
                                       F.sum(F.col("w") / F.col("__norm")).alias("score"))
 
 
-def join_by_frequency(rows: DataFrame, table: DataFrame, key: str, is_hot: Column,
-                      spread_by: list[str]) -> DataFrame:
-    """Join rows with a table that has every key once; hot keys take another way.
-
-    A term is hot when it is in more than one of HOT_SHARE documents, so there are at most
-    HOT_SHARE times the mean number of distinct terms of a document of them, whatever the
-    number of documents. That part is broadcast. Its rows go through the shuffle of the
-    others under scattered keys, so no task receives more than a small share of the rows.
-    """
-    others = [c for c in table.columns if c != key]
-    hot = table.where(is_hot).select(key, *[F.col(c).alias(f"__hot_{c}") for c in others])
-    cold = table.where(~is_hot).select(F.col(key).alias("__key"), *others)
-    seen = rows.join(F.broadcast(hot), key, "left")
-    scattered = F.concat(F.lit("\u0000"), F.xxhash64(*spread_by, key).cast("string"))
-    missed = F.col(f"__hot_{others[0]}").isNull()
-    seen = seen.withColumn("__key", F.when(missed, F.col(key)).otherwise(scattered))
-    return seen.join(cold, "__key", "left").select(
-        *rows.columns, *[F.coalesce(f"__hot_{c}", c).alias(c) for c in others])
-
-
 def summary(long: DataFrame, key: str = "feature", value: str = "value", exact: bool = True) -> DataFrame:
     """count, mean, sample deviation, min, quartiles (exact or sketched), max per feature."""
     base = long.groupBy(key).agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from commentscope.plans.ordering import pinned
 
 
+MOST_DEPTH = 30
+
+
 def logistic_regression(rows: int, weight_col: str | None = None, max_iter: int = 100) -> LogisticRegression:
     """L2 penalty of strength one over the number of rows, on unscaled features."""
     est = LogisticRegression(maxIter=max_iter, regParam=1.0 / max(rows, 1), standardization=False)
@@ -23,8 +28,10 @@ def logistic_regression(rows: int, weight_col: str | None = None, max_iter: int
 
 
 def random_forest(trees: int = 100, depth: int = 10, weight_col: str | None = None) -> RandomForestClassifier:
-    """Depth is limited to 30 by the engine."""
-    est = RandomForestClassifier(numTrees=trees, maxDepth=min(depth, 30), seed=0)
+    """Deeper trees than the engine grows are refused, never replaced by others."""
+    if depth > MOST_DEPTH:
+        raise ValueError(f"the engine grows trees of depth {MOST_DEPTH} at most, {depth} was asked for")
+    est = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=0)
     return est.setWeightCol(weight_col) if weight_col else est
 
 
@@ -33,9 +40,12 @@ def gaussian_naive_bayes() -> NaiveBayes:
 
 
 def gradient_boosting(rounds: int = 20, depth: int = 5, rate: float = 0.1, subsample: float = 1.0,
-                      min_rows: int = 1, weight_col: str | None = None) -> GBTClassifier:
+                      min_rows: int = 1, weight_col: str | None = None, min_gain: float = 0.0,
+                      column_share: float = 1.0) -> GBTClassifier:
+    """``min_gain`` is the least gain of a split, ``column_share`` the share of features tried per split."""
     est = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=subsample,
-                        minInstancesPerNode=min_rows, seed=0)
+                        minInstancesPerNode=min_rows, minInfoGain=min_gain,
+                        featureSubsetStrategy="all" if column_share >= 1 else str(column_share), seed=0)
     return est.setWeightCol(weight_col) if weight_col else est
 
 
@@ -62,15 +72,15 @@ class AdaBoost(Estimator, _BoostParams):
 
     A round fits one weighted stump on the whole table and multiplies each row's weight by
     exp(-rate * y * h), where h is half the log-odds of the stump's class shares and y is
-    +1 or -1. The weights are written to the checkpoint folder every few rounds, which bounds
-    the plan and survives lost executors.
+    +1 or -1; the weights are then divided by their sum. Rows and features are written once;
+    the weights after every few rounds, which bounds the plan and survives lost executors.
     """
 
     @keyword_only
-    def __init__(self, *, rounds: int = 50, rate: float = 1.0, pinEvery: int = 10,
+    def __init__(self, *, rounds: int = 50, rate: float = 1.0, pinEvery: int = 1,
                  featuresCol: str = "features", labelCol: str = "label"):
         super().__init__()
-        self._setDefault(rounds=50, rate=1.0, pinEvery=10)
+        self._setDefault(rounds=50, rate=1.0, pinEvery=1)
         self._set(**self._input_kwargs)
 
     def setLabelCol(self, value):
@@ -89,16 +99,24 @@ class AdaBoost(Estimator, _BoostParams):
             model = stump.fit(base)
             models.append(model)
             scored = model.transform(base).withColumn("__h", half_log_odds("__prob"))
-            # a large margin is cut so that no weight overflows
-            step = F.exp(F.least(F.greatest(-F.lit(rate) * sign * F.col("__h"), F.lit(-30.0)), F.lit(30.0)))
-            base = scored.withColumn("__w", F.col("__w") * step).select("features", "label", "__w")
+            # the exponents' largest is taken out before, the sum after: no weight leaves the range of doubles
+            scored = scored.withColumn("__log", F.log("__w") - F.lit(rate) * sign * F.col("__h"))
+            top = scored.agg(F.max("__log")).head()[0]
+            scored = scored.withColumn("__e", F.exp(F.col("__log") - F.lit(top)))
+            total = scored.agg(F.sum("__e")).head()[0]
+            least = sys.float_info.min  # a weight that underflows stays positive
+            base = scored.withColumn("__w", F.greatest(F.col("__e") / F.lit(total), F.lit(least))).select("features", "label", "__w")
             if (i + 1) % every == 0:
                 base = pinned(base)
         return self._copyValues(AdaBoostModel(models))
 
 
+#: Shares are kept this far from 0 and 1, as in the published algorithm's library form.
+EPSILON = sys.float_info.epsilon
+
+
 def half_log_odds(prob: str):
-    p = F.least(F.greatest(vector_to_array(prob)[1], F.lit(1e-7)), F.lit(1.0 - 1e-7))
+    p = F.least(F.greatest(vector_to_array(prob)[1], F.lit(EPSILON)), F.lit(1.0 - EPSILON))
     return 0.5 * (F.log(p) - F.log(1.0 - p))
 
 

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from commentscope.functions import tokens as K
 from commentscope.plans.long_form import exploded
 
-SPREAD = 16
-
 
 def token_rows(df: DataFrame, ids: list[str], tokens: str | Column, name: str = "word") -> DataFrame:
     """(ids, pos, word), exploded after everything else is projected away."""
@@ -18,18 +16,33 @@ def token_rows(df: DataFrame, ids: list[str], tokens: str | Column, name: str =
     return df.select(*ids, F.posexplode_outer(c).alias("pos", name)).where(F.col("pos").isNotNull())
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, key: str, spread_by: list[str],
-                how: str = "left", spread: int = SPREAD) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join rows with a table that has each key once.
 
-    A frequent word may sit on a third of all rows. The rows of one word are therefore
-    spread over ``spread`` buckets and the table is repeated once per bucket. No broadcast
-    is forced: a table whose measured size is small is broadcast by the engine anyway.
+    A frequent word may sit on a third of all rows. Adaptive execution splits such a partition by
+    its measured size and reads the table's part once for each piece; a table whose measured size
+    is small is broadcast instead. The table itself is never repeated.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int")
-    left = rows.withColumn("__salt", salt)
-    right = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    return rows.join(table, key, how)
+
+
+def words_not_in(df: DataFrame, ids: list[str], tokens: str | Column, table: DataFrame, name: str = "words") -> DataFrame:
+    """(ids, words) without the words of a table of any size; every id stays, order and repeats too."""
+    c = F.col(tokens) if isinstance(tokens, str) else tokens
+    rows = df.select(*ids, F.posexplode_outer(c).alias("pos", "word"))
+    marked = lookup_join(rows, table.select("word", F.lit(True).alias("__listed")).distinct(), "word")
+    grouped = regroup(marked, ids, F.when(F.col("__listed").isNull(), F.col("word")), name)
+    return grouped.withColumn(name, F.filter(name, lambda w: w.isNotNull()))
+
+
+def word_sums(df: DataFrame, ids: list[str], tokens: str | Column, table: DataFrame, value: str = "value") -> DataFrame:
+    """(ids, total) of a table (word, value) over the tokens, 0 for words outside it: valences, or 1 per
+    listed word for counts. Each document brings a word once, with its count."""
+    c = F.col(tokens) if isinstance(tokens, str) else tokens
+    rows = (df.select(*ids, K.term_counts(c).alias("__t")).select(*ids, F.inline_outer("__t"))
+            .select(*ids, F.col("term").alias("word"), "tf"))
+    found = lookup_join(rows, table.select("word", F.col(value).cast("double").alias("__v")), "word")
+    return found.groupBy(*ids).agg(F.coalesce(F.sum(F.col("__v") * F.col("tf")), F.lit(0.0)).alias("total"))
 
 
 def regroup(rows: DataFrame, ids: list[str], item: Column, name: str) -> DataFrame:
@@ -63,7 +76,7 @@ def lemmatize_with_table(df: DataFrame, ids: list[str], words: str | Column,
     """(ids, lemmatization) by a join with a (word, lemma) table; every id stays."""
     c = F.col(words) if isinstance(words, str) else words
     rows = df.select(*ids, F.posexplode_outer(c).alias("pos", "word"))
-    joined = lookup_join(rows, lemmas, "word", [*ids, "pos"])
+    joined = lookup_join(rows, lemmas, "word")
     grouped = regroup(joined, ids, F.coalesce("lemma", "word"), "lemmatization")
     return grouped.withColumn("lemmatization", F.filter("lemmatization", lambda w: w.isNotNull()))
 
@@ -71,7 +84,7 @@ def lemmatize_with_table(df: DataFrame, ids: list[str], words: str | Column,
 def tag_with_table(df: DataFrame, ids: list[str], tokens: str | Column, lexicon: DataFrame) -> DataFrame:
     """(ids, tagged) by a join with a (word, tag) table, suffix rules for the rest."""
     rows = token_rows(df, ids, tokens)
-    joined = lookup_join(rows, lexicon, "word", [*ids, "pos"])
+    joined = lookup_join(rows, lexicon, "word")
     guess = K.tag_word(F.col("word"), {"NN": [""]})
     return regroup(joined, ids, F.struct(F.col("word").alias("word"),
                                          F.coalesce("tag", guess).alias("tag")), "tagged")

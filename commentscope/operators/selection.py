@@ -13,18 +13,19 @@ from commentscope.plans.ordering import quantiles
 def label_correlation(long: DataFrame, labels: list[str]) -> DataFrame:
     """(feature, label, r): Pearson r of every feature with every label in one pass.
 
-    A constant feature or label gives null, not an error.
+    All moments of a pair are taken over the rows where both are known. A constant feature or
+    label gives null, not an error.
     """
-    x = F.col("value")
-    aggs = [F.min(x).alias("__lo"), F.max(x).alias("__hi"), F.stddev_pop(x).alias("__sx")]
+    x, aggs = F.col("value").cast("double"), []
     for l in labels:
         y = F.col(l).cast("double")
-        aggs += [F.covar_pop(x, y).alias(f"__c_{l}"), F.stddev_pop(y).alias(f"__s_{l}"),
-                 F.min(y).alias(f"__lo_{l}"), F.max(y).alias(f"__hi_{l}")]
+        both = x.isNotNull() & y.isNotNull()
+        px, py = F.when(both, x), F.when(both, y)
+        aggs += [F.covar_pop(px, py).alias(f"__c_{l}"), F.stddev_pop(px).alias(f"__x_{l}"), F.stddev_pop(py).alias(f"__y_{l}"),
+                 (F.min(px) < F.max(px)).alias(f"__vx_{l}"), (F.min(py) < F.max(py)).alias(f"__vy_{l}")]
     agg = long.groupBy("feature").agg(*aggs)
-    r = lambda l: F.when(
-        (F.col("__lo") < F.col("__hi")) & (F.col(f"__lo_{l}") < F.col(f"__hi_{l}")),
-        F.try_divide(F.col(f"__c_{l}"), F.col("__sx") * F.col(f"__s_{l}")))
+    r = lambda l: F.when(F.col(f"__vx_{l}") & F.col(f"__vy_{l}"),
+                         F.try_divide(F.col(f"__c_{l}"), F.col(f"__x_{l}") * F.col(f"__y_{l}")))
     return agg.select("feature", *[r(l).alias(l) for l in labels]).unpivot(
         ["feature"], labels, "label", "r")
 

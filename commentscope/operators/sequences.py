@@ -20,7 +20,7 @@ def texts_to_sequences(df: DataFrame, key: str, tokens: str | Column, vocab: Dat
     """(key, seq): known words as indexes in text order; a text without any keeps an empty list."""
     c = F.col(tokens) if isinstance(tokens, str) else tokens
     rows = df.select(key, F.posexplode_outer(c).alias("pos", "word"))
-    found = lookup_join(rows, vocab.select("word", "idx"), "word", [key, "pos"])
+    found = lookup_join(rows, vocab.select("word", "idx"), "word")
     pairs = F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx")))
     grouped = found.groupBy(key).agg(F.sort_array(pairs).alias("__a"))
     return grouped.select(key, F.transform("__a", lambda t: t["idx"]).alias("seq"))

@@ -21,13 +21,13 @@ def uniform_from(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(STEPS)) / F.lit(float(STEPS))
 
 
-def lookup_vectors(rows: DataFrame, vectors: DataFrame, k: int, spread_by: list[str],
+def lookup_vectors(rows: DataFrame, vectors: DataFrame, k: int,
                    fill: Callable[[Column], Column] | None = None) -> DataFrame:
     """Left join of (…, word) with (word, vec): the first k numbers, zeros where unseen."""
     zeros = F.array_repeat(F.lit(0.0), k)
     found = F.transform(F.slice("vec", 1, k), lambda x: x.cast("double"))
     missing = zeros if fill is None else fill(F.col("word"))
-    joined = lookup_join(rows, vectors.select("word", "vec"), "word", spread_by)
+    joined = lookup_join(rows, vectors.select("word", "vec"), "word")
     return joined.withColumn("vec", F.coalesce(found, F.when(F.col("word").isNull(), zeros).otherwise(missing)))
 
 
@@ -47,7 +47,7 @@ def document_vectors(df: DataFrame, key: str, tokens: str | Column, vectors: Dat
         return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                            lambda i: uniform_from(word, i, F.lit(seed)))
 
-    seen = lookup_vectors(rows, vectors, k, [key], fill if fill_missing else None)
+    seen = lookup_vectors(rows, vectors, k, fill if fill_missing else None)
     mean = Summarizer.mean(array_to_vector(F.col("vec")), F.col("tf").cast("double"))
     return seen.groupBy(key).agg(mean.alias("__m")).select(key, vector_to_array("__m").alias("vec"))
 

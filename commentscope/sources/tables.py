@@ -13,6 +13,11 @@ LABELS = ["toxic", "severe_toxic", "obscene", "threat", "insult", "identity_hate
 TEXT_SCHEMA = "id string, comment_text string"
 LABEL_SCHEMA = "id string, " + ", ".join(f"{l} int" for l in LABELS)
 TRAIN_SCHEMA = TEXT_SCHEMA + ", " + ", ".join(f"{l} int" for l in LABELS)
+#: Stands for null in CSV files, so that an empty text stays an empty text.
+NULL_MARK = "\\N"
+#: Blanks at the ends of a text are part of it.
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": NULL_MARK}
+
 SCORE_SCHEMA = "model string, " + ", ".join(f"{m} double" for m in METRICS)
 
 
@@ -22,8 +27,7 @@ def read_table(spark: SparkSession, path: str, schema: str, index_column: bool =
     A leading index column is named in the schema and dropped.
     """
     full = f"__index string, {schema}" if index_column else schema
-    df = (spark.read.schema(full).option("header", True).option("multiLine", True)
-               .option("quote", '"').option("escape", '"').csv(path))
+    df = spark.read.schema(full).options(header=True, multiLine=True, emptyValue="", **CSV_TEXT).csv(path)
     return df.drop("__index") if index_column else df
 
 
@@ -33,8 +37,14 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless one-column file as distinct words."""
-    return spark.read.schema("word string").csv(path).where("word is not null").distinct()
+    """Headerless one-column file as distinct words: a line is a word, whatever signs it holds.
+
+    A line in double quotes is taken without them, doubled quotes inside as one.
+    """
+    line = F.regexp_replace("value", "\r$", "")
+    quoted = (F.length(line) >= 2) & line.startswith('"') & line.endswith('"')
+    bare = F.replace(F.substring(line, F.lit(2), F.length(line) - 2), F.lit('""'), F.lit('"'))
+    return spark.read.text(path).select(F.when(quoted, bare).otherwise(line).alias("word")).where("word <> ''").distinct()
 
 
 def read_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,15 +56,25 @@ def read_scores(spark: SparkSession, folder: str) -> DataFrame:
 def read_word_vectors(spark: SparkSession, path: str, k: int | None = None) -> DataFrame:
     """(word, vec) from text lines ``word v1 ... vk``; a header line of two fields is left out.
 
-    Limit a large vocabulary by joining it with the words of the corpus, not by file order.
+    With ``k``, the last k fields are the vector and all before them the word, which may hold blanks.
+    Lines that are no vector are given by ``rejected_word_vectors``. Limit a large vocabulary by
+    joining it with the words of the corpus, not by file order.
     """
-    parts = F.split(F.rtrim("value"), " ")
-    size = F.size("p") - 1
-    vec = F.transform(F.slice("p", F.lit(2), size), lambda x: x.cast("float"))
-    rows = spark.read.text(path).select(parts.alias("p")).where(F.size("p") > 2)
-    if k is not None:
-        rows = rows.where(F.size("p") == k + 1)
-    return rows.select(F.get("p", F.lit(0)).alias("word"), vec.alias("vec"))
+    return _vector_lines(spark, path, k).where("vec IS NOT NULL").select("word", "vec")
+
+
+def rejected_word_vectors(spark: SparkSession, path: str, k: int | None = None) -> DataFrame:
+    """The lines that ``read_word_vectors`` leaves out, but for a header line."""
+    return _vector_lines(spark, path, k).where("vec IS NULL AND size(p) > 2").select("value")
+
+
+def _vector_lines(spark: SparkSession, path: str, k: int | None) -> DataFrame:
+    rows = spark.read.text(path).withColumn("p", F.split(F.rtrim("value"), " "))
+    cut = F.lit(1) if k is None else F.size("p") - k
+    numbers = F.transform(F.slice("p", cut + 1, F.greatest(F.size("p") - cut, F.lit(0))), lambda x: x.try_cast("float"))
+    whole = (F.size("p") > 2) & (cut >= 1)
+    rows = rows.withColumn("vec", F.when(whole, numbers)).withColumn("word", F.when(whole, F.array_join(F.slice("p", F.lit(1), cut), " ")))
+    return rows.withColumn("vec", F.when(~F.exists("vec", lambda x: x.isNull()), F.col("vec")))
 
 
 def write_word_vectors(vectors: DataFrame, path: str) -> None:
@@ -72,7 +92,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace a table; CSV gets a header and keeps quotes readable by ``read_table``."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        w.options(header=True, emptyValue='""', **CSV_TEXT).csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -24,9 +24,10 @@ def errors_of(scored: DataFrame, key: str) -> DataFrame:
 
 def score_stream(spark: SparkSession, source: str, schema: str, key: str, text: str, scorer: Scorer,
                  width: int, scores_path: str, errors_path: str, checkpoint: str,
-                 files_per_batch: int = 1):
-    """Score the files of a folder in small batches until none is left, then stop.
+                 files_per_batch: int = 1000):
+    """Score the files that a path or pattern names in batches until none is left, then stop.
 
+    A batch is paced by its number of files; null texts are empty.
     The checkpoint makes a restart go on where it stopped; each batch replaces its own
     folder, so a batch that runs twice is stored once.
     """
@@ -40,5 +41,6 @@ def score_stream(spark: SparkSession, source: str, schema: str, key: str, text:
         finally:
             scored.unpersist()
 
+    rows = rows.withColumn(text, F.coalesce(text, F.lit("")))
     return (score_comments(rows, key, text, scorer, width).writeStream.foreachBatch(store)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -54,10 +54,11 @@ def test_adaboost_matches_a_direct_computation(spark):
             if best is None or gini < best[0] - 1e-12:
                 best = (gini, left, shares)
         _, left, shares = best
-        q = np.clip(np.where(left, shares[0], shares[1]), 1e-7, 1 - 1e-7)
+        q = np.clip(np.where(left, shares[0], shares[1]), 2 ** -52, 1 - 2 ** -52)
         h = 0.5 * np.log(q / (1 - q))
         total += h
-        w = w * np.exp(np.clip(-np.where(y == 1, 1, -1) * h, -30, 30))
+        w = w * np.exp(-np.where(y == 1, 1, -1) * h)
+        w = w / w.sum()
     assert np.allclose(p, 1 / (1 + np.exp(-2 * total / 3)), atol=1e-6)
 
 

@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from commentscope.functions import features as X
 from commentscope.functions import tokens as K
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
+from commentscope.operators import learners as B
 from commentscope.operators import lookups as J
 from commentscope.operators import metrics as M
 from commentscope.operators import reports as R
@@ -190,17 +192,6 @@ def test_tfidf_of_two_documents(spark):
     assert got["bb cc"]["score"] == pytest.approx(0.814802, abs=1e-6)
 
 
-def test_tfidf_hot_and_cold_ways_agree(spark, monkeypatch):
-    rng = random.Random(7)
-    docs = [(i, ["the"] + [f"w{rng.randint(0, 60)}" for _ in range(8)]) for i in range(200)]
-    df = spark.createDataFrame(docs, "id long, w array<string>")
-    results = []
-    for share in (0, 3, 1000):  # no hot terms, some, all
-        monkeypatch.setattr(C, "HOT_SHARE", share)
-        results.append({r["term"]: round(r["score"], 9) for r in C.term_tfidf(df, "id", F.col("w")).collect()})
-    assert results[0] == results[1] == results[2] and len(results[0]) > 30
-
-
 def test_sentiment_buckets(spark):
     df = spark.createDataFrame([(x,) for x in (-0.06, -0.05, 0.0, 0.05, 0.06)], "c double")
     r = C.sentiment_buckets(df, "c").first()
@@ -311,3 +302,54 @@ def test_density_integrates_to_one(spark):
     df = spark.createDataFrame([("k", x) for x in xs], "feature string, value double")
     got = C.density(df, "feature", "value", 200).orderBy("point").toPandas()
     assert math.isclose(np.trapezoid(got.density, got.x), 1.0, abs_tol=0.01)
+
+
+def test_correlation_over_complete_pairs(spark):
+    xs = [1.0, None, 2.0, 4.0, None, 7.0, 3.0]
+    ys = [0, 1, 0, 1, 1, 1, None]
+    df = spark.createDataFrame([("f", x, y) for x, y in zip(xs, ys)], "feature string, value double, l int")
+    pairs = [(x, y) for x, y in zip(xs, ys) if x is not None and y is not None]
+    want = np.corrcoef(*zip(*pairs))[0, 1]
+    assert Z.label_correlation(df, ["l"]).first()["r"] == pytest.approx(want)
+
+
+def test_plurals_of_category_words_count(spark):
+    df = spark.createDataFrame([(1, "racists and bigots are idiots")], "id long, comment_text string")
+    row = X.add_features(df, ["num_bad_identity_hate", "num_bad_toxic"]).first()
+    assert (row["num_bad_identity_hate"], row["num_bad_toxic"]) == (2, 1)
+    own = X.add_features(df, ["num_bad_x"], categories={"x": ["and", "racist"]}).first()
+    assert own["num_bad_x"] == 1
+
+
+def test_join_forms_of_stop_words_and_valences(spark):
+    df = spark.createDataFrame([(1, ["the", "cat", "the", "hat"]), (2, []), (3, ["the"])], "id long, w array<string>")
+    stop = spark.createDataFrame([("the",), ("hat",)], "word string")
+    assert {r["id"]: r["words"] for r in J.words_not_in(df, ["id"], "w", stop).collect()} == {1: ["cat"], 2: [], 3: []}
+    values = spark.createDataFrame([("the", 0.5), ("hat", -2.0)], "word string, value double")
+    assert {r["id"]: r["total"] for r in J.word_sums(df, ["id"], "w", values).collect()} == {1: -1.0, 2: 0.0, 3: 0.5}
+
+
+def test_csv_keeps_blanks_empty_texts_and_nulls(spark, tmp_path):
+    texts = ["  lead and trail  ", "tab\tend\t", "", None, "a\r\nb", 'x "y", z', "\\", "   "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id string, comment_text string")
+    IO.write_table(df, str(tmp_path / "c"), "csv")
+    got = {r["id"]: r["comment_text"] for r in IO.read_table(spark, str(tmp_path / "c"), IO.TEXT_SCHEMA).collect()}
+    assert got == {str(i): t for i, t in enumerate(texts)}
+
+
+def test_word_list_lines_are_words(spark, tmp_path):
+    (tmp_path / "w.txt").write_text('x,y\n"say ""so"""\n lead\n\nx,y\n')
+    assert {r["word"] for r in IO.read_words(spark, str(tmp_path / "w.txt")).collect()} == {"x,y", 'say "so"', " lead"}
+
+
+def test_word_vectors_with_blanks_and_rejected_lines(spark, tmp_path):
+    (tmp_path / "v.txt").write_text("2 2\nnew york 1 2\nok 3 4\nbad 5 x\n")
+    got = {r["word"]: r["vec"] for r in IO.read_word_vectors(spark, str(tmp_path / "v.txt"), 2).collect()}
+    assert got == {"new york": [1.0, 2.0], "ok": [3.0, 4.0]}
+    assert [r["value"] for r in IO.rejected_word_vectors(spark, str(tmp_path / "v.txt"), 2).collect()] == ["bad 5 x"]
+
+
+def test_forests_deeper_than_the_engine_grows_are_refused():
+    assert B.random_forest(10, 30).getMaxDepth() == 30
+    with pytest.raises(ValueError, match="30"):
+        B.random_forest(10, 100)
