@@ -27,7 +27,7 @@ from commentscope.operators import selection as Z
 from commentscope.operators import sequences as Q
 from commentscope.operators import vectors as V
 from commentscope.plans.long_form import exploded, label_rows, unpivot_columns, unpivot_vector
-from commentscope.plans.ordering import pinned
+from commentscope.plans.ordering import pinned, row_numbers
 from commentscope.sources import tables as IO
 from commentscope.streaming import scoring as G
 
@@ -73,7 +73,16 @@ def _(t):
     return unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x")
 
 
-@query("doc_embedding_mean_filled")
+DRAWN_SQL = "(('0x' || md5(word || ':' || i || ':{}')[1:8])::BIGINT / 4294967296.0::DOUBLE)"
+FILLED_SQL = [*VECTORS_SQL, f"fw AS (SELECT DISTINCT word, i AS dim, {DRAWN_SQL.format(7)} AS x FROM (SELECT DISTINCT word FROM tk), range({DIMS}) r(i) "
+              "WHERE word NOT IN (SELECT word FROM vc) UNION ALL SELECT word, dim, x FROM wv)"]
+
+
+@query("doc_embedding_mean_filled", chain(*FILLED_SQL, "c AS (SELECT doc_id, word, count(*) AS n FROM tk GROUP BY ALL)",
+       "s AS (SELECT doc_id, sum(n) AS n FROM c GROUP BY doc_id)",
+       "z AS (SELECT doc_id, dim, sum(x * n) AS x FROM c JOIN fw USING (word) GROUP BY ALL)") +
+       f"SELECT d.doc_id, 'd' || r.i AS dim, round(coalesce(z.x, 0.0) / coalesce(s.n, 1), 6) AS x FROM d CROSS JOIN range({DIMS}) r(i) "
+       "LEFT JOIN s USING (doc_id) LEFT JOIN z ON z.doc_id = d.doc_id AND z.dim = r.i")
 def _(t):
     vecs = V.document_vectors(words_of(t), "doc_id", "a", word_vectors(t), DIMS, fill_missing=True, seed=7)
     return unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x")
@@ -122,9 +131,20 @@ def _(t):
     return sequences(t).select("doc_id", numbers_text(Q.pad_front(F.col("seq"), 100)).alias("seq"))
 
 
-@query("embedding_matrix")
+# every word has a row; words seen once have no vector
+MATRIX_SQL = [*VECTORS_SQL, "al AS (SELECT word, count(*) AS n FROM tk GROUP BY word)",
+              "ix AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS idx FROM al)",
+              "st2 AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM wv)"]
+NORMAL_SQL = ("m + s * sqrt(-2.0 * ln(" + DRAWN_SQL.format("0:1") + " + 0.5 / 4294967296.0::DOUBLE)) * cos(6.283185307179586::DOUBLE * ("
+              + DRAWN_SQL.format("0:2") + " + 0.5 / 4294967296.0::DOUBLE))")
+
+
+@query("embedding_matrix", chain(*MATRIX_SQL) + f"SELECT word, idx, 'd' || i AS dim, round(coalesce(x, {NORMAL_SQL}), 6) AS x FROM (SELECT ix.word, ix.idx, r.i, wv.x, st2.m, st2.s "
+       f"FROM ix CROSS JOIN range({DIMS}) r(i) CROSS JOIN st2 LEFT JOIN wv ON wv.word = ix.word AND wv.dim = r.i)")
 def _(t):
-    matrix = V.embedding_matrix(Q.vocab_index(words_of(t), "a", 2000), word_vectors(t), DIMS)
+    vocab = J.corpus_vocabulary(words_of(t), "a")
+    ranked = row_numbers(vocab.withColumn("below", -F.col("n")), ["below", "word"], "idx")
+    matrix = V.embedding_matrix(ranked, word_vectors(t), DIMS)
     return unpivot_vector(matrix, ["word", "idx"], "vec", "dim", "x")
 
 
@@ -205,10 +225,19 @@ def _(t):
     return Z.correlation_matrix(vector_wide(t), WIDE)
 
 
-@query("drop_collinear")
+COLLINEAR_CUT = 0.1
+
+
+@query("drop_collinear", "WITH RECURSIVE " + chain(*CORR_SQL, "pr AS (SELECT a.feature AS a, b.feature AS b, corr(a.value, b.value) AS r FROM lg a JOIN lg b USING (vec_id) GROUP BY 1, 2)",
+       f"cl AS (SELECT a, list(b) AS clash FROM pr WHERE a <> b AND abs(r) > {COLLINEAR_CUT} GROUP BY a)", "sg AS (SELECT feature, max(abs(r)) AS m FROM cr GROUP BY feature)",
+       "rk AS (SELECT feature, m, coalesce(clash, []) AS clash, row_number() OVER (ORDER BY m DESC NULLS LAST, feature) AS i FROM sg LEFT JOIN cl ON a = feature)",
+       "g(i, kept, feature, m, ok) AS (SELECT 0::BIGINT, []::VARCHAR[], NULL::VARCHAR, NULL::DOUBLE, NULL::BOOLEAN UNION ALL "
+       "SELECT rk.i, CASE WHEN len(list_intersect(g.kept, rk.clash)) = 0 THEN list_append(g.kept, rk.feature) ELSE g.kept END, rk.feature, rk.m, "
+       "len(list_intersect(g.kept, rk.clash)) = 0 FROM g JOIN rk ON rk.i = g.i + 1)").removeprefix("WITH ") +
+       "SELECT feature, round(m, 6) AS max_abs_r, ok AS kept FROM g WHERE i > 0")
 def _(t):
     strength = correlations(t).groupBy("feature").agg(F.max(F.abs("r")).alias("max_abs_r"))
-    return Z.drop_collinear(Z.correlation_matrix(vector_wide(t), WIDE), strength.where(F.col("feature").isin(WIDE)), 0.1)
+    return Z.drop_collinear(Z.correlation_matrix(vector_wide(t), WIDE), strength, COLLINEAR_CUT)
 
 
 SCALED_SQL = ", ".join(f"round((w.{c} - lo.{c}) / CASE WHEN hi.{c} > lo.{c} THEN hi.{c} - lo.{c} ELSE 1 END, 6) + 0.0 AS {c}_scaled" for c in WIDE)
@@ -318,7 +347,7 @@ def _(t):
     return A.kfold_contiguous(t.read("documents"), "doc_id", 5)
 
 
-@query("kfold_shuffled")
+@query("kfold_shuffled", "SELECT doc_id, ('0x' || md5(doc_id || ':11')[1:8])::BIGINT % 5 AS fold FROM documents")
 def _(t):
     return A.kfold_shuffled(t.read("documents").select("doc_id"), "doc_id", 5, 11)
 
@@ -363,7 +392,11 @@ def _(t):
     return A.class_weights(label_rows(t.labels, [], TEXT_LABELS))
 
 
-@query("leak_free_oversample_folds")
+@query("leak_free_oversample_folds", chain(LABELS_SQL, "b AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM l)",
+       "f AS (SELECT toxic, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE n % 5 + (i - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) END AS fold FROM b)",
+       "c AS (SELECT k AS held_out, CASE WHEN fold = k THEN 'test' ELSE 'train' END AS part, toxic, count(*) AS n FROM f, range(5) r(k) GROUP BY ALL)") +
+       "SELECT a.held_out, a.part, a.toxic::BIGINT AS toxic, CASE WHEN a.part = 'train' AND a.toxic = 1 THEN greatest(a.n, floor(0.5 * b.n)::BIGINT) ELSE a.n END AS n "
+       "FROM c a LEFT JOIN c b ON a.held_out = b.held_out AND a.part = b.part AND b.toxic = 1 - a.toxic")
 def _(t):
     folds = A.kfold_contiguous(t.labels, "doc_id", 5)
     parts = []
@@ -614,6 +647,22 @@ def _(t):
     return B.class_moments(vector_long(t), VECTOR_LABELS)
 
 
+def bayes_sql(fit, score):
+    """CTEs up to pb (vec_id, labels, label, y, p1): Gaussian classes fitted where ``fit`` holds, scored where ``score`` holds.
+    Every variance is raised by 1e-9 of the largest variance of a feature."""
+    per = lambda l: (f"SELECT {q(l)} AS label, feature, {l} AS y, count(*) AS n, avg(value) AS mu, var_pop(value) AS v FROM fl WHERE {fit} GROUP BY feature, {l}")
+    return [*LONG_SQL, "fl AS MATERIALIZED (SELECT *, ('0x' || md5(vec_id || ':3')[1:8])::BIGINT % 5 AS fold FROM lg)",
+            f"ep AS (SELECT 1e-9 * max(v) AS e FROM (SELECT var_pop(value) AS v FROM fl WHERE {fit} GROUP BY feature))",
+            "cm AS (" + " UNION ALL ".join(per(l) for l in VECTOR_LABELS) + ")",
+            "lk AS (SELECT vec_id, label, y, any_value(ln(n)) + sum(-0.5 * ln(2 * pi() * (v + e)) - (value - mu) ** 2 / (2 * (v + e))) AS s "
+            f"FROM fl JOIN cm USING (feature), ep WHERE {score} GROUP BY vec_id, label, y)",
+            "pb AS (SELECT a.vec_id, a.label, 1 / (1 + exp(b.s - a.s)) AS p1 FROM lk a JOIN lk b ON a.vec_id = b.vec_id AND a.label = b.label AND a.y = 1 AND b.y = 0)"]
+
+
+BAYES_SQL = chain(*bayes_sql("fold <> 0", "fold = 0"))
+BAYES_COLUMNS = ", ".join(f"round(max(p1) FILTER (label = {q(l)}), 6) AS {{}}{l}" for l in VECTOR_LABELS)
+
+
 def training(t):
     """Vectors with labels and shuffled folds, written once for the many fits."""
     rows = ML.vector_from_array(t.embedded, "embedding").select("vec_id", *VECTOR_LABELS, "features")
@@ -682,7 +731,8 @@ def _(t):
     return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.random_forest(20, 6)))
 
 
-@query("gaussian_naive_bayes")
+@query("gaussian_naive_bayes", BAYES_SQL + "SELECT vec_id, " + ", ".join(f"any_value({l})::BIGINT AS {l}" for l in VECTOR_LABELS) + ", " +
+       BAYES_COLUMNS.replace("{}", "p_") + " FROM pb JOIN e USING (vec_id) GROUP BY vec_id")
 def _(t):
     return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
 
@@ -709,16 +759,17 @@ def _(t):
     return ML.kfold_evaluate(training(t), "vec_id", VECTOR_LABELS, fit)
 
 
-@query("model_save_load")
+@query("model_save_load", chain(*bayes_sql("true", "true")) + "SELECT vec_id, any_value(low)::BIGINT AS low, round(max(p1) FILTER (label = 'low'), 6) AS p_low "
+       "FROM pb JOIN e USING (vec_id) GROUP BY vec_id")
 def _(t):
     rows = training(t)
-    model = ML.fit_one(B.logistic_regression(rows.count()), rows, "low")
+    model = ML.fit_one(B.gaussian_naive_bayes(), rows, "low")
     path = scratch(t, "model")
     ML.save_model([model], path)
     return ML.add_probability(ML.load_model(path), rows, "low").select("vec_id", "low", "p_low")
 
 
-@query("sink_predictions")
+@query("sink_predictions", BAYES_SQL + "SELECT vec_id, " + BAYES_COLUMNS.replace("{}", "") + " FROM pb GROUP BY vec_id")
 def _(t):
     out = held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
     path = scratch(t, "predictions")

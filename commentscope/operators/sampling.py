@@ -23,7 +23,8 @@ def kfold_contiguous(df: DataFrame, key: str, k: int = 5) -> DataFrame:
 
 def kfold_shuffled(df: DataFrame, key: str, k: int = 5, seed: int = 0) -> DataFrame:
     """Add a fold drawn from a hash of the key: repeatable and without a shuffle."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
+    first = F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), 1, 8)
+    return df.withColumn("fold", F.pmod(F.conv(first, 16, 10).cast("long"), F.lit(k)).cast("int"))
 
 
 def tail_split(df: DataFrame, key: str, share: float) -> DataFrame:

@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from commentscope.functions import tokens as K
 from commentscope.operators.lookups import lookup_join
 
-STEPS = 2 ** 20
+STEPS = 2 ** 32
 
 
 def uniform_from(*keys: Column) -> Column:
-    """Repeatable number in [0, 1) drawn from a hash of the keys."""
-    return F.pmod(F.xxhash64(*keys), F.lit(STEPS)) / F.lit(float(STEPS))
+    """Repeatable number in [0, 1) drawn from the first 32 bits of the keys' md5."""
+    first = F.substring(F.md5(F.concat_ws(":", *[k.cast("string") for k in keys])), 1, 8)
+    return F.conv(first, 16, 10).cast("double") / F.lit(float(STEPS))
 
 
 def lookup_vectors(rows: DataFrame, vectors: DataFrame, k: int,
