@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import sys
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol,
                                      HasRawPredictionCol, HasWeightCol)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentscope.plans.ordering import pinned
@@ -127,6 +128,23 @@ class AdaBoostModel(Model, _BoostParams):
         super().__init__()
         self.stumps = stumps or []
 
+    SAVED_AS = "commentscope.AdaBoostModel"
+
+    def save(self, path: str) -> None:
+        """The stumps as one pipeline, and the column names beside it."""
+        names = {p.name: self.getOrDefault(p) for p in self.params if p.name.endswith("Col") and self.isDefined(p)}
+        PipelineModel(self.stumps).write().overwrite().save(f"{path}/stumps")
+        meta = json.dumps({"class": self.SAVED_AS, "columns": names})
+        SparkSession.active().createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+
+    @classmethod
+    def load(cls, path: str) -> "AdaBoostModel":
+        meta = json.loads(SparkSession.active().read.text(f"{path}/metadata").head()[0])
+        model = cls(PipelineModel.load(f"{path}/stumps").stages)
+        for name, value in meta["columns"].items():
+            model.set(model.getParam(name), value)
+        return model
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df.withColumn("__sum", F.lit(0.0))
         for stump in self.stumps:

@@ -1,13 +1,15 @@
 """Problem transforms for multi-label classification, grid search and cross-validation.
 
-Every ``fit_*`` returns a function DataFrame -> DataFrame that adds ``p_<label>``, the
-probability of each label.
+Every ``fit_*`` returns a ``FittedTransform``: called on a DataFrame it adds ``p_<label>``, the
+probability of each label; it can be saved and loaded.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import OneVsRest
@@ -15,11 +17,13 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentscope.operators import metrics as M
+from commentscope.operators.learners import AdaBoostModel
 from commentscope.operators.reports import METRICS, union_tables
+from commentscope.plans.ordering import pinned
 
 Predictor = Callable[[DataFrame], DataFrame]
 SCRATCH = ["__prediction", "__probability", "__raw", "__label"]
@@ -55,78 +59,99 @@ def add_probability(model, df: DataFrame, label: str) -> DataFrame:
     return out.withColumn(f"p_{label}", vector_to_array("__probability")[1]).drop(*SCRATCH)
 
 
-def fit_binary_relevance(df: DataFrame, labels: list[str], est: Estimator | dict[str, Estimator],
-                         features: str = "features", parallelism: int = 3) -> Predictor:
-    """One independent model per label, or one with its own settings each; fits overlap."""
-    pick = lambda l: est[l] if isinstance(est, dict) else est
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = dict(zip(labels, pool.map(lambda l: fit_one(pick(l), df, l, features), labels)))
+@dataclass
+class FittedTransform:
+    """A problem transform with its fitted models: called on rows, it adds ``p_<label>``. It can be saved."""
+
+    kind: str
+    labels: list[str]
+    features: str
+    models: list
+    combos: list[str] = field(default_factory=list)
+    binary_only: bool = False
 
-    def predict(rows: DataFrame) -> DataFrame:
-        for l in labels:
-            rows = add_probability(models[l], rows, l)
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        return getattr(self, f"_{self.kind}")(rows)
+
+    def _binary_relevance(self, rows: DataFrame) -> DataFrame:
+        for l, model in zip(self.labels, self.models):
+            rows = add_probability(model, rows, l)
         return rows
 
-    predict.models = models
-    return predict
+    def _classifier_chain(self, rows: DataFrame) -> DataFrame:
+        for j, (l, model) in enumerate(zip(self.labels, self.models)):
+            rows = add_probability(model, with_previous(rows, self.features, [f"__y{i}" for i in range(j)]), l)
+            rows = rows.drop("__chain").withColumn(f"__y{j}", (F.col(f"p_{l}") >= 0.5).cast("double"))
+        return rows.drop(*[f"__y{j}" for j in range(len(self.labels))])
+
+    def _label_powerset(self, rows: DataFrame) -> DataFrame:
+        if not self.models:
+            return rows.withColumns({f"p_{l}": F.lit(float(self.combos[0][i])) for i, l in enumerate(self.labels)})
+        out = self.models[0].transform(rows)
+        if self.binary_only:
+            out = out.withColumn("__shares", F.transform(vector_to_array("__raw"), lambda x: 1.0 / (1.0 + F.exp(-x))))
+        else:
+            out = out.withColumn("__shares", vector_to_array("__probability"))
+        out = out.withColumn("__total", F.aggregate("__shares", F.lit(0.0), lambda a, x: a + x))
+        for i, l in enumerate(self.labels):
+            p = F.lit(0.0)
+            for c, combo in enumerate(self.combos):
+                if combo[i] == "1":
+                    p = p + F.get("__shares", F.lit(c))
+            out = out.withColumn(f"p_{l}", p / F.col("__total"))
+        return out.drop(*SCRATCH, "__shares", "__total")
+
+    def save(self, path: str) -> None:
+        """One folder per model, and the description as one line of JSON, in a file system that Spark reaches."""
+        for i, model in enumerate(self.models):
+            save_model([model], f"{path}/model-{i}")
+        spec = {"kind": self.kind, "labels": self.labels, "features": self.features, "combos": self.combos,
+                "binary_only": self.binary_only, "models": len(self.models)}
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/spec")
 
+    @staticmethod
+    def load(path: str) -> FittedTransform:
+        spec = json.loads(SparkSession.active().read.text(f"{path}/spec").head()[0])
+        return FittedTransform(models=[load_model(f"{path}/model-{i}") for i in range(spec.pop("models"))], **spec)
 
-def fit_classifier_chain(df: DataFrame, labels: list[str], est: Estimator,
-                         features: str = "features") -> Predictor:
-    """Label j also sees the labels before it: the true ones in training, the predicted ones after."""
-    def with_previous(rows: DataFrame, previous: list[str]) -> DataFrame:
-        return VectorAssembler(inputCols=[features, *previous], outputCol="__chain").transform(rows)
 
-    models = []
-    for j, l in enumerate(labels):
-        models.append(fit_one(est, with_previous(df, labels[:j]), l, "__chain"))
+def with_previous(rows: DataFrame, features: str, previous: list[str]) -> DataFrame:
+    return VectorAssembler(inputCols=[features, *previous], outputCol="__chain").transform(rows)
 
-    def predict(rows: DataFrame) -> DataFrame:
-        for j, l in enumerate(labels):
-            rows = add_probability(models[j], with_previous(rows, [f"__y{i}" for i in range(j)]), l)
-            rows = rows.drop("__chain").withColumn(f"__y{j}", (F.col(f"p_{l}") >= 0.5).cast("double"))
-        return rows.drop(*[f"__y{j}" for j in range(len(labels))])
 
-    return predict
+def fit_binary_relevance(df: DataFrame, labels: list[str], est: Estimator | dict[str, Estimator],
+                         features: str = "features", parallelism: int = 3) -> FittedTransform:
+    """One independent model per label, or one with its own settings each; fits overlap."""
+    pick = lambda l: est[l] if isinstance(est, dict) else est
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(lambda l: fit_one(pick(l), df, l, features), labels))
+    return FittedTransform("binary_relevance", list(labels), features, models)
+
+
+def fit_classifier_chain(df: DataFrame, labels: list[str], est: Estimator,
+                         features: str = "features") -> FittedTransform:
+    """Label j also sees the labels before it: the true ones in training, the predicted ones after."""
+    models = [fit_one(est, with_previous(df, features, labels[:j]), l, "__chain") for j, l in enumerate(labels)]
+    return FittedTransform("classifier_chain", list(labels), features, models)
 
 
 def fit_label_powerset(df: DataFrame, labels: list[str], est: Estimator, features: str = "features",
-                       binary_only: bool = False) -> Predictor:
+                       binary_only: bool = False) -> FittedTransform:
     """Each combination of labels seen in training is one class; a label's probability is the
     sum over the classes that hold it. A two-class learner is wrapped one-versus-rest."""
     tagged = df.withColumn("__combo", F.concat_ws("", *[F.col(l).cast("string") for l in labels]))
-    indexer = StringIndexer(inputCol="__combo", outputCol="__class",
-                            stringOrderType="alphabetAsc").fit(tagged)
-    combos = indexer.labels
+    indexer = StringIndexer(inputCol="__combo", outputCol="__class", stringOrderType="alphabetAsc").fit(tagged)
+    combos = list(indexer.labels)
     indexed = indexer.transform(tagged)
     if len(combos) < 2:
-        fixed = combos[0]
-        return lambda rows: rows.withColumns({f"p_{l}": F.lit(float(fixed[i])) for i, l in enumerate(labels)})
-    if binary_only:
-        base = configured(est, features)
-        model = OneVsRest(classifier=base, featuresCol=features, labelCol="__class",
-                          predictionCol="__prediction", rawPredictionCol="__raw").fit(indexed)
+        models = []
+    elif binary_only:
+        models = [OneVsRest(classifier=configured(est, features), featuresCol=features, labelCol="__class",
+                            predictionCol="__prediction", rawPredictionCol="__raw").fit(indexed)]
     else:
-        model = fit_one(est, indexed, "__class", features)
-
-    def predict(rows: DataFrame) -> DataFrame:
-        out = model.transform(rows)
-        if binary_only:
-            raw = F.transform(vector_to_array("__raw"), lambda x: 1.0 / (1.0 + F.exp(-x)))
-            out = out.withColumn("__shares", raw)
-        else:
-            out = out.withColumn("__shares", vector_to_array("__probability"))
-        total = F.aggregate("__shares", F.lit(0.0), lambda a, x: a + x)
-        out = out.withColumn("__total", total)
-        for i, l in enumerate(labels):
-            hits = [F.get("__shares", F.lit(c)) for c, combo in enumerate(combos) if combo[i] == "1"]
-            p = F.lit(0.0)
-            for h in hits:
-                p = p + h
-            out = out.withColumn(f"p_{l}", p / F.col("__total"))
-        return out.drop(*SCRATCH, "__shares", "__total")
-
-    return predict
+        models = [fit_one(est, indexed, "__class", features)]
+    return FittedTransform("label_powerset", list(labels), features, models, combos, binary_only)
 
 
 TRANSFORMS = {"binary_relevance": fit_binary_relevance, "classifier_chain": fit_classifier_chain,
@@ -166,9 +191,37 @@ def kfold_evaluate(df: DataFrame, key: str, labels: list[str], fit: Callable[[Da
     return M.evaluate(union_tables(parts), key, ["fold"]).select("fold", *METRICS)
 
 
+def kfold_score(df: DataFrame, key: str, labels: list[str], fit: Callable[[DataFrame], Predictor], score: str,
+                fold_col: str = "fold", folds: int = 5) -> DataFrame:
+    """(score, mean, std): one named score of all labels together over the folds of an integer column."""
+    scores = kfold_evaluate(df, key, labels, fit, fold_col, folds)
+    return scores.agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std")).select(F.lit(score).alias("score"), "mean", "std")
+
+
+def grid_search_transform(df: DataFrame, key: str, labels: list[str], transform: Callable, est: Estimator, grid: list[dict],
+                          score: str = "f1_weighted", fold_col: str = "fold", folds: int = 5):
+    """(best fitted transform, table of grid points): a problem transform is fitted with every point of the
+    grid, and its score over all labels is averaged over the folds. Ties go to the earlier point."""
+    named = [", ".join(f"{k}={v}" for k, v in sorted(p.items())) for p in grid]
+    with_point = [est.copy({est.getParam(k): v for k, v in p.items()}) for p in grid]
+    tables = [kfold_score(df, key, labels, lambda rows, e=e: transform(rows, labels, e), score, fold_col, folds).select(F.lit(name).alias("point"), "mean", "std")
+              for name, e in zip(named, with_point)]
+    table = pinned(union_tables(tables))
+    means = {r["point"]: r["mean"] for r in table.collect()}  # one row per grid point
+    sign = -1 if score == "log_loss" else 1
+    best = max(range(len(grid)), key=lambda i: (sign * means[named[i]], -i))
+    return transform(df, labels, with_point[best]), table
+
+
 def save_model(stages: list, path: str) -> None:
-    PipelineModel(stages).write().overwrite().save(path)
+    """Engine models as one pipeline; a boosted model as the pipeline of its stumps beside its settings."""
+    if len(stages) == 1 and isinstance(stages[0], AdaBoostModel):
+        stages[0].save(path)
+    else:
+        PipelineModel(stages).write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str):
+    """The kind is told by the folder's own metadata."""
+    meta = json.loads(SparkSession.active().read.text(f"{path}/metadata").head()[0])
+    return AdaBoostModel.load(path) if meta["class"] == AdaBoostModel.SAVED_AS else PipelineModel.load(path)

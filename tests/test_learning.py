@@ -89,3 +89,29 @@ def test_saved_model_predicts_the_same(rows, tmp_path):
     a = ML.add_probability(model, rows, "a").orderBy("id").select("p_a").collect()
     b = ML.add_probability(ML.load_model(str(tmp_path / "m")), rows, "a").orderBy("id").select("p_a").collect()
     assert a == b
+
+
+@pytest.mark.parametrize("fit", [ML.fit_binary_relevance, ML.fit_classifier_chain, ML.fit_label_powerset], ids=["relevance", "chain", "powerset"])
+@pytest.mark.parametrize("make", [lambda: B.logistic_regression(100), B.gaussian_naive_bayes, lambda: B.random_forest(3, 2)], ids=["logistic", "bayes", "forest"])
+def test_saved_transforms_predict_alike(rows, fit, make, tmp_path):
+    model = fit(rows, ["a", "b"], make())
+    model.save(str(tmp_path / "m"))
+    again = ML.FittedTransform.load(str(tmp_path / "m"))
+    pick = lambda m: {r["id"]: (r["p_a"], r["p_b"]) for r in m(rows).collect()}
+    assert pick(model) == pick(again)
+
+
+def test_saved_adaboost_predicts_alike(rows, tmp_path):
+    model = ML.fit_binary_relevance(rows, ["a"], B.AdaBoost(rounds=3))
+    model.save(str(tmp_path / "m"))
+    pick = lambda m: {r["id"]: r["p_a"] for r in m(rows).collect()}
+    assert pick(model) == pick(ML.FittedTransform.load(str(tmp_path / "m")))
+
+
+def test_grid_over_a_transform_by_a_score_of_all_labels(rows):
+    folds = A.kfold_shuffled(rows, "id", 3, 1)
+    best, table = ML.grid_search_transform(folds, "id", ["a", "b"], ML.fit_classifier_chain, B.random_forest(5), [{"maxDepth": 1}, {"maxDepth": 4}], folds=3)
+    got = {r["point"]: r["mean"] for r in table.collect()}
+    assert set(got) == {"maxDepth=1", "maxDepth=4"} and best.models[0].getMaxDepth() == (1 if got["maxDepth=1"] >= got["maxDepth=4"] else 4)
+    one = ML.kfold_score(folds, "id", ["a", "b"], lambda df: ML.fit_classifier_chain(df, ["a", "b"], B.random_forest(5, 4)), "f1_weighted", folds=3).first()
+    assert one["mean"] == pytest.approx(got["maxDepth=4"]) and one["score"] == "f1_weighted"
