@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -12,14 +13,14 @@ from commentscope.llm.common import tokenizer
 _RUNS = re.compile(r"\s \s|  ")
 _BLANKS = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
 
-#: Chunks remembered per worker (about 200 MB); beyond that the cache starts again.
-CACHE_CHUNKS = 1_000_000
+#: Chunks that a worker remembers per table (about 150 MB); beyond that the table starts again.
+CACHE_CHUNKS = 700_000
 
-_caches: dict[str, dict[str, bytes]] = {}
+_caches: dict[str, _Cache] = {}
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u2").tobytes()
+    return array("H", ids).tobytes()
 
 
 def _byte_letters() -> dict[int, int]:
@@ -34,72 +35,90 @@ _LETTERS = _byte_letters()
 _SIGNS = ".,;:!?\"()[]{}*#%&$|<>"
 
 
-class _Words:
-    """Ids of chunks of Latin words, signs after them, and single line ends between: what the tokenizer's
-    cutting rules make of these is known, so the library's model is asked for each word at once."""
+class _Cache:
+    """Ids of chunks. A chunk after a space is named without it; one that starts a line has its own table.
+
+    What the tokenizer's cutting rules make of a Latin word and of signs after a letter or digit is known,
+    so the library's model is asked for each new word at once; other chunks are encoded by its pipeline.
+    """
 
     def __init__(self, path: str):
-        self.whole, self.signs = tokenizer(path), {}
+        self.whole = tokenizer(path)
+        if self.whole.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of this tokenizer need more than 16 bits")
         self.model = self.whole.model
+        self.tables: dict[str, dict[str, bytes]] = {" ": {"": self._encoded(" ")}, "": {"": b""}}
+        self.signs: dict[str, bytes] = {}
+        self.line_end = self._encoded("\n")
+
+    def _encoded(self, s: str) -> bytes:
+        return _bytes(self.whole.encode(s, add_special_tokens=False).ids)
 
-    def _line(self, part: str) -> bytes | None:
-        word = part.rstrip(_SIGNS)
-        letters = word[1:] if word[:1] == " " else word
-        if not letters.isalpha() or max(letters) > "\u024f":
+    def _word(self, before: str, word: str) -> bytes | None:
+        if not word.isalpha():
             return None
-        ids = _bytes([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
-        return ids + self.sign(part[len(word):]) if len(word) < len(part) else ids
-
-    def sign(self, s: str) -> bytes:
-        if s not in self.signs:
-            self.signs[s] = _bytes(self.whole.encode(s, add_special_tokens=False).ids)
-        return self.signs[s]
-
-    def of(self, chunk: str) -> bytes | None:
-        if "\n" not in chunk:
-            return self._line(chunk)
-        lines = [self._line(x) for x in chunk.split("\n")]
-        # only the first line may begin with the blank before the chunk
-        if None in lines or "\n " in chunk:
+        if word.isascii():
+            written = "\u0120" + word if before else word
+        elif max(word) <= "\u024f":
+            written = (before + word).encode().decode("latin-1").translate(_LETTERS)
+        else:
             return None
-        return self.sign("\n").join(lines)
+        return _bytes([t.id for t in self.model.tokenize(written)])
+
+    def learn(self, before: str, chunks: set[str]) -> None:
+        table, hard = self.tables[before], []
+        if len(table) > CACHE_CHUNKS:
+            kept = {c: table[c] for c in chunks & table.keys()}
+            table.clear()
+            table.update(kept)
+            table[""] = self._encoded(before) if before else b""
+        for chunk in chunks - table.keys():
+            word = chunk.rstrip(_SIGNS)
+            ids = table.get(word) if word and word[-1].isalnum() else None
+            if ids is None:
+                ids = self._word(before, word)
+                if ids is None:
+                    hard.append(chunk)
+                    continue
+                table[word] = ids
+            if len(word) < len(chunk):
+                tail = chunk[len(word):]
+                if tail not in self.signs:
+                    self.signs[tail] = self._encoded(tail)
+                table[chunk] = ids + self.signs[tail]
+        for chunk, e in zip(hard, self.whole.encode_batch_fast([before + c for c in hard], add_special_tokens=False)):
+            table[chunk] = _bytes(e.ids)
+
+
+def _lines(text: str) -> list[list[str]] | None:
+    """The chunks of each line; None for a text that has to be encoded as one piece. A line end is cut off
+    on both sides when the next line starts with other than white space; else it stays in its chunk."""
+    if "<|" in text or any(b in text for b in _BLANKS) and _RUNS.search(text):
+        return None
+    lines = text.split("\n")
+    if any(not x or x[0].isspace() for x in lines[1:-1]) or len(lines) > 1 and lines[-1][:1].isspace():
+        lines = [text]
+    return [x.split(" ") for x in lines]
 
 
 def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of each whole text, without special tokens added, as unsigned 16-bit values.
 
-    A byte-level BPE never joins a character other than white space with a space after it: the text
-    is cut there, and every distinct chunk of a batch is encoded once. Texts with runs of white space
-    around a space, or with the marker of an added token, are encoded as one piece.
+    A byte-level BPE never joins a character other than white space with a space after it, nor with a line
+    end between two such characters: the text is cut there, and every distinct chunk of a batch is encoded
+    once. Texts with runs of white space around a space, or with the marker of an added token, are encoded
+    as one piece.
     """
-    model = tokenizer(path)
-    if model.get_vocab_size() > 1 << 16:
-        raise ValueError("ids of this tokenizer need more than 16 bits")
-    cache = _caches.setdefault(path, {})
-    if len(cache) > CACHE_CHUNKS:
-        cache.clear()
-    words = _Words(path)
-
-    def first_ids(chunk: str) -> bytes:
-        ids = words.of(chunk) if chunk else b""
-        return _bytes(model.encode(chunk, add_special_tokens=False).ids) if ids is None else ids
-
-    # the cache names a chunk without the space before it; the first of a text has none
-    chunks = [None if "<|" in t or any(b in t for b in _BLANKS) and _RUNS.search(t) else t.split(" ") for t in texts]
-    new = set().union(*(c[1:] for c in chunks if c)) - cache.keys()
-    hard = []
-    for chunk in new:
-        ids = words.of(" " + chunk)
-        if ids is None:
-            hard.append(chunk)
-        else:
-            cache[chunk] = ids
-    for chunk, e in zip(hard, model.encode_batch_fast([" " + c for c in hard], add_special_tokens=False)):
-        cache[chunk] = _bytes(e.ids)
+    cache = _caches.get(path) or _caches.setdefault(path, _Cache(path))
+    cut = [_lines(t) for t in texts]
+    cache.learn("", {x[0] for c in cut if c for x in c})
+    cache.learn(" ", set().union(*(x[1:] for c in cut if c for x in c)))
+    first, later = cache.tables[""], cache.tables[" "].__getitem__
     out = []
-    for text, own in zip(texts, chunks):
-        if own is None:
-            out.append(np.array(model.encode(text, add_special_tokens=False).ids, "<u2"))
+    for text, lines in zip(texts, cut):
+        if lines is None:
+            data = cache._encoded(text)
         else:
-            out.append(np.frombuffer(first_ids(own[0]) + b"".join(map(cache.__getitem__, own[1:])), "<u2"))
+            data = cache.line_end.join([first[x[0]] + b"".join(map(later, x[1:])) for x in lines])
+        out.append(np.frombuffer(data, "<u2"))
     return out
