@@ -265,7 +265,7 @@ LABELLED_SENTIMENT = chain(LABELLED_DOCS, *COMPONENTS_SQL, "sl AS (SELECT sc.*,
 
 
 def labelled_compound(t):
-    return components(t.labelled).join(t.labels, "doc_id").withColumn("compound", F.round("compound", 9))
+    return components(t.labelled, *TEXT_LABELS).withColumn("compound", F.round("compound", 9))
 
 
 @query("sentiment_buckets", LABELLED_SENTIMENT +

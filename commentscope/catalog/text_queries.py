@@ -351,9 +351,10 @@ COMPONENTS_SQL = [
 ]
 
 
-def components(df):
-    cleaned = T.clean_comments(df).select("doc_id", X.word_valences(K.words(F.col("clean_text"))).alias("v"))
-    return cleaned.select("doc_id", X.sentiment_components(F.col("v")).alias("s")).select("doc_id", "s.*")
+def components(df, *kept):
+    """(doc_id, kept columns, four components of the sentiment)."""
+    cleaned = T.clean_comments(df).select("doc_id", *kept, X.word_valences(K.words(F.col("clean_text"))).alias("v"))
+    return cleaned.select("doc_id", *kept, X.sentiment_components(F.col("v")).alias("s")).select("doc_id", *kept, "s.*")
 
 
 @query("sentiment_components", chain(DOCS_AND_GOLDEN, *COMPONENTS_SQL) +

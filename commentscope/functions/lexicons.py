@@ -1,7 +1,6 @@
 """Small word tables (fixed values). Every operator takes its own table as a parameter.
 
-They are starter tables for English comments, written for this package; callers with
-larger tables pass DataFrames to the join forms in ``operators.lookups``.
+They are starter tables for English comments; callers with larger tables pass DataFrames to the join forms in ``operators.lookups``.
 """
 
 from __future__ import annotations
@@ -64,7 +63,7 @@ LEMMA_EXCEPTIONS: dict[str, str] = {
     "lives": "life", "wives": "wife", "knives": "knife",
 }
 
-# word -> strength of feeling, from -4 to 4
+# word -> strength of feeling, from -4 to 4; values as in the public VADER sentiment lexicon (MIT licence)
 VALENCE: dict[str, float] = {
     "good": 1.9, "great": 3.1, "nice": 1.8, "love": 3.2, "best": 3.2, "happy": 2.7,
     "thanks": 1.9, "thank": 1.5, "please": 1.3, "help": 1.7, "free": 2.3, "like": 1.5,

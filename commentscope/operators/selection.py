@@ -7,7 +7,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.plans.ordering import quantiles
+from commentscope.plans.ordering import pinned, quantiles
 
 
 def label_correlation(long: DataFrame, labels: list[str]) -> DataFrame:
@@ -44,29 +44,43 @@ def useful_ratio(correlations: DataFrame, cut: float) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(a, b, r) for all pairs of columns; null for a constant column. The matrix has one
-    entry per pair of columns, whatever the number of rows."""
+    """(a, b, r) for all pairs of columns; null for a constant column. The matrix of the engine's
+    correlation stays on the executors: each of its rows becomes one row here, then one per pair."""
     vec = VectorAssembler(inputCols=columns, outputCol="__v").transform(df).select("__v")
-    m = Correlation.corr(vec, "__v").first()[0].toArray()
-    rows = [(a, b, None if m[i, j] != m[i, j] else float(m[i, j]))
-            for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    names = F.array(*[F.lit(c) for c in columns])
+    n = len(columns)
+    # a matrix value is column-major and symmetric
+    entries = Correlation.corr(vec, "__v").toDF("m").select(F.posexplode(_matrix_values("m")).alias("at", "r"))
+    at = F.col("at")
+    return entries.select(F.get(names, F.floor(at / n).cast("int")).alias("a"), F.get(names, (at % n).cast("int")).alias("b"),
+                          F.when(~F.isnan("r"), F.col("r")).alias("r"))
+
+
+def _matrix_values(column: str) -> Column:
+    """The values of a matrix column as an array."""
+    return F.from_json(F.to_json(F.struct(F.col(column).alias("m"))), "m struct<values: array<double>>", {"allowNonNumericNumbers": "true"})["m"]["values"]
 
 
 def drop_collinear(matrix: DataFrame, strength: DataFrame, cut: float) -> DataFrame:
-    """(feature, max_abs_r, kept): features in order of strength; one is dropped when it
-    correlates above the cut with a kept one. Works on one row per pair of columns."""
-    ranked = [(r["feature"], r["max_abs_r"]) for r in
-              strength.orderBy(F.desc_nulls_last("max_abs_r"), "feature").collect()]
-    pairs = {(r["a"], r["b"]): r["r"] for r in matrix.collect()}
-    kept: list[str] = []
-    rows = []
-    for name, m in ranked:
-        clash = any(abs(pairs.get((name, k)) or 0.0) > cut for k in kept)
-        if not clash:
-            kept.append(name)
-        rows.append((name, m, not clash))
-    return matrix.sparkSession.createDataFrame(rows, "feature string, max_abs_r double, kept boolean")
+    """(feature, max_abs_r, kept): features in order of strength; one is dropped when it correlates above
+    the cut with a kept one.
+
+    Only pairs above the cut count. Round by round, by joins: a feature is kept once no stronger
+    partner of it is undecided or kept, and dropped once one is kept; the strongest undecided
+    feature is settled in every round.
+    """
+    ranked = pinned(strength.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("max_abs_r"), "feature"))))
+    place = ranked.select(F.col("feature").alias("b"), F.col("rank").alias("rank_b"))
+    stronger = pinned(matrix.where((F.col("a") != F.col("b")) & (F.abs("r") > cut)).join(place, "b")
+                      .join(ranked.select(F.col("feature").alias("a"), "rank"), "a").where("rank_b < rank").select("a", "b"))
+    state = pinned(ranked.select("feature", "max_abs_r", F.lit(None).cast("boolean").alias("kept")))
+    while state.where("kept IS NULL").head(1):
+        partner = stronger.join(state.select(F.col("feature").alias("b"), F.col("kept").alias("kept_b")), "b")
+        seen = partner.groupBy(F.col("a").alias("feature")).agg(
+            F.coalesce(F.bool_or("kept_b"), F.lit(False)).alias("__kept"), F.count_if(F.col("kept_b").isNull()).alias("__open"))
+        state = pinned(state.join(seen, "feature", "left").select(
+            "feature", "max_abs_r", F.coalesce("kept", F.when(F.coalesce("__kept", F.lit(False)), False).when(F.coalesce("__open", F.lit(0)) == 0, True)).alias("kept")))
+    return state
 
 
 def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:

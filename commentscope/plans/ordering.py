@@ -63,10 +63,17 @@ def exact_quantiles(long: DataFrame, probs: list[float], key: str = "feature",
 
     Equal values are counted first, so a value held by a third of the rows is one row here.
     """
-    counts = (long.where(F.col(value).isNotNull()).groupBy(key, value)
-                  .agg(F.count(F.lit(1)).alias("__c")))
+    return quantiles_of_counts(value_counts(long, key, value), probs, key, value)
+
+
+def value_counts(long: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, __c): how often each value occurs, written once. What feeds it is computed one time."""
+    return pinned(long.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__c")))
+
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float], key: str = "feature", value: str = "value") -> DataFrame:
     seen = running_totals(counts, [value], {"__upto": F.col("__c")}, within=[key])
-    sizes = long.where(F.col(value).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy(key).agg(F.sum("__c").alias("n"))
     placed = seen.join(sizes, key).withColumn("__from", F.col("__upto") - F.col("__c"))
 
     picks = []
