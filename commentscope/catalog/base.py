@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from commentscope.catalog.golden import GOLDEN
 from commentscope.operators import labels as L
+from commentscope.session import INPUT_PARTITIONS
 
 TEXT_LABELS = ["toxic", "low_quality"]
 VECTOR_LABELS = ["low", "even", "third"]
@@ -31,7 +32,9 @@ class Tables:
     @property
     def comments(self) -> DataFrame:
         """(doc_id, comment_text) of the whole document table."""
-        return self.read("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("comment_text"))
+        rows = self.read("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("comment_text"))
+        asked = self.spark.conf.get(INPUT_PARTITIONS, None)
+        return rows.repartition(int(asked), "doc_id") if asked else rows
 
     @property
     def comments_and_golden(self) -> DataFrame:

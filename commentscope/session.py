@@ -8,9 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+INPUT_PARTITIONS = "spark.commentscope.inputPartitions"
+
+
 def build_session(master: str | None = None, app: str = "commentscope",
-                  shuffle_partitions: int | None = None) -> SparkSession:
-    """Session with adaptive execution and UTC; cluster settings win where they exist."""
+                  shuffle_partitions: int | None = None, input_partitions: int | None = None) -> SparkSession:
+    """Session with adaptive execution and UTC; cluster settings win where they exist.
+
+    ``input_partitions`` is for files of fewer row groups than cores: the caller asks that comments be
+    dealt into that many partitions after the scan. Without it a text query has no shuffle.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,6 +34,8 @@ def build_session(master: str | None = None, app: str = "commentscope",
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if input_partitions:
+        builder = builder.config(INPUT_PARTITIONS, str(input_partitions))
     if master and master.startswith("local"):
         builder = builder.config("spark.driver.memory", "16g")
     spark = builder.getOrCreate()
