@@ -103,8 +103,7 @@ def _(t):
     return out.select("feature", "point", F.round("x", 4).alias("x"), "density")
 
 
-DESCRIBED = ["text_length", "num_words", "num_uppercase", "uppercase_vs_length", "num_punctuations",
-             "num_exclamation_marks"]
+DESCRIBED = X.feature_names(None)
 
 
 @query("describe_features", S.feature_sql(DOCS, DESCRIBED).replace("\nSELECT doc_id,", ",\nf0 AS (SELECT doc_id,", 1) + "),\n"
@@ -112,8 +111,8 @@ DESCRIBED = ["text_length", "num_words", "num_uppercase", "uppercase_vs_length",
        + SUMMARY_SQL.format("lg"))
 def _(t):
     feats = X.add_features(t.comments, DESCRIBED)
-    return C.summary(unpivot_columns(feats.withColumns({"uppercase_vs_length": F.round("uppercase_vs_length", 6)}),
-                                     [], DESCRIBED))
+    rounded = feats.select(*[F.round(F.col(c).cast("double"), 6).alias(c) for c in DESCRIBED])
+    return C.summary(unpivot_columns(rounded, [], DESCRIBED))
 
 
 def histogram_sql(lo, hi, bins=10):
