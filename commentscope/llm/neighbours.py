@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import mixed, quoted, written
+from commentscope.llm.common import bounded_sample, mixed, quoted, written
 
 #: Rows of the fitting sample, at most: those with the smallest hashes of their ids.
 SAMPLE = 2_000
@@ -253,7 +253,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "ve
     ranked = clean.distinct().withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     entries = written(ranked.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.element_at("ids", 1).alias("rep"), "v", "ids"), "entries")
     queries = clean.where(F.col("id") % every == 0).distinct()
-    sample = entries.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()
+    sample = bounded_sample(entries.select("rep", "v"), SAMPLE, F.xxhash64("rep")).collect()
     hashing = fit(np.array([r["v"] for r in sample], float), k)
     rows = entries.select("rep", "v")
     groups = 1 + TABLES * entries.count() // GROUP

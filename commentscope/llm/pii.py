@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from commentscope.llm.common import quoted, slices, text_or_empty
+from commentscope.llm.common import bounded_sample, quoted, slices, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -398,10 +398,9 @@ def examples(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, rows: int = TRAIN_DOCS, text_col: str = "text") -> Tagger | None:
     """The network from at most ``rows`` documents with a digit or ``@``, those with the smallest hashes of
     their text; None where there are none. Only the bounded sample reaches the driver."""
-    text = F.col(text_col).cast("string")
-    sample = (docs.where(text.rlike("[0-9@]")).select(text.alias("text"))
-              .orderBy(F.xxhash64("text"), "text").limit(rows))
-    codes, tags = examples([r["text"] for r in sample.collect()])
+    text = F.col(quoted(text_col)).cast("string")
+    sample = bounded_sample(docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]")), rows, F.xxhash64("text"))
+    codes, tags = examples(sorted(r["text"] for r in sample.collect()))
     return fit(codes, tags) if (tags > 0).any() else None
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from commentscope.llm.common import SPACES, covered, mixed, quoted, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
+from commentscope.llm.common import SPACES, bounded_sample, covered, mixed, quoted, slices, text_bytes, text_or_empty, whole_windows, window_hashes, word_hashes, words_of
 
 #: Labelled documents used for fitting, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 4_000
@@ -187,11 +187,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Trees:
     """Trees from at most ``rows`` labelled documents; without two classes every document scores alike."""
-    known = (labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
-             .groupBy(F.col(id_col).alias("l_id")).agg(F.min("quality").cast("double").alias("good")))
+    known = (labels.where(F.col(quoted(id_col)).isNotNull() & F.col("quality").isNotNull())
+             .groupBy(F.col(quoted(id_col)).alias("l_id")).agg(F.min("quality").cast("double").alias("good")))
     # the sample's bound is the parameter: a broadcast of that many ids
-    sample = known.orderBy(F.xxhash64("l_id"), "l_id").limit(rows)
-    texts = (docs.join(F.broadcast(sample), F.col(id_col) == F.col("l_id")).select(text_or_empty(text_col).alias("text"), "good"))
+    sample = bounded_sample(known, rows, F.xxhash64("l_id"))
+    texts = (docs.join(F.broadcast(sample), F.col(quoted(id_col)) == F.col("l_id")).select(text_or_empty(text_col).alias("text"), "good"))
     got = texts.mapInArrow(_features, "x array<double>, good double").toPandas()
     got = got.assign(k=[tuple(v) for v in got["x"]]).sort_values(["k", "good"])  # rows arrive in any order
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
