@@ -333,6 +333,39 @@ def _(t):
     return model_table(t)
 
 
+UNLABELLED_SQL = (S.feature_sql(DOCS, MODEL_COLS).replace("\nSELECT doc_id,", ",\nf0 AS (SELECT doc_id,", 1) + "),\n"
+                  "mm AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in X.SCALED_FEATURES) + " FROM f0 JOIN labels USING (doc_id))\n"
+                  "SELECT doc_id, " + ", ".join(
+                      f"round(({c} - lo_{c})::DOUBLE / greatest(hi_{c} - lo_{c}, 1), 6) AS {c}_scaled" if c in X.SCALED_FEATURES else c for c in MODEL_COLS)
+                  + " FROM f0, mm WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+
+
+@query("select_model_columns_unlabelled", UNLABELLED_SQL)
+def _(t):
+    """The same columns in the same order for the rows to be predicted, scaled by the limits of the labelled ones."""
+    feats = pinned(X.add_features(t.comments, MODEL_COLS))
+    limits = Z.fit_minmax(feats.join(t.labels, "doc_id", "left_semi"), X.SCALED_FEATURES)
+    rows = feats.join(t.labels, "doc_id", "left_anti")
+    return Z.apply_minmax(rows, limits, X.SCALED_FEATURES).select("doc_id", *MODEL_NAMES)
+
+
+KEPT_SQL = [*VECTORS_SQL, "c AS (SELECT doc_id, word, count(*) AS n FROM tk GROUP BY ALL)", "s AS (SELECT doc_id, sum(n) AS n FROM c GROUP BY doc_id)",
+            "z AS (SELECT doc_id, dim, sum(x * n) AS x FROM c JOIN wv USING (word) GROUP BY ALL)",
+            f"m AS MATERIALIZED (SELECT d.doc_id, 'd' || r.i AS dim, round(coalesce(z.x, 0.0) / coalesce(s.n, 1), 6) AS x FROM d CROSS JOIN range({DIMS}) r(i) "
+            "LEFT JOIN s USING (doc_id) LEFT JOIN z ON z.doc_id = d.doc_id AND z.dim = r.i)",
+            "k AS (SELECT dim FROM m JOIN labels USING (doc_id) GROUP BY dim HAVING greatest(abs(corr(x, toxic)), abs(corr(x, 1 - quality))) > 0.05)"]
+
+
+@query("select_model_vectors", chain(*KEPT_SQL) + "SELECT doc_id, dim, x FROM m JOIN k USING (dim)")
+def _(t):
+    """Document vectors of all rows, in the dimensions that follow a label of the labelled ones."""
+    vecs = V.document_vectors(words_of(t), "doc_id", "a", word_vectors(t), DIMS)
+    long = pinned(unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x").withColumn("x", F.round("x", 6)))
+    known = long.join(t.labels, "doc_id").select(F.col("dim").alias("feature"), F.col("x").alias("value"), *TEXT_LABELS)
+    kept = Z.correlation_filter(Z.label_correlation(known, TEXT_LABELS), 0.05)
+    return long.join(kept.select(F.col("feature").alias("dim")), "dim", "left_semi")
+
+
 @query("density_by_dimension", density_sql([*LONG_SQL, "lv AS (SELECT feature || ':' || low AS feature, value FROM lg)"], "lv", 30))
 def _(t):
     long = vector_long(t)
