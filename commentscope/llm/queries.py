@@ -30,6 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WORDS_SQL = r"[x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']"
+
+
 @query("op2_secrets")
 def _(spark, sf_dir):
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -59,7 +62,35 @@ def _(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=0, capacity=1024)
 
 
-@query("op9_entropy_mixing")
+def mended_sql(k: int) -> str:
+    """CTEs that move one document per source by one copy where that narrows the source's gap."""
+    return f"""
+g{k} AS (SELECT source, any_value(target) - sum(size * copies) AS gap FROM c{k} GROUP BY source),
+b{k} AS (SELECT * FROM (SELECT c.source, c.size, c.draw, sign(gap) AS way,
+    row_number() OVER (PARTITION BY c.source ORDER BY abs(abs(gap) - c.size), c.size, c.draw) AS r
+    FROM c{k} c JOIN g{k} g ON c.source IS NOT DISTINCT FROM g.source
+    WHERE CASE WHEN gap > 0 THEN copies < 3 ELSE copies > 0 END AND abs(abs(gap) - c.size) < abs(gap)) WHERE r = 1),
+c{k + 1} AS (SELECT c.* REPLACE (greatest(0, least(3, c.copies + coalesce(b.way, 0)))::BIGINT AS copies) FROM c{k} c LEFT JOIN b{k} b
+    ON c.source IS NOT DISTINCT FROM b.source AND c.size = b.size AND c.draw = b.draw)"""
+
+
+MIX_SQL = f"""
+WITH sz AS (SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size, md5(doc_id::VARCHAR) AS draw FROM documents),
+ps AS (SELECT source, sum(size)::BIGINT AS source_size FROM sz GROUP BY source),
+pw AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight, (3 * source_size)::DOUBLE AS whole FROM ps),
+lv AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(whole) OVER (ORDER BY whole / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY whole / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM pw),
+lc AS (SELECT max(level) FILTER (level * weight <= whole) AS c FROM lv),
+tg AS (SELECT source, source_size, CASE WHEN level * weight <= whole THEN least(c * weight, whole) ELSE whole END AS target FROM lv, lc),
+un AS (SELECT sz.*, source_size, target, CASE WHEN target > 0 THEN round(least(3, target / source_size) * {mixing.UNIT})::BIGINT ELSE 0 END AS units
+    FROM sz JOIN tg ON sz.source IS NOT DISTINCT FROM tg.source),
+cu AS (SELECT *, units % {mixing.UNIT} AS part, sum(units % {mixing.UNIT}) OVER (PARTITION BY source ORDER BY size, draw, doc_id ROWS UNBOUNDED PRECEDING) + {mixing.UNIT // 2} AS upto FROM un),
+c0 AS (SELECT doc_id, source, size, draw, source_size, target,
+    least(units // {mixing.UNIT} + upto // {mixing.UNIT} - (upto - part) // {mixing.UNIT}, 3)::BIGINT AS copies FROM cu),{",".join(map(mended_sql, range(mixing.MENDS)))}
+SELECT doc_id, size, source_size, target, size * copies AS taken FROM c{mixing.MENDS}"""
+
+
+@query("op9_entropy_mixing", MIX_SQL)
 def _(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -78,7 +109,18 @@ def _(spark, sf_dir):
     return found.select("doc_id", *["n_" + k for k in pii.KINDS], "base_sha256", "spans")
 
 
-@query("op3_suffix_trees")
+REPEATS_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) r(i)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM later, range(20) t(j)),
+left_ AS (SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.i) AS kept, count(*) AS n FROM (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM d) p
+    ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_ USING (doc_id)"""
+
+
+@query("op3_suffix_trees", REPEATS_SQL)
 def _(spark, sf_dir):
     return substring_trees.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
