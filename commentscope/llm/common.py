@@ -73,7 +73,7 @@ def bounded_sample(df: DataFrame, rows: int, key: Column) -> DataFrame:
     """
     n = df.count()
     keyed = df.withColumn("__key", F.shiftrightunsigned(key, 1))
-    if n > 2 * rows:
+    if n > 2 * (rows + 30):
         keyed = keyed.where(F.col("__key") < int(1.3 * (rows + 30) / n * 2**63))
     return keyed.orderBy("__key").limit(rows).drop("__key")
 
