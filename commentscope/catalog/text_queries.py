@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from commentscope.catalog import text_sql as S
 from commentscope.catalog.base import (DOCS, DOCS_AND_GOLDEN, LABELS_SQL, TEXT_LABELS, Tables, chain, q, query,
-                                       sql_list, sql_values)
+                                       sql_values)
 from commentscope.catalog.golden import EDGES
 from commentscope.functions import features as X
 from commentscope.functions import predicates as P
 from commentscope.functions import text as T
 from commentscope.functions import tokens as K
-from commentscope.functions.lexicons import BAD_WORDS, LEMMA_EXCEPTIONS, TAG_LEXICON
+from commentscope.functions.lexicons import LEMMA_EXCEPTIONS
 from commentscope.operators import labels as L
 from commentscope.operators import lookups as J
 from commentscope.session import ensure_checkpoint_dir
