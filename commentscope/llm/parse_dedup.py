@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentscope.llm.common import mixed, narrow, numbered, packed, slices, text_bytes, unpacked, written
-from commentscope.llm.substring_trees import _subtree
+from commentscope.llm.substring_trees import RECORDS, dealt, gathered, marks
 
 TRIGGER = 32
 #: Bytes of a block that a task works on at a time, and phrases or suffixes of a group, about.
@@ -149,34 +149,33 @@ def _parse(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator
             rows.append((-1 - int(oid[0] & 0xFFFF), packed(oid[doc[again]], tag[doc[again]], place[again].astype(np.uint32), count[again].astype(np.uint16))))
         kept = order[new]
         kept = kept[np.argsort(trigger[kept], kind="stable")]
-        group = (trigger[kept] >> np.uint64(64 - bits)).astype(np.int64)
+        # a trigger is the smallest of many hashes: its own leading bits are nearly always zero
+        group = (mixed(trigger[kept]) >> np.uint64(64 - bits)).astype(np.int64)
         rows += _grouped(group, doc[kept], oid, tag, trigger[kept], place[kept], content[kept], count[kept].astype(np.uint16))
         yield from _sent(rows, "phrases")
 
 
-PHRASES = "m_oid long, m_tag int, whole binary, open binary"
+ENTRIES = "m_oid long, m_tag int, whole binary, open binary"
 
 
-def _rows_of(oid: np.ndarray, tag: np.ndarray, place: np.ndarray, count: np.ndarray, is_open: np.ndarray) -> pa.Table:
-    order = np.lexsort((place, tag, oid))
-    oid, tag, place, count, is_open = (x[order] for x in (oid, tag, place, count, is_open))
-    cuts = np.flatnonzero((np.diff(oid) != 0) | (np.diff(tag) != 0)) + 1
-    heads = np.concatenate([[0], cuts]).astype(np.int64) if len(oid) else np.zeros(0, np.int64)
-    pairs = np.stack([place, count], axis=1).astype("<u4")
+def _entries(key: tuple, table: pa.Table) -> pa.Table:
+    """One row per document with its (first window, windows) pairs: of phrases to go whole, and of open ones."""
+    oid, tag, (place, count, is_open), heads = gathered(table)
+    pairs, is_open = np.stack([place, count], axis=1).astype("<u4"), is_open == 1
     whole, opened = [], []
-    for a, b in zip(heads.tolist(), [*cuts.tolist(), len(oid)]):
+    for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(oid)]):
         o = is_open[a:b]
         whole.append(pairs[a:b][~o].tobytes() or None)
         opened.append(pairs[a:b][o].tobytes() or None)
     return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads], pa.int32()), "whole": pa.array(whole, pa.binary()), "open": pa.array(opened, pa.binary())})
 
 
-def _dictionary(key: tuple, table: pa.Table) -> pa.Table:
+def _dictionary(key: tuple, table: pa.Table, bits: int) -> pa.Table:
     """Of one group, the phrases that repeat an earlier one whole, and the entries that share their trigger."""
     blobs = [unpacked(b) for b in table.column("phrases").to_pylist()]
     if key[0].as_py() < 0:
         oid, tag, place, count = (np.concatenate(x) for x in zip(*blobs))
-        return _rows_of(oid, tag, place, count, np.zeros(len(oid), bool))
+        return dealt(oid, tag, bits, place, count, np.zeros(len(oid), np.uint8))
     trigger = np.concatenate([np.cumsum(b[0]) for b in blobs])
     oid, tag = np.concatenate([np.cumsum(b[3])[b[1]] for b in blobs]), np.concatenate([b[4][b[1]] for b in blobs])
     place = np.concatenate([b[2].astype(np.int64) for b in blobs])
@@ -198,7 +197,7 @@ def _dictionary(key: tuple, table: pa.Table) -> pa.Table:
     first = np.maximum.accumulate(np.where(new_entry, np.arange(n), 0))
     again = (oid != oid[first]) | (tag != tag[first]) | (place != place[first])
     take = again | (new_entry & several)
-    return _rows_of(oid[take], tag[take], place[take], count[take], ~again[take])
+    return dealt(oid[take], tag[take], bits, place[take], count[take], (~again[take]).astype(np.uint8))
 
 
 def _spread(pairs: np.ndarray) -> np.ndarray:
@@ -208,8 +207,8 @@ def _spread(pairs: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _pairs(blobs: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs or []), "<u4").reshape(-1, 2)
+def _pairs(blob: bytes | None) -> np.ndarray:
+    return np.frombuffer(blob or b"", "<u4").reshape(-1, 2)
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator[pa.RecordBatch]:
@@ -241,7 +240,7 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         sizes, gone_counts, spans, digests, kept_texts = [], [], [], [], []
         for a, b, whole, starts in zip(bounds[:-1].tolist(), bounds[1:].tolist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
             text, pairs = data[a:b], _pairs(whole)
-            single = np.frombuffer(b"".join(starts or []), "<u4").astype(np.int64)
+            single = np.frombuffer(starts or b"", "<u4").astype(np.int64)
             if len(pairs) or len(single):
                 step = np.zeros(len(text) + 1, np.int64)
                 np.add.at(step, np.concatenate([pairs[:, 0].astype(np.int64), single]), 1)
@@ -278,16 +277,14 @@ def remove_repeats(docs: DataFrame, width: int = 100, group: int = GROUP, id_col
     bits = max(4, (2 * size // (width - TRIGGER + 2) // group).bit_length())
     texts = rows.select("oid", "tag", "text")
     parsed = texts.mapInArrow(partial(_parse, width=width, bits=bits), "group long, phrases binary")
-    entries = written(parsed.groupBy("group").applyInArrow(_dictionary, PHRASES), "phrases")
+    settled = parsed.groupBy("group").applyInArrow(lambda key, table: _dictionary(key, table, bits), RECORDS)
+    entries = written(settled.groupBy("bucket").applyInArrow(_entries, ENTRIES), "phrases")
     own = (F.col("oid") == F.col("m_oid")) & (F.col("tag") == F.col("m_tag"))
-    opened = entries.where("open IS NOT NULL").groupBy("m_oid", "m_tag").agg(F.collect_list("open").alias("open"))
+    opened = entries.where("open IS NOT NULL").select("m_oid", "m_tag", "open")
     suffixes = texts.join(opened, own).select("oid", "tag", "text", "open").mapInArrow(
         partial(_suffixes, width=width, bits=bits), "group long, leaves binary")
-    single = suffixes.groupBy("group").applyInArrow(_subtree, "m_oid long, m_tag int, starts binary")
-    none = F.lit(None).cast("binary")
-    marks = (entries.where("whole IS NOT NULL").select("m_oid", "m_tag", "whole", none.alias("starts"))
-             .unionByName(single.select("m_oid", "m_tag", none.alias("whole"), "starts"))
-             .groupBy("m_oid", "m_tag").agg(F.collect_list("whole").alias("whole"), F.collect_list("starts").alias("starts")))
-    joined = rows.join(marks, own, "left")
+    single = marks(suffixes, bits).select(F.col("m_oid").alias("s_oid"), F.col("m_tag").alias("s_tag"), "starts")
+    found = (entries.select("m_oid", "m_tag", "whole").join(single, (F.col("m_oid") == F.col("s_oid")) & (F.col("m_tag") == F.col("s_tag")), "left"))
+    joined = rows.join(found, own, "left")
     return joined.select("doc_id", "text", "whole", "starts").mapInArrow(
         partial(_removed, width=width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

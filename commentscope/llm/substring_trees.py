@@ -3,7 +3,7 @@
 Every start of a whole window (20 words of one document) is a suffix. Suffixes are split by a prefix of
 variable length: the first word, or the first 2, 4 or 8 where fewer words would make a group larger than
 ``GROUP``; counts over all documents decide that. Each group then is a memory-sized subtree. It is built
-to the depth of a window, the path to that depth named by a 64-bit hash that is independent of the
+to the depth of a window, the path to that depth named by a 56-bit hash that is independent of the
 prefix's: leaves in order of the path are the tree's leaves from left to right, and leaves with one path
 hang under one deep internal node, a repeat. All its leaves but the earliest are repeats of an earlier
 start; runs of such starts in a document are the maximal repeats, and their words go.
@@ -72,7 +72,8 @@ def _leaves(batches: Iterator[pa.RecordBatch], width: int, bits: int, hot: list[
         if not len(starts):
             return
         hashes = window_hashes(words, width)
-        path = mixed(hashes[width][starts])
+        whole_path = mixed(hashes[width][starts])
+        path = whole_path >> np.uint64(8)
         order = np.argsort(path, kind="stable")
         sorted_path = path[order]
         first = np.ones(len(order), bool)
@@ -87,7 +88,7 @@ def _leaves(batches: Iterator[pa.RecordBatch], width: int, bits: int, hot: list[
         for i, n in enumerate(PREFIXES):
             slot = _slots(hashes[n][kept], bits)
             group = np.where((group < 0) & ~hot_slots[i][slot], (i << 40) + slot, group)
-        deep = (len(PREFIXES) << 40) + (kept_path >> np.uint64(64 - bits)).astype(np.int64)
+        deep = (len(PREFIXES) << 40) + _slots(whole_path[order[first]], bits)
         group = np.where(group < 0, deep, group)
         by_group = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[by_group])) + 1
@@ -116,21 +117,45 @@ def _leaves(batches: Iterator[pa.RecordBatch], width: int, bits: int, hot: list[
         yield from flush()
 
 
-def _marks(oid: np.ndarray, tag: np.ndarray, start: np.ndarray) -> pa.Table:
-    """One row per document with its marked starts, from arrays in order of document."""
-    cuts = np.flatnonzero((np.diff(oid) != 0) | (np.diff(tag) != 0)) + 1
-    heads = np.concatenate([[0], cuts]).astype(np.int64) if len(oid) else np.zeros(0, np.int64)
-    blobs = [p.astype("<u4").tobytes() for p in np.split(start, cuts)] if len(oid) else []
+def dealt(oid: np.ndarray, tag: np.ndarray, bits: int, *values: np.ndarray) -> pa.Table:
+    """Records of documents packed per bucket of documents: (bucket, records)."""
+    bucket = (mixed(oid.view(np.uint64) ^ mixed(tag.astype(np.int64).view(np.uint64))) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((values[0], tag, oid, bucket))
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    rows = []
+    for part in np.split(order, cuts) if len(order) else []:
+        named = np.ones(len(part), bool)
+        named[1:] = (oid[part][1:] != oid[part][:-1]) | (tag[part][1:] != tag[part][:-1])
+        first, local = part[named], np.cumsum(named) - 1
+        rows.append((int(bucket[part[0]]), packed(np.diff(oid[first], prepend=np.int64(0)), tag[first], np.bincount(local), *(narrow(v[part]) for v in values))))
+    return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "records": pa.array([r[1] for r in rows], pa.binary())})
+
+
+def gathered(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """All records of a bucket, in order of document and first value: oid, tag, values, and where documents begin."""
+    parts = [unpacked(b) for b in table.column("records").to_pylist()]
+    oid = np.concatenate([np.repeat(np.cumsum(p[0]), p[2]) for p in parts])
+    tag = np.concatenate([np.repeat(p[1], p[2]) for p in parts])
+    values = [np.concatenate([p[k].astype(np.int64) for p in parts]) for k in range(3, len(parts[0]))]
+    order = np.lexsort((values[0], tag, oid))
+    oid, tag = oid[order], tag[order]
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(oid) != 0) | (np.diff(tag) != 0)]))
+    return oid, tag, [v[order] for v in values], heads
+
+
+def marks_of(key: tuple, table: pa.Table) -> pa.Table:
+    """One row per document with its marked starts."""
+    oid, tag, (start,), heads = gathered(table)
+    blobs = [x.astype("<u4").tobytes() for x in np.split(start, heads[1:])]
     return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads], pa.int32()), "starts": pa.array(blobs, pa.binary())})
 
 
-def _subtree(key: tuple, table: pa.Table) -> pa.Table:
+def subtree(key: tuple, table: pa.Table, bits: int) -> pa.Table:
     """The repeated starts of one group: leaves under a node, but the earliest."""
     blobs = [unpacked(b) for b in table.column("leaves").to_pylist()]
     if key[0].as_py() < 0:
         oid, tag, start = (np.concatenate(x) for x in zip(*blobs))
-        order = np.lexsort((start, tag, oid))
-        return _marks(oid[order], tag[order], start[order])
+        return dealt(oid, tag, bits, start)
     path, oid, tag, start = [], [], [], []
     for gaps, local, at, ids, tags in blobs:
         path.append(np.cumsum(gaps))
@@ -151,20 +176,26 @@ def _subtree(key: tuple, table: pa.Table) -> pa.Table:
     head[1:] = path[1:] != path[:-1]
     first = np.maximum.accumulate(np.where(head, np.arange(len(path)), 0))
     later = (oid != oid[first]) | (tag != tag[first]) | (start != start[first])
-    oid, tag, start = oid[later], tag[later], start[later]
-    order = np.lexsort((start, tag, oid))
-    return _marks(oid[order], tag[order], start[order])
+    return dealt(oid[later], tag[later], bits, start[later])
+
+
+RECORDS, MARKS = "bucket long, records binary", "m_oid long, m_tag int, starts binary"
+
+
+def marks(leaves: DataFrame, bits: int) -> DataFrame:
+    """(m_oid, m_tag, starts): from groups of leaves to buckets of documents, then one row per document."""
+    found = leaves.groupBy("group").applyInArrow(lambda key, table: subtree(key, table, bits), RECORDS)
+    return found.groupBy("bucket").applyInArrow(marks_of, MARKS)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for part in (s for batch in batches for s in slices(batch, 1)):
         n_words, n_removed, digests, texts = [], [], [], []
-        for text, marks in zip(part.column(1).cast(pa.large_binary()).to_pylist(), part.column(2).to_pylist()):
+        for text, starts in zip(part.column(1).cast(pa.large_binary()).to_pylist(), part.column(2).to_pylist()):
             words = text.split()
             kept = words
-            if marks:
-                starts = np.concatenate([np.frombuffer(m, "<u4") for m in marks]).astype(np.int64)
-                gone = covered(starts, width, len(words))
+            if starts:
+                gone = covered(np.frombuffer(starts, "<u4").astype(np.int64), width, len(words))
                 kept = [w for w, g in zip(words, gone.tolist()) if not g]
             whole = b" ".join(kept)
             n_words.append(len(words))
@@ -183,7 +214,7 @@ def remove_repeats(docs: DataFrame, width: int = 20, group: int = GROUP, id_col:
     earlier start of the same document. Rows with the same id and another text are ordered by a hash of
     the text; rows equal in id and text are one document and get equal results. Null texts are empty.
     Documents shorter than a window lose nothing. Other columns are ignored; an empty table gives no rows.
-    Two different windows in one group are taken for equal with a chance of 2**-64.
+    Two different windows in one group are taken for equal with a chance of 2**-56.
     """
     rows = numbered(docs, id_col, text_col)
     letters = rows.agg(F.sum(F.length("text"))).head()[0] or 0
@@ -193,8 +224,6 @@ def remove_repeats(docs: DataFrame, width: int = 20, group: int = GROUP, id_col:
     over = counts.groupBy("level", "slot").agg(F.sum("n").alias("n")).where(F.col("n") > group).collect()
     hot = [frozenset(r["slot"] for r in over if r["level"] == i) for i in range(len(PREFIXES))]
     leaves = rows.select("oid", "tag", "text").mapInArrow(partial(_leaves, width=width, bits=bits, hot=hot), "group long, leaves binary")
-    marks = leaves.groupBy("group").applyInArrow(_subtree, "m_oid long, m_tag int, starts binary")
-    marks = marks.groupBy("m_oid", "m_tag").agg(F.collect_list("starts").alias("starts"))
-    joined = rows.join(marks, (F.col("oid") == F.col("m_oid")) & (F.col("tag") == F.col("m_tag")), "left")
+    joined = rows.join(marks(leaves, bits), (F.col("oid") == F.col("m_oid")) & (F.col("tag") == F.col("m_tag")), "left")
     return joined.select("doc_id", "text", "starts").mapInArrow(
         partial(_removed, width=width), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
