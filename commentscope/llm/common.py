@@ -50,9 +50,9 @@ def text_or_empty(text: str) -> Column:
 
 
 def row_name(id_col: str, text_col: str) -> tuple[Column, Column]:
-    """(oid, tag): the id, null ids last, and a hash of the text. Together they name a row of a table;
+    """(oid, tag): the id, null ids last, and the md5 of the text. Together they name a row of a table;
     rows equal in id and text are one document that stands in it more than once."""
-    return F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(2**63 - 1)), F.hash(text_or_empty(text_col))
+    return F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit(2**63 - 1)), F.md5(text_or_empty(text_col).cast("binary"))
 
 
 def one_per_name(docs: DataFrame, names: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -204,3 +204,21 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, oid, tag, text): oid orders the documents, null ids last; oid and tag name a row."""
     oid, tag = row_name(id_col, text_col)
     return docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), oid.alias("oid"), tag.alias("tag"), text_or_empty(text_col).alias("text"))
+
+
+def named_apart(rows: DataFrame, most: int = 100_000) -> DataFrame:
+    """The rows of ``numbered`` with an empty tag where the id stands on one row alone and names it already.
+
+    Of more than ``most`` repeated ids every row keeps its tag: no text is shuffled for this.
+    """
+    repeated = written(rows.groupBy("oid").count().where("count > 1").select(F.col("oid").alias("r_oid")), "repeated-ids")
+    if repeated.count() > most:
+        return rows
+    found = rows.drop("tag").join(F.broadcast(repeated), F.col("oid") == F.col("r_oid"), "left")
+    tag = F.when(F.col("r_oid").isNotNull(), F.md5(F.col("text").cast("binary"))).otherwise("")
+    return found.select("doc_id", "oid", tag.alias("tag"), "text")
+
+
+def tag_bits(tag: np.ndarray) -> np.ndarray:
+    """64 bits of each tag, to deal out documents by; they do not name a text."""
+    return np.bitwise_xor.reduce(mixed(tag.astype("S32").view(np.uint64).reshape(-1, 4)), axis=1)

@@ -87,7 +87,7 @@ def multipliers(moments: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", base_col: str | None = None) -> DataFrame:
-    """One row per document: doc_id, tag (a hash of the text), size, source, source_size,
+    """One row per document: doc_id, tag (the md5 of the text), size, source, source_size,
     target, rate, copies, taken.
 
     Size counts words; a null text has none. Null sources are one source, the last. Null ids and

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import mixed, narrow, numbered, packed, slices, text_bytes, unpacked, written
+from commentscope.llm.common import mixed, named_apart, narrow, numbered, packed, slices, text_bytes, unpacked, written
 from commentscope.llm.substring_trees import RECORDS, dealt, gathered, marks
 
 TRIGGER = 32
@@ -103,7 +103,7 @@ def _collected(batches: Iterator[pa.RecordBatch], extra: bool) -> Iterator[tuple
         own = [d for i, d in enumerate(held) if i == 0 or d[:2] != held[i - 1][:2]]
         bounds = np.zeros(len(own) + 1, np.int64)
         np.cumsum([len(d[2]) for d in own], out=bounds[1:])
-        return (np.array([d[0] for d in own], np.int64), np.array([d[1] for d in own], np.int32), bounds,
+        return (np.array([d[0] for d in own], np.int64), np.array([d[1] for d in own], "S"), bounds,
                 np.frombuffer(b"".join(d[2] for d in own), np.uint8), [d[3] for d in own])
 
     for part in (s for batch in batches for s in slices(batch, 2)):
@@ -155,7 +155,7 @@ def _parse(batches: Iterator[pa.RecordBatch], width: int, bits: int) -> Iterator
         yield from _sent(rows, "phrases")
 
 
-ENTRIES = "m_oid long, m_tag int, whole binary, open binary"
+ENTRIES = "m_oid long, m_tag string, whole binary, open binary"
 
 
 def _entries(key: tuple, table: pa.Table) -> pa.Table:
@@ -167,7 +167,7 @@ def _entries(key: tuple, table: pa.Table) -> pa.Table:
         o = is_open[a:b]
         whole.append(pairs[a:b][~o].tobytes() or None)
         opened.append(pairs[a:b][o].tobytes() or None)
-    return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads], pa.int32()), "whole": pa.array(whole, pa.binary()), "open": pa.array(opened, pa.binary())})
+    return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads].astype(str), pa.string()), "whole": pa.array(whole, pa.binary()), "open": pa.array(opened, pa.binary())})
 
 
 def _dictionary(key: tuple, table: pa.Table, bits: int) -> pa.Table:
@@ -264,14 +264,14 @@ def remove_repeats(docs: DataFrame, width: int = 100, group: int = GROUP, id_col
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
 
     A byte goes when a ``width``-byte string over it also starts earlier: in a smaller doc_id (null ids
-    last), or earlier in the same document. Rows with the same id and another text are ordered by a hash
+    last), or earlier in the same document. Rows with the same id and another text are ordered by the md5
     of the text; rows equal in id and text are one document and get equal results. Null texts are empty.
     Documents shorter than a window lose nothing. Other columns are ignored; an empty table gives no rows.
     Two different strings in one group are taken for equal with a chance of about 2**-64.
     """
     if width < 2 * TRIGGER:
         raise ValueError(f"a window needs at least {2 * TRIGGER} bytes")
-    rows = numbered(docs, id_col, text_col)
+    rows = named_apart(numbered(docs, id_col, text_col))
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     # about 2 phrases per (width - TRIGGER + 2) bytes, in groups of equal hash ranges
     bits = max(4, (2 * size // (width - TRIGGER + 2) // group).bit_length())

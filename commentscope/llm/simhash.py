@@ -172,7 +172,7 @@ def _prints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Itera
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint, fp (the same as a signed number), tag (a hash of the text),
+    """One row per document: doc_id, fingerprint, fp (the same as a signed number), tag (the md5 of the text),
     class (the component's smallest fp), component_id.
 
     A null or empty text has fingerprint zero and is linked like any other. The component id is the
@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     Work on links starts from distinct fingerprints, so copies cost one row, however many they are.
     """
     rows = numbered(docs, id_col, text_col).select("doc_id", "text", "tag")
-    prints = written(rows.mapInArrow(partial(_prints, shingle=shingle, seed=seed), "doc_id long, fp long, tag int"), "fingerprints")
+    prints = written(rows.mapInArrow(partial(_prints, shingle=shingle, seed=seed), "doc_id long, fp long, tag string"), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     cells = plan_cells(distinct.count(), radius)
     groups = radius + len(cells[0])
@@ -200,6 +200,6 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
 
 def representatives(found: DataFrame) -> DataFrame:
     """(oid, tag) of the one row that stays of each class of ``near_duplicates``: that of the smallest
-    doc_id (null ids last), of these the smallest fingerprint and hash of the text."""
+    doc_id (null ids last), of these the smallest fingerprint and md5 of the text."""
     oid = F.coalesce("doc_id", F.lit(2**63 - 1))
     return found.groupBy("class").agg(F.min(F.struct(oid.alias("oid"), "fp", "tag")).alias("first")).select("first.oid", "first.tag")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentscope.llm.common import covered, mixed, narrow, numbered, packed, slices, unpacked, whole_windows, window_hashes, word_hashes, words_of
+from commentscope.llm.common import covered, mixed, named_apart, narrow, numbered, packed, slices, tag_bits, unpacked, whole_windows, window_hashes, word_hashes, words_of
 
 #: Suffixes of a subtree, about; and words of a block that a task works on at a time. Both bound memory.
 GROUP = 2_000_000
@@ -58,13 +58,13 @@ def _leaves(batches: Iterator[pa.RecordBatch], width: int, bits: int, hot: list[
         table = np.zeros(1 << bits, bool)
         table[list(slots)] = True
         hot_slots.append(table)
-    docs: list[tuple[int, int, np.ndarray]] = []
+    docs: list[tuple[int, str, np.ndarray]] = []
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         docs.sort(key=lambda d: d[:2])
         own = [d for i, d in enumerate(docs) if i == 0 or d[:2] != docs[i - 1][:2]]
-        oid, tag = np.array([d[0] for d in own], np.int64), np.array([d[1] for d in own], np.int32)
+        oid, tag = np.array([d[0] for d in own], np.int64), np.array([d[1] for d in own], "S")
         bounds = np.zeros(len(own) + 1, np.int64)
         np.cumsum([len(d[2]) for d in own], out=bounds[1:])
         words = np.concatenate([d[2] for d in own])
@@ -119,7 +119,7 @@ def _leaves(batches: Iterator[pa.RecordBatch], width: int, bits: int, hot: list[
 
 def dealt(oid: np.ndarray, tag: np.ndarray, bits: int, *values: np.ndarray) -> pa.Table:
     """Records of documents packed per bucket of documents: (bucket, records)."""
-    bucket = (mixed(oid.view(np.uint64) ^ mixed(tag.astype(np.int64).view(np.uint64))) >> np.uint64(64 - bits)).astype(np.int64)
+    bucket = (mixed(oid.view(np.uint64) ^ tag_bits(tag)) >> np.uint64(64 - bits)).astype(np.int64)
     order = np.lexsort((values[0], tag, oid, bucket))
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     rows = []
@@ -139,7 +139,7 @@ def gathered(table: pa.Table) -> tuple[np.ndarray, ...]:
     values = [np.concatenate([p[k].astype(np.int64) for p in parts]) for k in range(3, len(parts[0]))]
     order = np.lexsort((values[0], tag, oid))
     oid, tag = oid[order], tag[order]
-    heads = np.flatnonzero(np.concatenate([[True], (np.diff(oid) != 0) | (np.diff(tag) != 0)]))
+    heads = np.flatnonzero(np.concatenate([[True], (oid[1:] != oid[:-1]) | (tag[1:] != tag[:-1])]))
     return oid, tag, [v[order] for v in values], heads
 
 
@@ -147,7 +147,7 @@ def marks_of(key: tuple, table: pa.Table) -> pa.Table:
     """One row per document with its marked starts."""
     oid, tag, (start,), heads = gathered(table)
     blobs = [x.astype("<u4").tobytes() for x in np.split(start, heads[1:])]
-    return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads], pa.int32()), "starts": pa.array(blobs, pa.binary())})
+    return pa.table({"m_oid": pa.array(oid[heads], pa.int64()), "m_tag": pa.array(tag[heads].astype(str), pa.string()), "starts": pa.array(blobs, pa.binary())})
 
 
 def subtree(key: tuple, table: pa.Table, bits: int) -> pa.Table:
@@ -179,7 +179,7 @@ def subtree(key: tuple, table: pa.Table, bits: int) -> pa.Table:
     return dealt(oid[later], tag[later], bits, start[later])
 
 
-RECORDS, MARKS = "bucket long, records binary", "m_oid long, m_tag int, starts binary"
+RECORDS, MARKS = "bucket long, records binary", "m_oid long, m_tag string, starts binary"
 
 
 def marks(leaves: DataFrame, bits: int) -> DataFrame:
@@ -211,12 +211,12 @@ def remove_repeats(docs: DataFrame, width: int = 20, group: int = GROUP, id_col:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (the words left, joined by a space).
 
     A word goes when a window over it also starts earlier: in a smaller doc_id (null ids last), or at an
-    earlier start of the same document. Rows with the same id and another text are ordered by a hash of
+    earlier start of the same document. Rows with the same id and another text are ordered by the md5 of
     the text; rows equal in id and text are one document and get equal results. Null texts are empty.
     Documents shorter than a window lose nothing. Other columns are ignored; an empty table gives no rows.
     Two different windows in one group are taken for equal with a chance of 2**-56.
     """
-    rows = numbered(docs, id_col, text_col)
+    rows = named_apart(numbered(docs, id_col, text_col))
     letters = rows.agg(F.sum(F.length("text"))).head()[0] or 0
     bits = max(4, (letters // 6 // group).bit_length())
     counts = rows.select("text").mapInArrow(partial(_counts, width=width, bits=bits), "level int, slot long, n long")

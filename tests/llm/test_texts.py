@@ -319,3 +319,18 @@ def test_trees_learn_and_keep_their_signs():
         line[:, j] = np.repeat(np.linspace(0, 1, 40), 50)
         scores = trees.score(line).reshape(40, 50)
         assert (sign * np.diff(scores, axis=0) >= -1e-12).all()
+
+
+def test_texts_of_one_id_with_one_32_bit_hash_are_two_documents(spark):
+    from commentscope.llm.common import one_per_name
+    half = " ".join(f"left{i}" for i in range(25))
+    texts = [f"{half} {half} 13736", " ".join(f"right{i}" for i in range(60)) + " 172207"]
+    df = spark.createDataFrame([(None, t) for t in [*texts, texts[1]]] + [(1, "a text of its own")], "doc_id long, text string")
+    assert df.where("doc_id is null").selectExpr("hash(text)").distinct().count() == 1
+    for found, size in ((substring_trees.remove_repeats(df), "n_words"), (parse_dedup.remove_repeats(df), "n_bytes")):
+        got = sorted((r[size], r["n_removed"] > 0) for r in found.where("doc_id is null").collect())
+        want = [(len(words(t)) if size == "n_words" else len(t), t is texts[0]) for t in [*texts, texts[1]]]
+        assert got == sorted(want)
+    names = simhash.representatives(simhash.near_duplicates(df))
+    kept = one_per_name(df, names, "doc_id", "text").select("text").collect()
+    assert sorted(r["text"] for r in kept) == sorted([*texts, "a text of its own"])
