@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with CRF transitions.
 
-The network is trained in numpy from labelled spans: what the patterns find in a bounded sample of
-documents, part of it rewritten into forms that the patterns miss. A text is covered by overlapping
+The network is trained in numpy from labelled spans: what the patterns find in a bounded sample of the
+documents that hold such a span, part of it rewritten into forms that the patterns miss. A text is covered by overlapping
 windows. Windows without a digit or ``@`` are passed over: a span needs one of these characters, so
 they cannot hold one. Emissions of overlapping windows are averaged by how central a character is in
 each, then every stretch of touching windows is decoded once, by Viterbi over the whole stretch.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from commentscope.llm.common import bounded_sample, quoted, slices, text_or_empty
+from commentscope.llm.common import bounded_sample, quoted, slices, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -349,6 +349,10 @@ def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[dict, list[t
 
 #: Documents that hold a base span, used for training, at most; the sample is ordered by a hash.
 TRAIN_DOCS = 400
+#: For each document of those, a quarter of one that has a digit or ``@`` but no span.
+PLAIN_SHARE = 4
+#: Windows of a text, drawn from the whole of it, at most: with a part of a span, and without.
+SPANNED, FREE = 8, 4
 
 
 def _rewritten(kind: str, s: str, draw: np.random.Generator) -> str:
@@ -384,9 +388,12 @@ def examples(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
             new = "".join(parts)
             starts = window_starts(new)
             if len(starts):
-                starts = np.minimum(starts[:8] + draw.integers(0, STRIDE, min(len(starts), 8)), len(new))
-                codes.append(_rows(_codes(new), starts))
+                starts = np.minimum(starts + draw.integers(0, STRIDE, len(starts)), len(new))
                 padded = np.concatenate([np.array(labels, np.int64), np.zeros(WINDOW, np.int64)])
+                upto = np.concatenate([[0], np.cumsum(padded > 0)])
+                spanned = upto[starts + WINDOW] > upto[starts]
+                starts = np.sort(np.concatenate([draw.permutation(starts[spanned])[:SPANNED], draw.permutation(starts[~spanned])[:FREE]]))
+                codes.append(_rows(_codes(new), starts))
                 tags.append(padded[starts[:, None] + np.arange(WINDOW)])
             if not spans:
                 break
@@ -395,12 +402,34 @@ def examples(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate(tags)
 
 
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, spanned): whether the patterns find a span in the text."""
+    for part in (s for batch in batches for s in slices(batch, 1)):
+        spanned = [any(base_spans(text).values()) for text in part.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spanned, pa.bool_())], ["key", "spanned"])
+
+
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, codes, tags): the windows of each text."""
+    for part in (s for batch in batches for s in slices(batch, 1)):
+        found = [examples([text], key % 2**32) for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+        blobs = [pa.array([x[i].astype(np.uint8).tobytes() for x in found], pa.binary()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([part.column(0), *blobs], ["key", "codes", "tags"])
+
+
 def train(docs: DataFrame, rows: int = TRAIN_DOCS, text_col: str = "text") -> Tagger | None:
-    """The network from at most ``rows`` documents with a digit or ``@``, those with the smallest hashes of
-    their text; None where there are none. Only the bounded sample reaches the driver."""
+    """The network from at most ``rows`` distinct texts with a base span, and a ``PLAIN_SHARE`` of that many with
+    a digit or ``@`` but no span: those with the smallest hashes. None where no text has a span. Windows are
+    cut on the executors; only theirs, a bounded number per text, reach the driver."""
     text = F.col(quoted(text_col)).cast("string")
-    sample = bounded_sample(docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]")), rows, F.xxhash64("text"))
-    codes, tags = examples(sorted(r["text"] for r in sample.collect()))
+    texts = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("key"), "text")
+    known = written(texts.mapInArrow(_labelled, "key long, spanned boolean").distinct(), "labelled-texts")
+    # the samples' bounds are parameters: a broadcast of that many keys
+    chosen = bounded_sample(known.where("spanned"), rows, F.col("key")).select(F.col("key").alias("c_key")).unionByName(
+        bounded_sample(known.where("NOT spanned"), rows // PLAIN_SHARE, F.col("key")).select(F.col("key").alias("c_key")))
+    once = texts.join(F.broadcast(chosen), F.col("key") == F.col("c_key"), "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    got = sorted(once.mapInArrow(_examples, "key long, codes binary, tags binary").collect(), key=lambda r: r["key"])
+    codes, tags = (np.frombuffer(b"".join(r[c] for r in got), np.uint8).reshape(-1, WINDOW).astype(np.int64) for c in ("codes", "tags"))
     return fit(codes, tags) if (tags > 0).any() else None
 
 

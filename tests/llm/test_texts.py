@@ -90,6 +90,19 @@ def test_tagger_learns_held_out_spans():
     assert (got == tags)[tags == 0].mean() > 0.98
 
 
+def test_training_finds_rare_and_late_spans(spark):
+    dates = "on 3 May 1999 " * 40
+    late = [dates * 3 + f"write to a{i}.b@host{i}.example.org now" for i in range(6)]
+    df = spark.createDataFrame([(dates + str(i),) for i in range(300)] + [(t,) for t in late] + [(late[0],)] * 30, "text string")
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "fit", lambda codes, tags: seen.append((codes, tags)) or pii.Tagger.new())
+        assert pii.train(df, rows=20) is not None
+    codes, tags = seen[0]
+    assert ((tags == 1) & (codes == ord("a"))).any(axis=1).sum() >= len(late)
+    assert len(codes) <= (2 * len(late) + 20 // pii.PLAIN_SHARE) * (pii.SPANNED + pii.FREE)
+
+
 def test_tagger_gradients_match_differences():
     model, draw = pii.Tagger.new(), np.random.default_rng(0)
     for name in ("embed", "wx", "wh", "b", "wo", "bo", "moves"):
