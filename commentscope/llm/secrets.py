@@ -3,14 +3,14 @@
 Strong patterns (assigned secrets, access identifiers, long hex strings) are reported as they are.
 Weak candidates, which mean nothing alone, are parts of a credential: an identifier, a secret-like
 string, an endpoint. Parts are linked when they lie in the same scope (between blank lines of one
-text) and their starts are at most ``REACH`` code points apart; a weak candidate is reported when a
+text) and at most ``REACH`` code points lie between them; a weak candidate is reported when a
 complementary part is linked to it: an identifier or endpoint needs a secret, a secret needs an
 identifier or endpoint. Strong hits take part as parts too.
 
-The link is an interval join on a grid: parts are first reduced to the first and last start of each
-kind per (text, scope, grid cell of width REACH); a candidate then meets its own and the two
-neighbouring cells only. Within reach are all parts of its own cell, and of a neighbour those whose
-first (to the right) or last (to the left) start is near enough: no pairs inside a cell are made.
+The link is an interval join on a grid: a part stands in every cell (text, scope, ``REACH`` code points)
+that it touches, and of each kind a cell keeps the smallest start and the largest end. A candidate meets
+the cells that it touches and their neighbours. Within reach are all parts of its own cells, and of a
+neighbour those that begin (to the right) or end (to the left) near enough: no pairs inside a cell are made.
 """
 
 from __future__ import annotations
@@ -27,12 +27,14 @@ BASE = {
     "access": "AKIA[A-Z0-9]+",
     "hex": "[0-9a-f]{24,}",
 }
-ASSIGN_MIN, ACCESS_MIN = 6, 20
+ASSIGN_MIN, ACCESS_MIN, SECRET_MIN = 6, 20, 20
 
 #: Weak parts: (role, pattern). Every pattern starts and ends on a character class, so matches are maximal.
+#: A secret is group 1: a run without all three classes is matched outside the group, as no later start in it
+#: can succeed, and so is read once.
 WEAK = {
     "weak_id": ("id", r"\b(?:[A-Z]{2,5}[0-9][A-Z0-9]{10,30}|(?:client|account|access|user)_?(?:id|key)\x20*[:=]\x20*[A-Za-z0-9_-]{4,64})"),
-    "weak_secret": ("secret", r"\b(?=[A-Za-z0-9+/_-]{0,39}[0-9])(?=[A-Za-z0-9+/_-]{0,39}[a-z])(?=[A-Za-z0-9+/_-]{0,39}[A-Z])[A-Za-z0-9+/_-]{20,128}"),
+    "weak_secret": ("secret", r"\b(?:((?=[A-Za-z+/_-]*+[0-9])(?=[A-Z0-9+/_-]*+[a-z])(?=[a-z0-9+/_-]*+[A-Z])[A-Za-z0-9+/_-]{20,}+)|[A-Za-z0-9+/_-]{20,}+)"),
     "weak_endpoint": ("endpoint", r"\b(?:https?|s3|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:_-]+"),
 }
 ROLE = {"assign": "secret", "access": "id", "hex": "secret"} | {k: role for k, (role, _) in WEAK.items()}
@@ -76,7 +78,7 @@ def spans_in(texts: DataFrame) -> DataFrame:
         "access": _kept(BASE["access"], F.col("text").contains("AKIA"), 0, ACCESS_MIN),
         "hex": _hits(BASE["hex"], F.col("wide")),
         "weak_id": _hits(WEAK["weak_id"][1], F.col("text").rlike(r"[A-Z][0-9]|_?(?:id|key)\x20*[:=]")),
-        "weak_secret": _hits(WEAK["weak_secret"][1], F.col("wide")),
+        "weak_secret": _kept(WEAK["weak_secret"][1], F.col("wide"), 1, SECRET_MIN),
         "weak_endpoint": _hits(WEAK["weak_endpoint"][1], F.col("text").contains("://")),
     }
     found = texts.withColumn("wide", wide).withColumns(columns)
@@ -95,9 +97,9 @@ def linked(found: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
     kinds = F.array(*map(named, KINDS))
     parts = (found.select(*keys, "breaks", F.explode(F.flatten(kinds)).alias("p")).select(*keys, "breaks", "p.*")
              .withColumn("scope", F.size(F.filter("breaks", lambda b: b["start"] < F.col("start")))).drop("breaks")
-             .withColumn("cell", F.floor(F.col("start") / reach)))
-    # of each role, the first and last start per cell say all that its neighbours need
-    cells = parts.groupBy(*keys, "scope", "cell", "role").agg(F.min("start").alias("first"), F.max("start").alias("last"))
+             .withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / reach), F.floor(F.col("end") / reach)))))
+    # of each role, the smallest start and the largest end per cell say all that its neighbours need
+    cells = parts.groupBy(*keys, "scope", "cell", "role").agg(F.min("start").alias("first"), F.max("end").alias("last"))
     offered = cells.select(
         *[F.col(k).alias("o_" + k) for k in keys], F.col("scope").alias("o_scope"), F.col("role").alias("o_role"), F.col("cell").alias("o_cell"),
         "first", "last", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("at"))
@@ -107,9 +109,9 @@ def linked(found: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
     needs = F.when(F.col("role") == "secret", F.col("o_role") != "secret").otherwise(F.col("o_role") == "secret")
     near = (F.when(F.col("o_cell") == F.col("cell"), F.lit(True))
             .when(F.col("o_cell") < F.col("cell"), F.col("start") - F.col("last") <= reach)
-            .otherwise(F.col("first") - F.col("start") <= reach))
+            .otherwise(F.col("first") - F.col("end") <= reach))
     weak = parts.where(F.col("kind").isin(list(WEAK)))
-    return weak.join(offered, on & needs & near, "left_semi").select(*keys, "kind", "start", "end")
+    return weak.join(offered, on & needs & near, "left_semi").select(*keys, "kind", "start", "end").distinct()
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:

@@ -142,6 +142,17 @@ def test_secrets_base_and_linked_parts(docs, rows, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_after_long_parts_and_of_any_length(spark):
+    key, low = "Ab3" + "x/Yz-9_Q" * 40, "abcdefgh" * 10 + "Z9"
+    texts = ["secret=" + "Ab1" * 100 + "\nhttps://host.example", f"{key}\nhttps://far.example", f"https://near.example {low}",
+             "https://gone.example" + " y" * 100 + " " + key, "https://edge.example" + " " * 160 + key, "https://edge.example" + " " * 161 + key,
+             "https://slow.example " + "a/" * 100_000, "https://host.example\n\n" + key]
+    got = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r["doc_id"]: [texts[r["doc_id"]][w["start"]:w["end"]] for w in r["weak"]] for r in got}
+    assert found == {0: ["https://host.example"], 1: ["https://far.example", key], 2: ["https://near.example", low],
+                     3: [], 4: ["https://edge.example", key], 5: [], 6: [], 7: []}
+
+
 def test_suffix_trees_remove_repeated_windows(docs, rows, empty):
     seen, want = set(), {}
     for i, text in ordered(rows):
