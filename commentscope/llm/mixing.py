@@ -109,7 +109,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, id_
              .withColumn("units", F.round(F.col("rate") * UNIT).cast("long"))
              .withColumn("whole", F.floor(F.col("units") / UNIT))
              .withColumn("part", F.col("units") - F.col("whole") * UNIT))
-    out = written(_rounded(rated, cap), "copies")
+    # numbered once, where the rows are written: rows may be equal in all else
+    out = written(_rounded(rated, cap).withColumn("row", F.monotonically_increasing_id()), "copies")
     for _ in range(MENDS):
         out = _mended(out, cap)
     return out.select("doc_id", "tag", "size", "source", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken"))
@@ -153,8 +154,8 @@ def _mended(rows: DataFrame, cap: int) -> DataFrame:
             .withColumn("left", F.abs(F.abs("gap") - F.col("size")))
             .where(F.col("left") < F.abs("gap")))
     best = near.groupBy(F.col("g_source")).agg(
-        F.min(F.struct("left", "size", "draw")).alias("best"), F.first(F.signum("gap")).alias("sign"))
-    best = pinned(best.select("g_source", "best.size", "best.draw", "sign").withColumnRenamed("size", "b_size").withColumnRenamed("draw", "b_draw"))
-    on = F.col("source").eqNullSafe(F.col("g_source")) & (F.col("size") == F.col("b_size")) & (F.col("draw") == F.col("b_draw"))
+        F.min(F.struct("left", "size", "draw", "tag", "copies", "row")).alias("best"), F.first(F.signum("gap")).alias("sign"))
+    best = pinned(best.select(F.col("best.row").alias("b_row"), "sign"))
+    on = F.col("row") == F.col("b_row")
     moved = F.greatest(F.lit(0), F.least(F.lit(cap), F.col("copies") + F.coalesce("sign", F.lit(0.0))))
     return rows.join(broadcast_if_small(best), on, "left").withColumn("copies", moved.cast("long")).select(*rows.columns)

@@ -58,6 +58,13 @@ def test_mix_is_near_its_targets_on_many_documents(spark):
     assert all(abs(taken[s] - t) <= 0.005 * t for s, t in target.items())
 
 
+def test_mending_moves_one_of_equal_rows(spark):
+    rows = [(7, "w " * 5, "a")] * 1000 + [(8, "w " * 17, "a")] + [(100 + i, "w " * 5, "b") for i in range(1000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("source = 'a'").collect()
+    assert len(got) == 1001
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 2.5
+
+
 def test_newton_solves_the_dual_with_base_rates(spark):
     draw = np.random.default_rng(4)
     rows = [(i, "w " * int(draw.integers(1, 60)), f"s{i % 3}", float(draw.choice([0.2, 1.0, 2.5]))) for i in range(900)]
