@@ -6,9 +6,10 @@ of a task are packed in blocks, best fit decreasing. A dual-feasible function f
 lower bound for the number of sequences, and a block whose count equals its bound is certified.
 
 Blocks exchange documents while all blocks together use more sequences than the bound over all lengths asks
-for: a block with a gap gives the documents of all sequences that are not full, a certified one those of its
-emptiest sequence. What is given is packed again, best fit decreasing, and the new sequences replace the old
-ones if they are fewer.
+for. In the first round a block with a gap gives the documents of all sequences that are not full, a certified
+one those of its emptiest sequence; in the second all give those of sequences that are not full, in the third
+all. What is given is packed again, best fit decreasing, and the new sequences replace the old ones if they are
+fewer.
 
 Documents of one length are interchangeable, so both packings work on the number of documents per length: a
 plan is a short list of runs of equal lengths, whatever the number of documents, and a document finds its
@@ -26,7 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentscope.llm.common import quoted, slices, text_or_empty, written
@@ -38,8 +39,10 @@ BLOCK = 200_000
 MOST_K = 100
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, home long, bin long, offset long, "
-          "given boolean, ord long, bins long, bound long")
-_KINDS = {"piece": pa.int32(), "given": pa.bool_()}
+          "round int, ord long, bins long, bound long")
+_KINDS = {"piece": pa.int32(), "round": pa.int32()}
+#: Rounds of exchange, and the mark of a full piece, which is never given.
+ROUNDS, NEVER = 3, 9
 _FIELDS = [f.split()[0] for f in PIECES.split(", ")]
 
 
@@ -127,7 +130,7 @@ def _places(runs: list[Run]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed_block(rests: list[tuple], home: int, capacity: int, first_bin: int) -> pa.RecordBatch:
-    """The rests of a block with their places, and which of them the block gives into the exchange."""
+    """The rests of a block with their places, and the round of exchange in which the block gives each."""
     lengths = np.array([r[3] for r in rests])
     counts = np.bincount(lengths, minlength=capacity + 1)
     runs, bins = best_fit_decreasing(counts, capacity)
@@ -135,15 +138,18 @@ def _packed_block(rests: list[tuple], home: int, capacity: int, first_bin: int)
     order = np.argsort(-lengths, kind="stable")
     bin_, offset = _places(runs)
     load = np.bincount(bin_, weights=lengths[order], minlength=bins).astype(np.int64)
-    giving = load < capacity if bins > bound else np.arange(bins) == load.argmin()
-    given = giving[bin_] & (load[bin_] < capacity)
-    # the number of a given document among those of its length
-    sorted_lengths, before = lengths[order], np.cumsum(given) - given
+    giving = np.where(load < capacity, 0 if bins > bound else 1, 2)
+    giving[load.argmin()] = 0 if load.min() < capacity else 2
+    round_ = giving[bin_]
+    # the number of a document among those of its length; those given early come first
+    place = np.lexsort((round_, -lengths[order]))
+    sorted_lengths = lengths[order]
     new = np.r_[True, sorted_lengths[1:] != sorted_lengths[:-1]]
-    ord_ = before - np.maximum.accumulate(np.where(new, before, 0))
+    ord_ = np.empty(len(rests), np.int64)
+    ord_[place] = np.arange(len(rests)) - np.maximum.accumulate(np.where(new, np.arange(len(rests)), 0))
     columns = list(zip(*(rests[i] for i in order.tolist())))
     n = len(rests)
-    return _batch(*columns, np.full(n, home), first_bin + bin_, offset, given, ord_, np.full(n, bins), np.full(n, bound))
+    return _batch(*columns, np.full(n, home), first_bin + bin_, offset, round_, ord_, np.full(n, bins), np.full(n, bound))
 
 
 def _batch(*columns) -> pa.RecordBatch:
@@ -162,7 +168,7 @@ def _pack(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, capac
                 own = wide[start:start + capacity]
                 row = (doc, piece, start, len(own), zlib.crc32(own.tobytes()))
                 if len(own) == capacity:
-                    full.append((*row, part << 11 | block, used, 0, False, 0, 0, 0))
+                    full.append((*row, part << 11 | block, used, 0, NEVER, 0, 0, 0))
                     used += 1
                 else:
                     rests.append(row)
@@ -191,15 +197,20 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096
     whole, total = pieces.where(F.col("length") == capacity).count(), blocks.agg(F.sum("bins")).head()[0] or 0
     counts = _counts(pieces.where(F.col("length") < capacity), capacity)
     bound = lower_bound(counts, capacity)
-    place = pieces.withColumn("sequence_id", F.shiftleft("home", 31) + F.col("bin"))
-    if total > bound:
-        given = pieces.where("given")
-        old = given.select("home", "bin").distinct().count()
-        runs, new = best_fit_decreasing(_counts(given, capacity), capacity)
-        if new < old:
-            place, total = _exchanged(place, runs), total - old + new
+    sequence = F.shiftleft("home", 31) + F.col("bin")
+    place = pieces.withColumn("sequence_id", sequence)
+    best = total
+    for round_ in range(ROUNDS):
+        if best <= bound:
+            break
+        given = F.col("round") <= round_
+        old = pieces.where(given).select("home", "bin").distinct().count()
+        runs, new = best_fit_decreasing(_counts(pieces.where(given), capacity), capacity)
+        if total - old + new < best:
+            best = total - old + new
+            place = _exchanged(pieces.withColumn("sequence_id", sequence), given, runs)
     return place.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
-                        F.lit(whole + total).cast("long").alias("n_sequences"), F.lit(whole + bound).cast("long").alias("lower_bound"))
+                        F.lit(whole + best).cast("long").alias("n_sequences"), F.lit(whole + bound).cast("long").alias("lower_bound"))
 
 
 def _counts(pieces: DataFrame, capacity: int) -> np.ndarray:
@@ -210,10 +221,10 @@ def _counts(pieces: DataFrame, capacity: int) -> np.ndarray:
     return out
 
 
-def _exchanged(place: DataFrame, runs: list[Run]) -> DataFrame:
+def _exchanged(place: DataFrame, is_given: Column, runs: list[Run]) -> DataFrame:
     """The given documents in the sequences of the new plan, which have negative numbers."""
     spark = place.sparkSession
-    given = place.where("given")
+    given = place.where(is_given)
     # a document's number among all given ones of its length: those of earlier blocks come first
     per_block = given.groupBy("home", "length").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy("length").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)
@@ -229,4 +240,4 @@ def _exchanged(place: DataFrame, runs: list[Run]) -> DataFrame:
     item = F.col("__at") - F.col("__run.first")
     moved = found.withColumn("sequence_id", -1 - F.col("__run.bin") - F.floor(item / F.col("__run.each"))).withColumn(
         "offset", F.col("__run.offset") + item % F.col("__run.each") * F.col("length"))
-    return place.where("NOT given").unionByName(moved.select(*place.columns))
+    return place.where(~is_given).unionByName(moved.select(*place.columns))
