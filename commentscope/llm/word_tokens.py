@@ -38,7 +38,7 @@ class _Cache(dict):
     def __missing__(self, chunk: str) -> bytes:
         word = chunk.rstrip(_SIGNS)
         low = word.lower()
-        if len(word) < len(chunk) and word[-1:].isalnum() and "<|" not in chunk and "|>" not in chunk:
+        if len(word) < len(chunk) and low[-1:].isalnum() and "<|" not in chunk and "|>" not in chunk:
             ids = self[word] + self[chunk[len(word):]]
         elif low.isalpha() and max(low) <= _LAST:
             written = low if low.isascii() else low.encode().decode("latin-1").translate(_LETTERS)
