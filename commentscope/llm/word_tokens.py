@@ -40,7 +40,7 @@ class _Cache(dict):
         low = word.lower()
         if len(word) < len(chunk) and low[-1:].isalnum() and "<|" not in chunk and "|>" not in chunk:
             ids = self[word] + self[chunk[len(word):]]
-        elif low.isalpha() and max(low) <= _LAST:
+        elif word == chunk and low.isalpha() and max(low) <= _LAST:
             written = low if low.isascii() else low.encode().decode("latin-1").translate(_LETTERS)
             ids = array("H", [t.id for t in self.model.tokenize(written)]).tobytes()
         else:
