@@ -19,6 +19,8 @@ _LAST = "\u024f"
 
 #: Chunks that a worker remembers (about 150 MB); beyond that the table starts again.
 CACHE_CHUNKS = 1_000_000
+#: Characters of a chunk that is remembered, at most: texts without blanks are one chunk each.
+LONGEST = 64
 
 _caches: dict[str, _Cache] = {}
 
@@ -45,7 +47,8 @@ class _Cache(dict):
             ids = array("H", [t.id for t in self.model.tokenize(written)]).tobytes()
         else:
             ids = array("H", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
-        self[chunk] = ids
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
         return ids
 
 
