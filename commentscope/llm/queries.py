@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentscope.llm import certified_packing, mixing, neighbours, packing, parse_dedup, pii, quality, secrets, simhash, substring_trees, token_files
+from commentscope.llm import certified_packing, mixing, neighbours, packing, parse_dedup, periodic_runs, pii, quality, secrets, simhash, \
+    substring_trees, token_files
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -141,3 +142,8 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 @query("op13_certified_packing")
 def _(spark, sf_dir):
     return certified_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=1, capacity=4096)
+
+
+@query("op11_block_convolution_runs")
+def _(spark, sf_dir):
+    return periodic_runs.digest(periodic_runs.collapse_runs(table(spark, sf_dir, "documents"), plant=True))
