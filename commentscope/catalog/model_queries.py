@@ -166,8 +166,11 @@ def vector_long(t):
     return unpivot_vector(t.embedded, VECTOR_LABELS, "embedding")
 
 
+VECTOR_NAMES = [f"d{i}" for i in range(64)]
+
+
 def correlations(t):
-    return Z.label_correlation(vector_long(t), VECTOR_LABELS)
+    return Z.vector_label_correlation(t.embedded, "embedding", VECTOR_NAMES, VECTOR_LABELS)
 
 
 GAPS = "CASE WHEN vec_id % 7 = 0 THEN NULL ELSE value END"
@@ -177,9 +180,9 @@ GAPS = "CASE WHEN vec_id % 7 = 0 THEN NULL ELSE value END"
        "SELECT feature, label, round(r, 6) AS r FROM cr UNION ALL " + " UNION ALL ".join(
     f"SELECT feature, {q(l)}, round(CASE WHEN min(value) < max(value) THEN corr(value, {l}) END, 6) FROM gp GROUP BY feature" for l in VECTOR_LABELS))
 def _(t):
-    long = unpivot_vector(t.embedded, ["vec_id", *VECTOR_LABELS], "embedding")
-    gaps = long.withColumn("feature", F.concat("feature", F.lit("_gaps"))).withColumn("value", F.expr(GAPS))
-    return Z.label_correlation(long.unionByName(gaps), VECTOR_LABELS)
+    gaps = F.transform("embedding", lambda x: F.when(F.col("vec_id") % 7 != 0, x))
+    names = VECTOR_NAMES + [f"{n}_gaps" for n in VECTOR_NAMES]
+    return Z.vector_label_correlation(t.embedded, F.concat("embedding", gaps), names, VECTOR_LABELS)
 
 
 @query("feature_label_correlation_text", S.feature_sql(LABELLED_DOCS, X.SERVING_FEATURES).replace(
@@ -190,9 +193,8 @@ def _(t):
     for l, e in (("toxic", "toxic"), ("low_quality", "low_quality"), ("none", "1 - greatest(toxic, low_quality)"))))
 def _(t):
     feats = X.add_features(L.with_none_label(t.labelled, TEXT_LABELS), X.SERVING_FEATURES)
-    long = unpivot_columns(feats, [*TEXT_LABELS, "none"], X.SERVING_FEATURES)
-    rounded = long.withColumn("value", F.round("value", 6))
-    out = Z.label_correlation(rounded, [*TEXT_LABELS, "none"])
+    vector = F.array(*[F.round(F.col(c).cast("double"), 6) for c in X.SERVING_FEATURES])
+    out = Z.vector_label_correlation(feats, vector, X.SERVING_FEATURES, [*TEXT_LABELS, "none"])
     return out.withColumn("r", F.round("r", 5))
 
 

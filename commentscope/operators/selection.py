@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commentscope.plans import moments
 from commentscope.plans.ordering import pinned, quantiles
 
 
@@ -30,6 +29,15 @@ def label_correlation(long: DataFrame, labels: list[str]) -> DataFrame:
         ["feature"], labels, "label", "r")
 
 
+def vector_label_correlation(df: DataFrame, vector: str | Column, names: list[str], labels: list[str]) -> DataFrame:
+    """(feature, label, r): ``label_correlation`` for features that are the entries of an array column, named in
+    order. One pass adds matrices of sums per task; there is no row per entry."""
+    v = F.col(vector) if isinstance(vector, str) else vector
+    rows = df.select(v.alias("__x"), F.array(*[F.col(l).cast("double") for l in labels]).alias("__y"))
+    found = moments.correlations(rows, "__x", len(names), "__y", len(labels))
+    return found.select(moments.entry_names(names, "i").alias("feature"), moments.entry_names(labels, "j").alias("label"), "r")
+
+
 def correlation_filter(correlations: DataFrame, cut: float) -> DataFrame:
     """(feature, max_abs_r) with the largest absolute r strictly above the cut."""
     best = correlations.groupBy("feature").agg(F.max(F.abs("r")).alias("max_abs_r"))
@@ -44,21 +52,12 @@ def useful_ratio(correlations: DataFrame, cut: float) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(a, b, r) for all pairs of columns; null for a constant column. The matrix of the engine's
-    correlation stays on the executors: each of its rows becomes one row here, then one per pair."""
-    vec = VectorAssembler(inputCols=columns, outputCol="__v").transform(df).select("__v")
-    names = F.array(*[F.lit(c) for c in columns])
-    n = len(columns)
-    # a matrix value is column-major and symmetric
-    entries = Correlation.corr(vec, "__v").toDF("m").select(F.posexplode(_matrix_values("m")).alias("at", "r"))
-    at = F.col("at")
-    return entries.select(F.get(names, F.floor(at / n).cast("int")).alias("a"), F.get(names, (at % n).cast("int")).alias("b"),
-                          F.when(~F.isnan("r"), F.col("r")).alias("r"))
-
-
-def _matrix_values(column: str) -> Column:
-    """The values of a matrix column as an array."""
-    return F.from_json(F.to_json(F.struct(F.col(column).alias("m"))), "m struct<values: array<double>>", {"allowNonNumericNumbers": "true"})["m"]["values"]
+    """(a, b, r) for all pairs of columns, over the rows where both are known; null for a constant column.
+
+    Each task sums blocks of pairs; the blocks are added and turned into rows on the executors."""
+    rows = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("__v"))
+    return moments.correlations(rows, "__v", len(columns)).select(
+        moments.entry_names(columns, "i").alias("a"), moments.entry_names(columns, "j").alias("b"), "r")
 
 
 def drop_collinear(matrix: DataFrame, strength: DataFrame, cut: float) -> DataFrame:
