@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentscope.llm import certified_packing, mixing, neighbours, packing, parse_dedup, periodic_runs, pii, quality, secrets, simhash, \
-    substring_trees, token_files
+    substring_trees, token_files, whitening
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -147,3 +147,8 @@ def _(spark, sf_dir):
 @query("op11_block_convolution_runs")
 def _(spark, sf_dir):
     return periodic_runs.digest(periodic_runs.collapse_runs(table(spark, sf_dir, "documents"), plant=True))
+
+
+@query("op12_spectrum_whitening")
+def _(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), leading=32)
