@@ -14,6 +14,7 @@ from commentscope.functions import tokens as K
 from commentscope.functions.lexicons import BAD_WORDS, STOP_WORDS
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
+from commentscope.operators.tfidf import term_tfidf
 from commentscope.plans.long_form import exploded, label_rows, unpivot_columns
 
 LABELLED_DOCS = "d AS (SELECT doc_id, coalesce(text, '') AS x, toxic, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id))"
@@ -246,14 +247,14 @@ for size in (2, 3):
 
     @query(f"ngram_tfidf_{size}", tfidf_sql(size))
     def _(t, n=size):
-        scores = C.term_tfidf(T.clean_comments(t.comments), "doc_id", terms(n))
+        scores = term_tfidf(T.clean_comments(t.comments), terms(n))
         return C.top_k(scores.select("term", F.round("score", 6).alias("score")), "score", ["term"], 50)
 
     @query(f"ngram_tfidf_{size}_any_label", tfidf_sql(size, LABELLED_DOCS.replace(
         "USING (doc_id))", "USING (doc_id) WHERE toxic + (1 - quality) > 0)")))
     def _(t, n=size):
         some = t.labelled.where(P.any_label(TEXT_LABELS))
-        scores = C.term_tfidf(T.clean_comments(some), "doc_id", terms(n))
+        scores = term_tfidf(T.clean_comments(some), terms(n))
         return C.top_k(scores.select("term", F.round("score", 6).alias("score")), "score", ["term"], 50)
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentscope.functions import tokens as K
 from commentscope.plans.long_form import exploded, label_rows
-from commentscope.plans.ordering import pinned, quantiles, quantiles_of_counts, value_counts
+from commentscope.plans.ordering import quantiles, quantiles_of_counts, value_counts
 
 
 def top_k(df: DataFrame, measure: str, term: list[str], k: int) -> DataFrame:
@@ -41,30 +40,6 @@ def category_lexicon(top: DataFrame, bad_words: DataFrame) -> DataFrame:
     return top.join(bad_words, "word", "left_semi").select("word", F.col("label").alias("category"))
 
 
-def term_tfidf(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """(term, df, idf, score): sum over documents of the length-normalised tf-idf.
-
-    tf is counted inside the row and written once. idf = ln((1+n)/(1+df)) + 1. Rows meet their
-    term's idf in a join that adaptive execution splits where a term is frequent. The weights of
-    one document meet again as one row, are scaled there and summed per term with partial sums.
-    """
-    docs = pinned(df.select(key, K.term_counts(terms).alias("__tf")))
-    n = docs.agg(F.count(F.lit(1)).alias("__n"))
-    rows = (exploded(docs, [key], F.col("__tf"), "__t").select(key, "__t.term", "__t.tf"))
-    counted = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    # exactly one row on the right
-    rated = counted.join(F.broadcast(n)).select(
-        "term", "df", "__n", (F.log((1 + F.col("__n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    weighted = rows.join(rated.drop("__n"), "term")
-    grouped = weighted.groupBy(key).agg(F.collect_list(
-        F.struct("term", "df", "idf", (F.col("tf") * F.col("idf")).alias("w"))).alias("__ws"))
-    norm = F.sqrt(F.aggregate("__ws", F.lit(0.0), lambda a, t: a + t["w"] * t["w"]))
-    scaled = (exploded(grouped.select(norm.alias("__norm"), "__ws"), ["__norm"], F.col("__ws"), "__t")
-              .select("__norm", "__t.*"))
-    return scaled.groupBy("term").agg(F.max("df").alias("df"), F.max("idf").alias("idf"),
-                                      F.sum(F.col("w") / F.col("__norm")).alias("score"))
-
-
 def summary(long: DataFrame, key: str = "feature", value: str = "value", exact: bool = True) -> DataFrame:
     """count, mean, sample deviation, min, quartiles (exact or sketched), max per feature.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from commentscope.functions import features as X
 from commentscope.functions import tokens as K
 from commentscope.operators import corpus as C
+from commentscope.operators.tfidf import term_tfidf
 from commentscope.operators import labels as L
 from commentscope.operators import learners as B
 from commentscope.operators import lookups as J
@@ -186,7 +187,7 @@ def test_best_and_second(spark):
 
 def test_tfidf_of_two_documents(spark):
     df = spark.createDataFrame([(1, ["aa", "bb", "cc"]), (2, ["aa", "bb"]), (3, [])], "id long, w array<string>")
-    got = {r["term"]: r for r in C.term_tfidf(df.where("id < 3"), "id", K.ngrams(F.col("w"), 2)).collect()}
+    got = {r["term"]: r for r in term_tfidf(df.where("id < 3"), K.ngrams(F.col("w"), 2)).collect()}
     assert got["bb cc"]["idf"] == pytest.approx(1.405465, abs=1e-6)
     assert got["aa bb"]["score"] == pytest.approx(1.579739, abs=1e-6)
     assert got["bb cc"]["score"] == pytest.approx(0.814802, abs=1e-6)
