@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentscope.plans.long_form import exploded, label_rows
-from commentscope.plans.ordering import quantiles, quantiles_of_counts, value_counts
+from commentscope.plans import quantiles as Q
+from commentscope.plans.ordering import pinned
 
 
 def top_k(df: DataFrame, measure: str, term: list[str], k: int) -> DataFrame:
@@ -43,23 +44,20 @@ def category_lexicon(top: DataFrame, bad_words: DataFrame) -> DataFrame:
 def summary(long: DataFrame, key: str = "feature", value: str = "value", exact: bool = True) -> DataFrame:
     """count, mean, sample deviation, min, quartiles (exact or sketched), max per feature.
 
-    The exact form counts equal values first and takes all figures from these counts, so the input is
-    read once; it shuffles every distinct value. For large tables of nearly distinct numbers
-    ``exact=False`` sketches the quartiles without that shuffle.
+    The values are written once and read twice: one aggregate for the moments and the sketch, and for the exact
+    quartiles a pass that shuffles only the values next to them. ``exact=False`` reads them once.
     """
     quarters = [0.25, 0.5, 0.75]
+    rows = pinned(long.select(key, value).where(F.col(value).isNotNull())) if exact else long
+    base = rows.groupBy(key).agg(
+        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"), F.max(value).alias("max"), *([Q.sketch(value, quarters).alias("__s")] if exact else []))
     if exact:
-        counts = value_counts(long, key, value)
-        v, c = F.col(value), F.col("__c")
-        base = counts.groupBy(key).agg(F.sum("__c").alias("count"), (F.sum(v * c) / F.sum(c)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
-        spread = (counts.join(base.select(key, "mean"), key).groupBy(key)
-                  .agg(F.sqrt(F.try_divide(F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))), F.sum(c) - 1)).alias("std")))
-        base, quartiles = base.join(spread, key), quantiles_of_counts(counts, quarters, key, value)
+        base = pinned(base)
+        spans = Q.brackets(F.col("__s"), F.col("count"), F.col("min"), F.col("max"), quarters)
+        quartiles = Q.quantiles_in_brackets(rows, base.select(key, spans.alias("__brackets")), quarters, key, value)
     else:
-        base = long.groupBy(key).agg(
-            F.count(value).alias("count"), F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
-        quartiles = quantiles(long, quarters, key, value, exact=False)
+        quartiles = Q.quantiles(rows, quarters, key, value, exact=False)
     return base.join(quartiles, key).select(
         key, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max")

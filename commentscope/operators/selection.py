@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentscope.plans import moments
-from commentscope.plans.ordering import pinned, quantiles
+from commentscope.plans.ordering import pinned
+from commentscope.plans.quantiles import quantiles
 
 
 def label_correlation(long: DataFrame, labels: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact row numbers, running totals and quantiles without a single-task window.
+"""Exact row numbers and running totals without a single-task window.
 
 A window over a whole table runs in one task. Here the rows are range-partitioned by
 their order and written to the checkpoint folder together with the number of their block;
@@ -55,51 +55,3 @@ def row_numbers(df: DataFrame, order: list[str], name: str = "rn",
                 within: list[str] | None = None) -> DataFrame:
     """Add row numbers from 1 in a total order."""
     return running_totals(df, order, {name: F.lit(1).cast("long")}, within)
-
-
-def exact_quantiles(long: DataFrame, probs: list[float], key: str = "feature",
-                    value: str = "value") -> DataFrame:
-    """(key, n, q0, q1, ...): linearly interpolated quantiles, nulls ignored.
-
-    Equal values are counted first, so a value held by a third of the rows is one row here.
-    """
-    return quantiles_of_counts(value_counts(long, key, value), probs, key, value)
-
-
-def value_counts(long: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, value, __c): how often each value occurs, written once. What feeds it is computed one time."""
-    return pinned(long.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__c")))
-
-
-def quantiles_of_counts(counts: DataFrame, probs: list[float], key: str = "feature", value: str = "value") -> DataFrame:
-    seen = running_totals(counts, [value], {"__upto": F.col("__c")}, within=[key])
-    sizes = counts.groupBy(key).agg(F.sum("__c").alias("n"))
-    placed = seen.join(sizes, key).withColumn("__from", F.col("__upto") - F.col("__c"))
-
-    picks = []
-    for i, p in enumerate(probs):
-        at = (F.col("n") - 1) * F.lit(float(p))
-        for side, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            here = (F.col("__from") <= pos) & (pos < F.col("__upto"))
-            picks.append(F.max(F.when(here, F.col(value))).alias(f"__{side}{i}"))
-    found = placed.groupBy(key, "n").agg(*picks)
-    out = []
-    for i, p in enumerate(probs):
-        at = (F.col("n") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(f"q{i}"))
-    return found.select(key, "n", *out)
-
-
-def quantiles(long: DataFrame, probs: list[float], key: str = "feature", value: str = "value",
-              exact: bool = True) -> DataFrame:
-    """Exact quantiles, or one pass with a sketch of fixed size per key.
-
-    The exact form shuffles every distinct value once; the sketch shuffles none and errs by
-    at most one ten-thousandth of the rank.
-    """
-    if exact:
-        return exact_quantiles(long, probs, key, value)
-    sketch = F.percentile_approx(value, [float(p) for p in probs], 10_000)
-    out = long.groupBy(key).agg(F.count(value).alias("n"), sketch.alias("__q"))
-    return out.select(key, "n", *[F.col("__q")[i].alias(f"q{i}") for i in range(len(probs))])

@@ -21,7 +21,8 @@ from commentscope.operators import sampling as A
 from commentscope.operators import selection as Z
 from commentscope.operators import sequences as Q
 from commentscope.operators import vectors as V
-from commentscope.plans.ordering import exact_quantiles, quantiles, row_numbers, running_totals
+from commentscope.plans.ordering import row_numbers, running_totals
+from commentscope.plans.quantiles import exact_quantiles, quantiles
 from commentscope.sources import tables as IO
 
 
