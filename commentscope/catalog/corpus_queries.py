@@ -16,6 +16,7 @@ from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
 from commentscope.operators.tfidf import term_tfidf
 from commentscope.plans.long_form import exploded, label_rows, unpivot_columns
+from commentscope.plans.ordering import pinned
 
 LABELLED_DOCS = "d AS (SELECT doc_id, coalesce(text, '') AS x, toxic, 1 - quality AS low_quality FROM documents JOIN labels USING (doc_id))"
 DOC_LABELS = chain(DOCS, LABELS_SQL, LABELLED_SQL)
@@ -104,6 +105,30 @@ def _(t):
     return out.select("feature", "point", F.round("x", 4).alias("x"), "density")
 
 
+def binned_density_sql(steps, source, points, tolerance=1e-4):
+    """The binned estimate, and whether it is within its bound of the exact one."""
+    return chain(density_sql(steps, source, points).rsplit("SELECT feature, point::BIGINT", 1)[0].removeprefix("WITH ").rstrip(),
+        f"wd AS (SELECT *, h * sqrt(8 * {tolerance}::DOUBLE) AS width FROM hh WHERE n > 1 AND s > 0)",
+        f"ps AS (SELECT wd.feature, (value - lo) / width AS pos FROM wd JOIN {source} v ON v.feature = wd.feature WHERE value IS NOT NULL)",
+        "cl AS (SELECT feature, floor(pos) AS cell, sum(1 - (pos - floor(pos))) AS near, sum(pos - floor(pos)) AS far FROM ps GROUP BY ALL)",
+        "kr AS (SELECT gr.feature, gr.point, any_value(gx) AS x, any_value(gr.h) AS h, sum(near * exp(greatest(-0.5 * pow((gx - lo - cell * (gr.h * sqrt(8 * "
+        f"{tolerance}::DOUBLE))) / gr.h, 2), -745)) + far * exp(greatest(-0.5 * pow((gx - lo - (cell + 1) * (gr.h * sqrt(8 * {tolerance}::DOUBLE))) / gr.h, 2), -745))) "
+        "/ (any_value(gr.n) * any_value(gr.h) * sqrt(2 * pi())) AS y FROM gr JOIN cl ON cl.feature = gr.feature GROUP BY gr.feature, gr.point)"
+    ) + ("SELECT kr.feature, kr.point::BIGINT AS point, round(kr.x, 4) AS x, round(kr.y, 6) AS density, "
+         f"abs(kr.y - dn.y) <= {tolerance}::DOUBLE / (h * sqrt(2 * pi())) AS within_bound FROM kr JOIN dn USING (feature, point)")
+
+
+@query("density_by_label_binned", binned_density_sql(LENGTHS_SQL, "lg", 50))
+def _(t):
+    values = pinned(lengths_by_label(t))
+    exact = C.density(values, "feature", "value", 50).select("feature", "point", F.col("density").alias("exact"))
+    out = C.binned_density(values, "feature", "value", 50).join(exact, ["feature", "point"])
+    spread = values.groupBy("feature").agg((F.stddev_samp("value") * F.pow(F.count("value").cast("double"), F.lit(-0.2))).alias("h"))
+    bound = 1e-4 / (F.col("h") * C.ROOT_2_PI)
+    return out.join(spread, "feature").select(
+        "feature", "point", F.round("x", 4).alias("x"), "density", (F.abs(F.col("density") - F.col("exact")) <= bound).alias("within_bound"))
+
+
 DESCRIBED = X.feature_names(None)
 
 

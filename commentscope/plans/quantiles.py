@@ -37,11 +37,13 @@ def brackets(sketched: Column, n: Column, low: Column, high: Column, probs: list
 def quantiles_in_brackets(long: DataFrame, bracketed: DataFrame, probs: list[float], key: str = "feature", value: str = "value") -> DataFrame:
     """(key, n, q0, q1, ...) from (key, __brackets); the probabilities ascend."""
     v = F.col(value)
+    ends = [F.get("__brackets", F.lit(i))[side].alias(f"__{side}{i}") for i in range(len(probs)) for side in ("lo", "hi")]
     # one row per key on the right: labels or model columns
-    rows = long.where(v.isNotNull()).select(key, value).join(F.broadcast(bracketed.select(key, "__brackets")), key)
-    inside = F.exists("__brackets", lambda b: (b["lo"] <= v) & (v <= b["hi"]))
+    rows = long.where(v.isNotNull()).select(key, value).join(F.broadcast(bracketed.select(key, *ends)), key)
+    inside = reduce(lambda a, b: a | b, [(F.col(f"__lo{i}") <= v) & (v <= F.col(f"__hi{i}")) for i in range(len(probs))])
     # values with the same number of brackets below them are either before the next bracket or in it
-    counts = (rows.select(key, F.size(F.filter("__brackets", lambda b: b["hi"] < v)).alias("__gap"), F.when(inside, v).alias(value))
+    gap = reduce(lambda a, b: a + b, [(F.col(f"__hi{i}") < v).cast("int") for i in range(len(probs))])
+    counts = (rows.select(key, gap.alias("__gap"), F.when(inside, v).alias(value))
               .groupBy(key, "__gap", value).agg(F.count(F.lit(1)).alias("__c")))
     found = quantiles_of_counts(pinned(counts), probs, key, value, ["__gap", value])
     missed = found.where(reduce(lambda a, b: a | b, [F.col(f"q{i}").isNull() for i in range(len(probs))])).select(key)

@@ -60,3 +60,17 @@ def test_summary_of_many_values(spark, columns):
         r, v = got[k], np.array(v, float)
         want = [len(v), v.mean(), v.std(ddof=1) if len(v) > 1 else None, v.min(), *np.quantile(v, [0.25, 0.5, 0.75]), v.max()]
         assert [r[c] for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")] == [None if w is None else pytest.approx(w, rel=1e-9, abs=1e-9) for w in want]
+
+
+def test_binned_density_is_within_its_bound(spark, columns):
+    draw = np.random.default_rng(5)
+    columns = {k: columns[k] for k in ("normal", "ties", "hot", "sorted", "one")} | {"tail": draw.standard_cauchy(3000), "two": [1.0, 2.0], "same": [3.0] * 9}
+    df = long_of(spark, columns).unionByName(spark.createDataFrame([("none", None), ("two", None)], "feature string, value double"))
+    exact = {(r["feature"], r["point"]): r for r in C.density(df, "feature", "value", 20).collect()}
+    for tolerance in (1e-2, 1e-4):
+        got = {(r["feature"], r["point"]): r for r in C.binned_density(df, "feature", "value", 20, tolerance).collect()}
+        assert got.keys() == exact.keys() and {k for k, _ in got} == {"normal", "ties", "hot", "sorted", "tail", "two"}
+        for (k, i), r in got.items():
+            h = np.std(columns[k], ddof=1) * len(columns[k]) ** -0.2
+            assert abs(r["density"] - exact[k, i]["density"]) <= 1.001 * tolerance / (h * np.sqrt(2 * np.pi))
+            assert r["x"] == pytest.approx(exact[k, i]["x"])
