@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import sys
-
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       NaiveBayes, RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol,
-                                     HasRawPredictionCol, HasWeightCol)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.sql import functions as F
 
-from commentscope.plans.ordering import pinned
+from commentscope.operators.boosting import AdaBoost, AdaBoostModel
 
+__all__ = ["AdaBoost", "AdaBoostModel", "class_moments", "gaussian_naive_bayes", "gradient_boosting", "logistic_regression", "random_forest"]
 
 MOST_DEPTH = 30
 
@@ -59,99 +49,3 @@ def class_moments(long, label_cols: list[str]):
     total = cls.groupBy("feature", "label").agg(F.sum("n").alias("__n"))
     return cls.join(total, ["feature", "label"]).select(
         "feature", "label", "y", "n", (F.col("n") / F.col("__n")).alias("prior"), "mean", "variance")
-
-
-class _BoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol,
-                   HasWeightCol):
-    rounds = Param(Params._dummy(), "rounds", "number of stumps", TypeConverters.toInt)
-    rate = Param(Params._dummy(), "rate", "shrinks the weight update", TypeConverters.toFloat)
-    pinEvery = Param(Params._dummy(), "pinEvery", "rounds between checkpoints", TypeConverters.toInt)
-
-
-class AdaBoost(Estimator, _BoostParams):
-    """Two-class SAMME.R over decision stumps.
-
-    A round fits one weighted stump on the whole table and multiplies each row's weight by
-    exp(-rate * y * h), where h is half the log-odds of the stump's class shares and y is
-    +1 or -1; the weights are then divided by their sum. Rows and features are written once;
-    the weights after every few rounds, which bounds the plan and survives lost executors.
-    """
-
-    @keyword_only
-    def __init__(self, *, rounds: int = 50, rate: float = 1.0, pinEvery: int = 1,
-                 featuresCol: str = "features", labelCol: str = "label"):
-        super().__init__()
-        self._setDefault(rounds=50, rate=1.0, pinEvery=1)
-        self._set(**self._input_kwargs)
-
-    def setLabelCol(self, value):
-        return self._set(labelCol=value)
-
-    def _fit(self, df: DataFrame) -> "AdaBoostModel":
-        features, label = self.getFeaturesCol(), self.getLabelCol()
-        rate, every = self.getOrDefault(self.rate), self.getOrDefault(self.pinEvery)
-        base = pinned(df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
-                        .withColumn("__w", F.lit(1.0)))
-        sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
-        stump = DecisionTreeClassifier(maxDepth=1, weightCol="__w", seed=0, predictionCol="__pred",
-                                       probabilityCol="__prob", rawPredictionCol="__raw")
-        models = []
-        for i in range(self.getOrDefault(self.rounds)):
-            model = stump.fit(base)
-            models.append(model)
-            scored = model.transform(base).withColumn("__h", half_log_odds("__prob"))
-            # the exponents' largest is taken out before, the sum after: no weight leaves the range of doubles
-            scored = scored.withColumn("__log", F.log("__w") - F.lit(rate) * sign * F.col("__h"))
-            top = scored.agg(F.max("__log")).head()[0]
-            scored = scored.withColumn("__e", F.exp(F.col("__log") - F.lit(top)))
-            total = scored.agg(F.sum("__e")).head()[0]
-            least = sys.float_info.min  # a weight that underflows stays positive
-            base = scored.withColumn("__w", F.greatest(F.col("__e") / F.lit(total), F.lit(least))).select("features", "label", "__w")
-            if (i + 1) % every == 0:
-                base = pinned(base)
-        return self._copyValues(AdaBoostModel(models))
-
-
-#: Shares are kept this far from 0 and 1, as in the published algorithm's library form.
-EPSILON = sys.float_info.epsilon
-
-
-def half_log_odds(prob: str):
-    p = F.least(F.greatest(vector_to_array(prob)[1], F.lit(EPSILON)), F.lit(1.0 - EPSILON))
-    return 0.5 * (F.log(p) - F.log(1.0 - p))
-
-
-class AdaBoostModel(Model, _BoostParams):
-    """Sum of the stumps' half log-odds; the class share is its logistic."""
-
-    def __init__(self, stumps=None):
-        super().__init__()
-        self.stumps = stumps or []
-
-    SAVED_AS = "commentscope.AdaBoostModel"
-
-    def save(self, path: str) -> None:
-        """The stumps as one pipeline, and the column names beside it."""
-        names = {p.name: self.getOrDefault(p) for p in self.params if p.name.endswith("Col") and self.isDefined(p)}
-        PipelineModel(self.stumps).write().overwrite().save(f"{path}/stumps")
-        meta = json.dumps({"class": self.SAVED_AS, "columns": names})
-        SparkSession.active().createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
-
-    @classmethod
-    def load(cls, path: str) -> "AdaBoostModel":
-        meta = json.loads(SparkSession.active().read.text(f"{path}/metadata").head()[0])
-        model = cls(PipelineModel.load(f"{path}/stumps").stages)
-        for name, value in meta["columns"].items():
-            model.set(model.getParam(name), value)
-        return model
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        out = df.withColumn("__sum", F.lit(0.0))
-        for stump in self.stumps:
-            stump.setFeaturesCol(self.getFeaturesCol())
-            out = (stump.transform(out).withColumn("__sum", F.col("__sum") + half_log_odds("__prob"))
-                        .drop("__pred", "__prob", "__raw"))
-        p = 1.0 / (1.0 + F.exp(-2.0 * F.col("__sum") / max(len(self.stumps), 1)))
-        return (out.withColumn(self.getRawPredictionCol(), array_to_vector(F.array(-F.col("__sum"), F.col("__sum"))))
-                   .withColumn(self.getProbabilityCol(), array_to_vector(F.array(1.0 - p, p)))
-                   .withColumn(self.getPredictionCol(), (F.col("__sum") > 0).cast("double")).drop("__sum"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentscope.operators import metrics as M
-from commentscope.operators.learners import AdaBoostModel
+from commentscope.operators.boosting import AdaBoostModel
 from commentscope.operators.reports import METRICS, union_tables
 from commentscope.plans.ordering import pinned
 
@@ -214,7 +214,7 @@ def grid_search_transform(df: DataFrame, key: str, labels: list[str], transform:
 
 
 def save_model(stages: list, path: str) -> None:
-    """Engine models as one pipeline; a boosted model as the pipeline of its stumps beside its settings."""
+    """Engine models as one pipeline; a boosted model as its stumps and settings."""
     if len(stages) == 1 and isinstance(stages[0], AdaBoostModel):
         stages[0].save(path)
     else:

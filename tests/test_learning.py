@@ -31,7 +31,7 @@ def test_transforms_learn_both_labels(rows, name):
 
 
 @pytest.mark.parametrize("make", [lambda: B.random_forest(10, 4), B.gaussian_naive_bayes, lambda: B.gradient_boosting(5, 2),
-                                  lambda: B.AdaBoost(rounds=6, pinEvery=3)], ids=["forest", "bayes", "boosting", "adaboost"])
+                                  lambda: B.AdaBoost(rounds=6)], ids=["forest", "bayes", "boosting", "adaboost"])
 def test_learners(rows, make):
     out = ML.fit_binary_relevance(rows, ["a"], make())(rows)
     assert M.roc_auc(M.score_rows(out, ["id"], ["a"])).first()["auc"] > 0.95
@@ -41,7 +41,7 @@ def test_adaboost_matches_a_direct_computation(spark):
     x = np.array([0.0, 1, 2, 3, 4, 5, 6, 7])
     y = np.array([0, 0, 1, 0, 1, 1, 0, 1])
     df = ML.assemble(spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "x double, y int"), ["x"])
-    model = B.AdaBoost(rounds=3, pinEvery=2, labelCol="y").fit(df)
+    model = B.AdaBoost(rounds=3, labelCol="y").fit(df)
     p = np.array([r["probability"][1] for r in model.transform(df).orderBy("x").collect()])
 
     w, total = np.ones(8), np.zeros(8)
@@ -115,3 +115,67 @@ def test_grid_over_a_transform_by_a_score_of_all_labels(rows):
     assert set(got) == {"maxDepth=1", "maxDepth=4"} and best.models[0].getMaxDepth() == (1 if got["maxDepth=1"] >= got["maxDepth=4"] else 4)
     one = ML.kfold_score(folds, "id", ["a", "b"], lambda df: ML.fit_classifier_chain(df, ["a", "b"], B.random_forest(5, 4)), "f1_weighted", folds=3).first()
     assert one["mean"] == pytest.approx(got["maxDepth=4"]) and one["score"] == "f1_weighted"
+
+
+def direct_boost(x, y, cuts, rounds, rate):
+    """Margins after each round, by the definition, with the cuts the learner offers."""
+    w, sign, total = np.full(len(y), 1 / len(y)), np.where(y == 1, 1, -1), np.zeros(len(y))
+    for _ in range(rounds):
+        best = (2 * w[y == 1].sum() * w[y == 0].sum() / w.sum(), None)
+        for f, own in enumerate(cuts):
+            for c in own:
+                left = x[:, f] <= c
+                gini = sum(2 * w[s & (y == 1)].sum() * w[s & (y == 0)].sum() / w[s].sum() for s in (left, ~left) if w[s].sum() > 0)
+                if gini < best[0] * (1 - 1e-9):
+                    best = (gini, left)
+        left = best[1] if best[1] is not None else np.ones(len(y), bool)
+        share = lambda s: np.clip(w[s & (y == 1)].sum() / w[s].sum(), 2 ** -52, 1 - 2 ** -52)
+        q = np.where(left, share(left), share(~left) if (~left).any() else 0.5)
+        h = 0.5 * np.log(q / (1 - q))
+        total += h
+        w = w * np.exp(-rate * sign * h)
+        w /= w.sum()
+    return total
+
+
+@pytest.mark.parametrize("rounds, rate", [(1, 1.0), (40, 1.0), (25, 0.3)])
+def test_adaboost_margins_on_several_features(spark, rounds, rate):
+    from commentscope.operators import boosting
+
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.normal(size=(150, 2)), rng.integers(0, 3, 150), np.full(150, 7.0)]
+    y = ((x[:, 0] + 0.5 * x[:, 1] + 0.4 * rng.normal(size=150)) > 0).astype(int)
+    df = ML.assemble(spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y)], "a double, b double, c double, d double, y int"), list("abcd")).repartition(3)
+    model = B.AdaBoost(rounds=rounds, rate=rate, labelCol="y").fit(df)
+    from pyspark.ml.functions import vector_to_array
+    cuts = boosting.cuts(df.select(vector_to_array("features").alias("f")), "f", 4)
+    assert [len(c) for c in cuts[2:]] == [2, 0] and max(map(len, cuts)) < boosting.BINS
+    got = {(r["a"], r["b"]): r["rawPrediction"][1] for r in model.transform(df).collect()}
+    want = direct_boost(x, y, cuts, rounds, rate)
+    assert np.allclose([got[a, b] for a, b in x[:, :2]], want, atol=1e-6)
+
+
+def test_adaboost_500_rounds_write_features_once(spark, monkeypatch):
+    from commentscope.operators import boosting
+
+    written = []
+    keep = boosting.pinned
+    monkeypatch.setattr(boosting, "pinned", lambda df: (written.append(df.columns), keep(df))[1])
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 0] ** 2 + x[:, 1] + 0.1 * rng.normal(size=400) > 1).astype(int)
+    df = ML.assemble(spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y)], "a double, b double, c double, y int").coalesce(1), list("abc"))
+    model = B.AdaBoost(rounds=500, labelCol="y").fit(df)
+    assert written == [["x", "y"]] and len(model.stumps) == 500
+    out = model.transform(df)
+    p = np.array([r["probability"][1] for r in out.collect()])
+    assert np.isfinite(p).all() and ((p > 0.5) == y).mean() > 0.93
+
+
+def test_adaboost_on_one_class_and_pure_cuts(spark):
+    one = ML.assemble(spark.createDataFrame([(float(i), 1) for i in range(9)], "a double, y int"), ["a"])
+    model = B.AdaBoost(rounds=4, labelCol="y").fit(one)
+    assert all(s[0] == -1 for s in model.stumps) and {r["prediction"] for r in model.transform(one).collect()} == {1.0}
+    pure = ML.assemble(spark.createDataFrame([(float(i), int(i > 4)) for i in range(9)], "a double, y int"), ["a"])
+    model = B.AdaBoost(rounds=30, labelCol="y").fit(pure)
+    assert [r["prediction"] for r in model.transform(pure).orderBy("a").collect()] == [0.0] * 5 + [1.0] * 4
