@@ -11,9 +11,10 @@ from commentscope.functions import features as X
 from commentscope.functions import predicates as P
 from commentscope.functions import text as T
 from commentscope.functions import tokens as K
-from commentscope.functions.lexicons import BAD_WORDS, STOP_WORDS
+from commentscope.functions.lexicons import BAD_WORDS, LEMMA_EXCEPTIONS, LEMMA_VOCABULARY, STOP_WORDS, VALENCE
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
+from commentscope.operators.table_features import add_features_from_tables
 from commentscope.operators.tfidf import term_tfidf
 from commentscope.plans.long_form import exploded, label_rows, unpivot_columns
 from commentscope.plans.ordering import pinned
@@ -235,6 +236,29 @@ def _(t):
     return C.category_lexicon(top, word_table(t, BAD_WORDS))
 
 
+LEXICON_LABELS_SQL = TOP_PER_LABEL_SQL.replace("FROM documents JOIN labels", "FROM documents LEFT JOIN labels")
+LEXICON_BASE = ["text_length", "num_words", "num_stop_words", "stop_words_vs_length", "stop_words_vs_words", "sentiment"]
+LEXICON_FEATURES = [*LEXICON_BASE, *[n for l in TEXT_LABELS for n in (f"num_bad_{l}", f"bad_{l}_vs_length", f"bad_{l}_vs_words")]]
+
+
+@query("features_from_lexicon", LEXICON_LABELS_SQL.rstrip() + ",\n" + ",\n".join(S.ONCE) + ",\n"
+       "lx AS (SELECT word, label FROM tp WHERE rank <= 50 AND word IN (" + ", ".join(q(w) for w in BAD_WORDS) + ")), "
+       "hb AS (SELECT doc_id, " + ", ".join(f"count(*) FILTER (label = {q(l)}) AS {l}" for l in TEXT_LABELS) +
+       " FROM (SELECT doc_id, unnest(lemmas) AS word FROM p) JOIN lx USING (word) GROUP BY doc_id), "
+       "fb AS (" + S.feature_select(LEXICON_BASE) + ") SELECT fb.*, " + ", ".join(
+           f"coalesce({l}, 0) AS num_bad_{l}, " + ", ".join(f"round({S.ratio(f'coalesce({l}, 0)', by)}, 6) + 0.0 AS bad_{l}_vs_{end}"
+                                                             for by, end in (("text_length", "length"), ("num_words", "words"))) for l in TEXT_LABELS)
+       + " FROM fb LEFT JOIN hb USING (doc_id)")
+def _(t):
+    """Features of all comments with word tables as DataFrames; the bad words are the lexicon mined from the labels."""
+    top = C.top_words_per_label(lemmas_without_stops(t), F.col("a"), TEXT_LABELS, 50)
+    lexicon = pinned(C.category_lexicon(top, word_table(t, BAD_WORDS)))
+    valences = t.spark.createDataFrame(list(VALENCE.items()), "word string, value double")
+    exceptions = t.spark.createDataFrame(list(LEMMA_EXCEPTIONS.items()), "word string, lemma string")
+    return add_features_from_tables(t.comments, LEXICON_FEATURES, TEXT_LABELS, word_table(t, STOP_WORDS), lexicon, valences,
+                                    exceptions=exceptions, vocabulary=word_table(t, LEMMA_VOCABULARY))
+
+
 # ---- n-grams --------------------------------------------------------------------------------------
 
 def term_steps(n, docs=DOCS):

@@ -291,12 +291,10 @@ def _(t):
     "SELECT d.doc_id, coalesce(string_agg(m.lemma, ' ' ORDER BY m.i), '') AS lemmas FROM d LEFT JOIN m USING (doc_id) "
     "GROUP BY d.doc_id")
 def _(t):
-    words = K.vector_words(F.col("comment_text"))
-    vocab = J.corpus_vocabulary(t.comments, words)
+    rows = t.comments.select("doc_id", K.vector_words(F.col("comment_text")).alias("words"))
     exceptions = t.spark.createDataFrame(list(LEMMA_EXCEPTIONS.items()), "word string, lemma string")
-    table = J.lemma_table(vocab, vocab, exceptions)
-    out = J.lemmatize_with_table(t.comments, ["doc_id"], words, table)
-    return out.select("doc_id", F.array_join("lemmatization", " ").alias("lemmas"))
+    out = J.lemmatize_corpus(rows, "words", exceptions)
+    return out.select("doc_id", F.array_join("words", " ").alias("lemmas"))
 
 
 # ---- features -----------------------------------------------------------------------------------

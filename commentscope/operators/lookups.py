@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentscope.functions import tokens as K
+from commentscope.plans import dictionaries as D
 from commentscope.plans.long_form import exploded
 
 
@@ -81,6 +82,16 @@ def lemmatize_with_table(df: DataFrame, ids: list[str], words: str | Column,
     return grouped.withColumn("lemmatization", F.filter("lemmatization", lambda w: w.isNotNull()))
 
 
+def lemmatize_corpus(df: DataFrame, tokens: str, exceptions: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+    """``df`` with the words of a token column replaced by their lemmas; the vocabulary of singular forms is given
+    or that of the column itself. The text is read once: the distinct words of its packed batches are the vocabulary,
+    and no token is a row."""
+    pack = D.packed(df, [tokens])
+    words = D.vocabulary(pack)
+    lemmas = lemma_table(words, words if vocabulary is None else vocabulary, exceptions)
+    return D.replaced(df, tokens, lemmas, F.coalesce("lemma", "word"), pack=pack)
+
+
 def tag_with_table(df: DataFrame, ids: list[str], tokens: str | Column, lexicon: DataFrame) -> DataFrame:
     """(ids, tagged) by a join with a (word, tag) table, suffix rules for the rest."""
     rows = token_rows(df, ids, tokens)

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commentscope.plans.dictionaries import flat, lists
 from commentscope.plans.ordering import pinned
 
 #: Terms with repeats in a batch, and batch terms in a block, about.
@@ -38,22 +39,10 @@ SUMS = "block int, batch long, sums array<double>"
 SCORED = "term string, df long, idf double, score double"
 
 
-def _lists(values, offsets) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-
-
-def _flat(column) -> tuple[pa.Array, np.ndarray]:
-    """The elements of an array column one after another, and the bounds of its rows in them; null is empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return column.flatten(), np.r_[0, np.cumsum(sizes)].astype(np.int64)
-
-
 def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     for whole in batches:
-        words, bounds = _flat(whole.column(0))
+        words, bounds = flat(whole.column(0))
         at = 0
         while at < len(whole):
             end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
@@ -70,7 +59,7 @@ def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
             columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))),
                        pa.array(np.searchsorted(doc, np.arange(end - at + 1))), pa.array(code.astype(np.int32)), pa.array(tf)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | number]), pa.array([end - at]), *(_lists(c, [0, len(c)]) for c in columns)],
+                [pa.array([part << 32 | number]), pa.array([end - at]), *(lists(c, [0, len(c)]) for c in columns)],
                 ["batch", "docs", "terms", "hashes", "counts", "ptr", "codes", "tf"])
             at, number = end, number + 1
 
@@ -80,12 +69,12 @@ def _dealt(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
     for whole in batches:
         for i in range(len(whole)):
             row = whole.slice(i, 1)
-            terms, counts = _flat(row.column(1))[0], _flat(row.column(3))[0]
-            block = (_flat(row.column(2))[0].to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            terms, counts = flat(row.column(1))[0], flat(row.column(3))[0]
+            block = (flat(row.column(2))[0].to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
             blocks, first = np.unique(block, return_index=True)
             offsets = np.r_[first, len(block)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int32()), row.column(0).take(pa.array(np.zeros(len(blocks), int))), _lists(terms, offsets), _lists(counts, offsets)],
+                [pa.array(blocks, pa.int32()), row.column(0).take(pa.array(np.zeros(len(blocks), int))), lists(terms, offsets), lists(counts, offsets)],
                 ["block", "batch", "terms", "counts"])
 
 
@@ -96,36 +85,36 @@ def _idf(df: np.ndarray, n: int) -> np.ndarray:
 def _rated(table: pa.Table, n: int) -> pa.Table:
     """For each batch of a block the numbers of its terms in the block and their idf; in one more row, under
     batch -1, the block's terms with their document frequencies."""
-    words, bounds = _flat(table["terms"])
+    words, bounds = flat(table["terms"])
     encoded = words.dictionary_encode()
     code = encoded.indices.to_numpy()
-    df = np.bincount(code, weights=_flat(table["counts"])[0].to_numpy(), minlength=len(encoded.dictionary)).astype(np.int64)
+    df = np.bincount(code, weights=flat(table["counts"])[0].to_numpy(), minlength=len(encoded.dictionary)).astype(np.int64)
     last = np.r_[bounds, bounds[-1]]
     rows = len(table) + 1
     return pa.table({
         "block": pa.array([table["block"][0].as_py()] * rows, pa.int32()), "batch": pa.concat_arrays([table["batch"].combine_chunks(), pa.array([-1], pa.int64())]),
-        "codes": _lists(pa.array(code, pa.int32()), last), "idf": _lists(pa.array(_idf(df, n)[code]), last),
-        "terms": _lists(encoded.dictionary, np.r_[np.zeros(rows, int), len(df)]), "df": _lists(pa.array(df), np.r_[np.zeros(rows, int), len(df)])})
+        "codes": lists(pa.array(code, pa.int32()), last), "idf": lists(pa.array(_idf(df, n)[code]), last),
+        "terms": lists(encoded.dictionary, np.r_[np.zeros(rows, int), len(df)]), "df": lists(pa.array(df), np.r_[np.zeros(rows, int), len(df)])})
 
 
 def _weighed(batch: pa.Table, rated: pa.Table) -> pa.Table:
     """The batch's sum of tf over the document's norm for each of its terms, cut into blocks as it was sent."""
     rated = rated.sort_by("block")
-    idf, bounds = _flat(rated["idf"])
-    ptr, code, tf = (_flat(batch[c])[0].to_numpy() for c in ("ptr", "codes", "tf"))
+    idf, bounds = flat(rated["idf"])
+    ptr, code, tf = (flat(batch[c])[0].to_numpy() for c in ("ptr", "codes", "tf"))
     doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
     norm = np.sqrt(np.bincount(doc, weights=(tf * idf.to_numpy()[code]) ** 2, minlength=len(ptr) - 1))
     sums = np.bincount(code, weights=tf / norm[doc], minlength=len(idf))
-    return pa.table({"block": rated["block"], "batch": rated["batch"], "sums": _lists(pa.array(sums), bounds)})
+    return pa.table({"block": rated["block"], "batch": rated["batch"], "sums": lists(pa.array(sums), bounds)})
 
 
 def _scored(rated: pa.Table, sums: pa.Table, n: int) -> pa.Table:
-    codes, bounds = _flat(rated["codes"])
+    codes, bounds = flat(rated["codes"])
     codes = codes.to_numpy()
     at = {b: codes[bounds[i]:bounds[i + 1]] for i, b in enumerate(rated["batch"].to_pylist())}
-    terms, df = _flat(rated["terms"])[0], _flat(rated["df"])[0].to_numpy()
+    terms, df = flat(rated["terms"])[0], flat(rated["df"])[0].to_numpy()
     score = np.zeros(len(df))
-    values, bounds = _flat(sums["sums"])
+    values, bounds = flat(sums["sums"])
     values = values.to_numpy()
     for i, b in sorted(enumerate(sums["batch"].to_pylist()), key=lambda x: x[1]):
         score[at[b]] += values[bounds[i]:bounds[i + 1]]  # a batch has a term once
