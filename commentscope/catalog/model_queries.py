@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from commentscope.catalog import text_sql as S
@@ -133,12 +135,12 @@ def _(t):
 MATRIX_SQL = [*VECTORS_SQL, "al AS (SELECT word, count(*) AS n FROM tk GROUP BY word)",
               "ix AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS idx FROM al)",
               "st2 AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM wv)"]
-NORMAL_SQL = ("m + s * sqrt(-2.0 * ln(" + DRAWN_SQL.format("0:1") + " + 0.5 / 4294967296.0::DOUBLE)) * cos(6.283185307179586::DOUBLE * ("
-              + DRAWN_SQL.format("0:2") + " + 0.5 / 4294967296.0::DOUBLE))")
-
 
-@query("embedding_matrix", chain(*MATRIX_SQL) + f"SELECT word, idx, 'd' || i AS dim, round(coalesce(x, {NORMAL_SQL}), 6) AS x FROM (SELECT ix.word, ix.idx, r.i, wv.x, st2.m, st2.s "
-       f"FROM ix CROSS JOIN range({DIMS}) r(i) CROSS JOIN st2 LEFT JOIN wv ON wv.word = ix.word AND wv.dim = r.i)")
+@query("embedding_matrix", chain(
+       *MATRIX_SQL, "mi AS MATERIALIZED (SELECT ix.word, ix.idx FROM ix ANTI JOIN vc USING (word))",
+       f"dr AS MATERIALIZED (SELECT word, idx, i, {DRAWN_SQL.format('0:1')} AS u1, {DRAWN_SQL.format('0:2')} AS u2 FROM mi, range({DIMS}) r(i))") +
+       "SELECT word, idx, 'd' || dim AS dim, round(x, 6) AS x FROM wv JOIN ix USING (word) UNION ALL SELECT word, idx, 'd' || i, round(m + s * sqrt(-2.0 * ln(u1 + 0.5 / 4294967296.0::DOUBLE)) "
+       "* cos(6.283185307179586::DOUBLE * (u2 + 0.5 / 4294967296.0::DOUBLE)), 6) FROM dr, st2")
 def _(t):
     vocab = J.corpus_vocabulary(words_of(t), "a")
     ranked = row_numbers(vocab.withColumn("below", -F.col("n")), ["below", "word"], "idx")
@@ -146,10 +148,16 @@ def _(t):
     return unpivot_vector(matrix, ["word", "idx"], "vec", "dim", "x")
 
 
-@query("block_inference")
+POSITIONS = 16
+
+
+@query("block_inference", chain(DOCS, f"tk AS (SELECT doc_id, unnest({S.vector_words('x')}) AS word FROM d)",
+       f"ct AS (SELECT doc_id, ('0x' || md5(word)[1:8])::BIGINT % {POSITIONS} AS at, count(*)::DOUBLE AS n FROM tk GROUP BY ALL)", "nm AS (SELECT doc_id, sqrt(sum(n * n)) AS m FROM ct GROUP BY doc_id)") +
+       f"SELECT d.doc_id, 'd' || r.i AS dim, round(coalesce(n / m, 0.0), 6) AS x FROM d CROSS JOIN range({POSITIONS}) r(i) LEFT JOIN nm USING (doc_id) LEFT JOIN ct ON ct.doc_id = d.doc_id AND ct.at = r.i")
 def _(t):
-    return unpivot_vector(V.encode_blocks(t.comments, "doc_id", "comment_text", V.hashed_bag_of_words(16), 16),
-                          ["doc_id"], "vec", "dim", "x")
+    ids = V.hashed_positions(K.vector_words(F.col("comment_text")), POSITIONS)
+    vecs = V.encode_batches(t.comments.select("doc_id", ids.alias("ids")), "doc_id", "ids", V.bag_of_positions(POSITIONS))
+    return unpivot_vector(vecs, ["doc_id"], "vec", "dim", "x")
 
 
 # ---- selection -----------------------------------------------------------------------------------
@@ -366,6 +374,26 @@ def _(t):
     return long.join(kept.select(F.col("feature").alias("dim")), "dim", "left_semi")
 
 
+FULL_VECTOR_SQL = ", ".join(f"max(x) FILTER (dim = 'd{i}' AND dim IN (SELECT dim FROM k)) AS d{i}" for i in range(DIMS))
+FULL_SQL = (S.feature_sql(DOCS, MODEL_COLS).replace("\nSELECT doc_id,", ",\nf0 AS (SELECT doc_id,", 1) + "),\n"
+            "mm AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in X.SCALED_FEATURES) + " FROM f0 JOIN labels USING (doc_id)),\n"
+            + ",\n".join(re.sub(r"\btk\b", "vtk", re.sub(r"\bc\b", "wc", step)) for step in KEPT_SQL[1:]) + f",\nvw AS (SELECT doc_id, {FULL_VECTOR_SQL} FROM m GROUP BY doc_id)\n"
+            "SELECT f0.doc_id, (l.doc_id IS NOT NULL)::BIGINT AS labelled, l.toxic::BIGINT AS toxic, (1 - l.quality)::BIGINT AS low_quality, (1 - greatest(l.toxic, 1 - l.quality))::BIGINT AS none, "
+            + ", ".join(f"round(({c} - lo_{c})::DOUBLE / greatest(hi_{c} - lo_{c}, 1), 6) AS {c}_scaled" if c in X.SCALED_FEATURES else c for c in MODEL_COLS)
+            + ", " + ", ".join(f"d{i}" for i in range(DIMS)) + " FROM f0 CROSS JOIN mm JOIN vw USING (doc_id) LEFT JOIN labels l ON l.doc_id = f0.doc_id")
+
+
+@query("model_table", FULL_SQL)
+def _(t):
+    """One table for the rows to learn from and those to be predicted: labels, scaled features and the kept vector
+    dimensions in one order. A dimension that is not kept is an empty column here, so that the check's columns are fixed."""
+    feats = X.add_features(t.comments, MODEL_COLS)
+    rows = feats.join(V.document_vectors(words_of(t), "doc_id", "a", word_vectors(t), DIMS), "doc_id")
+    table, kept = Z.model_table(rows, t.labels.withColumn("none", 1 - F.greatest("toxic", "low_quality")), "doc_id", TEXT_LABELS, MODEL_COLS, X.SCALED_FEATURES, "vec", DIMS, 0.05)
+    dims = [F.col(f"d{i}") if f"d{i}" in kept else F.lit(None).cast("double").alias(f"d{i}") for i in range(DIMS)]
+    return table.select("doc_id", "labelled", *TEXT_LABELS, "none", *MODEL_NAMES, *dims)
+
+
 @query("density_by_dimension", density_sql([*LONG_SQL, "lv AS (SELECT feature || ':' || low AS feature, value FROM lg)"], "lv", 30))
 def _(t):
     long = vector_long(t)
@@ -409,7 +437,20 @@ def _(t):
     return A.class_counts(A.random_oversample(t.labels, "doc_id", "toxic", 0.5), "toxic")
 
 
-@query("random_oversample_in_turn")
+IN_TURN_SQL = chain(
+    LABELS_SQL, "ct AS (SELECT sum(toxic)::BIGINT AS m, (count(*) - sum(toxic))::BIGINT AS big FROM l)",
+    "ml AS (SELECT CASE WHEN m <= big THEN 1 ELSE 0 END AS minor, least(m, big) AS m, floor(0.5 * greatest(m, big))::BIGINT - least(m, big) AS need FROM ct)",
+    "nm AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM l, ml WHERE toxic = minor)",
+    "o1 AS (SELECT l.doc_id, toxic, low_quality, unnest(range(0, 1 + CASE WHEN need > 0 AND rn IS NOT NULL THEN need // m + CASE WHEN rn <= need % m THEN 1 ELSE 0 END ELSE 0 END)) AS copy "
+    "FROM l CROSS JOIN ml LEFT JOIN nm USING (doc_id))",
+    "c2 AS (SELECT sum(low_quality)::BIGINT AS m, (count(*) - sum(low_quality))::BIGINT AS big, max(copy) + 1 AS stride FROM o1)",
+    "m2 AS (SELECT CASE WHEN m <= big THEN 1 ELSE 0 END AS minor, least(m, big) AS m, floor(0.5 * greatest(m, big))::BIGINT - least(m, big) AS need, stride FROM c2)",
+    "n2 AS (SELECT doc_id, copy, row_number() OVER (ORDER BY doc_id, copy) AS rn FROM o1, m2 WHERE low_quality = minor)",
+    "o2 AS (SELECT o1.*, stride, unnest(range(0, 1 + CASE WHEN need > 0 AND rn IS NOT NULL THEN need // m + CASE WHEN rn <= need % m THEN 1 ELSE 0 END ELSE 0 END)) AS i "
+    "FROM o1 CROSS JOIN m2 LEFT JOIN n2 USING (doc_id, copy))")
+
+
+@query("random_oversample_in_turn", IN_TURN_SQL + "SELECT doc_id, toxic::BIGINT AS toxic, low_quality::BIGINT AS low_quality, (copy + i * stride)::BIGINT AS copy FROM o2")
 def _(t):
     out = t.labels
     for label in TEXT_LABELS:
@@ -545,6 +586,20 @@ def _(t):
     return M.roc_auc(scores(t), ["model"])
 
 
+BINNED_AUC_SQL = ["ab AS (SELECT model, label, least(floor(prob * 200), 199)::BIGINT AS b, count(*) FILTER (y = 1)::DOUBLE AS p, count(*) FILTER (y = 0)::DOUBLE AS q FROM s GROUP BY ALL)",
+                  "ac AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY model, label ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ab)",
+                  "ad AS (SELECT model, label, sum(p * (below + q / 2)) / nullif(sum(p) * sum(q), 0) AS area, sum(p * q) / 2 / nullif(sum(p) * sum(q), 0) AS bound FROM ac GROUP BY model, label)"]
+
+
+@query("roc_auc_binned", chain(*BY_MODEL, *BINNED_AUC_SQL) + "SELECT model, label, pos, neg, round(area, 6) AS auc, round(bound, 6) AS error_bound, abs(area - auc) <= bound + 1e-12 AS within_bound "
+       "FROM ad JOIN au USING (model, label)")
+def _(t):
+    rows = pinned(scores(t))
+    exact = M.roc_auc(rows, ["model"]).select("model", "label", F.col("auc").alias("exact"))
+    binned = M.binned_roc_auc(rows, ["model"], 200).join(exact, ["model", "label"])
+    return binned.select("model", "label", "pos", "neg", "auc", "error_bound", (F.abs(F.col("auc") - F.col("exact")) <= F.col("error_bound") + 1e-12).alias("within_bound"))
+
+
 @query("roc_auc_weighted", chain(*BY_MODEL) + "SELECT model, round(roc_auc_weighted, 6) AS roc_auc_weighted, round(roc_auc_macro, 6) AS roc_auc_macro, labels_without_auc FROM aw")
 def _(t):
     return M.roc_auc_weighted(M.roc_auc(scores(t), ["model"]), ["model"])
@@ -696,6 +751,61 @@ BAYES_SQL = chain(*bayes_sql("fold <> 0", "fold = 0"))
 BAYES_COLUMNS = ", ".join(f"round(max(p1) FILTER (label = {q(l)}), 6) AS {{}}{l}" for l in VECTOR_LABELS)
 
 
+FOLDED = "('0x' || md5(vec_id || ':3')[1:8])::BIGINT % 5"
+CONTIGUOUS = "(SELECT vec_id, ntile(5) OVER (ORDER BY vec_id) - 1 AS fold FROM embeddings)"
+
+
+def folded_sql(folds, contiguous=False):
+    """fk: every row once per fold k, held out where it is in that fold."""
+    rows = f"fl AS MATERIALIZED (SELECT lg.*, fold FROM lg JOIN {CONTIGUOUS} USING (vec_id))" if contiguous else f"fl AS MATERIALIZED (SELECT *, {FOLDED} AS fold FROM lg)"
+    return [*LONG_SQL, rows, f"fk AS MATERIALIZED (SELECT k, fold = k AS held, vec_id, feature, value, low, even, third FROM fl, range({folds}) r(k))"]
+
+
+def class_shares_sql(name, source):
+    """{name}_p (k, vec_id, cls, p): Gaussian classes ``cls`` fitted on the rows of ``source`` not held out, shares of those that are."""
+    return [f"{name}_x AS MATERIALIZED ({source})",
+            f"{name}_e AS (SELECT k, 1e-9 * max(v) AS e FROM (SELECT k, feature, var_pop(value) AS v FROM {name}_x WHERE NOT held GROUP BY k, feature) GROUP BY k)",
+            f"{name}_m AS (SELECT k, cls, feature, count(*) AS n, avg(value) AS mu, var_pop(value) AS v FROM {name}_x WHERE NOT held GROUP BY ALL)",
+            f"{name}_s AS (SELECT x.k, vec_id, m.cls, any_value(ln(n)) + sum(-0.5 * ln(2 * pi() * (v + e)) - (value - mu) ** 2 / (2 * (v + e))) AS s "
+            f"FROM {name}_x x JOIN {name}_m m ON x.k = m.k AND x.feature = m.feature JOIN {name}_e e ON e.k = x.k WHERE held GROUP BY x.k, vec_id, m.cls)",
+            f"{name}_p AS MATERIALIZED (SELECT k, vec_id, cls, w / sum(w) OVER (PARTITION BY k, vec_id) AS p FROM "
+            f"(SELECT *, exp(s - max(s) OVER (PARTITION BY k, vec_id)) AS w FROM {name}_s))"]
+
+
+def relevance_sql():
+    steps = [x for l in VECTOR_LABELS for x in class_shares_sql(f"br_{l}", f"SELECT k, held, vec_id, feature, value, {l} AS cls FROM fk")]
+    return [*steps, "br AS (" + " UNION ALL ".join(f"SELECT k, vec_id, {q(l)} AS label, p FROM br_{l}_p WHERE cls = 1" for l in VECTOR_LABELS) + ")"]
+
+
+def chain_sql():
+    """Each label also sees the ones before it: the true ones where it is fitted, the predicted ones where it is asked."""
+    steps = []
+    for j, l in enumerate(VECTOR_LABELS):
+        before = "".join(f" UNION ALL SELECT f.k, held, f.vec_id, 'y{i}', CASE WHEN held THEN (p >= 0.5)::INT ELSE {b} END, {l} FROM fk f "
+                         f"LEFT JOIN cc_{b}_p c ON c.k = f.k AND c.vec_id = f.vec_id AND c.cls = 1 WHERE feature = 'd0'" for i, b in enumerate(VECTOR_LABELS[:j]))
+        steps += class_shares_sql(f"cc_{l}", f"SELECT k, held, vec_id, feature, value, {l} AS cls FROM fk" + before)
+    return [*steps, "cc AS (" + " UNION ALL ".join(f"SELECT k, vec_id, {q(l)} AS label, p FROM cc_{l}_p WHERE cls = 1" for l in VECTOR_LABELS) + ")"]
+
+
+def powerset_sql():
+    combo = " || ".join(f"{l}::VARCHAR" for l in VECTOR_LABELS)
+    return [*class_shares_sql("ps", f"SELECT k, held, vec_id, feature, value, {combo} AS cls FROM fk"),
+            "lp AS (" + " UNION ALL ".join(f"SELECT k, vec_id, {q(l)} AS label, coalesce(sum(p) FILTER (cls[{i + 1}] = '1'), 0) AS p FROM ps_p GROUP BY k, vec_id"
+                                           for i, l in enumerate(VECTOR_LABELS)) + ")"]
+
+
+def held_out_sql(steps, name):
+    return chain(*folded_sql(1), *steps) + ("SELECT vec_id, " + ", ".join(f"any_value({l})::BIGINT AS {l}" for l in VECTOR_LABELS) + ", " + ", ".join(
+        f"round(max(p) FILTER (label = {q(l)}), 6) AS p_{l}" for l in VECTOR_LABELS) + f" FROM {name} JOIN e USING (vec_id) GROUP BY vec_id")
+
+
+def fold_scores_sql(by, *parts):
+    """ev: the six scores per group, from tables (k, vec_id, label, p) with their names."""
+    scored = " UNION ALL ".join(f"SELECT vec_id AS doc_id, {q(point)} AS point, k AS fold, label, CASE label " + " ".join(f"WHEN {q(l)} THEN {l}" for l in VECTOR_LABELS)
+                                + f" END AS y, p AS prob FROM {name} JOIN e USING (vec_id)" for point, name in parts)
+    return [f"s AS MATERIALIZED (SELECT *, (prob >= 0.5)::INT AS pred FROM ({scored}))", *metrics_sql(by)[len(SCORES_SQL):]]
+
+
 def training(t):
     """Vectors with labels and shuffled folds, written once for the many fits."""
     rows = ML.vector_from_array(t.embedded, "embedding").select("vec_id", *VECTOR_LABELS, "features")
@@ -711,19 +821,29 @@ def held_out(t, fit):
     return predictions(fit(rows.where("fold <> 0")), rows.where("fold = 0"))
 
 
-@query("binary_relevance")
+@query("binary_relevance", held_out_sql(relevance_sql(), "br"))
 def _(t):
-    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.logistic_regression(df.count())))
+    return held_out(t, lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
+
+
+@query("classifier_chain", held_out_sql(chain_sql(), "cc"))
+def _(t):
+    return held_out(t, lambda df: ML.fit_classifier_chain(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
 
 
-@query("classifier_chain")
+@query("label_powerset", held_out_sql(powerset_sql(), "lp"))
 def _(t):
-    return held_out(t, lambda df: ML.fit_classifier_chain(df, VECTOR_LABELS, B.logistic_regression(df.count())))
+    return held_out(t, lambda df: ML.fit_label_powerset(df, VECTOR_LABELS, B.gaussian_naive_bayes()))
 
 
-@query("label_powerset")
+@query("transforms_logistic")
 def _(t):
-    return held_out(t, lambda df: ML.fit_label_powerset(df, VECTOR_LABELS, B.logistic_regression(df.count())))
+    """The three transforms over a logistic regression, side by side."""
+    rows = training(t)
+    train, test = rows.where("fold <> 0"), rows.where("fold = 0")
+    n = train.count()
+    parts = [predictions(fit(train, VECTOR_LABELS, B.logistic_regression(n)), test).withColumn("transform", F.lit(name)) for name, fit in ML.TRANSFORMS.items()]
+    return R.union_tables(parts)
 
 
 @query("one_vs_rest_loop")
@@ -786,12 +906,36 @@ def _(t):
     return ML.grid_search(training(t), "even", B.random_forest(), grid, "fold", "f1", folds=5)[1]
 
 
-@query("kfold_evaluate")
+@query("kfold_evaluate", chain(*folded_sql(5), *relevance_sql(), *fold_scores_sql(["fold"], ("br", "br"))) + f"SELECT fold::BIGINT AS fold, {SIX} FROM ev")
 def _(t):
     fit = lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes())
     return ML.kfold_evaluate(training(t), "vec_id", VECTOR_LABELS, fit)
 
 
+def contiguous_training(t):
+    rows = ML.vector_from_array(t.embedded, "embedding").select("vec_id", *VECTOR_LABELS, "features")
+    return pinned(rows.join(A.kfold_contiguous(rows, "vec_id", 5), "vec_id"))
+
+
+@query("kfold_score", chain(*folded_sql(5, True), *relevance_sql(), *fold_scores_sql(["fold"], ("br", "br"))) +
+       "SELECT 'f1_weighted' AS score, round(avg(f1_weighted), 6) AS mean, round(stddev_pop(f1_weighted), 6) AS std FROM ev")
+def _(t):
+    """One named score over contiguous folds."""
+    fit = lambda df: ML.fit_binary_relevance(df, VECTOR_LABELS, B.gaussian_naive_bayes())
+    return ML.kfold_score(contiguous_training(t), "vec_id", VECTOR_LABELS, fit, "f1_weighted")
+
+
+GRID_POINTS = [("binary_relevance", "br"), ("classifier_chain", "cc"), ("label_powerset", "lp")]
+
+
+@query("grid_search_transform", chain(*folded_sql(5, True), *relevance_sql(), *chain_sql(), *powerset_sql(), *fold_scores_sql(["point", "fold"], *GRID_POINTS)) +
+       "SELECT 'transform=' || point AS point, round(avg(f1_weighted), 6) AS mean, round(stddev_pop(f1_weighted), 6) AS std FROM ev GROUP BY point")
+def _(t):
+    """A grid over the problem transform by the f1 of all labels, over contiguous folds."""
+    grid = [{"transform": name} for name, _ in GRID_POINTS]
+    return ML.grid_search_transform(contiguous_training(t), "vec_id", VECTOR_LABELS, ML.fit_binary_relevance, B.gaussian_naive_bayes(), grid)[1]
+
+
 @query("model_save_load", chain(*bayes_sql("true", "true")) + "SELECT vec_id, any_value(low)::BIGINT AS low, round(max(p1) FILTER (label = 'low'), 6) AS p_low "
        "FROM pb JOIN e USING (vec_id) GROUP BY vec_id")
 def _(t):

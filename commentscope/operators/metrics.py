@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commentscope.plans.ordering import pinned, running_totals
@@ -123,6 +123,27 @@ def _roc_auc(counts: DataFrame, by: list[str] | None) -> DataFrame:
         F.col("__w"), F.col("pos").cast("double") * F.col("neg")).alias("auc"))
 
 
+def binned_roc_auc(scored: DataFrame, by: list[str] | None = None, bins: int = 10_000) -> DataFrame:
+    """(label, pos, neg, auc, error_bound): the area from a histogram of scores in [0, 1], for tables of many
+    distinct scores.
+
+    Pairs of one bin count one half, so the exact area is at most ``error_bound`` away: half the share of pairs
+    that meet in a bin. A task shuffles at most one row per label and bin, and histograms of parts can be added.
+    """
+    group = [*(by or []), "label"]
+    at = F.least(F.floor(F.greatest(F.col("prob"), F.lit(0.0)) * bins), F.lit(bins - 1))
+    counts = scored.groupBy(*group, at.alias("__bin")).agg(F.sum("y").alias("__p"), F.sum(1 - F.col("y")).alias("__q"))
+    # at most ``bins`` rows per label
+    before = Window.partitionBy(*group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("__below", F.coalesce(F.sum("__q").over(before), F.lit(0)))
+    half = F.col("__p").cast("double") * F.col("__q") / 2
+    totals = placed.groupBy(*group).agg(F.sum("__p").alias("pos"), F.sum("__q").alias("neg"), F.sum(half).alias("__half"),
+                                        F.sum(F.col("__p").cast("double") * F.col("__below")).alias("__wins"))
+    pairs = F.col("pos").cast("double") * F.col("neg")
+    return totals.select(*group, "pos", "neg", F.try_divide(F.col("__wins") + F.col("__half"), pairs).alias("auc"),
+                         F.try_divide(F.col("__half"), pairs).alias("error_bound"))
+
+
 def roc_auc_weighted(auc: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Support-weighted and plain mean of the label areas, and the labels that have none."""
     known = F.col("auc").isNotNull()

@@ -199,18 +199,36 @@ def kfold_score(df: DataFrame, key: str, labels: list[str], fit: Callable[[DataF
 
 
 def grid_search_transform(df: DataFrame, key: str, labels: list[str], transform: Callable, est: Estimator, grid: list[dict],
-                          score: str = "f1_weighted", fold_col: str = "fold", folds: int = 5):
-    """(best fitted transform, table of grid points): a problem transform is fitted with every point of the
-    grid, and its score over all labels is averaged over the folds. Ties go to the earlier point."""
+                          score: str = "f1_weighted", fold_col: str = "fold", folds: int = 5, parallelism: int = 4):
+    """(best fitted transform, table of grid points): a problem transform is fitted with every point of the grid,
+    and its score over all labels is averaged over the folds. Ties go to the earlier point.
+
+    A point names settings of the learner; its entry ``transform`` chooses another transform by name. The folds are
+    written once and shared. Fits of points and folds overlap, at most ``parallelism`` at a time; a point that
+    stands in the grid again is fitted once. One evaluation scores all points and folds together.
+    """
     named = [", ".join(f"{k}={v}" for k, v in sorted(p.items())) for p in grid]
-    with_point = [est.copy({est.getParam(k): v for k, v in p.items()}) for p in grid]
-    tables = [kfold_score(df, key, labels, lambda rows, e=e: transform(rows, labels, e), score, fold_col, folds).select(F.lit(name).alias("point"), "mean", "std")
-              for name, e in zip(named, with_point)]
-    table = pinned(union_tables(tables))
+    points = dict(zip(named, grid))
+    shared = pinned(df)
+
+    def fitted(rows: DataFrame, point: dict) -> Predictor:
+        chosen = TRANSFORMS[point["transform"]] if "transform" in point else transform
+        return chosen(rows, labels, est.copy({est.getParam(k): v for k, v in point.items() if k != "transform"}))
+
+    def scored(task: tuple[str, int]) -> DataFrame:
+        name, k = task
+        predict = fitted(shared.where(F.col(fold_col) != k), points[name])
+        rows = M.score_rows(predict(shared.where(F.col(fold_col) == k)), [key], labels)
+        return rows.select("*", F.lit(name).alias("point"), F.lit(k).alias("fold"))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(scored, [(name, k) for name in points for k in range(folds)]))
+    per_fold = M.evaluate(union_tables(parts), key, ["point", "fold"])
+    table = pinned(per_fold.groupBy("point").agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std")))
     means = {r["point"]: r["mean"] for r in table.collect()}  # one row per grid point
     sign = -1 if score == "log_loss" else 1
     best = max(range(len(grid)), key=lambda i: (sign * means[named[i]], -i))
-    return transform(df, labels, with_point[best]), table
+    return fitted(shared, grid[best]), table
 
 
 def save_model(stages: list, path: str) -> None:

@@ -151,3 +151,25 @@ def feature_status(features: DataFrame, selected: DataFrame, top: DataFrame,
     status = (F.when(F.col("__sel"), "selected").when(F.col("__min"), "minority").otherwise("other"))
     return (features.select("feature").distinct().join(chosen, "feature", "left")
                     .join(rare, "feature", "left").select("feature", status.alias("status")))
+
+
+def model_table(rows: DataFrame, labels: DataFrame, key: str, label_names: list[str], features: list[str], scaled: list[str],
+                vector: str, width: int, cut: float) -> tuple[DataFrame, list[str]]:
+    """(table, kept dimensions): labelled and unlabelled rows in one table (key, labelled, the columns of ``labels``,
+    features, kept vector dimensions).
+
+    The limits of the ``scaled`` features and the choice of dimensions, those whose absolute correlation with a label
+    exceeds ``cut``, are fitted on the labelled rows and applied to all. Rows are written once.
+    """
+    known = labels.withColumn("labelled", F.lit(1))
+    marked = pinned(rows.join(known, key, "left").withColumn("labelled", F.coalesce("labelled", F.lit(0)))
+                    .withColumn(vector, F.transform(vector, lambda x: F.round(x, 6))))
+    train = marked.where("labelled = 1")
+    names = [f"d{i}" for i in range(width)]
+    strong = correlation_filter(vector_label_correlation(train, vector, names, label_names), cut)
+    found = {r["feature"] for r in strong.select("feature").collect()}  # one row per dimension at most
+    kept = [n for n in names if n in found]
+    table = apply_minmax(marked, fit_minmax(train, scaled), scaled)
+    chosen = [F.get(vector, F.lit(i)).alias(n) for i, n in enumerate(names) if n in found]
+    order = [f"{c}_scaled" if c in scaled else c for c in features]
+    return table.select(key, "labelled", *[c for c in labels.columns if c != key], *order, *chosen), kept

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -12,7 +15,9 @@ from pyspark.sql import types as T
 
 from commentscope.functions import tokens as K
 from commentscope.operators.lookups import lookup_join
+from commentscope.plans.dictionaries import flat, lists
 
+Encoder = Callable[[np.ndarray, np.ndarray], np.ndarray]
 STEPS = 2 ** 32
 
 
@@ -68,6 +73,58 @@ def embedding_matrix(vocab: DataFrame, vectors: DataFrame, k: int, seed: int = 0
                  .select("word", "idx", F.coalesce(found, normal).alias("vec")))
 
 
+def hashed_positions(tokens: Column, k: int) -> Column:
+    """The tokens' numbers in a vocabulary of ``k`` hashed positions, from the first 32 bits of their md5."""
+    return F.transform(tokens, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % k).cast("int"))
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], encode: Encoder, budget: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values, bounds = flat(batch.column(1))
+        values, sizes = values.to_numpy(), np.diff(bounds)
+        order = np.argsort(sizes, kind="stable")  # texts of like length share a matrix
+        at = 0
+        while at < len(order):
+            # as many texts as their number times the longest fits into the budget; one longer text alone
+            widths = np.maximum(sizes[order[at:]], 1)
+            fits = widths * np.arange(1, len(widths) + 1) <= budget
+            own = order[at:at + max(1, len(fits) if fits.all() else int(fits.argmin()))]
+            width = int(max(1, sizes[own].max()))
+            mask = np.arange(width) < sizes[own][:, None]
+            ids = np.zeros((len(own), width), np.int64)
+            ids[mask] = values[np.repeat(bounds[own] - np.cumsum(sizes[own]) + sizes[own], sizes[own]) + np.arange(sizes[own].sum())]
+            vecs = np.asarray(encode(ids, mask), float)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), lists(pa.array(vecs.reshape(-1)), np.arange(len(own) + 1) * vecs.shape[1])],
+                                             [batch.schema.names[0], "vec"])
+            at += len(own)
+
+
+#: Tokens of a padded matrix, at most, unless one text is longer.
+BUDGET = 1 << 18
+
+
+def encode_batches(df: DataFrame, key: str, ids: str, encode: Encoder, budget: int = BUDGET) -> DataFrame:
+    """(key, vec) from an encoder of padded matrices of token numbers.
+
+    The encoder takes (numbers, mask), one row per text, and returns one vector per row. Texts of an Arrow batch
+    are ordered by length and dealt into matrices of at most ``budget`` entries, so little is padding and memory
+    is bounded; a longer text is a matrix of its own. Every row is encoded, a null array as a text without tokens.
+    """
+    schema = T.StructType([df.schema[key], T.StructField("vec", T.ArrayType(T.DoubleType()))])
+    return df.select(key, ids).mapInArrow(partial(_encoded, encode=encode, budget=budget), schema)
+
+
+def bag_of_positions(k: int) -> Encoder:
+    """Stand-in encoder: how often each of ``k`` token numbers occurs, scaled to length one."""
+    def encode(ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        row = np.nonzero(mask)[0]
+        counts = np.bincount(row * k + ids[mask], minlength=len(ids) * k).reshape(len(ids), k).astype(float)
+        norms = np.linalg.norm(counts, axis=1, keepdims=True)
+        return counts / np.where(norms == 0, 1.0, norms)
+
+    return encode
+
+
 def encode_blocks(df: DataFrame, key: str, text: str, encode: Callable, k: int) -> DataFrame:
     """(key, vec) from an encoder of a list of texts, called once per Arrow batch.
 
@@ -82,19 +139,3 @@ def encode_blocks(df: DataFrame, key: str, text: str, encode: Callable, k: int)
             yield batch[[key]].assign(vec=[[float(x) for x in v] for v in vecs])
 
     return df.select(key, F.coalesce(text, F.lit("")).alias(text)).mapInPandas(blocks, schema)
-
-
-def hashed_bag_of_words(k: int) -> Callable:
-    """Stand-in encoder: word counts hashed into k positions, scaled to length one."""
-    def encode(texts: list[str]):
-        import zlib
-
-        import numpy as np
-        out = np.zeros((len(texts), k))
-        for row, text in enumerate(texts):
-            for word in text.lower().split():
-                out[row, zlib.crc32(word.encode("utf-8")) % k] += 1.0
-        norms = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(norms == 0, 1.0, norms)
-
-    return encode

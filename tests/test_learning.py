@@ -179,3 +179,19 @@ def test_adaboost_on_one_class_and_pure_cuts(spark):
     pure = ML.assemble(spark.createDataFrame([(float(i), int(i > 4)) for i in range(9)], "a double, y int"), ["a"])
     model = B.AdaBoost(rounds=30, labelCol="y").fit(pure)
     assert [r["prediction"] for r in model.transform(pure).orderBy("a").collect()] == [0.0] * 5 + [1.0] * 4
+
+
+def test_grid_over_transforms_fits_equal_points_once(rows, monkeypatch):
+    fits = []
+    for name in ML.TRANSFORMS:
+        fit = ML.TRANSFORMS[name]
+        monkeypatch.setitem(ML.TRANSFORMS, name, lambda df, labels, est, fit=fit, name=name: (fits.append(name), fit(df, labels, est))[1])
+    folds = A.kfold_shuffled(rows, "id", 3, 1)
+    grid = [{"transform": "classifier_chain"}, {"transform": "binary_relevance"}, {"transform": "classifier_chain"}]
+    best, table = ML.grid_search_transform(folds, "id", LABELS, None, B.gaussian_naive_bayes(), grid, folds=3, parallelism=2)
+    got = {r["point"]: (r["mean"], r["std"]) for r in table.collect()}
+    assert sorted(fits[:-1]) == ["binary_relevance"] * 3 + ["classifier_chain"] * 3
+    assert best.kind == max(("classifier_chain", "binary_relevance"), key=lambda n: got[f"transform={n}"][0])
+    loss = ML.grid_search_transform(folds, "id", LABELS, None, B.gaussian_naive_bayes(), grid[:2], "log_loss", folds=3)
+    means = {r["point"]: r["mean"] for r in loss[1].collect()}
+    assert loss[0].kind == min(("classifier_chain", "binary_relevance"), key=lambda n: means[f"transform={n}"])

@@ -230,9 +230,61 @@ def test_embedding_matrix_fills_like_the_known_entries(spark):
 
 def test_encode_blocks_keeps_every_row(spark):
     df = spark.createDataFrame([(i, "a b b" if i % 2 else None) for i in range(25)], "id long, t string")
-    rows = V.encode_blocks(df, "id", "t", V.hashed_bag_of_words(4), 4).collect()
-    assert len(rows) == 25
-    assert all(sum(x * x for x in r["vec"]) == pytest.approx(1.0 if r["id"] % 2 else 0.0) for r in rows)
+    rows = V.encode_blocks(df, "id", "t", lambda texts: [[len(t), t.count("b")] for t in texts], 2).collect()
+    assert {r["id"]: r["vec"] for r in rows} == {i: [5.0, 2.0] if i % 2 else [0.0, 0.0] for i in range(25)}
+
+
+@pytest.mark.parametrize("budget", [1, 30, 1 << 18])
+def test_encode_batches_pads_within_a_budget(spark, budget):
+    draw = random.Random(3)
+    texts = [[draw.randrange(5) for _ in range(draw.choice([0, 1, 2, 3, 9, 40]))] for _ in range(80)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, ids array<int>").repartition(3)
+
+    def encode(ids, mask):
+        assert ids.shape == mask.shape and (ids.size <= budget or len(ids) == 1) and (ids[~mask] == 0).all()
+        return np.c_[np.where(mask, ids, 0).sum(axis=1), mask.sum(axis=1), np.full(len(ids), ids.shape[1])]
+
+    got = {r["id"]: r["vec"] for r in V.encode_batches(df, "id", "ids", encode, budget).collect()}
+    assert {i: v[:2] for i, v in got.items()} == {i: [sum(t or []), len(t or [])] for i, t in enumerate(texts)}
+    if budget == 1 << 18:  # one matrix per batch is as wide as its longest text
+        assert max(v[2] for v in got.values()) == 40
+
+
+def test_bag_of_positions(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, [])], "id long, w array<string>")
+    ids = df.select("id", V.hashed_positions(F.col("w"), 4).alias("ids"))
+    at = {r["id"]: r["ids"] for r in ids.collect()}
+    import hashlib
+    assert at[1] == [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 4 for w in "abb"]
+    vec = {r["id"]: r["vec"] for r in V.encode_batches(ids, "id", "ids", V.bag_of_positions(4)).collect()}
+    want = np.bincount(at[1], minlength=4)
+    assert vec[1] == pytest.approx(list(want / np.linalg.norm(want))) and vec[2] == [0.0] * 4
+
+
+def test_binned_area_is_within_its_bound(spark):
+    draw = np.random.default_rng(6)
+    rows = [(l, int(y), float(p)) for l in ("a", "b") for y, p in zip(draw.random(500) < 0.3, np.clip(draw.normal(0.5, 0.2, 500), 0, 1))]
+    rows += [("one", 1, 0.5), ("one", 1, 1.0)]
+    df = spark.createDataFrame(rows, "label string, y int, prob double").withColumn("pred", (F.col("prob") > 0.5).cast("int"))
+    exact = {r["label"]: r["auc"] for r in M.roc_auc(df).collect()}
+    for bins in (1, 7, 1000):
+        got = {r["label"]: r for r in M.binned_roc_auc(df, None, bins).collect()}
+        assert got.keys() == exact.keys() and got["one"]["auc"] is None and got["one"]["error_bound"] is None
+        assert all(abs(got[l]["auc"] - exact[l]) <= got[l]["error_bound"] + 1e-12 for l in "ab")
+    assert got["a"]["error_bound"] < 0.01
+
+
+def test_model_table_of_labelled_and_unlabelled_rows(spark):
+    draw = np.random.default_rng(7)
+    rows = [(i, float(i), float(i % 3), [float(i % 2) + 0.1 * float(x), float(x), None]) for i, x in enumerate(draw.normal(size=60))]
+    df = spark.createDataFrame(rows, "id long, f double, g double, v array<double>").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(0, 40)], "id long, y int, other int")
+    table, kept = Z.model_table(df, labels, "id", ["y"], ["g", "f"], ["f"], "v", 3, 0.5)
+    assert kept == ["d0"] and table.columns == ["id", "labelled", "y", "other", "g", "f_scaled", "d0"]
+    got = {r["id"]: r for r in table.collect()}
+    assert len(got) == 60 and sum(r["labelled"] for r in got.values()) == 40
+    assert got[39]["f_scaled"] == 1.0 and got[59]["f_scaled"] == pytest.approx(59 / 39) and got[59]["y"] is None
+    assert all(got[i]["d0"] == pytest.approx(rows[i][3][0], abs=1e-6) for i in got)
 
 
 def test_sequences_and_padding(spark):
