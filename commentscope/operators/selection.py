@@ -61,26 +61,43 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
         moments.entry_names(columns, "i").alias("a"), moments.entry_names(columns, "j").alias("b"), "r")
 
 
-def drop_collinear(matrix: DataFrame, strength: DataFrame, cut: float) -> DataFrame:
+#: Features that a round of ``drop_collinear`` settles.
+ROUND = 1024
+
+
+def drop_collinear(matrix: DataFrame, strength: DataFrame, cut: float, block: int = ROUND) -> DataFrame:
     """(feature, max_abs_r, kept): features in order of strength; one is dropped when it correlates above
     the cut with a kept one.
 
-    Only pairs above the cut count. Round by round, by joins: a feature is kept once no stronger
-    partner of it is undecided or kept, and dropped once one is kept; the strongest undecided
-    feature is settled in every round.
+    Only pairs above the cut count. A round settles ``block`` ranks: it reads which of them clash with features kept
+    in earlier rounds, one row each, and the clashes among them, at most a square of the block, and goes through
+    these in order.
     """
-    ranked = pinned(strength.withColumn("rank", F.row_number().over(Window.orderBy(F.desc_nulls_last("max_abs_r"), "feature"))))
-    place = ranked.select(F.col("feature").alias("b"), F.col("rank").alias("rank_b"))
-    stronger = pinned(matrix.where((F.col("a") != F.col("b")) & (F.abs("r") > cut)).join(place, "b")
-                      .join(ranked.select(F.col("feature").alias("a"), "rank"), "a").where("rank_b < rank").select("a", "b"))
-    state = pinned(ranked.select("feature", "max_abs_r", F.lit(None).cast("boolean").alias("kept")))
-    while state.where("kept IS NULL").head(1):
-        partner = stronger.join(state.select(F.col("feature").alias("b"), F.col("kept").alias("kept_b")), "b")
-        seen = partner.groupBy(F.col("a").alias("feature")).agg(
-            F.coalesce(F.bool_or("kept_b"), F.lit(False)).alias("__kept"), F.count_if(F.col("kept_b").isNull()).alias("__open"))
-        state = pinned(state.join(seen, "feature", "left").select(
-            "feature", "max_abs_r", F.coalesce("kept", F.when(F.coalesce("__kept", F.lit(False)), False).when(F.coalesce("__open", F.lit(0)) == 0, True)).alias("kept")))
-    return state
+    names = [(r["feature"], r["max_abs_r"]) for r in strength.orderBy(F.desc_nulls_last("max_abs_r"), "feature").collect()]  # one row per feature
+    spark = strength.sparkSession
+    place = spark.createDataFrame([(f, i) for i, (f, _) in enumerate(names)], "feature string, rank int")
+    clashes = matrix.where((F.col("a") != F.col("b")) & (F.abs("r") > cut)).select("a", "b")
+    stronger = pinned(clashes.join(place.select(F.col("feature").alias("a"), "rank"), "a")
+                      .join(place.select(F.col("feature").alias("b"), F.col("rank").alias("rank_b")), "b").where("rank_b < rank").select("rank", "rank_b"))
+    kept: list[int] = []
+    for first in range(0, len(names), block):
+        own = stronger.where(F.col("rank").between(first, first + block - 1))
+        before = own.where(F.col("rank_b") < first)
+        if kept and first:
+            known = spark.createDataFrame([(i,) for i in kept], "rank_b int")
+            dropped = {r["rank"] for r in before.join(known, "rank_b", "left_semi").select("rank").distinct().collect()}
+        else:
+            dropped = set()
+        among: dict[int, list[int]] = {}
+        for r in own.where(F.col("rank_b") >= first).collect():
+            among.setdefault(r["rank"], []).append(r["rank_b"])
+        here: set[int] = set()
+        for i in range(first, min(first + block, len(names))):
+            if i not in dropped and here.isdisjoint(among.get(i, [])):
+                here.add(i)
+        kept += sorted(here)
+    chosen = set(kept)
+    return spark.createDataFrame([(f, m, i in chosen) for i, (f, m) in enumerate(names)], "feature string, max_abs_r double, kept boolean")
 
 
 def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -89,3 +89,21 @@ def test_matrix_agrees_with_label_correlation(spark):
     got = {(r["a"], r["b"]): r["r"] for r in Z.correlation_matrix(df, ["p", "q", "r", "s"]).collect()}
     want = np.corrcoef(x.T)
     assert len(got) == 16 and all(got[a, b] == pytest.approx(want[i, j], abs=1e-12) for i, a in enumerate("pqrs") for j, b in enumerate("pqrs"))
+
+
+@pytest.mark.parametrize("block", [1, 4, 7, 1024])
+def test_collinearity_choice_in_blocks_of_ranks(spark, block):
+    rng = np.random.default_rng(9)
+    names = [f"f{i:02d}" for i in range(20)]
+    clash = np.triu(rng.random((20, 20)) < 0.2, 1)
+    clash |= clash.T
+    matrix = spark.createDataFrame([(a, b, 1.0 if i == j else 0.95 * float(clash[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)], "a string, b string, r double")
+    power = [None if i == 3 else round(float(x), 1) for i, x in enumerate(rng.random(20))]
+    strength = spark.createDataFrame(list(zip(names, power)), "feature string, max_abs_r double")
+    order = sorted(range(20), key=lambda i: (power[i] is None, -(power[i] or 0), names[i]))
+    kept = []
+    for i in order:
+        if not any(clash[i, j] for j in kept):
+            kept.append(i)
+    got = {r["feature"]: r["kept"] for r in Z.drop_collinear(matrix, strength, 0.9, block).collect()}
+    assert got == {n: i in kept for i, n in enumerate(names)}
