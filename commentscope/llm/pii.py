@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with CRF transitions.
 
 The network is trained in numpy from labelled spans: what the patterns find in a bounded sample of the
-documents that hold such a span, part of it rewritten into forms that the patterns miss. A text is covered by overlapping
+documents that hold such a span, and versions of these texts with the spans redrawn, set before other words and
+rewritten into forms that the patterns miss. A text is covered by overlapping
 windows. Windows without a digit or ``@`` are passed over: a span needs one of these characters, so
 they cannot hold one. Emissions of overlapping windows are averaged by how central a character is in
 each, then every stretch of touching windows is decoded once, by Viterbi over the whole stretch.
@@ -195,15 +196,16 @@ class Tagger:
         return float((z - gold).mean()), grads
 
 
-def fit(codes: np.ndarray, tags: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.015, seed: int = 7) -> Tagger:
-    """Adam over shuffled batches; the order comes from the seed, so reruns agree."""
+def fit(codes: np.ndarray, tags: np.ndarray, steps: int = 700, batch: int = 64, rate: float = 0.015, seed: int = 7) -> Tagger:
+    """Adam over shuffled batches, for the same number of steps whatever the number of windows; the order comes
+    from the seed, so reruns agree."""
     model, draw = Tagger.new(seed), np.random.default_rng(seed)
     first = [np.zeros_like(w) for w in model.weights()]
     second = [np.zeros_like(w) for w in model.weights()]
-    step, steps = 0, max(1, epochs * -(-len(codes) // batch))
-    for _ in range(epochs):
+    step = 0
+    while step < steps:
         order = draw.permutation(len(codes))
-        for k in range(0, len(codes), batch):
+        for k in range(0, len(codes), batch)[:steps - step]:
             part, step = order[k:k + batch], step + 1
             _, grads = model.loss(codes[part], tags[part])
             pace = rate * (1 - 0.9 * step / steps)
@@ -353,6 +355,21 @@ TRAIN_DOCS = 400
 PLAIN_SHARE = 4
 #: Windows of a text, drawn from the whole of it, at most: with a part of a span, and without.
 SPANNED, FREE = 8, 4
+#: Further versions of a text with a span, with spans redrawn, rewritten and set elsewhere: so many that there are
+#: about ``VERSIONS`` of all texts, within these limits.
+VARIANTS, MOST_VARIANTS, VERSIONS = 3, 16, 700
+
+
+def _redrawn(kind: str, s: str, draw: np.random.Generator) -> str:
+    """A span of the same shape with other digits and letters; a card keeps a true check digit."""
+    if kind == "ip":
+        return re.sub("[0-9]+", lambda m: str(draw.integers(0, 256)), s)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    out = [str(draw.integers(0, 10)) if "0" <= c <= "9" else letters[draw.integers(0, 26)] if c in letters and kind == "email" else c for c in s]
+    if kind == "card":
+        last = max(i for i, c in enumerate(out) if c.isdigit())
+        out[last] = next(d for d in "0123456789" if _luhn(_digits("".join(out[:last])) + d))
+    return "".join(out)
 
 
 def _rewritten(kind: str, s: str, draw: np.random.Generator) -> str:
@@ -366,22 +383,32 @@ def _rewritten(kind: str, s: str, draw: np.random.Generator) -> str:
     return s.replace(".", str(draw.choice([":", "-", " . "])))
 
 
-def examples(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Code and tag rows of windows from texts: as they are, and with spans rewritten."""
+def examples(texts: list[str], seed: int = 7, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+    """Code and tag rows of windows from texts: as they are, then with their spans redrawn, half of them in a form
+    that the patterns miss, and spans of the text set before some of its other words."""
     draw, codes, tags = np.random.default_rng(seed), [], []
     for text in texts:
-        for rewrite in (False, True):
-            spans = sorted((a, b, k) for k, found in base_spans(text).items() for a, b in found)
+        spans, free = [], 0
+        for a, b, kind in sorted((a, b, k) for k, found in base_spans(text).items() for a, b in found):
+            if a >= free:
+                spans.append((a, b, kind))
+                free = b
+        blanks = [m.end() for m in re.finditer(r"(?<=[^\s0-9])[ \n](?=\w)", text)]
+        for variant in range(1 + variants if spans else 1):
+            placed = [(a, b, kind, text[a:b]) for a, b, kind in spans]
+            if variant:
+                extra = [(int(at), int(at), *spans[draw.integers(0, len(spans))]) for at in draw.choice(blanks, min(len(blanks), len(spans)), replace=False)] if blanks else []
+                placed += [(at, at, kind, text[a:b] + " ") for at, _, a, b, kind in extra if not any(x <= at <= y for x, y, _ in spans)]
             parts, labels, at = [], [], 0
-            for a, b, kind in spans:
-                if a < at:
-                    continue
-                body = _rewritten(kind, text[a:b], draw) if rewrite else text[a:b]
-                if not body.strip():
-                    continue
+            for a, b, kind, body in sorted(placed):
+                tail = " " if a == b else ""
+                body = body.removesuffix(tail) if tail else body
+                if variant:
+                    body = _redrawn(kind, body, draw)
+                    body = (_rewritten(kind, body, draw) if draw.random() < 0.6 else body).strip() or body
                 first = 1 + 2 * KINDS.index(kind)
-                parts += [text[at:a], body]
-                labels += [0] * (a - at) + [first] + [first + 1] * (len(body) - 1)
+                parts += [text[at:a], body, tail]
+                labels += [0] * (a - at) + [first] + [first + 1] * (len(body) - 1) + [0] * len(tail)
                 at = b
             parts.append(text[at:])
             labels += [0] * (len(text) - at)
@@ -395,8 +422,6 @@ def examples(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
                 starts = np.sort(np.concatenate([draw.permutation(starts[spanned])[:SPANNED], draw.permutation(starts[~spanned])[:FREE]]))
                 codes.append(_rows(_codes(new), starts))
                 tags.append(padded[starts[:, None] + np.arange(WINDOW)])
-            if not spans:
-                break
     if not codes:
         return np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64)
     return np.concatenate(codes), np.concatenate(tags)
@@ -409,10 +434,10 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(spanned, pa.bool_())], ["key", "spanned"])
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _examples(batches: Iterator[pa.RecordBatch], variants: int) -> Iterator[pa.RecordBatch]:
     """(key, codes, tags): the windows of each text."""
     for part in (s for batch in batches for s in slices(batch, 1)):
-        found = [examples([text], key % 2**32) for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+        found = [examples([text], key % 2**32, variants) for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
         blobs = [pa.array([x[i].astype(np.uint8).tobytes() for x in found], pa.binary()) for i in range(2)]
         yield pa.RecordBatch.from_arrays([part.column(0), *blobs], ["key", "codes", "tags"])
 
@@ -425,10 +450,12 @@ def train(docs: DataFrame, rows: int = TRAIN_DOCS, text_col: str = "text") -> Ta
     texts = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("key"), "text")
     known = written(texts.mapInArrow(_labelled, "key long, spanned boolean").distinct(), "labelled-texts")
     # the samples' bounds are parameters: a broadcast of that many keys
-    chosen = bounded_sample(known.where("spanned"), rows, F.col("key")).select(F.col("key").alias("c_key")).unionByName(
+    spanned = bounded_sample(known.where("spanned"), rows, F.col("key")).select(F.col("key").alias("c_key"))
+    variants = min(MOST_VARIANTS, max(VARIANTS, VERSIONS // max(1, spanned.count())))
+    chosen = spanned.unionByName(
         bounded_sample(known.where("NOT spanned"), rows // PLAIN_SHARE, F.col("key")).select(F.col("key").alias("c_key")))
     once = texts.join(F.broadcast(chosen), F.col("key") == F.col("c_key"), "left_semi").groupBy("key").agg(F.min("text").alias("text"))
-    got = sorted(once.mapInArrow(_examples, "key long, codes binary, tags binary").collect(), key=lambda r: r["key"])
+    got = sorted(once.mapInArrow(partial(_examples, variants=variants), "key long, codes binary, tags binary").collect(), key=lambda r: r["key"])
     codes, tags = (np.frombuffer(b"".join(r[c] for r in got), np.uint8).reshape(-1, WINDOW).astype(np.int64) for c in ("codes", "tags"))
     return fit(codes, tags) if (tags > 0).any() else None
 
