@@ -15,9 +15,10 @@ neighbour those that begin (to the right) or end (to the left) near enough: no p
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commentscope.functions.binding import bind
 from commentscope.llm.common import quoted, text_or_empty, written
 
 #: Fixed patterns of the three base kinds, with the shortest length of the whole match (of group 2 for assign).
@@ -42,23 +43,43 @@ KINDS = [*BASE, *WEAK]
 REACH = 160
 BREAK = r"\n[\x20\t\r]*\n"
 
-_NONE = "CAST(array() AS ARRAY<STRUCT<start: BIGINT, end: BIGINT>>)"
+_SPANS = "ARRAY<STRUCT<start: BIGINT, end: BIGINT>>"
+_NONE = f"CAST(array() AS {_SPANS})"
+#: Matches whose offsets are summed in one go. An array that grows is copied at every step, so sums run over
+#: groups of matches first and over the groups then.
+GROUP = 128
 
 
-def _hits(pattern: str, possible: Column, keep: Column | None = None) -> Column:
+def _summed(pieces: Column) -> Column:
+    """(start, end) of matches from an array of (gap before it, length), by sums over groups of ``GROUP``."""
+    at, none = F.lit(0).cast("long"), F.expr(_NONE)
+
+    def one(group: Column) -> Column:
+        return F.aggregate(group, F.struct(at.alias("at"), none.alias("spans")), lambda s, x: F.struct(
+            (s["at"] + x["gap"] + x["n"]).alias("at"),
+            F.concat(s["spans"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["n"]).alias("end")))).alias("spans")))
+
+    def moved(groups: Column) -> Column:
+        bases = F.aggregate(groups, F.struct(at.alias("at"), F.expr("CAST(array() AS ARRAY<BIGINT>)").alias("bases")), lambda s, g: F.struct(
+            (s["at"] + g["at"]).alias("at"), F.concat(s["bases"], F.array(s["at"])).alias("bases")))["bases"]
+        return F.flatten(F.zip_with(groups, bases, lambda g, base: F.transform(
+            g["spans"], lambda x: F.struct((x["start"] + base).alias("start"), (x["end"] + base).alias("end")))))
+
+    def grouped(p: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(p), F.lit(GROUP))
+        return F.when(F.size(p) > 0, bind(F.transform(firsts, lambda i: one(F.slice(p, i, F.lit(GROUP)))), moved)).otherwise(none)
+
+    return bind(pieces, grouped)
+
+
+def _hits(pattern: str, possible: Column) -> Column:
     """(start, end) of all matches in code points: matches and the pieces between them alternate.
 
     ``possible`` is a cheap test that is true whenever there is a match; the pattern runs only then.
     """
     found, gaps = F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), F.split("text", pattern, -1)
-    spans = F.aggregate(
-        F.zip_with(found, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"))),
-        F.struct(F.lit(0).cast("long").alias("at"), F.expr(_NONE).alias("spans")),
-        lambda s, x: F.when(x["n"].isNull(), s).otherwise(F.struct(
-            (s["at"] + x["gap"] + x["n"]).alias("at"),
-            F.concat(s["spans"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["n"]).alias("end")))).alias("spans"))),
-        lambda s: s["spans"])
-    return F.when(possible, spans).otherwise(F.expr(_NONE))
+    pieces = F.filter(F.zip_with(found, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"))), lambda x: x["n"].isNotNull())
+    return F.when(possible, _summed(pieces)).otherwise(F.expr(_NONE))
 
 
 def _kept(pattern: str, possible: Column, group: int, least: int) -> Column:
@@ -89,14 +110,24 @@ def spans_in(texts: DataFrame) -> DataFrame:
 
 
 def linked(found: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
-    """Weak spans with a linked complementary part: keys, kind, start, end."""
+    """Weak spans clear of base spans and with a linked complementary part: keys, kind, start, end. What a text
+    holds is ordered once to each side; no part is compared with all others of its text."""
     def named(kind: str) -> Column:
         return F.transform(F.col(kind), lambda s: F.struct(
             F.lit(kind).alias("kind"), F.lit(ROLE[kind]).alias("role"), s["start"].alias("start"), s["end"].alias("end")))
 
-    kinds = F.array(*map(named, KINDS))
-    parts = (found.select(*keys, "breaks", F.explode(F.flatten(kinds)).alias("p")).select(*keys, "breaks", "p.*")
-             .withColumn("scope", F.size(F.filter("breaks", lambda b: b["start"] < F.col("start")))).drop("breaks")
+    breaks = F.transform("breaks", lambda s: F.struct(
+        F.lit("break").alias("kind"), F.lit("").alias("role"), s["start"].alias("start"), s["end"].alias("end")))
+    rows = found.select(*keys, F.explode(F.flatten(F.array(*map(named, KINDS), breaks))).alias("p")).select(*keys, "p.*")
+    # in order of start, base spans before weak ones: the scope is the number of breaks so far, and a base span
+    # overlaps if one that began before ends later, or one that begins after begins before the end
+    weak_kind, base_kind = F.col("kind").isin(list(WEAK)), F.col("kind").isin(list(BASE))
+    upto = Window.partitionBy(*keys).orderBy("start", weak_kind.cast("int")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy(*keys).orderBy(F.desc("start"), weak_kind.cast("int").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.select("*", F.count_if(F.col("kind") == "break").over(upto).alias("scope"), F.max(F.when(base_kind, F.col("end"))).over(upto).alias("__before"),
+                         F.min(F.when(base_kind, F.col("start"))).over(after).alias("__after"))
+    hidden = F.coalesce(F.col("__before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("__after") < F.col("end"), F.lit(False))
+    parts = (placed.where("kind <> 'break'").withColumn("hidden", hidden).drop("__before", "__after")
              .withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / reach), F.floor(F.col("end") / reach)))))
     # of each role, the smallest start and the largest end per cell say all that its neighbours need
     cells = parts.groupBy(*keys, "scope", "cell", "role").agg(F.min("start").alias("first"), F.max("end").alias("last"))
@@ -110,7 +141,7 @@ def linked(found: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
     near = (F.when(F.col("o_cell") == F.col("cell"), F.lit(True))
             .when(F.col("o_cell") < F.col("cell"), F.col("start") - F.col("last") <= reach)
             .otherwise(F.col("first") - F.col("end") <= reach))
-    weak = parts.where(F.col("kind").isin(list(WEAK)))
+    weak = parts.where(weak_kind & ~F.col("hidden"))
     return weak.join(offered, on & needs & near, "left_semi").select(*keys, "kind", "start", "end").distinct()
 
 
@@ -122,7 +153,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are documents of their own; equal rows get equal results. Other columns are ignored.
     """
     texts = docs.select(F.col(quoted(id_col)).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    found = written(spans_in(texts.withColumn("text_key", F.xxhash64("text"))).drop("text", "wide"), "secret-spans")
+    found = written(spans_in(texts.withColumn("text_key", F.md5(F.col("text").cast("binary")))).drop("text", "wide"), "secret-spans")
     keys = ["doc_id", "text_key"]
     some = sum((F.size(k) for k in KINDS), F.lit(0)) > 1
     # equal rows have equal spans: their parts are linked once
@@ -130,11 +161,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     weak = weak.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("weak"))
     weak = weak.select(F.col("doc_id").alias("w_doc_id"), F.col("text_key").alias("w_text_key"), "weak")
     on = (F.col("text_key") == F.col("w_text_key")) & F.col("doc_id").eqNullSafe(F.col("w_doc_id"))
-    base = F.concat("assign", "access", "hex")
-    clear = F.filter("weak", lambda w: ~F.exists(base, lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
     none = F.expr("CAST(array() AS ARRAY<STRUCT<kind: STRING, start: BIGINT, end: BIGINT>>)")
     return (found.join(weak, on, "left")
-            .select("doc_id", *BASE, F.coalesce(clear, none).alias("weak")))
+            .select("doc_id", *BASE, F.coalesce("weak", none).alias("weak")))
 
 
 def joined(kinds: dict[str, Column]) -> Column:
