@@ -3,8 +3,8 @@
 The cost of a piece of n tokens is estimated as ``n + n * n / capacity``: the linear layers plus
 attention within the piece. A task cuts its documents into whole sequences, which are full, and a
 rest each. The rests of a block of documents go, from the longest down, to the sequence with the
-lowest cost so far that can take them; the block opens as few sequences as its tokens need. A rest
-that fits nowhere is cut where room is left. So a block loses less than one sequence to padding.
+lowest cost so far that has room for them; the block opens as few sequences as its tokens need. A rest
+that no sequence has room for is cut. So a block loses less than one sequence to padding.
 """
 
 from __future__ import annotations
@@ -34,42 +34,66 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+class _Rooms:
+    """Open sequences by room: for each room those that have it, cheapest first, under a tree of least costs, so
+    that the cheapest sequence with enough room is found exactly."""
+
+    def __init__(self, count: int, capacity: int):
+        self.size = 1 << capacity.bit_length()
+        self.at: list[list[tuple[float, int]]] = [[] for _ in range(self.size)]
+        self.least: list[tuple[float, int] | None] = [None] * (2 * self.size)
+        self.at[capacity] = [(0.0, s) for s in range(count)]
+        self._settle(capacity)
+
+    def _settle(self, room: int) -> None:
+        i = room + self.size
+        self.least[i] = self.at[room][0] if self.at[room] else None
+        while i > 1:
+            a, b, i = self.least[i & ~1], self.least[i | 1], i // 2
+            self.least[i] = a if b is None or a is not None and a < b else b
+
+    def add(self, room: int, cost: float, sequence: int) -> None:
+        heapq.heappush(self.at[room], (cost, sequence))
+        self._settle(room)
+
+    def cheapest(self, room: int) -> int | None:
+        """The cheapest sequence with at least this room; ties go to the first."""
+        best, lo, hi = None, room + self.size, 2 * self.size
+        while lo < hi:
+            if lo & 1:
+                best = min(filter(None, (best, self.least[lo])), default=None)
+                lo += 1
+            lo, hi = lo // 2, hi // 2
+        return best[1] if best else None
+
+    def take(self, room: int) -> None:
+        heapq.heappop(self.at[room])
+        self._settle(room)
+
+
 def balance(lengths: list[int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Place rests into the fewest sequences: (rest, start in it, length, sequence, offset) per piece."""
+    """Place rests into the fewest sequences: (rest, start in it, length, sequence, offset) per piece.
+
+    The longest rest goes first, to the cheapest sequence with room for the whole of it; where none has, the
+    cheapest one with any room takes a part, and what is left of the rest is placed in the same way.
+    """
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     count = -(-sum(lengths) // capacity)
-    cost, room, out = [0.0] * count, [capacity] * count, []
-    by_cost = [(0.0, s) for s in range(count)]
-
-    def put(i: int, start: int, n: int, s: int) -> None:
-        out.append((i, start, n, s, capacity - room[s]))
-        room[s] -= n
-        cost[s] += n + n * n / capacity
-        if room[s]:
-            heapq.heappush(by_cost, (cost[s], s))
-
+    cost, room, out, rooms = [0.0] * count, [capacity] * count, [], _Rooms(count, capacity)
     for i in order:
-        n, start, passed = lengths[i], 0, []
-        # sequences too full for the whole rest are passed over, and stay for shorter ones
-        while by_cost and len(passed) < 64:
-            c, s = heapq.heappop(by_cost)
-            if room[s] >= n:
-                put(i, 0, n, s)
-                n = 0
-                break
-            passed.append((c, s))
-        for c, s in passed:
-            if n:
-                take = min(n, room[s])
-                put(i, start, take, s)
-                n, start = n - take, start + take
-            else:
-                heapq.heappush(by_cost, (c, s))
+        start, n = 0, lengths[i]
         while n:
-            _, s = heapq.heappop(by_cost)
-            take = min(n, room[s])
-            put(i, start, take, s)
-            n, start = n - take, start + take
+            s = rooms.cheapest(n)
+            if s is None:
+                s = rooms.cheapest(1)
+            own = min(n, room[s])
+            rooms.take(room[s])
+            out.append((i, start, own, s, capacity - room[s]))
+            room[s] -= own
+            cost[s] += own + own * own / capacity
+            if room[s]:
+                rooms.add(room[s], cost[s], s)
+            start, n = start + own, n - own
     return out
 
 
