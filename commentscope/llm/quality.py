@@ -186,12 +186,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Trees:
-    """Trees from at most ``rows`` labelled documents; without two classes every document scores alike."""
+    """Trees from at most ``rows`` labelled documents; without two classes every document scores alike. Of an id
+    that stands on several rows the smallest text is taken, on the executors: the bound is one of rows too."""
     known = (labels.where(F.col(quoted(id_col)).isNotNull() & F.col("quality").isNotNull())
              .groupBy(F.col(quoted(id_col)).alias("l_id")).agg(F.min("quality").cast("double").alias("good")))
     # the sample's bound is the parameter: a broadcast of that many ids
     sample = bounded_sample(known, rows, F.xxhash64("l_id"))
-    texts = (docs.join(F.broadcast(sample), F.col(quoted(id_col)) == F.col("l_id")).select(text_or_empty(text_col).alias("text"), "good"))
+    texts = (docs.select(F.col(quoted(id_col)).alias("__id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), F.col("__id") == F.col("l_id"))
+             .groupBy("l_id").agg(F.min("text").alias("text"), F.min("good").alias("good")).select("text", "good"))
     got = texts.mapInArrow(_features, "x array<double>, good double").toPandas()
     got = got.assign(k=[tuple(v) for v in got["x"]]).sort_values(["k", "good"])  # rows arrive in any order
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
