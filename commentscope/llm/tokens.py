@@ -15,6 +15,8 @@ _BLANKS = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 #: Chunks that a worker remembers per table (about 150 MB); beyond that the table starts again.
 CACHE_CHUNKS = 700_000
+#: Characters of a chunk that is remembered, at most.
+LONGEST = 64
 
 _caches: dict[str, _Cache] = {}
 
@@ -35,59 +37,56 @@ _LETTERS = _byte_letters()
 _SIGNS = ".,;:!?\"()[]{}*#%&$|<>"
 
 
-class _Cache:
-    """Ids of chunks. A chunk after a space is named without it; one that starts a line has its own table.
+class _Chunks(dict):
+    """Ids of chunks that follow a space, or that start a line; a chunk is encoded when it is first asked for.
 
     What the tokenizer's cutting rules make of a Latin word and of signs after a letter or digit is known,
-    so the library's model is asked for each new word at once; other chunks are encoded by its pipeline.
+    so the library's model is asked for a word at once; other chunks are encoded by its pipeline.
     """
 
-    def __init__(self, path: str):
-        self.whole = tokenizer(path)
-        if self.whole.get_vocab_size() > 1 << 16:
-            raise ValueError("ids of this tokenizer need more than 16 bits")
-        self.model = self.whole.model
-        self.tables: dict[str, dict[str, bytes]] = {" ": {"": self._encoded(" ")}, "": {"": b""}}
-        self.signs: dict[str, bytes] = {}
-        self.line_end = self._encoded("\n")
+    def __init__(self, before: str, whole, signs: dict[str, bytes]):
+        super().__init__()
+        self.before, self.mark = before, "\u0120" if before else ""
+        self.whole, self.model, self.signs = whole, whole.model, signs
 
-    def _encoded(self, s: str) -> bytes:
+    def encoded(self, s: str) -> bytes:
         return _bytes(self.whole.encode(s, add_special_tokens=False).ids)
 
-    def _word(self, before: str, word: str) -> bytes | None:
-        if not word.isalpha():
-            return None
-        if word.isascii():
-            written = "\u0120" + word if before else word
-        elif max(word) <= "\u024f":
-            written = (before + word).encode().decode("latin-1").translate(_LETTERS)
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            if chunk.isascii():
+                ids = _bytes([t.id for t in self.model.tokenize(self.mark + chunk)])
+            elif max(chunk) <= "\u024f":
+                ids = _bytes([t.id for t in self.model.tokenize((self.before + chunk).encode().decode("latin-1").translate(_LETTERS))])
+            else:
+                ids = self.encoded(self.before + chunk)
         else:
-            return None
-        return _bytes([t.id for t in self.model.tokenize(written)])
-
-    def learn(self, before: str, chunks: set[str]) -> None:
-        table, hard = self.tables[before], []
-        if len(table) > CACHE_CHUNKS:
-            kept = {c: table[c] for c in chunks & table.keys()}
-            table.clear()
-            table.update(kept)
-            table[""] = self._encoded(before) if before else b""
-        for chunk in chunks - table.keys():
             word = chunk.rstrip(_SIGNS)
-            ids = table.get(word) if word and word[-1].isalnum() else None
-            if ids is None:
-                ids = self._word(before, word)
-                if ids is None:
-                    hard.append(chunk)
-                    continue
-                table[word] = ids
-            if len(word) < len(chunk):
+            if len(word) < len(chunk) and word[-1:].isalnum():
                 tail = chunk[len(word):]
                 if tail not in self.signs:
-                    self.signs[tail] = self._encoded(tail)
-                table[chunk] = ids + self.signs[tail]
-        for chunk, e in zip(hard, self.whole.encode_batch_fast([before + c for c in hard], add_special_tokens=False)):
-            table[chunk] = _bytes(e.ids)
+                    self.signs[tail] = self.encoded(tail)
+                ids = self[word] + self.signs[tail]
+            else:
+                ids = self.encoded(self.before + chunk) if self.before or chunk else b""
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
+
+
+class _Cache:
+    def __init__(self, path: str):
+        self.whole = tokenizer(path)
+        if self.whole.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of this tokenizer need more than 16 bits")
+        signs: dict[str, bytes] = {}
+        self.first, self.later = (_Chunks(before, self.whole, signs) for before in ("", " "))
+        self.line_end = self.first.encoded("\n")
+
+    def bounded(self) -> None:
+        for table in (self.first, self.later, self.first.signs):
+            if len(table) > CACHE_CHUNKS:
+                table.clear()
 
 
 def _lines(text: str) -> list[list[str]] | None:
@@ -105,19 +104,18 @@ def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of each whole text, without special tokens added, as unsigned 16-bit values.
 
     A byte-level BPE never joins a character other than white space with a space after it, nor with a line
-    end between two such characters: the text is cut there, and every distinct chunk of a batch is encoded
-    once. Texts with runs of white space around a space, or with the marker of an added token, are encoded
-    as one piece.
+    end between two such characters: the text is cut there, and a chunk is
+    encoded when it is first met. Texts with runs of white space around a space, or with the marker of an added
+    token, are encoded as one piece.
     """
     cache = _caches.get(path) or _caches.setdefault(path, _Cache(path))
+    cache.bounded()
     cut = [_lines(t) for t in texts]
-    cache.learn("", {x[0] for c in cut if c for x in c})
-    cache.learn(" ", set().union(*(x[1:] for c in cut if c for x in c)))
-    first, later = cache.tables[""], cache.tables[" "].__getitem__
+    first, later = cache.first, cache.later.__getitem__
     out = []
     for text, lines in zip(texts, cut):
         if lines is None:
-            data = cache._encoded(text)
+            data = cache.first.encoded(text)
         else:
             data = cache.line_end.join([first[x[0]] + b"".join(map(later, x[1:])) for x in lines])
         out.append(np.frombuffer(data, "<u2"))
