@@ -13,8 +13,8 @@ from commentscope.llm.common import tokenizer
 _RUNS = re.compile(r"\s \s|  ")
 _BLANKS = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
 
-#: Chunks that a worker remembers per table (about 150 MB); beyond that the table starts again.
-CACHE_CHUNKS = 700_000
+#: Chunks that a worker remembers per table (about 100 MB); beyond that the table starts again.
+CACHE_CHUNKS = 500_000
 #: Characters of a chunk that is remembered, at most.
 LONGEST = 64
 
