@@ -40,9 +40,14 @@ def threshold(p: Column, cut: float = 0.5) -> Column:
     return (p >= cut).cast("int")
 
 
+def starts_with_letter(word: Column) -> Column:
+    """True for words whose first character is one of a to z; a comparison of bytes, before any search or pattern."""
+    return (word >= "a") & (word < "{")
+
+
 def is_punctuation(word: Column) -> Column:
     """True for any contiguous piece of the punctuation string, the empty word included."""
-    return F.instr(F.lit(PUNCTUATION), word) > 0
+    return ~starts_with_letter(word) & (F.instr(F.lit(PUNCTUATION), word) > 0)
 
 
 def is_negative(compound: Column) -> Column:

@@ -65,7 +65,7 @@ def blank_symbols(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Line ends to spaces, then runs of spaces to one; tabs stay, nothing is trimmed."""
-    one_line = F.translate(F.replace(c, F.lit("\r\n"), F.lit(" ")), "\n", " ")
+    one_line = F.replace(F.replace(c, F.lit("\r\n"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     return F.regexp_replace(one_line, " {2,}", " ")
 
 
@@ -74,7 +74,7 @@ def dedupe_punctuation(c: Column) -> Column:
 
 
 def strip_punctuation(c: Column) -> Column:
-    return F.translate(c, PUNCTUATION, "")
+    return F.regexp_replace(c, r"\p{Punct}+", "")  # the ASCII marks, those of PUNCTUATION
 
 
 def remove_noise(c: Column) -> Column:

@@ -7,12 +7,14 @@ size is tokenised in the scan stage. Word lists enter as literal hash sets;
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from commentscope.functions.binding import bind
 from commentscope.functions.lexicons import LEMMA_EXCEPTIONS, LEMMA_VOCABULARY, STOP_WORDS, TAG_LEXICON
-from commentscope.functions.predicates import is_punctuation
+from commentscope.functions.predicates import is_punctuation, starts_with_letter
 from commentscope.functions.text import NON_SPACE, URL, strip_punctuation
 
 # The alternatives of a token, tried in this order. No look-around.
@@ -32,16 +34,31 @@ ALTERNATIVES = [
 TOKEN = "|".join(ALTERNATIVES)
 
 
+# the characters outside NON_SPACE that are ASCII, as ranges: a class with ``\s`` inside is several times slower to test
+ASCII_NON_SPACE = r"[^\x09-\x0D\x1C-\x20]"
+# what the alternatives give where a token starts with a letter and is no address
+LETTER_FIRST = [r"\p{L}++(?![\p{L}\p{N}_'-])", r"\p{L}[\p{L}'_-]+\p{L}", r"\p{L}[\p{L}\p{N}_]*+"]
+
+
 def ascii_form(pattern: str) -> str:
     """The same pattern for text known to be ASCII, where plain ranges are faster to test."""
-    pattern = pattern.replace(NON_SPACE, r"[^\s\x0B\x1C-\x1F]")
-    return pattern.replace(r"\p{L}\p{N}", "A-Za-z0-9").replace(r"[\p{L}'_-]", "[A-Za-z'_-]").replace(r"\p{L}", "[A-Za-z]")
+    pattern = pattern.replace(NON_SPACE, ASCII_NON_SPACE)
+    return pattern.replace(r"\p{L}\p{N}", r"\p{Alnum}").replace(r"\p{L}", r"\p{Alpha}")
+
+
+def scanned(alternatives: list[str]) -> str:
+    """One pattern that finds what the alternatives find, of which none starts with a space: spaces are passed at
+    once, and a letter is not tried as a mark or a number."""
+    addresses = [a for a in alternatives if a in (URL, MAIL_TOKEN)]
+    rest = [a for a in alternatives if a not in addresses]
+    return "(?=[^ ])(?:" + "|".join(addresses + LETTER_FIRST + rest) + ")"
 
 
 # what is left of the alternatives once the punctuation is gone
-PLAIN_TOKEN = r"[A-Za-z]{3,}|[A-Za-z0-9]+|[^\s\x0B\x1C-\x1F]"
+PLAIN_TOKEN = rf"(?=[^ ])(?:\p{{Alpha}}{{3,}}+|\p{{Alnum}}++|{ASCII_NON_SPACE})"
 VECTOR_WORD = r"[\p{L}\p{N}_]{2,}"
 CONTENT_TAG = "^(JJ|NN|RB|VB)"
+CONTENT_CLASSES = ["JJ", "NN", "RB", "VB"]  # the same as first two letters
 SUFFIX_TAGS = {"ly": "RB", "ing": "VBG", "ed": "VBD", "s": "NNS"}
 NOUN_ENDINGS = {"ies": "y", "ches": "ch", "shes": "sh", "ses": "s", "xes": "x", "zes": "z",
                 "ves": "f", "men": "man", "s": ""}
@@ -57,8 +74,8 @@ def words(c: Column, ascii_only: bool = False) -> Column:
     """Tokens of a text; the mail pattern scans every word twice, so it is tried only where
     the text holds its mark."""
     form = ascii_form if ascii_only else (lambda p: p)
-    short = form("|".join(a for a in ALTERNATIVES if a != MAIL_TOKEN))
-    return F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(form(TOKEN)), F.lit(0))).otherwise(
+    full, short = (form(scanned(a)) for a in (ALTERNATIVES, [a for a in ALTERNATIVES if a != MAIL_TOKEN]))
+    return F.when(F.contains(c, F.lit("@")), F.regexp_extract_all(c, F.lit(full), F.lit(0))).otherwise(
         F.regexp_extract_all(c, F.lit(short), F.lit(0)))
 
 
@@ -88,8 +105,9 @@ def tag_word(w: Column, lexicon: dict[str, list[str]] | None = None) -> Column:
         return out
 
     listed = case([(w.isin(inline_set(ws)), tag) for tag, ws in lexicon.items()])
-    guessed = case([(~w.rlike(r"[\p{L}\p{N}]"), "."), (w.rlike("^[0-9]"), "CD")]
-                   + [(F.endswith(w, F.lit(s)), t) for s, t in SUFFIX_TAGS.items()]).otherwise("NN")
+    suffixed = case([(F.endswith(w, F.lit(s)), t) for s, t in SUFFIX_TAGS.items()]).otherwise("NN")
+    classed = case([(~w.rlike(r"[\p{L}\p{N}]"), "."), (w.rlike("^[0-9]"), "CD")]).otherwise(suffixed)
+    guessed = F.when(starts_with_letter(w), suffixed).otherwise(classed)  # most words need no pattern
     # one hash probe decides between the table and the rules
     return F.when(w.isin(inline_set(x for ws in lexicon.values() for x in ws)), listed).otherwise(guessed)
 
@@ -113,12 +131,13 @@ def lemma(w: Column, exceptions: dict[str, str] | None = None, vocabulary=None)
     vocabulary = inline_set(LEMMA_VOCABULARY if vocabulary is None else vocabulary)
     irregular = F.create_map(*[F.lit(x) for pair in exceptions.items() for x in pair])
     known = [F.when(c.isin(vocabulary), c) for c in lemma_candidates(w)]
+    last = [F.endswith(w, F.lit(mark)) for mark in sorted({end[-1] for end in NOUN_ENDINGS})]
     return (F.when(w.isin(inline_set(exceptions)), F.element_at(irregular, w))
-             .otherwise(F.coalesce(*known, w)))
+             .when(reduce(lambda a, b: a | b, last), F.coalesce(*known, w)).otherwise(w))
 
 
 def is_content(tagged: Column) -> Column:
-    return tagged["tag"].rlike(CONTENT_TAG) & ~is_punctuation(tagged["word"])
+    return F.substring(tagged["tag"], 1, 2).isin(CONTENT_CLASSES) & ~is_punctuation(tagged["word"])
 
 
 def content_words(tagged: Column) -> Column:
