@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from commentscope.functions import tokens as K
 from commentscope.operators.lookups import lookup_join
-from commentscope.plans.dictionaries import flat, lists
+from commentscope.plans.dictionaries import answered, flat, lists, packed
 
 Encoder = Callable[[np.ndarray, np.ndarray], np.ndarray]
 STEPS = 2 ** 32
@@ -41,21 +40,38 @@ def document_vectors(df: DataFrame, key: str, tokens: str | Column, vectors: Dat
                      fill_missing: bool = False, seed: int = 0) -> DataFrame:
     """(key, vec): mean of the word vectors over all tokens, zeros for a text without tokens.
 
-    Each document brings a word once, with its count as weight; the vectors are averaged
-    by partial sums. An unseen word counts as zeros, or as a repeatable uniform vector.
+    Documents are packed into batches; the distinct words of a batch meet the vectors once, and the batch averages
+    its documents by number. Only rows of one key are added up in a shuffle, one vector each, a text without tokens
+    as one token. An unseen word counts as zeros, or as a repeatable uniform vector.
     """
     c = F.col(tokens) if isinstance(tokens, str) else tokens
-    counts = df.select(key, K.term_counts(c).alias("__t"))
-    rows = (counts.select(key, F.inline_outer("__t"))  # a text without words stays as one row
-                  .select(key, F.col("term").alias("word"), F.coalesce("tf", F.lit(1)).alias("tf")))
+    rows = df.select(key, c.alias("__t"))
+    found = F.transform(F.slice("vec", 1, k), lambda x: x.cast("double"))
+    missing = (F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: uniform_from(F.col("word"), i, F.lit(seed)))
+               if fill_missing else F.array_repeat(F.lit(0.0), k))
+    pack = packed(rows, ["__t"])
+    asked = answered(pack, vectors.select("word", "vec"), F.when(F.col("vec").isNull(), missing).otherwise(found))
+    schema = T.StructType([df.schema[key], T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("tf", T.DoubleType())])
+    seen = asked.select("rows", "answers").mapInArrow(partial(_means, key=key, k=k), schema)
+    mean = Summarizer.mean(array_to_vector(F.col("vec")), F.col("tf"))
+    return seen.groupBy(key).agg(mean.alias("__m")).select(key, vector_to_array("__m").alias("vec"))
 
-    def fill(word: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                           lambda i: uniform_from(word, i, F.lit(seed)))
 
-    seen = lookup_vectors(rows, vectors, k, fill if fill_missing else None)
-    mean = Summarizer.mean(array_to_vector(F.col("vec")), F.col("tf").cast("double"))
-    return seen.groupBy(key).agg(mean.alias("__m")).select(key, vector_to_array("__m").alias("vec"))
+def _means(batches: Iterator[pa.RecordBatch], key: str, k: int) -> Iterator[pa.RecordBatch]:
+    """(key, vec, tf) of each row of the batches: the mean of its tokens' answers and their number, one at least."""
+    for whole in batches:
+        for i in range(len(whole)):
+            row = whole.slice(i, 1)
+            rows = flat(row.column("rows"))[0]
+            fields = dict(zip([f.name for f in rows.type], rows.flatten()))
+            answers = flat(flat(row.column("answers"))[0])[0].to_numpy(zero_copy_only=False).reshape(-1, k)
+            answers = np.vstack([answers, np.zeros(k)])  # a null word has number -1
+            codes, bounds = flat(fields["__t"])
+            codes, sizes = codes.to_numpy(), np.diff(bounds)
+            doc, tf = np.repeat(np.arange(len(sizes)), sizes), np.maximum(sizes, 1).astype(float)
+            sums = np.column_stack([np.bincount(doc, weights=answers[codes, j], minlength=len(sizes)) for j in range(k)])
+            vecs = lists(pa.array((sums / tf[:, None]).reshape(-1)), np.arange(len(sizes) + 1) * k)
+            yield pa.RecordBatch.from_arrays([fields[key], vecs, pa.array(tf)], [key, "vec", "tf"])
 
 
 def embedding_matrix(vocab: DataFrame, vectors: DataFrame, k: int, seed: int = 0) -> DataFrame:

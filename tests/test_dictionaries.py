@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from commentscope.functions import features as X
 from commentscope.functions.lexicons import CATEGORY_WORDS, LEMMA_EXCEPTIONS, LEMMA_VOCABULARY, STOP_WORDS, VALENCE
 from commentscope.operators import lookups as J
+from commentscope.operators import vectors as V
 from commentscope.operators.table_features import add_features_from_tables
 from commentscope.plans import dictionaries as D
 
@@ -86,3 +87,18 @@ def test_features_from_tables_equal_those_from_lists(spark):
     assert sum(a[0][f"num_bad_{c}"] for c in X.CATEGORIES) > 0
     few = add_features_from_tables(df, ["num_words", "min_length"], [])
     assert few.count() == len(texts)
+
+
+def test_document_vectors_average_by_number(spark):
+    """The rows of a key are pooled; a text without tokens counts as one token of zeros."""
+    rows = [(1, ["a", "b", "a", "?"]), (2, []), (3, None), (4, ["b"]), (4, ["a", "a"]), (None, ["a"]), (5, ["a"]), (5, [])]
+    df = spark.createDataFrame(rows, "id long, t array<string>").repartition(3)
+    vectors = spark.createDataFrame([("a", [1.0, 2.0, 9.0]), ("b", [4.0, 0.0, 9.0])], "word string, vec array<double>")
+    out = V.document_vectors(df, "id", "t", vectors, 2)
+    assert "MapInArrow" in out._jdf.queryExecution().executedPlan().toString()  # no row per document and word
+    got = {r["id"]: r["vec"] for r in out.collect()}
+    want = {1: [1.5, 1.0], 2: [0, 0], 3: [0, 0], 4: [2.0, 4 / 3], None: [1, 2], 5: [0.5, 1.0]}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    drawn = {r["id"]: r["vec"] for r in V.document_vectors(df.where("id = 1"), "id", "t", vectors, 2, True, 7).collect()}[1]
+    own = df.select(V.uniform_from(F.lit("?"), F.lit(0), F.lit(7)), V.uniform_from(F.lit("?"), F.lit(1), F.lit(7))).first()
+    assert drawn == pytest.approx([(6 + own[0]) / 4, (4 + own[1]) / 4])
