@@ -15,7 +15,7 @@ from commentscope.functions.lexicons import BAD_WORDS, LEMMA_EXCEPTIONS, LEMMA_V
 from commentscope.operators import corpus as C
 from commentscope.operators import labels as L
 from commentscope.operators.table_features import add_features_from_tables
-from commentscope.operators.tfidf import term_tfidf
+from commentscope.operators.tfidf import term_frequencies, term_tfidf
 from commentscope.plans.long_form import exploded, label_rows, unpivot_columns
 from commentscope.plans.ordering import pinned
 
@@ -273,8 +273,8 @@ def term_steps(n, docs=DOCS):
             "g AS MATERIALIZED (SELECT doc_id, term FROM s WHERE term IS NOT NULL)"]
 
 
-def terms(n):
-    return K.ngrams(K.vector_words(F.array_join(K.words(F.col("clean_text")), " ")), n)
+def vectorizer_words():
+    return K.vector_words(F.array_join(K.words(F.col("clean_text"), ascii_only=True), " "))
 
 
 def tfidf_sql(n, docs=DOCS):
@@ -292,18 +292,18 @@ for size in (2, 3):
     @query(f"ngram_frequency_{size}", chain(*term_steps(size)) +
            "SELECT term, count(*) AS n FROM g GROUP BY term ORDER BY n DESC, term LIMIT 50")
     def _(t, n=size):
-        return C.top_k(C.frequencies(T.clean_comments(t.comments), terms(n), ["term"]), "n", ["term"], 50)
+        return C.top_k(term_frequencies(T.clean_comments(t.comments), vectorizer_words(), n), "n", ["term"], 50)
 
     @query(f"ngram_tfidf_{size}", tfidf_sql(size))
     def _(t, n=size):
-        scores = term_tfidf(T.clean_comments(t.comments), terms(n))
+        scores = term_tfidf(T.clean_comments(t.comments), vectorizer_words(), size=n)
         return C.top_k(scores.select("term", F.round("score", 6).alias("score")), "score", ["term"], 50)
 
     @query(f"ngram_tfidf_{size}_any_label", tfidf_sql(size, LABELLED_DOCS.replace(
         "USING (doc_id))", "USING (doc_id) WHERE toxic + (1 - quality) > 0)")))
     def _(t, n=size):
         some = t.labelled.where(P.any_label(TEXT_LABELS))
-        scores = term_tfidf(T.clean_comments(some), terms(n))
+        scores = term_tfidf(T.clean_comments(some), vectorizer_words(), size=n)
         return C.top_k(scores.select("term", F.round("score", 6).alias("score")), "score", ["term"], 50)
 
 

@@ -21,6 +21,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,31 +38,69 @@ DEALT = "block int, batch long, terms array<string>, counts array<long>"
 RATED = "block int, batch long, codes array<int>, idf array<double>, terms array<string>, df array<long>"
 SUMS = "block int, batch long, sums array<double>"
 SCORED = "term string, df long, idf double, score double"
+COUNTED = "batch long, terms array<string>, hashes array<long>, counts array<long>"
 
 
-def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    part, number = TaskContext.get().partitionId(), 0
+def _terms(words: pa.Array, bounds: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct terms of some documents, and for each place with a term its document and the term's number. A term
+    is ``size`` consecutive words of a document joined by spaces; a window with a null word is none."""
+    encoded = words.dictionary_encode()
+    code = encoded.indices.fill_null(-1).to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    if size == 1:
+        return encoded.dictionary, doc[code >= 0], code[code >= 0]
+    places = np.arange(max(0, len(code) - size + 1))
+    places = places[doc[places] == doc[places + size - 1]]
+    places = places[np.all([code[places + k] >= 0 for k in range(size)], axis=0)]
+    number = code[places]
+    for k in range(1, size):  # numbers of the distinct beginnings stay below the number of places
+        _, first, number = np.unique(number * max(1, len(encoded.dictionary)) + code[places + k], return_index=True, return_inverse=True)
+    parts = [encoded.dictionary.take(pa.array(code[places[first] + k])) for k in range(size)]
+    return pc.binary_join_element_wise(*parts, " "), doc[places], number
+
+
+def _by_hash(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The terms' hashes and their order by hash."""
+    hashes = pd.util.hash_array(terms.to_numpy(zero_copy_only=False), categorize=False)
+    return hashes, np.argsort(hashes, kind="stable")
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words and bounds of some documents at a time, of about ``most`` words."""
     for whole in batches:
         words, bounds = flat(whole.column(0))
         at = 0
         while at < len(whole):
             end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
-            encoded = words.slice(bounds[at], bounds[end] - bounds[at]).dictionary_encode()
-            known = encoded.indices.is_valid().to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(end - at), np.diff(bounds[at:end + 1]))[known]
-            terms, code = encoded.dictionary, encoded.indices.drop_null().to_numpy().astype(np.int64)
-            hashes = pd.util.hash_array(terms.to_numpy(zero_copy_only=False), categorize=False)
-            order = np.argsort(hashes, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            pairs, tf = np.unique(doc * max(1, len(terms)) + place[code], return_counts=True)
-            doc, code = np.divmod(pairs, max(1, len(terms)))
-            columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))),
-                       pa.array(np.searchsorted(doc, np.arange(end - at + 1))), pa.array(code.astype(np.int32)), pa.array(tf)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | number]), pa.array([end - at]), *(lists(c, [0, len(c)]) for c in columns)],
-                ["batch", "docs", "terms", "hashes", "counts", "ptr", "codes", "tf"])
-            at, number = end, number + 1
+            yield words.slice(bounds[at], bounds[end] - bounds[at]), bounds[at:end + 1] - bounds[at]
+            at = end
+
+
+def _counted(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[pa.RecordBatch]:
+    part = TaskContext.get().partitionId()
+    for number, (words, bounds) in enumerate(_slices(batches, most)):
+        terms, _, code = _terms(words, bounds, size)
+        hashes, order = _by_hash(terms)
+        columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))[order])]
+        yield pa.RecordBatch.from_arrays([pa.array([part << 32 | number]), *(lists(c, [0, len(c)]) for c in columns)],
+                                         ["batch", "terms", "hashes", "counts"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[pa.RecordBatch]:
+    part = TaskContext.get().partitionId()
+    for number, (words, bounds) in enumerate(_slices(batches, most)):
+        docs = len(bounds) - 1
+        terms, doc, code = _terms(words, bounds, size)
+        hashes, order = _by_hash(terms)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        pairs, tf = np.unique(doc * max(1, len(terms)) + place[code], return_counts=True)
+        doc, code = np.divmod(pairs, max(1, len(terms)))
+        columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))),
+                   pa.array(np.searchsorted(doc, np.arange(docs + 1))), pa.array(code.astype(np.int32)), pa.array(tf)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part << 32 | number]), pa.array([docs]), *(lists(c, [0, len(c)]) for c in columns)],
+            ["batch", "docs", "terms", "hashes", "counts", "ptr", "codes", "tf"])
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -122,17 +161,40 @@ def _scored(rated: pa.Table, sums: pa.Table, n: int) -> pa.Table:
     return pa.table({"term": terms, "df": pa.array(df), "idf": pa.array(idf), "score": pa.array(score * idf)})
 
 
-def term_tfidf(df: DataFrame, terms: Column, batch: int = BATCH) -> DataFrame:
+def _blocks(df: DataFrame, sent: int) -> int:
+    """How many first bits of a hash tell blocks apart."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, (8 * tasks - 1).bit_length(), (sent // BLOCK).bit_length())
+
+
+def _added(table: pa.Table) -> pa.Table:
+    encoded = flat(table["terms"])[0].dictionary_encode()
+    n = np.bincount(encoded.indices.to_numpy(), weights=flat(table["counts"])[0].to_numpy(), minlength=len(encoded.dictionary))
+    return pa.table({"term": encoded.dictionary, "n": pa.array(n.astype(np.int64))})
+
+
+def term_frequencies(df: DataFrame, words: Column, size: int = 1, batch: int = BATCH) -> DataFrame:
+    """(term, n): how often each term occurs, a term being ``size`` consecutive words of a row joined by spaces.
+
+    A batch of documents sends each of its terms once, with its count; blocks of about ``BLOCK`` sent terms, by hash,
+    add them up, so neither a task's memory nor a row per place grows with the input.
+    """
+    counted = pinned(df.select(words.alias("terms")).mapInArrow(partial(_counted, most=batch, size=size), COUNTED))
+    sent = counted.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).head()[0]
+    dealt = counted.mapInArrow(partial(_dealt, bits=_blocks(df, sent)), DEALT)
+    return dealt.groupBy("block").applyInArrow(_added, "term string, n long")
+
+
+def term_tfidf(df: DataFrame, terms: Column, batch: int = BATCH, size: int = 1) -> DataFrame:
     """(term, df, idf, score): for every term the sum over documents of the length-normalised tf-idf, with
     idf = ln((1 + n) / (1 + df)) + 1.
 
-    Every row is a document; one without terms, or with a null array, counts in n only. Null terms are none.
+    Every row is a document; one without terms, or with a null array, counts in n only. Null terms are none. With
+    ``size`` over 1 the column holds words, and a term is that many consecutive ones joined by spaces.
     """
-    packed = pinned(df.select(terms.alias("terms")).mapInArrow(partial(_packed, most=batch), PACKED))
+    packed = pinned(df.select(terms.alias("terms")).mapInArrow(partial(_packed, most=batch, size=size), PACKED))
     n, sent = packed.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).head()
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    bits = max(1, (8 * tasks - 1).bit_length(), (sent // BLOCK).bit_length())
-    dealt = packed.select("batch", "terms", "hashes", "counts").mapInArrow(partial(_dealt, bits=bits), DEALT)
+    dealt = packed.select("batch", "terms", "hashes", "counts").mapInArrow(partial(_dealt, bits=_blocks(df, sent)), DEALT)
     rated = pinned(dealt.groupBy("block").applyInArrow(lambda rows: _rated(rows, n), RATED))
     answers = rated.where("batch >= 0")
     sums = (packed.where(F.size("terms") > 0).select("batch", "ptr", "codes", "tf").groupBy("batch")

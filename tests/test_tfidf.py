@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from commentscope.operators.tfidf import term_tfidf
+from commentscope.operators.tfidf import term_frequencies, term_tfidf
 
 
 def plain(docs):
@@ -52,3 +52,21 @@ def test_no_row_per_term_is_shuffled(spark):
     df = spark.createDataFrame([(["a", "b"],)] * 50, "terms array<string>").repartition(4)
     plan = term_tfidf(df, F.col("terms"))._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("batch,size", [(1, 2), (40, 3), (1 << 19, 2), (1 << 19, 1)])
+def test_terms_of_consecutive_words(spark, batch, size):
+    draw = random.Random(2)
+    docs = [[draw.choice(["a", "b", "é", "c"]) for _ in range(draw.randint(0, 12))] for _ in range(90)]
+    docs += [None, [], ["a"], [None], ["a", None, "b", "c"], ["x"] * 50, docs[0]]
+    grams = [[None if None in d[i:i + size] else " ".join(d[i:i + size]) for i in range(len(d) - size + 1)] for d in (d or [] for d in docs)]
+    df = spark.createDataFrame([(d,) for d in docs], "words array<string>").repartition(5)
+    check(term_tfidf(df, F.col("words"), batch, size), grams)
+    found = {r["term"]: r["n"] for r in term_frequencies(df, F.col("words"), size, batch).collect()}
+    assert found == Counter(g for d in grams for g in d if g is not None)
+
+
+def test_frequencies_of_an_empty_table(spark):
+    df = spark.createDataFrame([(["a"],), (None,)], "words array<string>")
+    assert term_frequencies(df, F.col("words"), 2).count() == 0
+    assert term_frequencies(df.limit(0), F.col("words"), 2).count() == 0
