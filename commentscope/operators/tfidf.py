@@ -1,16 +1,17 @@
 """Length-normalised tf-idf of a corpus, summed per term, without a shuffled row per document and term.
 
-Documents are packed into batches: the distinct terms of a batch as one array of strings in the order of their
-hashes, its documents as arrays of term numbers with counts. From then on
+Documents are packed into batches: the distinct words of a batch and its documents as arrays of word numbers,
+compressed. Terms are formed from a pack whenever they are needed, in the same order each time, and are never
+kept. From then on
 
-1. the distinct terms of each batch go, cut at hash bounds, to blocks of the term table, which add document
-   frequencies and answer each batch with the idf of its terms, in the order in which it sent them;
+1. the distinct terms of each batch go, cut by a hash of their text, to blocks of the term table, which add document frequencies and answer each batch with those of its terms, in the order in which it sent them;
 2. a batch weighs its documents with these numbers, takes each document's norm and sends back, for each of its
    terms, the sum of tf over norm;
-3. the block adds what the batches sent.
+3. the block meets the terms it was sent once more, from the same shuffle, and adds what the batches sent back.
 
-So a term travels once per batch and once per block as a string, and as two numbers per batch; a document's
-counts travel once, packed, to the answers of its batch. Terms are equal by their text; hashes only deal them.
+So a term travels once as text, without a string object or an array element of its own in a row: a row has the
+bytes of its terms and their lengths and counts as two compressed binary values. A task holds a pack or a block,
+whose sizes do not grow with the input. Terms are equal by their text; hashes only deal them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -29,40 +29,37 @@ from pyspark.sql import functions as F
 from commentscope.plans.dictionaries import flat, lists
 from commentscope.plans.ordering import pinned
 
-#: Terms with repeats in a batch, and batch terms in a block, about.
-BATCH, BLOCK = 1 << 19, 1 << 20
+#: Words of a batch, and batch terms in a block, about.
+BATCH, BLOCK = 1 << 19, 1 << 19
 
-PACKED = ("batch long, docs long, terms array<string>, hashes array<long>, counts array<long>, "
-          "ptr array<long>, codes array<int>, tf array<long>")
-DEALT = "block int, batch long, terms array<string>, counts array<long>"
-RATED = "block int, batch long, codes array<int>, idf array<double>, terms array<string>, df array<long>"
-SUMS = "block int, batch long, sums array<double>"
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+#: ``most`` bounds the number of a batch's distinct terms.
+PACKED = "batch long, docs long, most long, pack binary"
+DEALT = "block int, batch long, text binary, numbers binary"
+RATED = "block int, batch long, df binary"
+SUMS = "block int, batch long, sums binary"
 SCORED = "term string, df long, idf double, score double"
-COUNTED = "batch long, terms array<string>, hashes array<long>, counts array<long>"
 
 
-def _terms(words: pa.Array, bounds: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct terms of some documents, and for each place with a term its document and the term's number. A term
-    is ``size`` consecutive words of a document joined by spaces; a window with a null word is none."""
-    encoded = words.dictionary_encode()
-    code = encoded.indices.fill_null(-1).to_numpy().astype(np.int64)
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    if size == 1:
-        return encoded.dictionary, doc[code >= 0], code[code >= 0]
-    places = np.arange(max(0, len(code) - size + 1))
-    places = places[doc[places] == doc[places + size - 1]]
-    places = places[np.all([code[places + k] >= 0 for k in range(size)], axis=0)]
-    number = code[places]
-    for k in range(1, size):  # numbers of the distinct beginnings stay below the number of places
-        _, first, number = np.unique(number * max(1, len(encoded.dictionary)) + code[places + k], return_index=True, return_inverse=True)
-    parts = [encoded.dictionary.take(pa.array(code[places[first] + k])) for k in range(size)]
-    return pc.binary_join_element_wise(*parts, " "), doc[places], number
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Numbers, or rows of numbers, as one compressed binary value per piece, after its size in bytes."""
+    values = np.ascontiguousarray(values)
+    data, at = memoryview(values.reshape(-1).view(np.uint8)), (bounds * values.strides[0]).tolist()
+    return pa.array([(b - a).to_bytes(8, "little") + _ZSTD.compress(data[a:b], asbytes=True) for a, b in zip(at[:-1], at[1:])], pa.binary())
 
 
-def _by_hash(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The terms' hashes and their order by hash."""
-    hashes = pd.util.hash_array(terms.to_numpy(zero_copy_only=False), categorize=False)
-    return hashes, np.argsort(hashes, kind="stable")
+def _joined(column: pa.ChunkedArray, kind: type = np.uint8) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all pieces one after another, and the bounds of the pieces in them."""
+    pieces = [np.frombuffer(_ZSTD.decompress(x[8:], int.from_bytes(x[:8], "little")), kind) for x in column.to_pylist()]
+    return np.concatenate([np.empty(0, kind), *pieces]), np.r_[0, np.cumsum([len(x) for x in pieces], dtype=np.int64)]
+
+
+def _bytes(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all terms one after another, and the bounds of the terms in them."""
+    _, bounds, data = terms.cast(pa.large_binary()).buffers()
+    bounds = np.frombuffer(bounds or bytes(8), np.int64)[terms.offset:terms.offset + len(terms) + 1]
+    return np.frombuffer(data or b"", np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
 def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
@@ -76,112 +73,165 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.A
             at = end
 
 
-def _counted(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[pa.RecordBatch]:
-    part = TaskContext.get().partitionId()
-    for number, (words, bounds) in enumerate(_slices(batches, most)):
-        terms, _, code = _terms(words, bounds, size)
-        hashes, order = _by_hash(terms)
-        columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))[order])]
-        yield pa.RecordBatch.from_arrays([pa.array([part << 32 | number]), *(lists(c, [0, len(c)]) for c in columns)],
-                                         ["batch", "terms", "hashes", "counts"])
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The first bytes of 32-bit numbers, then their second bytes and so on, which compress better."""
+    return numbers.view(np.uint8).reshape(-1, 4).T.ravel()
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return planes.reshape(4, -1).T.ravel().view(np.int32)
 
 
 def _packed(batches: Iterator[pa.RecordBatch], most: int, size: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     for number, (words, bounds) in enumerate(_slices(batches, most)):
-        docs = len(bounds) - 1
-        terms, doc, code = _terms(words, bounds, size)
-        hashes, order = _by_hash(terms)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        pairs, tf = np.unique(doc * max(1, len(terms)) + place[code], return_counts=True)
-        doc, code = np.divmod(pairs, max(1, len(terms)))
-        columns = [terms.take(pa.array(order)), pa.array(hashes[order].view(np.int64)), pa.array(np.bincount(code, minlength=len(terms))),
-                   pa.array(np.searchsorted(doc, np.arange(docs + 1))), pa.array(code.astype(np.int32)), pa.array(tf)]
+        encoded = words.dictionary_encode()
+        codes = encoded.indices.fill_null(-1).to_numpy()
+        order = np.argsort(-np.bincount(codes + 1, minlength=len(encoded.dictionary) + 1)[1:], kind="stable")  # frequent words get small numbers
+        rank = np.full(len(order) + 1, -1, np.int32)
+        rank[order] = np.arange(len(order))
+        distinct, codes = encoded.dictionary.take(pa.array(order)), rank[codes]
+        row = pa.record_batch([lists(distinct, [0, len(distinct)]), lists(pa.array(bounds), [0, len(bounds)]),
+                               lists(pa.array(_planes(codes)), [0, codes.nbytes])], ["words", "bounds", "codes"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression=_ZSTD)) as stream:
+            stream.write_batch(row)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part << 32 | number]), pa.array([docs]), *(lists(c, [0, len(c)]) for c in columns)],
-            ["batch", "docs", "terms", "hashes", "counts", "ptr", "codes", "tf"])
+            [pa.array([part << 32 | number]), pa.array([len(bounds) - 1]), pa.array([min(len(codes), len(distinct) ** size)], pa.int64()),
+             pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch", "docs", "most", "pack"])
 
 
-def _dealt(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """The terms of each batch cut into blocks by the first bits of their hashes."""
+def _formed(pack: pa.Scalar, size: int) -> tuple[pa.Array, list[np.ndarray], np.ndarray, np.ndarray]:
+    """The words of a pack, for each distinct term the numbers of its words, and for each place with a term its document
+    and the term's number. A term is ``size`` consecutive words of a document; a window with a null word is none. Terms
+    are numbered in the order of their last places."""
+    words, bounds, code = (flat(c)[0] for c in pa.ipc.open_stream(pack.as_buffer()).read_next_batch().columns)
+    code, width = _numbers(code.to_numpy()), max(1, len(words))
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds.to_numpy()))
+    places = np.arange(max(0, len(code) - size + 1))
+    places = places[doc[places] == doc[places + size - 1]]
+    places = places[np.all([code[places + k] >= 0 for k in range(size)], axis=0)]
+    key, span = code[places].astype(np.int64), width
+    for k in range(1, size):
+        if span * width >= 1 << 63:  # numbers of the distinct beginnings stay below the number of places
+            key, span = np.unique(key, return_inverse=True)[1], len(places)
+        key, span = key * width + code[places + k], span * width
+    distinct, number = np.unique(key, return_inverse=True)
+    at = np.empty(len(distinct), np.int64)
+    at[number] = places
+    order, rank = np.argsort(at), np.empty(len(at), np.int64)
+    rank[order] = np.arange(len(at))
+    return words, [code[at[order] + k] for k in range(size)], doc[places], rank[number]
+
+
+def _hashes(words: pa.Array, parts: list[np.ndarray]) -> np.ndarray:
+    """A hash of each term's text, the same wherever its words end: a polynomial of its bytes, mixed."""
+    data, bounds = _bytes(words)
+    lengths = np.diff(bounds)
+    power = np.cumprod(np.r_[np.uint64(1), np.full(lengths.max(initial=1), 0x9E3779B97F4A7C15, np.uint64)], dtype=np.uint64)
+    each = (data + np.uint64(1)) * power[np.repeat(bounds[1:], lengths) - 1 - np.arange(len(data))]
+    total = np.r_[np.uint64(0), np.cumsum(each, dtype=np.uint64)]
+    word = total[bounds[1:]] - total[bounds[:-1]]
+    out = word[parts[0]]
+    for p in parts[1:]:
+        out = (out * power[1:2] + np.uint64(ord(" ") + 1)) * power[lengths[p]] + word[p]
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        out = (out ^ out >> np.uint64(33)) * np.uint64(factor)
+    return out ^ out >> np.uint64(33)
+
+
+def _in_blocks(words: pa.Array, parts: list[np.ndarray], all_blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order in which a pack sends its terms, the blocks it sends to, and their bounds in that order."""
+    block = ((_hashes(words, parts) >> np.uint64(32)) * np.uint64(all_blocks) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(block, kind="stable")  # neighbours are of one document, with one norm, which compresses
+    blocks, first = np.unique(block[order], return_index=True)
+    return order, blocks, np.r_[first, len(order)]
+
+
+def _pairs(doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The documents and terms that meet, and how often."""
+    terms = number.max(initial=0) + 1
+    pairs, tf = np.unique(doc * terms + number, return_counts=True)
+    return *np.divmod(pairs, terms), tf
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], all_blocks: int, size: int, once: bool) -> Iterator[pa.RecordBatch]:
+    """The terms of each pack cut into blocks, with the number of documents, or else places, that have them."""
     for whole in batches:
-        for i in range(len(whole)):
-            row = whole.slice(i, 1)
-            terms, counts = flat(row.column(1))[0], flat(row.column(3))[0]
-            block = (flat(row.column(2))[0].to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-            blocks, first = np.unique(block, return_index=True)
-            offsets = np.r_[first, len(block)]
+        for batch, pack in zip(whole["batch"], whole["pack"]):
+            words, parts, doc, number = _formed(pack, size)
+            counts = np.bincount(_pairs(doc, number)[1] if once else number, minlength=len(parts[0]))
+            order, blocks, bounds = _in_blocks(words, parts, all_blocks)
+            terms = pc.binary_join_element_wise(*(words.take(pa.array(p[order])) for p in parts), " ")
+            data, ends = _bytes(terms)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int32()), row.column(0).take(pa.array(np.zeros(len(blocks), int))), lists(terms, offsets), lists(counts, offsets)],
-                ["block", "batch", "terms", "counts"])
+                [pa.array(blocks, pa.int32()), pa.array(np.full(len(blocks), batch.as_py())), _cut(data, ends[bounds]),
+                 _cut(np.column_stack([np.diff(ends), counts[order]]).astype(np.int32), bounds)],
+                ["block", "batch", "text", "numbers"])
+
+
+def _block(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of a block and their counts; the numbers of the terms each batch sent, and their bounds."""
+    numbers, bounds = _joined(table["numbers"], np.int32)
+    lengths, counts = numbers.reshape(-1, 2).T
+    text, offsets = _joined(table["text"])[0], np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+    terms = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+    encoded = terms.dictionary_encode()
+    code = encoded.indices.to_numpy()
+    counts = np.bincount(code, weights=counts, minlength=len(encoded.dictionary)).astype(np.int64)
+    return encoded.dictionary.cast(pa.string()), counts, code, bounds // 2
 
 
 def _idf(df: np.ndarray, n: int) -> np.ndarray:
     return np.log((1 + n) / (1 + df)) + 1
 
 
-def _rated(table: pa.Table, n: int) -> pa.Table:
-    """For each batch of a block the numbers of its terms in the block and their idf; in one more row, under
-    batch -1, the block's terms with their document frequencies."""
-    words, bounds = flat(table["terms"])
-    encoded = words.dictionary_encode()
-    code = encoded.indices.to_numpy()
-    df = np.bincount(code, weights=flat(table["counts"])[0].to_numpy(), minlength=len(encoded.dictionary)).astype(np.int64)
-    last = np.r_[bounds, bounds[-1]]
-    rows = len(table) + 1
-    return pa.table({
-        "block": pa.array([table["block"][0].as_py()] * rows, pa.int32()), "batch": pa.concat_arrays([table["batch"].combine_chunks(), pa.array([-1], pa.int64())]),
-        "codes": lists(pa.array(code, pa.int32()), last), "idf": lists(pa.array(_idf(df, n)[code]), last),
-        "terms": lists(encoded.dictionary, np.r_[np.zeros(rows, int), len(df)]), "df": lists(pa.array(df), np.r_[np.zeros(rows, int), len(df)])})
+def _rated(table: pa.Table) -> pa.Table:
+    """For each batch of a block the document frequencies of its terms in the block."""
+    _, df, code, bounds = _block(table)
+    return pa.table({"block": table["block"], "batch": table["batch"], "df": _cut(df[code], bounds)})
 
 
-def _weighed(batch: pa.Table, rated: pa.Table) -> pa.Table:
+def _weighed(batch: pa.Table, rated: pa.Table, n: int, all_blocks: int, size: int) -> pa.Table:
     """The batch's sum of tf over the document's norm for each of its terms, cut into blocks as it was sent."""
     rated = rated.sort_by("block")
-    idf, bounds = flat(rated["idf"])
-    ptr, code, tf = (flat(batch[c])[0].to_numpy() for c in ("ptr", "codes", "tf"))
-    doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    norm = np.sqrt(np.bincount(doc, weights=(tf * idf.to_numpy()[code]) ** 2, minlength=len(ptr) - 1))
-    sums = np.bincount(code, weights=tf / norm[doc], minlength=len(idf))
-    return pa.table({"block": rated["block"], "batch": rated["batch"], "sums": lists(pa.array(sums), bounds)})
-
-
-def _scored(rated: pa.Table, sums: pa.Table, n: int) -> pa.Table:
-    codes, bounds = flat(rated["codes"])
-    codes = codes.to_numpy()
-    at = {b: codes[bounds[i]:bounds[i + 1]] for i, b in enumerate(rated["batch"].to_pylist())}
-    terms, df = flat(rated["terms"])[0], flat(rated["df"])[0].to_numpy()
-    score = np.zeros(len(df))
-    values, bounds = flat(sums["sums"])
-    values = values.to_numpy()
-    for i, b in sorted(enumerate(sums["batch"].to_pylist()), key=lambda x: x[1]):
-        score[at[b]] += values[bounds[i]:bounds[i + 1]]  # a batch has a term once
+    words, parts, doc, number = _formed(batch["pack"][0], size)
+    order, _, bounds = _in_blocks(words, parts, all_blocks)
+    idf = np.empty(len(order))
+    idf[order] = _idf(_joined(rated["df"], np.int64)[0], n)
+    docs = doc.max(initial=-1) + 1
+    doc, number, tf = _pairs(doc, number)
+    norm = np.sqrt(np.bincount(doc, weights=(tf * idf[number]) ** 2, minlength=docs))
+    sums = np.bincount(number, weights=tf / norm[doc], minlength=len(order))
+    return pa.table({"block": rated["block"], "batch": rated["batch"], "sums": _cut(sums[order], bounds)})
+
+
+def _scored(dealt: pa.Table, sums: pa.Table, n: int) -> pa.Table:
+    terms, df, code, _ = _block(dealt.sort_by("batch"))
+    score = np.bincount(code, weights=_joined(sums.sort_by("batch")["sums"], np.float64)[0], minlength=len(df))
     idf = _idf(df, n)
     return pa.table({"term": terms, "df": pa.array(df), "idf": pa.array(idf), "score": pa.array(score * idf)})
 
 
 def _blocks(df: DataFrame, sent: int) -> int:
-    """How many first bits of a hash tell blocks apart."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, (8 * tasks - 1).bit_length(), (sent // BLOCK).bit_length())
+    """How many blocks share the terms."""
+    return max(8 * df.sparkSession.sparkContext.defaultParallelism, -(-sent // BLOCK))
 
 
 def _added(table: pa.Table) -> pa.Table:
-    encoded = flat(table["terms"])[0].dictionary_encode()
-    n = np.bincount(encoded.indices.to_numpy(), weights=flat(table["counts"])[0].to_numpy(), minlength=len(encoded.dictionary))
-    return pa.table({"term": encoded.dictionary, "n": pa.array(n.astype(np.int64))})
+    terms, n, _, _ = _block(table)
+    return pa.table({"term": terms, "n": pa.array(n)})
 
 
 def term_frequencies(df: DataFrame, words: Column, size: int = 1, batch: int = BATCH) -> DataFrame:
     """(term, n): how often each term occurs, a term being ``size`` consecutive words of a row joined by spaces.
 
-    A batch of documents sends each of its terms once, with its count; blocks of about ``BLOCK`` sent terms, by hash,
-    add them up, so neither a task's memory nor a row per place grows with the input.
+    A batch of documents sends each of its terms once, with its count; blocks of at most about ``BLOCK`` sent terms, by
+    hash, add them up, so neither a task's memory nor a row per place grows with the input.
     """
-    counted = pinned(df.select(words.alias("terms")).mapInArrow(partial(_counted, most=batch, size=size), COUNTED))
-    sent = counted.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).head()[0]
-    dealt = counted.mapInArrow(partial(_dealt, bits=_blocks(df, sent)), DEALT)
+    packed = pinned(df.select(words.alias("terms")).mapInArrow(partial(_packed, most=batch, size=size), PACKED))
+    all_blocks = _blocks(df, packed.agg(F.coalesce(F.sum("most"), F.lit(0))).head()[0])
+    dealt = packed.select("batch", "pack").mapInArrow(partial(_dealt, all_blocks=all_blocks, size=size, once=False), DEALT)
     return dealt.groupBy("block").applyInArrow(_added, "term string, n long")
 
 
@@ -193,11 +243,10 @@ def term_tfidf(df: DataFrame, terms: Column, batch: int = BATCH, size: int = 1)
     ``size`` over 1 the column holds words, and a term is that many consecutive ones joined by spaces.
     """
     packed = pinned(df.select(terms.alias("terms")).mapInArrow(partial(_packed, most=batch, size=size), PACKED))
-    n, sent = packed.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).head()
-    dealt = packed.select("batch", "terms", "hashes", "counts").mapInArrow(partial(_dealt, bits=_blocks(df, sent)), DEALT)
-    rated = pinned(dealt.groupBy("block").applyInArrow(lambda rows: _rated(rows, n), RATED))
-    answers = rated.where("batch >= 0")
-    sums = (packed.where(F.size("terms") > 0).select("batch", "ptr", "codes", "tf").groupBy("batch")
-            .cogroup(answers.select("batch", "block", "idf").groupBy("batch")).applyInArrow(lambda batch, rows: _weighed(batch, rows), SUMS))
-    return (rated.select("block", "batch", "codes", "terms", "df").groupBy("block")
-            .cogroup(sums.groupBy("block")).applyInArrow(lambda rows, sums: _scored(rows, sums, n), SCORED))
+    n, sent = packed.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("most"), F.lit(0))).head()
+    all_blocks = _blocks(df, sent)
+    dealt = packed.select("batch", "pack").mapInArrow(partial(_dealt, all_blocks=all_blocks, size=size, once=True), DEALT)
+    rated = dealt.groupBy("block").applyInArrow(_rated, RATED)
+    sums = (packed.where("most > 0").select("batch", "pack").groupBy("batch").cogroup(rated.groupBy("batch"))
+            .applyInArrow(lambda pack, rows: _weighed(pack, rows, n, all_blocks, size), SUMS))
+    return dealt.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(lambda rows, sums: _scored(rows, sums, n), SCORED)

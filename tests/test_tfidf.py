@@ -3,11 +3,14 @@
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from commentscope.operators.tfidf import term_frequencies, term_tfidf
+from commentscope.session import ensure_checkpoint_dir
 
 
 def plain(docs):
@@ -70,3 +73,31 @@ def test_frequencies_of_an_empty_table(spark):
     df = spark.createDataFrame([(["a"],), (None,)], "words array<string>")
     assert term_frequencies(df, F.col("words"), 2).count() == 0
     assert term_frequencies(df.limit(0), F.col("words"), 2).count() == 0
+
+
+def test_terms_are_neither_kept_nor_sent_twice(spark):
+    draw = random.Random(3)
+    docs = [[f"word{draw.randint(0, 2000)}" for _ in range(500)] for _ in range(120)]
+    df = spark.createDataFrame([(d,) for d in docs], "words array<string>").repartition(3)
+    ensure_checkpoint_dir(spark)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    held = {f: f.stat().st_size for f in folder.rglob("*") if f.is_file()}
+    found = term_tfidf(df, F.col("words"), 1 << 14, 3)
+    kept = sum(f.stat().st_size for f in folder.rglob("*") if f.is_file() and f not in held)
+    assert kept < 8 * sum(map(len, docs))  # over 50 bytes a word when the terms were part of it
+    check(found, [[" ".join(d[i:i + 3]) for i in range(len(d) - 2)] for d in docs])
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("batch", [1, 1 << 19])
+def test_terms_are_equal_by_text(spark, batch):
+    docs = [["a b", "c", "d"], ["a", "b c"], ["é", "", "c"], ["x" * 300, "b"], ["a b", "c"], ["", ""]]
+    df = spark.createDataFrame([(d,) for d in docs], "words array<string>").repartition(2)
+    check(term_tfidf(df, F.col("words"), batch, 2), [[" ".join(d[i:i + 2]) for i in range(len(d) - 1)] for d in docs])
+
+
+def test_terms_longer_than_one_number_holds(spark):
+    draw = random.Random(5)
+    docs = [[f"w{draw.randint(0, 400)}" for _ in range(n)] * 2 for n in (3, 40, 300)]
+    df = spark.createDataFrame([(d,) for d in docs], "words array<string>").repartition(2)
+    check(term_tfidf(df, F.col("words"), size=9), [[" ".join(d[i:i + 9]) for i in range(len(d) - 8)] for d in docs])
