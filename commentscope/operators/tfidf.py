@@ -186,8 +186,8 @@ def _idf(df: np.ndarray, n: int) -> np.ndarray:
     return np.log((1 + n) / (1 + df)) + 1
 
 
-def _rated(table: pa.Table) -> pa.Table:
-    """For each batch of a block the document frequencies of its terms in the block."""
+def _rated(table: pa.Table, block: pa.Table) -> pa.Table:
+    """For each batch of a block the document frequencies of its terms in the block; a block may have been sent nothing."""
     _, df, code, bounds = _block(table)
     return pa.table({"block": table["block"], "batch": table["batch"], "df": _cut(df[code], bounds)})
 
@@ -246,7 +246,8 @@ def term_tfidf(df: DataFrame, terms: Column, batch: int = BATCH, size: int = 1)
     n, sent = packed.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("most"), F.lit(0))).head()
     all_blocks = _blocks(df, sent)
     dealt = packed.select("batch", "pack").mapInArrow(partial(_dealt, all_blocks=all_blocks, size=size, once=True), DEALT)
-    rated = dealt.groupBy("block").applyInArrow(_rated, RATED)
+    blocks = df.sparkSession.range(all_blocks).select(F.col("id").cast("int").alias("block"))
+    rated = dealt.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_rated, RATED)
     sums = (packed.where("most > 0").select("batch", "pack").groupBy("batch").cogroup(rated.groupBy("batch"))
             .applyInArrow(lambda pack, rows: _weighed(pack, rows, n, all_blocks, size), SUMS))
     return dealt.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(lambda rows, sums: _scored(rows, sums, n), SCORED)
